@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import bpe, langid, packing
+from tripmill.llm import ann, bpe, crosspolytope, langid, packing, simhash
 from tripmill.llm.common import table
 
 
@@ -17,11 +17,29 @@ def vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_collision_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth one by inner product."""
+    vectors = table(spark, sf_dir, "embeddings")
+    found = ann.search(vectors, vectors.where(F.col("vec_id") % 20 == 0))
+    return found.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
+
+
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links, components and survivors of all vectors at cosine 0.98 within a label."""
+    return crosspolytope.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op3_pack_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Best-fit-decreasing packing of all documents into sequences of 4096 ids."""
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
 
 
+def op4_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups of documents whose 64-bit fingerprints are linked at two bits or fewer."""
+    found = simhash.groups(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
 def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
