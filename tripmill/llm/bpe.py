@@ -40,7 +40,7 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Unicode white space, as the pattern \s of the vocabulary's splitter has it.
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 #: Distinct words whose codes a worker remembers, twice.
-MEMO = 200_000
+MEMO = 500_000
 
 
 class Automaton:
