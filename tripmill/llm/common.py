@@ -7,6 +7,7 @@ has none, as in tests.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -48,6 +49,15 @@ def write_table(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of finished steps that nothing refers to.
+
+    It otherwise does so when the driver happens to collect its garbage.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def drop_table(spark: SparkSession, path: str) -> None:
     """Delete what write_table wrote, when no plan refers to it any more."""
     jvm = spark._jvm

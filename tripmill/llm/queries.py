@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import ann, bpe, crosspolytope, langid, packing, simhash
+from tripmill.llm import ann, bpe, crosspolytope, langid, packing, simhash, suffixdedup
 from tripmill.llm.common import table
 
 
@@ -49,6 +49,11 @@ def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(docs, model, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score", "n_langs")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of documents covered by 200-byte strings that occur more than once."""
+    return suffixdedup.dedup(table(spark, sf_dir, "documents"))
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document by the tokenization automaton."""
     return bpe.codec(table(spark, sf_dir, "documents"), vocabulary())
