@@ -25,11 +25,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 #: Vectors and queries of one block.
-BLOCK, QUERIES = 16_384, 1024
+BLOCK, QUERIES = 16_384, 1024  # a block's ranks fit 16 bits
 #: Projections, half a window's width at radius 1, and how far (in standard
 #: deviations) the threshold lies under the collisions expected at the radius.
 PROJECTIONS, WIDTH, SLACK = 48, 0.44, 1.1
-FIRST_RADIUS, GROWTH = 0.3, 1.2
+FIRST_RADIUS, GROWTH = 0.3, 1.3
 #: Queries that are counted together.
 TOGETHER = 32
 
@@ -56,65 +56,57 @@ def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.nd
     bound = norm.max()
     a = np.random.default_rng(n * 1000 + d).standard_normal((PROJECTIONS, d + 1))
     spots = np.hstack([x / bound, np.sqrt(np.maximum(0, 1 - (norm / bound) ** 2))[:, None]]) @ a.T
-    order = np.argsort(spots, axis=0, kind="stable").T.astype("i4")  # one sorted array for each projection
+    order = np.argsort(spots, axis=0, kind="stable").T  # one sorted array for each projection
+    rank = np.empty((PROJECTIONS, n), "u2")
+    np.put_along_axis(rank, order, np.arange(n, dtype="u2")[None, :], 1)
     spots = np.sort(spots, axis=0).T
-    flat = np.ascontiguousarray(order).ravel()
     unit = q / np.sqrt(inner(q, q))[:, None]
     centre = unit @ a[:, :d].T
     p = math.erf(WIDTH / math.sqrt(2))
     least = max(1, int(PROJECTIONS * p - SLACK * math.sqrt(PROJECTIONS * p * (1 - p))))
-    base = np.arange(PROJECTIONS, dtype="i8")[None, :] * n
     # up to windows that hold everything: all distances are at most 2, all projections at most |a|
     widest = 2 * np.sqrt((a * a).sum(1).max()) / WIDTH
-    sizes = (FIRST_RADIUS * GROWTH ** np.arange(math.ceil(math.log(widest / FIRST_RADIUS) / math.log(GROWTH)) + 1))[:, None]
+    sizes = FIRST_RADIUS * GROWTH ** np.arange(math.ceil(math.log(widest / FIRST_RADIUS) / math.log(GROWTH)) + 1)
+    rough = (x / bound).astype("f4")  # picks what is then compared in double precision
+    shift, inside = np.empty_like(rank), np.empty(rank.shape, bool)
     out = []
     for start in range(0, len(q), TOGETHER):
         part = slice(start, start + TOGETHER)
-        c, u, own = centre[part], unit[part], query_ids[part]
+        c, u, own = centre[part], unit[part].astype("f4"), query_ids[part]
         g = len(u)
-        counts = np.zeros((g, n), "i2")
         done = np.zeros((g, n), bool)
-        got: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-        within = np.zeros((g, len(sizes)), "i8")  # verified vectors within each radius
-        lo = hi = None
+        got: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(g)]
         active = np.arange(g)
-        for step, radius in enumerate(sizes[:, 0]):
+        for radius in sizes:
             if not len(active):
                 break
             reach = WIDTH * radius
-            ends = np.stack([np.searchsorted(s, np.concatenate([c[:, j] - reach, c[:, j] + reach])) for j, s in enumerate(spots)], 1)
-            new_lo, new_hi = ends[:g], ends[g:]
-            if lo is None:
-                mid = np.stack([np.searchsorted(s, c[:, j]) for j, s in enumerate(spots)], 1)
-                lo = hi = mid
-            first = np.concatenate([(new_lo + base)[active], (hi + base)[active]], 1).ravel()
-            size = np.concatenate([(lo - new_lo)[active], (new_hi - hi)[active]], 1).ravel()
-            if total := int(size.sum()):
-                at = np.arange(total) + np.repeat(first - (np.cumsum(size) - size), size)
-                row = np.repeat(np.repeat(np.arange(len(active)) * n, 2 * PROJECTIONS), size)
-                row += flat[at]
-                counts[active] += np.bincount(row, minlength=len(active) * n).reshape(len(active), n).astype("i2")
-            lo, hi = new_lo, new_hi
-            for i in active:
-                col = np.flatnonzero((counts[i] >= least) & ~done[i])
+            # a window in a sorted array is a range of ranks
+            lo = np.stack([np.searchsorted(s, c[active, j] - reach) for j, s in enumerate(spots)], 1)
+            hi = np.stack([np.searchsorted(s, c[active, j] + reach, "right") for j, s in enumerate(spots)], 1)
+            for i, first, last in zip(active, lo, hi):
+                if (last - first == n).all():
+                    hit = np.ones(n, bool)
+                else:
+                    np.subtract(rank, first.astype("u2")[:, None], out=shift)
+                    np.less(shift, (last - first).astype("u2")[:, None], out=inside)
+                    hit = np.add.reduce(inside.view("u1"), axis=0, dtype="u1") >= least
+                col = np.flatnonzero(hit & ~done[i])
                 done[i, col] = True
                 col = col[ids[col] != own[i]]
-                near = x[col] @ u[i]
-                got.append((np.full(len(col), i), col, near))
-                # at unit length the squared distance is 2 - 2 <q, x> / bound
-                within[i] += np.count_nonzero(2 - 2 * near / bound <= sizes**2, axis=1)
-            active = active[(within[active, step] < k) & ~done[active].all(1)]
-        row, col, near = (np.concatenate(y) for y in zip(*got))
-        best = np.lexsort((ids[col], -np.round(near, 12), row))
-        row, col = row[best], col[best]
-        place = np.arange(len(row)) - np.searchsorted(row, row)
-        kept = place < k + 12
-        row, col = row[kept], col[kept]
-        score = inner(q[part][row], x[col])
-        best = np.lexsort((ids[col], -score, row))
-        row, col, score = row[best], col[best], score[best]
-        kept = np.arange(len(row)) - np.searchsorted(row, row) < k
-        out.append(pd.DataFrame({"query_id": own[row[kept]], "vec_id": ids[col[kept]], "score": score[kept]}))
+                near = rough[col] @ u[i]
+                got[i].append((col, near))
+            # at unit length the squared distance is 2 - 2 <q, x> / bound
+            short = [not done[i].all() and sum(np.count_nonzero(near >= 1 - radius * radius / 2) for _, near in got[i]) < k for i in active]
+            active = active[short]
+        for i in range(g):
+            col, near = np.concatenate([y[0] for y in got[i]]), np.concatenate([y[1] for y in got[i]])
+            if len(near) > k:  # what rounding could still bring among the k best, all ties included
+                close = near >= np.partition(near, -k)[-k] - 1e-4
+                col = col[close]
+            score = inner(np.broadcast_to(q[start + i], (len(col), d)), x[col])
+            best = np.lexsort((ids[col], -score))[:k]
+            out.append(pd.DataFrame({"query_id": own[i], "vec_id": ids[col[best]], "score": score[best]}))
     return pd.concat(out)
 
 
