@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import ann, bpe, crosspolytope, langid, packing, simhash, suffixdedup, warc
+from tripmill.llm import ann, bpe, crosspolytope, langid, packing, pii, simhash, suffixdedup, warc
 from tripmill.llm.common import table
 
 
@@ -40,6 +40,12 @@ def op4_simhash_golay(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
+def op5_pii_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' texts with personal data replaced by pseudonyms of the same format."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pii.pseudonymize(docs, count="n_replaced")
+
+
 def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write all pages into dictionary-compressed archives and read them back."""
     found = warc.round_trip(table(spark, sf_dir, "pages"))
