@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripmill.llm import ann, bpe, crosspolytope, langid, packing, pii, simhash, suffixdedup, warc
+from tripmill.llm import ann, bpe, crosspolytope, htmltext, langid, packing, pii, simhash, suffixdedup, warc
 from tripmill.llm.common import table
 
 
@@ -66,6 +66,11 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixdedup.dedup(table(spark, sf_dir, "documents"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The article of every page."""
+    return htmltext.extract(table(spark, sf_dir, "pages"))
+
+
 def op10_bpe_automaton(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encode and decode every document by the tokenization automaton."""
     return bpe.codec(table(spark, sf_dir, "documents"), vocabulary())
