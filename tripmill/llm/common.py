@@ -10,6 +10,8 @@ from __future__ import annotations
 import gc
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,8 +24,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_SHIPPED: set[str] = set()
+
+
+def _ship(spark: SparkSession) -> None:
+    """Give the executors this package, once for each application, wherever it is started from."""
+    if spark.sparkContext.applicationId not in _SHIPPED:
+        package = Path(__file__).parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="tripmill-")) / "tripmill.zip"  # the driver's copy; Spark hands it on
+        with zipfile.ZipFile(archive, "w") as z:
+            for f in sorted(package.rglob("*.py")):
+                z.write(f, f.relative_to(package.parent))
+        spark.sparkContext.addPyFile(str(archive))
+        _SHIPPED.add(spark.sparkContext.applicationId)
+
+
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the rows of one Arrow batch for the queries of this session."""
+    """Prepare a session for Python operators: bounded Arrow batches, and the package on the executors."""
+    _ship(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
