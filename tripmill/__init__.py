@@ -1,0 +1 @@
+"""A monthly trip pipeline for Spark: bronze, silver and quarantine, gold, release."""

@@ -1,0 +1 @@
+"""Empty on purpose: the pipeline works on whole months, and streaming is no goal of it."""
