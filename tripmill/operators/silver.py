@@ -1,7 +1,8 @@
 """Silver and quarantine: every bronze row is one or the other, with a reason for the latter.
 
 One shuffle, by row_id, numbers the rows of equal identity. The zones are a
-lookup of a few hundred rows that Spark broadcasts by its own size check. Rows
+lookup of a few hundred rows; they are broadcast if they are counted to be as
+few as that, so trips are not shuffled by their zones, which are hot. Rows
 of one identity meet in a task; as the identity covers all source columns, a
 group is the copies of one trip.
 """
@@ -14,9 +15,15 @@ from pyspark.sql import functions as F
 from tripmill.functions import quality
 
 
+#: Zones that are broadcast at most; more are joined by a shuffle.
+BROADCAST_ROWS = 10_000
+
+
 def with_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
     """pickup_zone_id and dropoff_zone_id: the trip's zones where the lookup has them."""
     known = zones.select(F.col("LocationID").try_cast("int").alias("zone_id")).where("zone_id is not null").distinct()
+    if known.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        known = F.broadcast(known)
     for own, zone in (("PULocationID", "pickup_zone_id"), ("DOLocationID", "dropoff_zone_id")):
         side = known.withColumnRenamed("zone_id", zone)
         trips = trips.join(side, trips[own].try_cast("int") == side[zone], "left")
