@@ -7,6 +7,8 @@ has none, as in tests.
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import gc
 import tempfile
 import uuid
@@ -24,6 +26,19 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: What Python workers remember between tasks; they serve the tasks of all operators.
+CACHES: list[dict] = []
+
+
+def free_memory() -> None:
+    """In a Python worker, at the start of a task: forget what other operators' tasks remembered."""
+    if any(CACHES):
+        for x in CACHES:
+            x.clear()
+        with contextlib.suppress(OSError, AttributeError):
+            ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 _SHIPPED: set[str] = set()
 
 
@@ -55,6 +70,10 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
+#: Tables in the shared folder that write_table made and nothing has deleted.
+_TABLES: list[str] = []
+
+
 def write_table(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     """Write df as Parquet in the shared folder and read it back.
 
@@ -64,9 +83,28 @@ def write_table(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _TABLES.append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
 
+def mark() -> int:
+    """A point in time for sweep()."""
+    return len(_TABLES)
+
+
+def written(since: int) -> list[str]:
+    """The tables written since a mark that are still there."""
+    return _TABLES[since:]
+
+
+def sweep(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
+    """Delete the tables written since a mark, but those that a result still reads; let shuffle files go too."""
+    for path in _TABLES[since:]:
+        if path not in keep:
+            drop_table(spark, path)
+    release(spark)
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of finished steps that nothing refers to.
 
@@ -81,3 +119,5 @@ def drop_table(spark: SparkSession, path: str) -> None:
     jvm = spark._jvm
     at = jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+    if path in _TABLES:
+        _TABLES.remove(path)

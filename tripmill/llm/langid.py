@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import small_batches
+from tripmill.llm.common import free_memory, small_batches
 
 #: Labelled documents to learn from, of each language (about, by a hash of the key).
 SAMPLE_DOCS = 1500
@@ -213,6 +213,7 @@ def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_i
     source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
         m: Model = shared.value
 
         def scored(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import release, small_batches, write_table
+from tripmill.llm.common import free_memory, mark, small_batches, sweep, write_table
 
 #: Bytes of the strings that count, k-grams of the first and of later rounds.
 LENGTH = 200
@@ -155,7 +155,7 @@ def same_strings(data: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
     key = value[at] >> np.uint64(64 - 8 * size)
     rank = np.full(n, -1, "i8")
     while True:
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         sorted_ = key[order]
         new = np.ones(len(key), bool)
         new[1:] = sorted_[1:] != sorted_[:-1]
@@ -174,10 +174,15 @@ def same_strings(data: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
         size += step
 
 
-def runs(flags: np.ndarray) -> list[int]:
-    """first, last, first, last, ... of the runs of true values."""
-    edge = np.diff(np.concatenate([[0], flags.astype("i1"), [0]]))
-    return np.stack([np.flatnonzero(edge == 1), np.flatnonzero(edge == -1) - 1], 1).ravel().tolist()
+def runs(flags: np.ndarray, begin: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First and last of the runs of true values within segments, and each run's segment."""
+    first, last = flags.copy(), flags.copy()
+    first[1:] &= ~flags[:-1]
+    first[begin] = flags[begin]
+    last[:-1] &= ~flags[1:]
+    last[ends - 1] = flags[ends - 1]
+    at = np.flatnonzero(first)
+    return at, np.flatnonzero(last), np.searchsorted(ends, at, "right")
 
 
 def _segments(text: bytes, length: int) -> list[tuple[int, int]]:
@@ -207,6 +212,7 @@ def _anchors(docs: DataFrame, k: int, length: int, with_spans: bool) -> DataFram
             base = np.array([x[2] for x in held], "i8") - np.concatenate([[0], ends[:-1]])
             return pa.RecordBatch.from_arrays([pa.array(h.view("i8")), pa.array(context.view("i8")), pa.array(rid[segment]), pa.array((at + base[segment]).astype("i4")), pa.array(lead.astype("i4")), pa.array(size.astype("i4"))], ["h", "ctx", "rid", "pos", "lead", "size"])
 
+        free_memory()
         for batch in batches:
             held, size = [], 0
             spans = batch.column(2).to_pylist() if with_spans else [None] * batch.num_rows
@@ -280,16 +286,23 @@ def _sorted_suffixes(contexts: DataFrame, length: int) -> DataFrame:
             dup[at] = some[group]
             first = np.flatnonzero(head)[group]
             later[at] = some[group] & ((rid != rid[first]) | (start != start[first]))
-        rows = []
-        for x, a, b in zip(held, begin, ends):
-            if x[2] > 1:  # the context has copies, so all its strings have
-                dup[a : b - length + 1] = True
-            if dup[a:b].any():
-                shift = x[5]
-                rows.append((x[0], x[1], [y - shift for y in runs(dup[a:b])], [y - shift for y in runs(later[a:b])]))
-        kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-        columns = zip(*rows) if rows else [[], [], [], []]
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], ["h", "ctx", "dups", "later"])
+        lead = np.array([x[5] for x in held])
+        copied = np.array([x[2] for x in held]) > 1  # the context has copies, so all its strings have
+        step = np.zeros(len(data) + 1, "i4")
+        np.add.at(step, begin[copied], 1)
+        np.add.at(step, np.maximum(begin, ends - length + 1)[copied], -1)
+        dup |= np.cumsum(step[:-1]) > 0
+        lists, some = [], None
+        for flags in (dup, later):
+            first, last, of = runs(flags, begin, ends)
+            if some is None:
+                some = np.unique(of)
+            shift = (begin + lead)[of]
+            values = np.stack([first - shift, last - shift], 1).ravel().astype("i4")
+            counts = 2 * np.bincount(of, minlength=len(held))[some]
+            lists.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype("i4")), pa.array(values)))
+        named = [pa.array([held[i][k] for i in some], pa.int64()) for k in (0, 1)]
+        return pa.RecordBatch.from_arrays([*named, *lists], ["h", "ctx", "dups", "later"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, now = [], 0, None
@@ -311,6 +324,7 @@ def _sorted_suffixes(contexts: DataFrame, length: int) -> DataFrame:
 
 def _round(docs: DataFrame, k: int, length: int, keep_first: bool, with_spans: bool, variants: int) -> tuple[DataFrame, DataFrame | None]:
     """Spans of duplicate strings that this k settles, and the strings that need a longer one (rid, spans)."""
+    began = mark()
     anchors = lambda: _anchors(docs, k, length, with_spans)  # noqa: E731  cheaper to make again than to keep
     again = anchors().groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h")
     again, _ = write_table(again, "minimizers")
@@ -338,14 +352,16 @@ def _round(docs: DataFrame, k: int, length: int, keep_first: bool, with_spans: b
     spans = placed.withColumn("mine", mine).where(F.size("mine") > 0)
     pairs = F.transform(F.sequence(F.lit(0), F.size("mine") - 1, F.lit(2)), lambda i: F.struct((F.col("pos") + F.col("mine")[i]).alias("lo"), (F.col("pos") + F.col("mine")[i + 1]).alias("hi")))
     spans = spans.groupBy("rid").agg(F.flatten(F.collect_list(pairs)).alias("spans"))
-    spans, _ = write_table(spans, "spans")
+    spans, at_spans = write_table(spans, "spans")
     hot = kinds.where(F.col("variants") > variants).select(F.col("h").alias("h2")).distinct()
     hot, _ = write_table(hot, "hot")
     if hot.isEmpty():
+        sweep(docs.sparkSession, began, (at_spans,))
         return spans, None
     strings = found.join(hot, found["h"] == hot["h2"], "left_semi")
     strings = strings.select("rid", F.struct((F.col("pos") - F.col("lead")).alias("lo"), (F.col("pos") - F.col("lead") + F.col("size") - length).alias("hi")).alias("s"))
-    rest, _ = write_table(strings.groupBy("rid").agg(F.collect_list("s").alias("spans")), "rest")
+    rest, at_rest = write_table(strings.groupBy("rid").agg(F.collect_list("s").alias("spans")), "rest")
+    sweep(docs.sparkSession, began, (at_spans, at_rest))
     return spans, rest
 
 
@@ -355,7 +371,6 @@ def duplicate_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = Fa
     for k in (min(NEXT_K, length), length):
         if rest is None:
             break
-        release(docs.sparkSession)
         left = docs.join(rest.withColumnRenamed("rid", "of"), F.col("rid") == F.col("of")).select("rid", "text", "spans")
         more, rest = _round(left, k, length, keep_first, True, variants if k < length else 1 << 60)
         spans = spans.unionByName(more)
@@ -389,8 +404,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, text:
     """
     small_batches(docs.sparkSession)
     rows = numbered(docs, key, text)
-    spans, _ = write_table(duplicate_spans(rows, length, keep_first, variants), "spans")
-    release(docs.sparkSession)
+    began = mark()
+    spans, at_spans = write_table(duplicate_spans(rows, length, keep_first, variants), "spans")
+    sweep(docs.sparkSession, began, (at_spans,))
     joined = rows.join(spans.withColumnRenamed("rid", "of"), F.col("rid") == F.col("of"), "left")
     more = [("kept", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))] if outputs else []
     schema = f"{key} {dict(docs.dtypes)[key]}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept string, spans array<struct<start:int,end:int>>" if outputs else "")
