@@ -81,5 +81,33 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in sorted(found, key=lambda f: int(f.__name__[2:].split("_")[0]))}
 
 
+SQL = {
+    "op2_embedding_dedup": """
+WITH RECURSIVE usable AS (
+    SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(x, y) AS (SELECT vec_id, vec_id FROM embeddings UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+components AS (SELECT x AS vec_id, min(y) AS component_id FROM reach GROUP BY x),
+counted AS (SELECT x AS vec_id, count(*) AS n_links FROM links GROUP BY x)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings LEFT JOIN counted USING (vec_id) JOIN components USING (vec_id)
+""",
+    "op6_warc_dictionary": """
+WITH body AS (SELECT page_id, coalesce(html, '') AS b FROM pages),
+hashed AS (SELECT page_id, strlen(b) AS size, sha1(b) AS h FROM body),
+firsts AS (SELECT *, min(page_id) OVER (PARTITION BY h, size) AS first FROM hashed)
+SELECT page_id, CAST(size AS BIGINT) AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+           CAST(((CAST('0x' || substr(h, CAST(i // 4 * 5 + 1 AS BIGINT), 5) AS BIGINT) >> CAST(15 - 5 * (i % 4) AS BIGINT)) & 31) + 1 AS BIGINT), 1)), '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM first OR first IS NULL THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to
+FROM firsts
+""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """SQL has no collision counting, packing, XXH64 with a seed, Feistel networks, EM, byte strings of texts, cuts and BPE."""
+    return dict(SQL)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm import golay
-from tripmill.llm.common import drop_table, small_batches, write_table
+from tripmill.llm.common import mark, small_batches, sweep, write_table
 from tripmill.llm.components import components
 
 RADIUS = 2
@@ -126,9 +126,11 @@ def groups(docs: DataFrame, words: int = 3, text: str = "text", key: str = "doc_
     are linked like any other. Rows with equal keys stay separate rows. A null
     key is no candidate for component_id; a group of null keys alone has null.
     """
-    prints, _ = write_table(fingerprints(docs, words, text, key), "prints")
+    began = mark()
+    prints, at_prints = write_table(fingerprints(docs, words, text, key), "prints")
     classes, _ = write_table(prints.groupBy("fp").agg(F.min(key).alias("rep")), "classes")
     named = components(links(classes.where(F.col("rep").isNotNull()), bucket))
     wide = classes.join(named, classes["rep"] == named["node"], "left").select(F.col("fp").alias("class"), F.coalesce("component", "rep").alias("component_id"))
-    wide, _ = write_table(wide, "classes")
+    wide, at_wide = write_table(wide, "classes")
+    sweep(docs.sparkSession, began, (at_prints, at_wide))
     return prints.join(wide, prints["fp"] == wide["class"]).select(key, "fp", "component_id")
