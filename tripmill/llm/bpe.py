@@ -33,14 +33,16 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from tripmill.llm.common import small_batches
+from tripmill.llm.common import CACHES, small_batches
 
 #: str.split() also splits at these four, which the vocabulary's white space lacks.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
 #: Unicode white space, as the pattern \s of the vocabulary's splitter has it.
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 #: Distinct words whose codes a worker remembers, twice.
-MEMO = 500_000
+MEMO = 320_000
+#: Arcs that a worker keeps resolved.
+ARCS = 400_000
 
 
 class Automaton:
@@ -97,6 +99,8 @@ class Automaton:
         key = state * self.size + token
         known = self.arcs.get(key)
         if known is None:
+            if len(self.arcs) >= ARCS:
+                self.arcs.clear()
             known = self.arcs[key] = self._resolve(state, token)
         return known
 
@@ -231,6 +235,7 @@ class Memo(dict):
 
 
 _MADE: dict[tuple, Memo] = {}
+CACHES.append(_MADE)
 
 
 def memo(path: str, kind: str) -> Memo:
