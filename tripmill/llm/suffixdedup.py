@@ -377,13 +377,13 @@ def duplicate_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = Fa
     return spans.groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """rid (long, unique, in the order of the key), key, text as bytes.
+def numbered(docs: DataFrame, key: str, text: str, columns: tuple[str, ...] = ()) -> DataFrame:
+    """rid (long, unique, in the order of the key), key, text as bytes, more columns in more0, more1 ...
 
     The key itself where it is a unique long; else the rows are numbered in a
     table of their own, equal keys in any order, null keys last.
     """
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"))
+    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"), *(F.col(f"`{c}`").alias(f"more{i}") for i, c in enumerate(columns)))
     if dict(docs.dtypes)[key] in ("bigint", "int"):
         seen = rows.agg(F.count(F.lit(1)).alias("n"), F.count("key").alias("m")).first()
         unique = seen["n"] == seen["m"] and rows.groupBy("key").count().where("count > 1").isEmpty()
@@ -393,7 +393,7 @@ def numbered(docs: DataFrame, key: str, text: str) -> DataFrame:
     return write_table(ordered, "numbered")[0]
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, text: str = "text", key: str = "doc_id", outputs: bool = False, variants: int = VARIANTS) -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, text: str = "text", key: str = "doc_id", outputs: bool = False, variants: int = VARIANTS, columns: tuple[str, ...] = ()) -> DataFrame:
     """key, n_bytes, n_removed, n_spans, kept_sha256 of every row.
 
     Texts are UTF-8 bytes, null ones empty; matches never cross rows. All
@@ -401,11 +401,12 @@ def dedup(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, text:
     (by key, then place). With ``outputs`` also kept (the remaining text, what
     is left of a split character dropped) and spans (first byte, end). Rows
     with equal keys are rows of their own, and copies of each other.
+    ``columns`` are passed on as they are.
     """
     small_batches(docs.sparkSession)
-    rows = numbered(docs, key, text)
+    rows = numbered(docs, key, text, columns)
     began = mark()
-    spans, at_spans = write_table(duplicate_spans(rows, length, keep_first, variants), "spans")
+    spans, at_spans = write_table(duplicate_spans(rows.select("rid", "text"), length, keep_first, variants), "spans")
     sweep(docs.sparkSession, began, (at_spans,))
     joined = rows.join(spans.withColumnRenamed("rid", "of"), F.col("rid") == F.col("of"), "left")
     more = [("kept", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))] if outputs else []
@@ -430,7 +431,9 @@ def dedup(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, text:
                 rows.append(row + [left.decode("utf-8", "ignore"), [{"start": a, "end": b} for a, b in merged]] if outputs else row)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), *(t for _, t in more)]
             names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(n for n, _ in more)]
-            columns = zip(*rows) if rows else [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, kinds))], [key, *names])
+            made = zip(*rows) if rows else [[] for _ in kinds]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(made, kinds)), *batch.columns[3:]], [key, *names, *columns])
 
-    return joined.select("key", "text", "spans").mapInArrow(run, schema)
+    types = dict(docs.dtypes)
+    own = "".join(f", `{c}` {types[c]}" for c in columns)
+    return joined.select("key", "text", "spans", *(f"more{i}" for i in range(len(columns)))).mapInArrow(run, schema + own)
