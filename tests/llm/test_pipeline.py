@@ -97,3 +97,21 @@ def test_near_copies_with_large_keys_and_odd_rows(spark, corpus, monkeypatch):
     left = sorted(map(str, nearcopies.keep_one(odd).collect()))
     assert left == sorted(["Row(doc_id=1, text='a b c d e f')", "Row(doc_id=None, text='other words')", "Row(doc_id=5, text=None)", "Row(doc_id=7, text='short')", "Row(doc_id=7, text='different')"])
     assert nearcopies.keep_one(odd.limit(0)).count() == 0
+
+
+def test_near_copies_among_many_texts_of_one_template(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(4000)]
+    template = rng.choices(words, k=100)
+    rows = []
+    for i in range(400):  # no two similar to each other, all of one template
+        rows.append(template + rng.choices(words, k=14))
+    for i in range(0, 400, 4):  # but these have a near copy
+        at = rng.randrange(20, 90)
+        rows.append([*rows[i][:at], "changed", *rows[i][at + 1 :]])
+    rng.shuffle(rows)
+    rows = [(i, " ".join(r)) for i, r in enumerate(rows)]
+    want = families(rows)
+    assert len(set(want.values())) == 400
+    got = {r["doc_id"]: r["component_id"] for r in nearcopies.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want

@@ -1,65 +1,48 @@
-"""Near copies by similarity, on the Golay keys of longer SimHash fingerprints.
-
-``simhash`` links fingerprints at a fixed small number of bits. Documents that
-share four fifths of their five-word shingles differ in more: at a similarity s
-a SimHash bit differs with probability acos(2s / (1 + s)) / pi, 15 % at 0.8. So
-here a fingerprint has 256 bits, and each of ``TABLES`` tables takes 23 of them
-as a fuzzy segment (up to two errors are decoded away) and ``EXACT`` more as
-they are. What shares a key and is near in 64 bits becomes a candidate, and
-candidates are verified by the Jaccard similarity of their shingle sets. By the
-above, a pair of similarity 0.8 is found with probability 0.6 at least, of 0.9
-with over 0.97 and of 0.95 with over 0.99; texts whose differences lie close
-together do better, as do members of larger groups.
-
-Equal texts are one class from the start. A key with very many different
-documents (copies of one original, each changed elsewhere) is not joined with
-itself: its members become candidates with the member nearest to the majority
-of their bits. Groups that met there and are still apart meet again through
-their own members nearest to that majority, until nothing more is merged.
+"""Near copies by similarity, complete: prefix filtering of shingle sets.
+
+Two documents are near copies if their sets of five-word shingles have a Jaccard
+similarity of ``SIMILARITY`` or more. With all shingles in one order, the same
+for every document, two such sets of sizes m and n share a shingle among the
+first m - 0.8 m + 1 of one and n - 0.8 n + 1 of the other. So a document stands
+under each shingle of its prefix, and any near copy of it stands under one of
+them: no pair is left to chance. Candidates are verified on the whole sets.
+
+Any order is right; rare shingles first make keys small. How frequent a shingle
+is, is counted on a bounded sample of documents, so lines that very many
+documents share come last, and texts made from one template meet only under what
+they share besides it.
+
+Equal texts are one class from the start. Documents of a key first meet its lead
+alone, the one with the fewest rarer shingles before the key's (of copies of one
+original, each changed elsewhere, that is the original). Then all pairs of a key
+that are still in different groups are compared: its documents outside the key's
+largest group with all of the key. Pairs of one group need no comparison.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmill.llm import golay
-from tripmill.llm.common import free_memory, mark, release, small_batches, sweep, write_table
+from tripmill.llm.common import drop_table, free_memory, mark, release, small_batches, sweep, write_table
 from tripmill.llm.components import components
 from tripmill.llm.simhash import shingle_hashes
 
 WORDS, SIMILARITY = 5, 0.8
-TABLES, EXACT = 16, 10
-#: Differing bits of 64 up to which a pair is verified (15 % of 64 is 10, three deviations are 9).
-SKETCH_BITS = 19
-#: Members of a key that are compared in pairs.
-BUCKET = 8
-_SALTS = np.array([0, 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9], "u8")
-_rng = np.random.default_rng(24)
-_BITS = np.stack([_rng.permutation(256)[: golay.WORD + EXACT] for _ in range(TABLES)])
-
-
-def _mixed(h: np.ndarray) -> np.ndarray:
-    """Four 64-bit words for each hash (n x 4); the first is the hash."""
-    x = h[:, None] ^ _SALTS
-    y = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    y ^= y >> np.uint64(32)
-    y[:, 0] = h
-    return y
-
-
-def majority_bits(hashes: np.ndarray) -> np.ndarray:
-    """256 bits: which are set in over half of the hashes' words."""
-    count = np.zeros(256, "i8")
-    for at in range(0, len(hashes), 16384):
-        words = _mixed(hashes[at : at + 16384])
-        count += np.unpackbits(words.view("u1").reshape(len(words), -1), axis=1, bitorder="little").sum(0, dtype="i4")
-    return 2 * count > len(hashes)
+#: Documents (about, by a hash of the key) on which shingles are counted, and the most shingles whose count is kept.
+SAMPLE_DOCS, FREQUENT = 20_000, 500_000
+#: Documents outside a key's largest group above which they meet leads before they are compared with all.
+BUCKET = 64
+#: Times that they do so at most, while leads still merge groups.
+ROUNDS = 4
+#: Pairs that are verified at a time; it bounds the disk that their sets take.
+PAIRS = 1_000_000
 
 
 def _text_hash(text: str | None) -> int:
@@ -68,91 +51,106 @@ def _text_hash(text: str | None) -> int:
 
 
 def _prints(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """key, h (of the words), keys of the tables, and 64 bits of each row."""
+    """id, h (of the words) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_memory()
         for batch in batches:
-            texts = batch.column(1).to_pylist()
-            bits = np.stack([majority_bits(shingle_hashes(t, WORDS)) for t in texts]) if texts else np.zeros((0, 256), bool)
-            packed = np.packbits(bits, axis=1, bitorder="little")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_text_hash(t) for t in texts], pa.int64()), pa.array([p.tobytes() for p in packed], pa.binary())], ["id", "h", "bits"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_text_hash(t) for t in batch.column(1).to_pylist()], pa.int64())], ["id", "h"])
 
-    return docs.select(key, text).mapInArrow(run, f"id {dict(docs.dtypes)[key]}, h long, bits binary")
+    return docs.select(key, text).mapInArrow(run, f"id {dict(docs.dtypes)[key]}, h long")
 
 
-def _keys(classes: DataFrame) -> DataFrame:
-    """key, rep, group, sketch: every class under each of its keys."""
+def _shingles(text: str | None) -> np.ndarray:
+    """The set of a text's shingle hashes, ascending."""
+    return np.unique(shingle_hashes(text, WORDS).view("i8"))
+
+
+def _own(batch: pa.RecordBatch) -> tuple[pa.Array, list[np.ndarray]]:
+    """rep and shingles of the rows of rep, h, text whose text is the one of h (keys may repeat)."""
+    texts = batch.column(2).to_pylist()
+    at = [i for i, (t, h) in enumerate(zip(texts, batch.column(1).to_pylist())) if _text_hash(t) == h]
+    return batch.column(0).take(pa.array(at, pa.int64())), [_shingles(texts[i]) for i in at]
+
+
+def _frequent(texts: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that occur in three or more documents of a sample, ascending, and their counts. texts: rep, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            rep, group = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
-            packed = np.frombuffer(b"".join(batch.column(2).to_pylist()), "u1").reshape(-1, 32)
-            bits = np.unpackbits(packed, axis=1, bitorder="little")
-            sketch = np.ascontiguousarray(packed[:, :8]).view("i8").ravel()
-            for t in range(TABLES):
-                word = bits[:, _BITS[t]].astype("i8") @ (1 << np.arange(_BITS.shape[1]))
-                index, counts = golay.indices(word & ((1 << golay.WORD) - 1))
-                rows, which = np.nonzero(counts)
-                key = (t << 40) | ((word >> golay.WORD)[rows] << golay.MESSAGE) | index[rows, which]
-                yield pa.RecordBatch.from_arrays([pa.array(key), pa.array(rep[rows]), pa.array(group[rows]), pa.array(sketch[rows])], ["key", "rep", "grp", "sketch"])
+            sets = [_shingles(t) for t in batch.column(0).to_pylist()]
+            found, n = np.unique(np.concatenate(sets) if sets else np.zeros(0, "i8"), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["s", "n"])
 
-    return classes.select("rep", "grp", "bits").mapInArrow(run, "key long, rep long, grp long, sketch long")
+    drawn = texts.where(F.pmod(F.xxhash64("rep", F.lit("shingles")), F.lit(1_000_000)) < share * 1_000_000)
+    counted = drawn.select("text").mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where("n > 2")
+    got = counted.orderBy(F.desc("n"), "s").limit(FREQUENT).toPandas().sort_values("s")
+    return got["s"].to_numpy("i8"), got["n"].to_numpy("i8")
 
 
-def _near(x: Column, y: Column) -> Column:
-    return F.bit_count(x.bitwiseXOR(y)) <= SKETCH_BITS
+def prefix(shingles: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The part of a set of which any set with at least SIMILARITY has an element in its own part, rarest first."""
+    n = len(shingles)
+    if not n:
+        return shingles
+    rank = np.zeros(n, "i8")
+    if len(frequent):
+        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
+        rank = np.where(frequent[at] == shingles, counts[at], 0)
+    return shingles[np.argsort(rank, kind="stable")[: n - int(np.ceil(SIMILARITY * n - 1e-9)) + 1]]
 
 
-def _leads(members: DataFrame) -> DataFrame:
-    """a, b: members of large keys with the member nearest to the majority of the key's bits.
+def _keys(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
+    """key, rep, size, pos: every text under each shingle of its prefix. texts: rep, h, text."""
+    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
+        for batch in batches:
+            reps, sets = _own(batch)
+            first = [prefix(s, *shared.value) for s in sets]
+            n = np.array([len(p) for p in first], "i8")
+            rep = reps.take(pa.array(np.repeat(np.arange(len(n)), n)))
+            pos = np.concatenate([np.arange(k, dtype="i4") for k in n]) if len(n) else np.zeros(0, "i4")
+            size = np.repeat(np.array([len(s) for s in sets], "i4"), n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first) if first else np.zeros(0, "i8")), rep, pa.array(size), pa.array(pos)], ["key", "rep", "size", "pos"])
+
+    return texts.mapInArrow(run, f"key long, rep {dict(texts.dtypes)['rep']}, size int, pos int")
+
+
+def _possible(m: Column, i: Column, n: Column, j: Column) -> Column:
+    """Whether sets of sizes m and n can have SIMILARITY if the first element they share is at i and j."""
+    return (1 + F.least(m - i - 1, n - j - 1)) * (1 + SIMILARITY) >= SIMILARITY * (m + n) - 1e-6
 
-    Each group in a key is led by its own member nearest to that majority, so
-    groups meet, not all their members.
-    """
-    bit = lambda i: F.sum(F.getbit("sketch", F.lit(i)).cast("long")).alias(f"b{i}")
-    word = F.lit(0).cast("long")
-    for i in range(64):
-        word = word.bitwiseOR(F.when(2 * F.col(f"b{i}") > F.col("n"), F.lit(1 << i if i < 63 else -(1 << 63)).cast("long")).otherwise(F.lit(0).cast("long")))
-    centre = members.groupBy("key").agg(F.count(F.lit(1)).alias("n"), *map(bit, range(64))).select("key", word.alias("centre"))
-    centre, _ = write_table(centre, "centres")
-    far = F.bit_count(F.col("sketch").bitwiseXOR(F.col("centre")))
-    nearest = F.min(F.struct(far.alias("d"), "rep", "sketch")).alias("m")
-    per_group = members.join(centre, "key").groupBy("key", "grp").agg(nearest)
-    per_group, _ = write_table(per_group.select("key", "grp", "m.d", "m.rep", "m.sketch"), "heads")
-    lead = per_group.groupBy("key").agg(F.min(F.struct("d", "rep", "grp", "sketch")).alias("l"))
-    lead, _ = write_table(lead.select("key", F.col("l.rep").alias("lead"), F.col("l.grp").alias("lead_grp"), F.col("l.sketch").alias("lead_sketch")), "leads")
-    found = per_group.join(lead, "key").where((F.col("grp") != F.col("lead_grp")) & _near(F.col("sketch"), F.col("lead_sketch")))
-    return found.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b"))
-
-
-def _candidates(keys: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """Pairs (a, b) of different groups to verify; and the rows of keys too large for pairs."""
-    sizes = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
-    hot, _ = write_table(sizes.where(F.col("n") > BUCKET).select("key"), "hot")
-    some = not hot.isEmpty()
-    cool = keys.join(hot, "key", "left_anti") if some else keys
-    x, y = cool.alias("x"), cool.alias("y")
-    pair = (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & (F.col("x.grp") != F.col("y.grp"))
-    found = x.join(y, pair & _near(F.col("x.sketch"), F.col("y.sketch"))).select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
-    members = None
-    if some:
-        members, _ = write_table(keys.join(hot, "key", "left_semi"), "members")
-        found = found.unionByName(_leads(members))
-    return write_table(found.distinct(), "pairs")[0], members
-
-
-def _sets(wanted: DataFrame, texts: DataFrame) -> DataFrame:
-    """rep, s: the shingle hashes of the texts whose rep is wanted. texts: rep, text."""
+
+def _with_lead(members: DataFrame) -> DataFrame:
+    """members but the first of each key, with that one: lead, lead_size, lead_pos."""
+    first = F.first(F.struct("rep", "size", "pos")).over(Window.partitionBy("key").orderBy("pos", "rep"))
+    return members.withColumn("l", first).where("rep <> l.rep").select("key", "rep", "size", "pos", F.col("l.rep").alias("lead"), F.col("l.size").alias("lead_size"), F.col("l.pos").alias("lead_pos"))
+
+
+def _lead_pairs(led: DataFrame) -> DataFrame:
+    led = led.where(_possible(F.col("size"), F.col("pos"), F.col("lead_size"), F.col("lead_pos")))
+    return led.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct()
+
+
+def _all_pairs(others: DataFrame, members: DataFrame) -> DataFrame:
+    """Pairs (a, b) of different groups: one of others, one of all members of the same key."""
+    x, y = others.alias("x"), members.alias("y")
+    can = _possible(F.col("x.size"), F.col("x.pos"), F.col("y.size"), F.col("y.pos"))
+    met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.grp") != F.col("y.grp")) & can)
+    return met.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+
+
+def _sets(texts: DataFrame) -> DataFrame:
+    """rep, s: the shingle hashes of texts. texts: rep, h, text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [np.unique(shingle_hashes(t, WORDS)).view("i8") for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.list_(pa.int64()))], ["rep", "s"])
+            reps, sets = _own(batch)
+            yield pa.RecordBatch.from_arrays([reps, pa.array(sets, pa.list_(pa.int64()))], ["rep", "s"])
 
-    return texts.join(wanted, "rep", "left_semi").select("rep", "text").mapInArrow(run, "rep long, s array<long>")
+    return texts.mapInArrow(run, f"rep {dict(texts.dtypes)['rep']}, s array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -163,6 +161,13 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.where(both >= SIMILARITY * (F.size("sa") + F.size("sb") - both) - 1e-9).select("a", "b")
 
 
+def _let_go(spark: SparkSession) -> None:
+    """Release the shuffle files of the step just done; Spark holds on to those of its latest action."""
+    gc.collect()
+    spark.range(1).collect()
+    release(spark)
+
+
 def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
     """key, h, component_id of every row: the smallest key of the row's group.
 
@@ -174,9 +179,9 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     small_batches(spark)
     began = mark()
     prints, at_prints = write_table(_prints(docs, key, text), "prints")
-    classes = prints.groupBy("h").agg(F.min("id").alias("rep"), F.first("bits").alias("bits"))
+    classes = prints.groupBy("h").agg(F.min("id").alias("rep"))
     classes, _ = write_table(classes, "classes")
-    known = classes.where(F.col("rep").isNotNull()).select("rep", "bits")
+    known = classes.where(F.col("rep").isNotNull()).select("rep", "h")
     rows = docs.select(F.col(key).alias("rep"), F.col(text).alias("text"))
     named = None
 
@@ -190,27 +195,63 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
     def merge(pairs: DataFrame) -> bool:
         """Join the groups of verified pairs; what is in one group already is not looked at again."""
         nonlocal named
-        found = grouped(grouped(_verified(pairs, sets).withColumnRenamed("a", "rep")).select(F.col("grp").alias("a"), F.col("b").alias("rep"))).select("a", F.col("grp").alias("b"))
-        found, _ = write_table(found.where("a <> b").distinct(), "links")
-        joined = components(found)
-        if named is not None:
-            more = joined.join(named, "node", "left_anti")
-            to = joined.select(F.col("node").alias("old"), F.col("component").alias("new"))
-            joined = named.join(to, named["component"] == to["old"], "left").select("node", F.coalesce("new", "component").alias("component")).unionByName(more)
-        named, _ = write_table(joined, "named")
-        return not found.isEmpty()
-
-    pairs, large = _candidates(_keys(grouped(known)))
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("rep"))
-    if large is not None:
-        wanted = wanted.unionByName(large.select("rep"))
-    sets, _ = write_table(_sets(wanted.distinct(), rows), "sets")
-    release(spark)
+        parts = -(-pairs.count() // PAIRS)
+        if not parts:
+            return False
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        sets, at_sets = write_table(_sets(rows.join(known.join(ends, "rep", "left_semi"), "rep").select("rep", "h", "text")), "sets")
+        _let_go(spark)
+        some = False
+        for i in range(parts):
+            part = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == i) if parts > 1 else pairs
+            found = grouped(grouped(_verified(part, sets).withColumnRenamed("a", "rep")).select(F.col("grp").alias("a"), F.col("b").alias("rep"))).select("a", F.col("grp").alias("b"))
+            found, _ = write_table(found.where("a <> b").distinct(), "links")
+            _let_go(spark)
+            if found.isEmpty():
+                continue
+            some = True
+            joined = components(found)
+            if named is not None:
+                more = joined.join(named, "node", "left_anti")
+                to = joined.select(F.col("node").alias("old"), F.col("component").alias("new"))
+                joined = named.join(to, named["component"] == to["old"], "left").select("node", F.coalesce("new", "component").alias("component")).unionByName(more)
+            named, _ = write_table(joined, "named")
+        drop_table(spark, at_sets)
+        return some
+
+    share = min(1.0, SAMPLE_DOCS / max(1, prints.count()))
+    frequent = _frequent(rows, share)
+    _let_go(spark)
+    led, _ = write_table(_with_lead(_keys(rows.join(known, "rep").select("rep", "h", "text"), frequent)), "led")
+    _let_go(spark)
+    pairs, _ = write_table(_lead_pairs(led), "pairs")
     merge(pairs)
-    while large is not None:  # groups that met in large keys and are still apart
-        pairs, _ = write_table(_leads(grouped(large.drop("grp"))).distinct(), "pairs")
-        if pairs.isEmpty() or not merge(pairs):
+    tested = pairs
+    of_key = led.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("lead", "lead_size", "lead_pos")).alias("l")).where("n > 1")
+    of_key, _ = write_table(of_key.select("key", "l.*"), "keys")
+    members = led.join(of_key.select("key"), "key", "left_semi").select("key", "rep", "size", "pos")
+    members, _ = write_table(members.unionByName(of_key.toDF("key", "rep", "size", "pos")), "members")
+    for turn in range(ROUNDS + 1):
+        own = grouped(members)
+        per_group, at_groups = write_table(own.groupBy("key", "grp").agg(F.count(F.lit(1)).alias("n")), "sizes")
+        largest = per_group.groupBy("key").agg(F.max(F.struct("n", "grp")).alias("m"), F.sum("n").alias("all")).where("m.n < all")
+        largest, at_largest = write_table(largest.select("key", F.col("m.grp").alias("base"), (F.col("all") - F.col("m.n")).alias("rest")), "bases")
+        own, at_own = write_table(own.join(largest, "key"), "members")
+        others = own.where("grp <> base")
+        many = others.where(F.col("rest") > BUCKET)
+        more = False
+        if turn < ROUNDS:
+            pairs, _ = write_table(_lead_pairs(_with_lead(many.select("key", "rep", "size", "pos"))).join(tested, ["a", "b"], "left_anti"), "pairs")
+            more = merge(pairs)
+            tested = tested.unionByName(pairs)
+        if not more:  # all that is still apart
+            pairs, _ = write_table(_all_pairs(others, own).join(tested, ["a", "b"], "left_anti"), "pairs")
+            merge(pairs)
             break
+        for path in (at_groups, at_largest, at_own):
+            drop_table(spark, path)
+    if named is None:
+        named = spark.createDataFrame([], f"node {dict(docs.dtypes)[key]}, component {dict(docs.dtypes)[key]}")
     of = classes.join(named, classes["rep"] == named["node"], "left").select(F.col("h").alias("class"), F.coalesce("component", "rep").alias("component_id"))
     of, at_of = write_table(of, "classes")
     sweep(spark, began, (at_prints, at_of))
