@@ -115,3 +115,20 @@ def test_near_copies_among_many_texts_of_one_template(spark):
     assert len(set(want.values())) == 400
     got = {r["doc_id"]: r["component_id"] for r in nearcopies.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == want
+
+
+def test_no_near_copy_is_missed_at_the_bound(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(4000)]
+    rows = []
+    for _ in range(100):  # similarity 0.80 to 0.85, changes far apart
+        text = rng.choices(words, k=200)
+        other = list(text)
+        for at in (20, 60, 100, 140):
+            other[at] = "changed"
+        rows += [" ".join(text), " ".join(other)]
+    rows = list(enumerate(rows))
+    want = families(rows)
+    assert len(set(want.values())) == 100
+    got = {r["doc_id"]: r["component_id"] for r in nearcopies.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == want
