@@ -147,6 +147,19 @@ def test_counts_columns_and_native_plan(spark):
     assert pii.pseudonymize(df.limit(0)).count() == 0
 
 
+def test_whole_secrets_of_any_length_and_of_parts(spark):
+    rng = random.Random(4)
+    draw = lambda n: "".join(rng.choices("abcdefghjkmnpqrstuvwxyz23456789", k=n))
+    long, parts, padded, huge = draw(500), ".".join(draw(n) for n in (6, 40, 43)), draw(30) + "==", draw(50_000)
+    secrets = [long, parts, padded, huge]
+    got = replaced(spark, [f"a token={s}. More" for s in secrets] + [f"token={draw(7)}."])
+    for s, new in zip(secrets, got):
+        assert shape(new) == shape(f"a token={s}. More") and new.startswith("a token=") and new.endswith(". More")
+        value = new[len("a token=") : -len(". More")]
+        assert all(value[i : i + 20] != s[i : i + 20] for i in range(0, len(s) - 20, 20)) and value[-10:] != s[-10:]
+    assert replaced(spark, [f"secret: {parts}"])[0].startswith("secret: ") and replaced(spark, ["token=" + "a" * 7 + "."]) == ["token=" + "a" * 7 + "."]
+
+
 # main text
 
 PAGE = """<html><head><title>T</title><style>p{}</style><script>var t="</p><p>no";</script><body class="home"><header><h1>Site</h1><a href=/>Home</a></header>

@@ -27,7 +27,7 @@ ROUNDS = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
 _EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-_SECRET = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9_])(?:password|passwd|secret|token|api_key|apikey)\s?[=:]\s?[\"']?[A-Za-z0-9+/_-]{8,128}"
+_SECRET = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9_])(?:password|passwd|secret|token|api_key|apikey)\s?[=:]\s?[\"']?[A-Za-z0-9+/_-](?:[.=]{0,3}+[A-Za-z0-9+/_-]){7,}+={0,2}+"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 _DATE = r"(?<![\d./-])(?:(?:19|20)\d\d-[01]\d-[0-3]\d|[0-3]\d\.[01]\d\.(?:19|20)\d\d|[01]\d/[0-3]\d/(?:19|20)\d\d)(?![\d/-]|\.\d)"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
@@ -75,8 +75,8 @@ def _string(key: str, tag: str, value: Column) -> Column:
 
     def changed(part: Column, other: Column, i: Column) -> Column:
         digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(tag), i.cast("string"), other), 512)
-        by = lambda d, j: F.conv(d.substr(F.pmod((j - 1) * 4, F.lit(128)) + 1, F.lit(4)), 16, 10).cast("int")
-        return _bound(digest, lambda d: F.array_join(F.transform(F.sequence(F.lit(1), F.length(part)), lambda j: _shift(part.substr(j, F.lit(1)), by(d, j))), ""))
+        by = lambda d, j: F.conv(d.substr(F.pmod(j * 4, F.lit(128)) + 1, F.lit(4)), 16, 10).cast("int")
+        return _bound(digest, lambda d: F.array_join(F.transform(F.split(part, ""), lambda c, j: _shift(c, by(d, j))), ""))
 
     pair = lambda l, r: F.struct(l.alias("l"), r.alias("r"))  # noqa: E731, E741
 
