@@ -68,6 +68,18 @@ def test_em_recovers_proportions():
     assert kept[0] == 2 and np.abs(pi[0] - true).max() < 0.06
 
 
+def test_language_set_does_not_depend_on_other_documents():
+    rng = np.random.default_rng(9)
+    n = int(rng.integers(6, 60))
+    scores = -rng.gamma(rng.uniform(0.3, 2), rng.uniform(1, 6), (n, 5))
+    scores[np.arange(n), rng.integers(0, 5, n)] = 0
+    other = np.full((40, 5), -9.0)  # gains by a second and a third language
+    other[np.arange(40), np.arange(40) % 3] = 0
+    pi, kept = langid.mixtures(scores, np.array([0]))
+    both, kept_both = langid.mixtures(np.vstack([scores, other]), np.array([0, n]))
+    assert kept[0] == kept_both[0] == 4 and np.allclose(pi[0], both[0])
+
+
 # personal data
 
 

@@ -151,8 +151,9 @@ def mixtures(scores: np.ndarray, starts: np.ndarray, rounds: int = 6) -> tuple[n
 
     scores: log likelihoods, words by languages; starts: each document's first
     word (no document is empty). The set is the first k languages by proportion
-    for the k with the least -2 log L + 2 k log n; k grows as long as any
-    document still gains by it.
+    for the k with the least -2 log L + 2 k log n. As log L is at most 0, no
+    document gains by a k of which the second term alone is no less; the search
+    ends when that holds for all, and a document's result is its own.
     """
     words, many = scores.shape
     size = np.diff(np.append(starts, words))
@@ -171,6 +172,9 @@ def mixtures(scores: np.ndarray, starts: np.ndarray, rounds: int = 6) -> tuple[n
     order = np.argsort(-full, axis=1, kind="stable")
     best, least, kept = None, None, None
     for k in range(1, many + 1):
+        can = best is None or 2 * k * np.log(size + 1) < least
+        if not np.any(can):
+            break
         allowed = np.zeros_like(full)
         np.put_along_axis(allowed, order[:, :k], 1.0, axis=1)
         pi = np.maximum(full, 1e-6) * allowed
@@ -179,9 +183,7 @@ def mixtures(scores: np.ndarray, starts: np.ndarray, rounds: int = 6) -> tuple[n
         if best is None:
             best, least, kept = pi, cost, np.ones(len(starts), int)
             continue
-        gains = cost < least
-        if not gains.any():
-            break
+        gains = can & (cost < least)
         best[gains], least[gains], kept[gains] = pi[gains], cost[gains], k
     return best, kept
 
