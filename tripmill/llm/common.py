@@ -26,6 +26,18 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def free_names(taken: list[str], *names: str) -> list[str]:
+    """The names, lengthened until no column has them (names count without case, as Spark has it)."""
+    lower = {c.lower() for c in taken}
+    out = []
+    for name in names:
+        while name.lower() in lower:
+            name += "_"
+        lower.add(name.lower())
+        out.append(name)
+    return out
+
+
 #: What Python workers remember between tasks; they serve the tasks of all operators.
 CACHES: list[dict] = []
 

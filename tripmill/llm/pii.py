@@ -8,12 +8,19 @@ permutation can be undone. What is not valid stays as it is.
 * Numbers with rules of their own are taken apart into two mixed-radix halves
   (IPv4 addresses, social security numbers, dates 1900-2099) or permuted with
   their check digits made anew (payment cards: Luhn; IBAN: modulo 97).
-* Other values (phone numbers, e-mail addresses, access keys, passwords) keep
-  their punctuation, and each digit, small or capital letter becomes one of its
-  kind.
+* Other values (phone numbers, e-mail and IPv6 addresses, access keys,
+  passwords) keep their punctuation, and each digit, small or capital letter
+  becomes one of its kind (IPv6: each hexadecimal digit another one).
 
 A half is changed by what a hash of the other half says; both kinds of halves
 go through the same alternation. Every document is one row's work: no shuffle.
+
+Repetitions without a bound are possessive: the matcher then loops where it
+would otherwise recurse, so no text is too long for its stack.
+
+E-mail addresses that differ in case only are one address: their pseudonyms
+differ in case only, too. Not found: mail addresses outside ASCII, phone
+numbers without any punctuation, and values that are cut by a line's end.
 """
 
 from __future__ import annotations
@@ -21,13 +28,22 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: A key for tests and examples; set the configuration ``tripmill.pii.key`` in production.
-DEFAULT_KEY = "tripmill-example-key"
+from tripmill.llm.common import free_names
+
+#: The session setting with the key.
+KEY_SETTING = "tripmill.pii.key"
+#: A published key, for tests and examples only: who knows it can undo the pseudonyms.
+EXAMPLE_KEY = "tripmill-example-key"
 ROUNDS = 8
 
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1\d\d|[1-9]?\d)"
-_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+"
-_SECRET = r"(?<![A-Za-z0-9])AKIA[0-9A-Z]{16}(?![A-Za-z0-9])|(?<![A-Za-z0-9_])(?:password|passwd|secret|token|api_key|apikey)\s?[=:]\s?[\"']?[A-Za-z0-9+/_-](?:[.=]{0,3}+[A-Za-z0-9+/_-]){7,}+={0,2}+"
+_EMAIL = r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
+_NAMES = r"(?i:password|passwd|pwd|secret|token|api_key|apikey|access_key)"
+_TOKEN = r"gh[pousr]_[A-Za-z0-9]{36,255}+|xox[abprs]-[A-Za-z0-9-]{10,}+|AIza[A-Za-z0-9_-]{35}|sk-[A-Za-z0-9_-]{20,}+|eyJ[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+\.[A-Za-z0-9_-]{10,}+"
+_SECRET = rf"(?<![A-Za-z0-9])AKIA[0-9A-Z]{{16}}(?![A-Za-z0-9])|(?<![A-Za-z0-9_-])(?:{_TOKEN})(?![A-Za-z0-9])|(?<![A-Za-z0-9_]){_NAMES}\s?[=:]\s?[\"']?[A-Za-z0-9+/_-](?:[.=]{{0,3}}+[A-Za-z0-9+/_-]){{7,}}+={{0,2}}+"
+_PREFIX = rf"^(?:AKIA|gh[pousr]_|xox[abprs]-|AIza|sk-|eyJ|{_NAMES}\s?[=:]\s?[\"']?)"
+_GROUP = r"[0-9A-Fa-f]{1,4}"
+_IPV6 = rf"(?<![0-9A-Za-z:.])(?:(?:{_GROUP}:){{7}}{_GROUP}|{_GROUP}(?::{_GROUP}){{1,5}}::(?:{_GROUP}(?::{_GROUP}){{0,4}})?|{_GROUP}::{_GROUP}(?::{_GROUP}){{1,5}})(?![0-9A-Za-z:])"
 _IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])"
 _DATE = r"(?<![\d./-])(?:(?:19|20)\d\d-[01]\d-[0-3]\d|[0-3]\d\.[01]\d\.(?:19|20)\d\d|[01]\d/[0-3]\d/(?:19|20)\d\d)(?![\d/-]|\.\d)"
 _SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
@@ -35,7 +51,7 @@ _IP = rf"(?<![\d.])(?:{_OCTET}\.){{3}}{_OCTET}(?!\.?\d)"
 _CARD = r"(?<!\d)(?:\d{13,19}|\d{4}[ -]\d{4}[ -]\d{4}[ -]\d{4}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)"
 _PHONE = r"(?<![\d+])\+\d{1,3}[ .-]?\(?\d{2,4}\)?(?:[ .-]?\d{2,4}){2,3}(?!\d)|(?<![\d+(])\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d.+-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]|\.\d)"
 #: Kinds in the order in which they are tried at a place.
-KINDS = {"email": _EMAIL, "secret": _SECRET, "iban": _IBAN, "date": _DATE, "ssn": _SSN, "ip": _IP, "phone": _PHONE, "card": _CARD}
+KINDS = {"email": _EMAIL, "secret": _SECRET, "iban": _IBAN, "date": _DATE, "ssn": _SSN, "ip": _IP, "ipv6": _IPV6, "phone": _PHONE, "card": _CARD}
 PATTERN = "|".join(f"(?:{p})" for p in KINDS.values())
 
 
@@ -69,14 +85,21 @@ def _shift(c: Column, by: Column) -> Column:
     return F.when(code.between(48, 57), turn(48, 10)).when(code.between(97, 122), turn(97, 26)).when(code.between(65, 90), turn(65, 26)).otherwise(c)
 
 
-def _string(key: str, tag: str, value: Column) -> Column:
+def _shift_hex(c: Column, by: Column) -> Column:
+    """The hexadecimal digit (small letters) ``by`` places on; others stay."""
+    code = F.ascii(c)
+    value = F.when(code.between(48, 57), code - 48).when(code.between(97, 102), code - 87)
+    return F.when(value.isNull(), c).otherwise(F.substring(F.lit("0123456789abcdef"), F.pmod(value + by, F.lit(16)) + 1, F.lit(1)))
+
+
+def _string(key: str, tag: str, value: Column, shift=_shift) -> Column:
     """A permutation of the strings of one format (at least two characters)."""
     half = F.floor(F.length(value) / 2).cast("int")
 
     def changed(part: Column, other: Column, i: Column) -> Column:
         digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(tag), i.cast("string"), other), 512)
         by = lambda d, j: F.conv(d.substr(F.pmod(j * 4, F.lit(128)) + 1, F.lit(4)), 16, 10).cast("int")
-        return _bound(digest, lambda d: F.array_join(F.transform(F.split(part, ""), lambda c, j: _shift(c, by(d, j))), ""))
+        return _bound(digest, lambda d: F.array_join(F.transform(F.split(part, ""), lambda c, j: shift(c, by(d, j))), ""))
 
     pair = lambda l, r: F.struct(l.alias("l"), r.alias("r"))  # noqa: E731, E741
 
@@ -182,21 +205,36 @@ def _phone(key: str, value: Column) -> Column:
     return _bound(F.regexp_extract(value, r"^\+\d{1,3}(?=[ .(-])", 0), made)
 
 
+def _cased(made: Column, like: Column) -> Column:
+    """made with capitals where ``like`` has them."""
+    one = lambda c, l: F.when(l.rlike("[A-Z]"), F.upper(c)).otherwise(c)  # noqa: E731, E741
+    return F.when(F.lower(like) == like, made).otherwise(F.array_join(F.zip_with(F.split(made, ""), F.split(like, ""), one), ""))
+
+
 def _email(key: str, value: Column) -> Column:
-    """The top-level domain stays."""
-    top = lambda v: F.regexp_extract(v, r"\.[A-Za-z0-9-]+$", 0)
-    return _bound(top(value), lambda t: F.concat(_string(key, "email", F.substring(value, F.lit(1), F.length(value) - F.length(t))), t))
+    """The top-level domain and the capitals' places stay."""
+
+    def made(t: Column) -> Column:
+        own = F.substring(value, F.lit(1), F.length(value) - F.length(t))
+        return F.concat(_cased(_string(key, "email", F.lower(own)), own), t)
+
+    return _bound(F.regexp_extract(value, r"\.[A-Za-z0-9-]+$", 0), made)
+
+
+def _ipv6(key: str, value: Column) -> Column:
+    """Valid with eight groups, or fewer and one gap."""
+    return _cased(_string(key, "ipv6", F.lower(value), _shift_hex), value)
 
 
 def _secret(key: str, value: Column) -> Column:
     """The name and the prefix stay."""
-    return _bound(F.regexp_extract(value, r"^(?:AKIA|[a-z_]+\s?[=:]\s?[\"']?)", 0), lambda n: F.concat(n, _string(key, "secret", F.substring(value, F.length(n) + 1, F.length(value)))))
+    return _bound(F.regexp_extract(value, _PREFIX, 0), lambda n: F.concat(n, _string(key, "secret", F.substring(value, F.length(n) + 1, F.length(value)))))
 
 
 def pseudonym(value: Column, key: str) -> Column:
     """The pseudonym of one match of PATTERN; the match itself where it is not valid."""
     whole = lambda p: value.rlike(f"^(?:{p})$")
-    made = {"email": _email, "secret": _secret, "iban": _iban, "date": _date, "ssn": _ssn, "ip": _ip, "phone": _phone, "card": _card}
+    made = {"email": _email, "secret": _secret, "iban": _iban, "date": _date, "ssn": _ssn, "ip": _ip, "ipv6": _ipv6, "phone": _phone, "card": _card}
     out = F.when(F.lit(False), value)
     for kind, pattern in KINDS.items():
         out = out.when(whole(pattern), made[kind](key, value))
@@ -206,18 +244,27 @@ def pseudonym(value: Column, key: str) -> Column:
 def pseudonymize(docs: DataFrame, key: str | None = None, text: str = "text", count: str | None = None) -> DataFrame:
     """docs with the text's personal data replaced, all other columns as they are.
 
-    With ``count``, a column of that name has the number of values replaced.
-    Null texts stay null; texts without matches are not touched.
+    The key is the argument or the session's ``tripmill.pii.key``; there is no
+    other, as pseudonyms under a key that all know are none. With ``count``, a
+    column of that name (not one of docs) has the number of values replaced.
+    Null texts stay null; empty texts and those without matches are not touched,
+    whatever their length. A row's result depends on its text alone, so repeated
+    rows stay equal, and any name is free for further columns.
     """
-    key = key or docs.sparkSession.conf.get("tripmill.pii.key", DEFAULT_KEY)
+    key = key or docs.sparkSession.conf.get(KEY_SETTING, None)
+    if not key:
+        raise ValueError(f"no key for pseudonyms: pass one or set {KEY_SETTING}")
+    if count in docs.columns:
+        raise ValueError(f"there is a column {count} already")
+    was, now = free_names(docs.columns, "found", "made")
     t = F.col(f"`{text}`")
-    likely = t.rlike("[0-9@]|AKIA|(?:password|passwd|secret|token|api_?key)")
+    likely = t.rlike("[0-9@:]|AKIA|eyJ|xox|sk-|gh[pousr]_") | t.rlike(_NAMES)
     found = F.when(likely, F.regexp_extract_all(t, F.lit(PATTERN), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    made = docs.withColumn("__found", found)
-    made = made.withColumn("__new", F.transform("__found", lambda v: pseudonym(v, key)))
+    made = docs.withColumn(was, found)
+    made = made.withColumn(now, F.transform(was, lambda v: pseudonym(v, key)))
     between = F.split(t, PATTERN, -1)
-    joined = F.array_join(F.zip_with(between, "__new", lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
-    out = {text: F.when(F.size("__found") > 0, joined).otherwise(t)}
+    joined = F.array_join(F.zip_with(between, now, lambda a, b: F.concat(a, F.coalesce(b, F.lit("")))), "")
+    out = {text: F.when(F.size(was) > 0, joined).otherwise(t)}
     if count:
-        out[count] = F.size(F.filter(F.arrays_zip("__found", "__new"), lambda x: x["__found"] != x["__new"])).cast("long")
-    return made.withColumns(out).drop("__found", "__new")
+        out[count] = F.size(F.filter(F.zip_with(was, now, lambda a, b: a != b), lambda x: x)).cast("long")
+    return made.withColumns(out).drop(was, now)
