@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tripmill.llm import langid, nearcopies, packing, pii, suffixdedup
 from tripmill.llm.common import drop_table, mark, release, shared_dir, written
-from tripmill.llm.queries import vocabulary
+from tripmill.llm.queries import pii_key, vocabulary
 
 #: A document is rejected if its likeliest language has less than this part of it.
 LEAST_PART = 0.3
@@ -66,7 +66,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 @_stage
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by pseudonyms of the same format and length."""
-    return pii.pseudonymize(docs).select(*docs.columns)
+    return pii.pseudonymize(docs, pii_key(spark)).select(*docs.columns)
 
 
 @_stage
