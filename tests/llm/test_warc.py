@@ -50,7 +50,7 @@ def test_least_payload_for_a_revisit(spark, tmp_path):
 
 
 def test_archive_format(spark, tmp_path):
-    records = [warc.build_record(i, f"http://e/{i}", (f"<html><body>shared words {i}" * 20).encode(), "D" * 32, None, "2024-01-01T00:00:00Z") for i in range(300)]
+    records = [warc.build_record(i, f"http://e/{i}", (f"<html><body>shared words {i}" * 20).encode(), "D" * 32, None, None, "2024-01-01T00:00:00Z") for i in range(300)]
     data = warc.build_archive(records)
     magic, size = struct.unpack_from("<II", data)
     assert magic == 0x184D2A5D and data[8:12] == struct.pack("<I", 0xEC30A437)
@@ -62,6 +62,24 @@ def test_archive_format(spark, tmp_path):
     assert fields["WARC-Type"] == "response" and len(payload) == length and warc.page_of(fields["WARC-Record-ID"]) == 3
 
 
+def test_archives_are_read_by_many_tasks_and_leftovers_go(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(warc, "ARCHIVE_BYTES", 1)
+    path = f"file://{tmp_path}"
+    rows = [(i, f"http://e.com/{i}", f"page {i // 2}") for i in range(64)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    manifest = warc.write_archives(df, path)
+    archives = manifest.collect()
+    assert len(archives) == 64
+    used = {r["t"] for r in warc.read_archives(manifest, path).selectExpr("spark_partition_id() as t").collect()}
+    assert len(used) >= 8
+    orphan = tmp_path / archives[0]["part"] / ".pages-of-a-failed-task.warc.zst"
+    orphan.write_bytes(b"cut short")
+    assert warc.clean_up(manifest, path) == 1 and not orphan.exists() and warc.read_archives(manifest, path).count() == 64
+    records = [r for a in archives for r in warc.read_archive((tmp_path / a["part"] / a["archive"]).read_bytes())]
+    again = [warc.parse_record(r)[0] for r in records if b"WARC-Type: revisit" in r]
+    assert len(again) == 32 and all(f["WARC-Refers-To-Target-URI"].startswith("http://e.com/") and f["WARC-Refers-To-Date"] for f in again)
+
+
 def test_empty_table(spark):
     _, df = pages(spark)
     assert warc.round_trip(df.limit(0)).count() == 0

@@ -5,10 +5,13 @@ that archive, and then one Zstandard frame for each record, so each record can
 be read by itself. Records whose payload another record has are revisits: they
 refer to the record with the smallest page id and carry no payload.
 
-Payload digests are made and compared in the JVM; the pages are shuffled once,
-by their id, and written where they arrive, in archives of bounded size. A task
-writes to a name nobody else has and moves it into place, and only the manifest
-says which archives count, so a task that is run again does no harm.
+Payload digests are made and compared in the JVM, on narrow rows. The marks of
+revisits are sent to all executors where Spark finds their table small enough;
+else the pages are shuffled to them once. Pages are written where they are, in
+archives of bounded size. A task writes to a name nobody else has and moves it
+into place, and only the manifest says which archives count; what failed tasks
+left is deleted afterwards. Archives are read back by many tasks, whose number
+follows from the manifest.
 """
 
 from __future__ import annotations
@@ -22,10 +25,11 @@ from collections.abc import Iterator
 import pyarrow as pa
 import pyarrow.fs
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import shared_dir, small_batches, write_table
+from tripmill.llm.common import Tables, shared_dir, small_batches
 
 #: Payload bytes of one archive, dictionary bytes, and records it is built from.
 ARCHIVE_BYTES, DICTIONARY_BYTES, SAMPLES = 16 << 20, 64 << 10, 200
@@ -36,6 +40,8 @@ LEVEL = 6
 #: frame and the profile of a revisit with an identical payload.
 DICTIONARY_MAGIC = 0x184D2A5D
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+#: Bytes of archives that one task reads at most, about.
+READ_BYTES = 256 << 20
 #: Compressed bytes that are given to the decompressor at a time.
 STEP = 4096
 
@@ -49,8 +55,13 @@ def page_of(uri: str | None) -> int | None:
     return int(part) if part else None
 
 
-def build_record(page_id: int | None, url: str | None, payload: bytes, digest: str, first: int | None, date: str) -> bytes:
-    """One record; a revisit of page ``first`` where that is given."""
+def uri_of(url: str) -> str:
+    """A URL as a field's value: a line end would end the field."""
+    return url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A") if "\r" in url or "\n" in url else url
+
+
+def build_record(page_id: int | None, url: str | None, payload: bytes, digest: str, first: int | None, first_url: str | None, date: str) -> bytes:
+    """One record; a revisit of page ``first`` (of that URL and the same date) where that is given."""
     http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
     block = http if first is not None else http + payload
     fields = [
@@ -61,10 +72,12 @@ def build_record(page_id: int | None, url: str | None, payload: bytes, digest: s
         ("Content-Type", "application/http; msgtype=response"),
         ("Content-Length", str(len(block))),
     ]
-    if url is not None:  # a line end would end the field
-        fields.insert(1, ("WARC-Target-URI", url.replace("%", "%25").replace("\r", "%0D").replace("\n", "%0A") if "\r" in url or "\n" in url else url))
+    if url is not None:
+        fields.insert(1, ("WARC-Target-URI", uri_of(url)))
     if first is not None:
-        fields += [("WARC-Refers-To", record_id(first, digest, "")), ("WARC-Profile", REVISIT_PROFILE)]
+        fields += [("WARC-Refers-To", record_id(first, digest, "")), ("WARC-Refers-To-Date", date), ("WARC-Profile", REVISIT_PROFILE)]
+        if first_url is not None:
+            fields.append(("WARC-Refers-To-Target-URI", uri_of(first_url)))
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
     return head.encode() + block + b"\r\n\r\n"
 
@@ -115,47 +128,53 @@ def read_archive(data: bytes) -> Iterator[bytes]:
         yield b"".join(parts)
 
 
-def decisions(pages: DataFrame, key: str = "page_id", payload: str = "html", least: int = 0) -> DataFrame:
-    """key, sha1, first of the rows that are revisits: their payload's smallest key, where it is not their own.
+def decisions(pages: DataFrame, tables: Tables, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0) -> DataFrame:
+    """key, sha1, first, first_url of the rows that are revisits: their payload's smallest key, where it is not their own.
 
     Payloads of fewer than ``least`` bytes are never revisited. Rows equal in
     key and payload all count as the first; a null key is never referred to.
     """
     body = F.coalesce(F.col(payload), F.lit("")).cast("binary")
-    seen = pages.select(F.col(key).alias("key"), F.sha1(body).alias("sha1"), F.octet_length(body).alias("size")).where(F.col("size") >= least)
-    firsts = seen.groupBy("sha1", "size").agg(F.min("key").alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1 and first is not null")
-    firsts, _ = write_table(firsts.select("sha1", "size", "first"), "firsts")
-    return seen.join(firsts, ["sha1", "size"]).where(~F.col("key").eqNullSafe(F.col("first"))).select("key", "sha1", "first").distinct()
+    seen = pages.select(F.col(key).alias("key"), F.col(url).alias("url"), F.sha1(body).alias("sha1"), F.octet_length(body).alias("size")).where(F.col("size") >= least)
+    least_row = F.min(F.when(F.col("key").isNotNull(), F.struct("key", "url"))).alias("f")
+    firsts = seen.groupBy("sha1", "size").agg(least_row, F.count(F.lit(1)).alias("n")).where("n > 1 and f is not null")
+    firsts = tables.write(firsts.select("sha1", "size", F.col("f.key").alias("first"), F.col("f.url").alias("first_url")), "firsts")
+    revisits = seen.join(firsts, ["sha1", "size"]).where(~F.col("key").eqNullSafe(F.col("first")))
+    return revisits.select("key", "sha1", "first", "first_url").distinct()
 
 
-def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0, date: str = "2024-01-01T00:00:00Z") -> DataFrame:
+def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str = "url", payload: str = "html", least: int = 0, date: str = "2024-01-01T00:00:00Z", tables: Tables | None = None) -> DataFrame:
     """Write a record for each row into archives under ``path`` (a URI all machines reach).
 
-    Null payloads count as empty. Returns the manifest: archive, records, bytes.
+    Null payloads count as empty. Returns the manifest: part, archive, records,
+    bytes; an archive's file is ``path/part/archive``.
     """
     small_batches(pages.sparkSession)
-    marks, _ = write_table(decisions(pages, key, payload, least), "revisits")
+    tables = tables or Tables(pages.sparkSession)
+    marks = tables.write(decisions(pages, tables, key, url, payload, least), "revisits")
     rows = pages.select(F.col(key).alias("id"), F.col(url).alias("url"), F.coalesce(F.col(payload), F.lit("")).cast("binary").alias("body"))
     rows = rows.withColumn("digest", F.sha1("body"))
-    full = rows.join(marks, F.col("id").eqNullSafe(F.col("key")) & (F.col("digest") == F.col("sha1")), "left").select("id", "url", "body", "digest", "first")
+    full = rows.join(marks, F.col("id").eqNullSafe(F.col("key")) & (F.col("digest") == F.col("sha1")), "left").select("id", "url", "body", "digest", "first", "first_url")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, folder = pyarrow.fs.FileSystem.from_uri(path)
+        part = f"part-{TaskContext.get().partitionId():06d}"
+        folder = f"{folder}/{part}"
         store.create_dir(folder, recursive=True)
 
-        def flush(records: list[bytes]) -> pa.RecordBatch:
+        def flush(records: list[bytes]) -> pa.RecordBatch:  # the name must not make pyarrow compress the file as a whole
             name = f"pages-{uuid.uuid4().hex}.warc.zst"
             data = build_archive(records)
-            with store.open_output_stream(f"{folder}/.{name}") as f:
+            with store.open_output_stream(f"{folder}/.{name}", compression=None) as f:
                 f.write(data)
             store.move(f"{folder}/.{name}", f"{folder}/{name}")
-            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([len(records)]), pa.array([len(data)])], ["archive", "records", "bytes"])
+            return pa.RecordBatch.from_arrays([pa.array([part]), pa.array([name]), pa.array([len(records)]), pa.array([len(data)])], ["part", "archive", "records", "bytes"])
 
         held: list[bytes] = []
         size = 0
         for batch in batches:
-            for page, link, body, digest, first in zip(*(batch.column(i).to_pylist() for i in range(5))):
-                held.append(build_record(page, link, body, base64.b32encode(bytes.fromhex(digest)).decode(), first, date))
+            for page, link, body, digest, first, first_url in zip(*(batch.column(i).to_pylist() for i in range(6))):
+                held.append(build_record(page, link, body, base64.b32encode(bytes.fromhex(digest)).decode(), first, first_url, date))
                 size += len(held[-1])
                 if size >= ARCHIVE_BYTES:
                     yield flush(held)
@@ -163,7 +182,34 @@ def write_archives(pages: DataFrame, path: str, key: str = "page_id", url: str =
         if held:
             yield flush(held)
 
-    return write_table(full.mapInArrow(run, "archive string, records long, bytes long"), "manifest")[0]
+    manifest = tables.write(full.mapInArrow(run, "part string, archive string, records long, bytes long"), "manifest")
+    clean_up(manifest, path)
+    return manifest
+
+
+def _tasks(manifest: DataFrame) -> int:
+    """Tasks for the archives of a manifest: as many as run at once, more where there are more bytes."""
+    seen = manifest.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum("bytes"), F.lit(0)).alias("bytes")).first()
+    at_once = 4 * manifest.sparkSession.sparkContext.defaultParallelism
+    return max(1, min(seen["n"], max(at_once, -(-seen["bytes"] // READ_BYTES))))
+
+
+def clean_up(manifest: DataFrame, path: str) -> int:
+    """Delete what is in the manifest's parts but not in the manifest: what failed tasks wrote. Returns how many files."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        store, folder = pyarrow.fs.FileSystem.from_uri(path)
+        for batch in batches:
+            gone = 0
+            for part, names in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for f in store.get_file_info(pyarrow.fs.FileSelector(f"{folder}/{part}", allow_not_found=True)):
+                    if f.base_name not in names and f.is_file:
+                        store.delete_file(f.path)
+                        gone += 1
+            yield pa.RecordBatch.from_arrays([pa.array([gone])], ["gone"])
+
+    parts = manifest.groupBy("part").agg(F.collect_list("archive").alias("names"))
+    return parts.mapInArrow(run, "gone long").agg(F.coalesce(F.sum("gone"), F.lit(0)).alias("n")).first()["n"]
 
 
 def read_archives(manifest: DataFrame, path: str, payloads: bool = True) -> DataFrame:
@@ -183,8 +229,8 @@ def read_archives(manifest: DataFrame, path: str, payloads: bool = True) -> Data
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*part), kinds)], names[: len(kinds)])
 
         for batch in batches:
-            for name, expected in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                with store.open_input_stream(f"{folder}/{name}") as f:
+            for part_, name, expected in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                with store.open_input_stream(f"{folder}/{part_}/{name}", compression=None) as f:
                     data = f.read()
                 part, seen = [], 0
                 for record in read_archive(data):
@@ -205,7 +251,7 @@ def read_archives(manifest: DataFrame, path: str, payloads: bool = True) -> Data
                     raise ValueError(f"{name} has {seen} records, not {expected}")
 
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long" + ", payload binary" * payloads
-    return manifest.select("archive", "records").repartition(F.col("archive")).mapInArrow(run, schema)
+    return manifest.select("part", "archive", "records").repartition(_tasks(manifest), "archive").mapInArrow(run, schema)
 
 
 def round_trip(pages: DataFrame, key: str = "page_id", url: str = "url", payload: str = "html", payloads: bool = False) -> DataFrame:
