@@ -65,6 +65,50 @@ def test_dedup_equals_brute_force(spark):
                     assert (covered == gone[i]).all()
 
 
+def test_arrays_equal_brute_force():
+    rng = random.Random(8)
+    for length in (1, 3, 8, 11, 40):
+        for _ in range(25):
+            parts = [bytes(rng.choices(b"ab" if rng.random() < 0.7 else b"abcd", k=rng.randrange(length, 120))) for _ in range(rng.randrange(1, 5))]
+            parts += [p[rng.randrange(10) :] + b"aab" * 15 for p in parts if len(p) > 50]
+            data = np.frombuffer(b"".join(parts), "u1")
+            ends = np.cumsum([len(p) for p in parts])
+            whole = data.tobytes()
+            places = [i for i, e in zip(range(len(data)), np.repeat(ends, [len(p) for p in parts])) if e - i >= length]
+            array = suffixdedup.suffix_array(data, ends, length)
+            assert array.tolist() == sorted(places, key=lambda i: (whole[i : i + length], i))
+            same = lambda i, j: next((k for k in range(length) if whole[i + k] != whole[j + k]), length)
+            lcp = suffixdedup.common_prefixes(data, array, length)
+            assert lcp.tolist() == [0] * bool(places) + [same(a, b) for a, b in zip(array[1:], array)]
+            factor = dict(zip(array.tolist(), suffixdedup.previous_factors(array, lcp).tolist()))
+            assert factor == {i: max((same(i, j) for j in places if j < i), default=0) for i in places}
+            again = dict(zip(array.tolist(), suffixdedup.previous_factors(-array, lcp, length).tolist()))
+            assert {i for i, f in again.items() if f >= length} == {i for i in places if any(same(i, j) == length for j in places if j > i)}
+
+
+def test_factors_count_a_place_once():
+    rng = random.Random(9)
+    for _ in range(40):
+        texts = [bytes(rng.choices(b"ab", k=120)) for _ in range(4)]
+        length = 12
+        held = []
+        for rid, t in enumerate(texts):
+            for start in sorted(rng.sample(range(80), 4)):  # contexts that overlap
+                held.append((rng.choice((1, 1, 1, 2)), rid, start, t[start : start + rng.randrange(length, 41)]))
+        dup, later, begin, ends = suffixdedup.factors(held, length)
+        places = defaultdict(set)
+        copied = set()
+        for n, rid, start, t in held:
+            for i in range(len(t) - length + 1):
+                places[t[i : i + length]].add((rid, start + i))
+                copied |= {(rid, start + i)} if n > 1 else set()
+        for (_, rid, start, t), a in zip(held, begin):
+            for i in range(len(t)):
+                at = places.get(t[i : i + length], set()) if i <= len(t) - length else set()
+                assert later[a + i] == any(p < (rid, start + i) for p in at)
+                assert dup[a + i] == (len(at) > 1 or bool(at & copied))
+
+
 def test_long_texts_are_cut_with_overlap(spark, monkeypatch):
     rng = random.Random(5)
     a = "".join(rng.choices("abcdef", k=5000))
@@ -89,5 +133,8 @@ def test_repeated_and_null_keys_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, text), (1, text), (None, text + "tail"), (None, None)], "doc_id long, text string")
     got = sorted((r["n_bytes"], r["n_removed"]) for r in suffixdedup.dedup(docs).collect())
     assert got == [(0, 0), (300, 300), (300, 300), (304, 300)]
+    clash = docs.selectExpr("*", "'a' as kept", "'b' as spans", "'c' as n_bytes", "'d' as row", "'e' as key", "'f' as rid")
+    rows = suffixdedup.dedup(clash, outputs=True, row=True).collect()
+    assert [r["row"]["kept"] + r["row"]["spans"] + r["row"]["n_bytes"] + r["row"]["row"] + r["row"]["key"] + r["row"]["rid"] for r in rows] == ["abcdef"] * 4
     got = sorted((r["n_bytes"], r["n_removed"]) for r in suffixdedup.dedup(docs, keep_first=True).collect())
     assert got == [(0, 0), (300, 0), (300, 300), (304, 300)]

@@ -11,14 +11,16 @@ meet:
   Strings whose minimizer occurs once are unique; most text ends here, and
   anchors are counted before they are shuffled.
 * The *context* of an anchor holds all strings that contain it. Contexts that
-  are equal as a whole are copies and need no suffixes; one of each kind stands
-  for them.
+  are equal as a whole (by 128 bits of two independent hashes) are copies; one
+  of each kind, the first, stands for them.
 * The different contexts of one minimizer meet in a task, many minimizers at a
-  time in a buffer of bounded size. There the suffixes are sorted as far as
-  ``length`` bytes by prefix doubling. In that order, a suffix whose previous
-  smaller (earlier) position shares ``length`` bytes with it has a longest
-  previous factor of at least ``length``: it is a later copy, and the string it
-  copies is a first one.
+  time in a buffer of bounded size, in the order of the corpus. There the
+  suffix array is built as far as ``length`` bytes (prefix doubling), with the
+  array of common prefixes. For each suffix, the previous and the next one in
+  suffix order that start at a smaller position give its longest previous
+  factor; from ``length`` on, it is a later copy. The same with larger positions
+  gives the longest next factor, which tells first copies from strings that
+  occur once.
 * A minimizer with very many different contexts (the edges of a passage that
   very many documents share) is not brought together. Its strings are anchored
   anew with longer k-grams, at last of ``length`` bytes, where all contexts of
@@ -30,6 +32,7 @@ task; candidate anchors, variants and spans are tables in the shared folder.
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 
@@ -37,8 +40,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from tripmill.llm.common import free_memory, mark, small_batches, sweep, write_table
+from tripmill.llm.common import Tables, free_memory, small_batches
 
 #: Bytes of the strings that count, k-grams of the first and of later rounds.
 LENGTH = 200
@@ -50,19 +54,28 @@ BUFFER = 1 << 20
 #: Bytes of text that are anchored at a time; longer texts are cut with overlap.
 SEGMENT = 1 << 18
 
-_MULTIPLIER = 0x9E3779B97F4A7C15
-_BYTE = np.random.default_rng(200).integers(0, 1 << 63, 256).astype("u8") * np.uint64(2) + np.uint64(1)
-_POWERS = [np.ones(0, "u8"), np.ones(0, "u8")]
+#: Two independent hashes of byte strings: multipliers, and a number for each byte.
+_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xD1342543DE82EF95)
+_BYTES = [np.random.default_rng(seed).integers(0, 1 << 63, 256).astype("u8") * np.uint64(2) + np.uint64(1) for seed in (200, 201)]
+_POWERS = [np.ones(0, "u8")] * 4
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """The multiplier's powers modulo 2^64 and their inverses."""
-    if len(_POWERS[0]) < n:
-        for i, m in enumerate((_MULTIPLIER, pow(_MULTIPLIER, -1, 1 << 64))):
+def _powers(n: int, which: int) -> tuple[np.ndarray, np.ndarray]:
+    """A multiplier's powers modulo 2^64 and their inverses."""
+    if len(_POWERS[2 * which]) < n:
+        for i, m in enumerate((_MULTIPLIERS[which], pow(_MULTIPLIERS[which], -1, 1 << 64))):
             steps = np.full(n, m, "u8")
             steps[0] = 1
-            _POWERS[i] = np.cumprod(steps)
-    return _POWERS[0][:n], _POWERS[1][:n]
+            _POWERS[2 * which + i] = np.cumprod(steps)
+    return _POWERS[2 * which][:n], _POWERS[2 * which + 1][:n]
+
+
+def _sums(data: np.ndarray, which: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash sums of all beginnings of data, and what a difference of two is multiplied by, by its first place."""
+    up, down = _powers(len(data) + 1, which)
+    sums = np.zeros(len(data) + 1, "u8")
+    np.cumsum(_BYTES[which][data] * up[:-1], out=sums[1:])
+    return sums, down
 
 
 def _mix(h: np.ndarray) -> np.ndarray:
@@ -103,16 +116,14 @@ def anchors_of(data: np.ndarray, ends: np.ndarray, k: int, length: int, wanted:
     """Anchors of segments that lie one after another in data; ends: where each ends.
 
     wanted: which strings (by start) need an anchor, all by default. Returns
-    position, segment, hash, hash of the context, bytes of the context before
-    the anchor, its bytes in all.
+    position, segment, hash, two hashes of the context, bytes of the context
+    before the anchor, its bytes in all.
     """
-    none = tuple(np.zeros(0, t) for t in ("i8", "i8", "u8", "u8", "i8", "i8"))
+    none = tuple(np.zeros(0, t) for t in ("i8", "i8", "u8", "u8", "u8", "i8", "i8"))
     n, w = len(data), length - k + 1
     if n < length:
         return none
-    up, down = _powers(n + 1)
-    sums = np.zeros(n + 1, "u8")
-    np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
+    sums, down = _sums(data, 0)
     h = _mix((sums[k:] - sums[:-k]) * down[: n - k + 1])
     h |= np.uint64(1)  # 0 stands for no string
     least = _sliding(h, w, np.minimum, np.iinfo("u8").max)
@@ -134,44 +145,103 @@ def anchors_of(data: np.ndarray, ends: np.ndarray, k: int, length: int, wanted:
     at, segment = at[kept], segment[kept]
     first = np.maximum(starts[segment], at - (length - k))
     last = np.minimum(ends[segment], at + length)
-    context = _mix((sums[last] - sums[first]) * down[first] + ((at - first) << 12 | (last - first)).astype("u8"))
-    return at, segment, h[at], context, at - first, last - first
+    place = ((at - first) << 12 | (last - first)).astype("u8")
+    context = _mix((sums[last] - sums[first]) * down[first] + place)
+    sums, down = _sums(data, 1)
+    return at, segment, h[at], context, _mix((sums[last] - sums[first]) * down[first] + place), at - first, last - first
 
 
-def same_strings(data: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
-    """Class of the string of ``length`` bytes at each position, -1 where it is unique or crosses an end.
+def _words(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on, as one big-endian number."""
+    padded = np.concatenate([data, np.zeros(8, "u1")])
+    value = np.zeros(len(data), "u8")
+    for i in range(8):
+        value = value << np.uint64(8) | padded[i : i + len(data)]
+    return value
+
+
+def suffix_array(data: np.ndarray, ends: np.ndarray, length: int) -> np.ndarray:
+    """Places of at least ``length`` bytes to their segment's end, by their first ``length`` bytes, equal ones by place.
 
     Prefix doubling: ranks by 8 bytes, then by twice as many, and last by two
-    overlapping halves. A position drops out once its prefix is unique.
+    overlapping parts. A rank is the place in the array where the suffixes that
+    share it begin; only those that share theirs are sorted again.
     """
     n = len(data)
     room = np.repeat(ends, np.diff(np.concatenate([[0], ends]))) - np.arange(n)
-    padded = np.concatenate([data, np.zeros(8, "u1")])
-    value = np.zeros(n, "u8")
-    for i in range(8):
-        value = value << np.uint64(8) | padded[i : i + n]
     size = min(8, length)
-    at = np.flatnonzero(room >= size)
-    key = value[at] >> np.uint64(64 - 8 * size)
+    key = _words(data) >> np.uint64(64 - 8 * size)
+    array = np.flatnonzero(room >= size)
     rank = np.full(n, -1, "i8")
-    while True:
-        order = np.argsort(key)
-        sorted_ = key[order]
-        new = np.ones(len(key), bool)
+    array = array[np.argsort(key[array])]
+    place = np.arange(len(array))  # in the array, of what is sorted again
+    at, sorted_ = array, key[array]
+    while len(at):
+        new = np.ones(len(at), bool)
         new[1:] = sorted_[1:] != sorted_[:-1]
+        head = np.flatnonzero(new)
         group = np.cumsum(new) - 1
-        many = np.bincount(group)[group] > 1 if len(group) else np.zeros(0, bool)
-        rank[:] = -1
-        rank[at[order[many]]] = group[many]
-        at = np.sort(at[order[many]])
-        if size == length or not len(at):
-            return rank
+        rank[at] = place[head][group]
+        many = np.diff(np.append(head, len(at)))[group] > 1
+        if size == length:
+            at, place = at[many], place[many]
+            array[place] = at[np.argsort(rank[at] * (n + 1) + at)]
+            break
         step = min(size, length - size)
-        at = at[room[at] >= size + step]
-        other = rank[at + step]
-        at, other = at[other >= 0], other[other >= 0]
-        key = rank[at] * (int(rank.max()) + 1) + other
+        many &= room[at] >= size + step
+        at, place = at[many], place[many]
+        sorted_ = rank[at] * (n + 1) + rank[at + step]
+        order = np.argsort(sorted_)
+        at, sorted_ = at[order], sorted_[order]
+        array[place] = at
         size += step
+    return array[room[array] >= length]
+
+
+def common_prefixes(data: np.ndarray, array: np.ndarray, length: int) -> np.ndarray:
+    """Bytes, up to ``length``, that each suffix of the array shares with the one before it."""
+    value = np.concatenate([_words(data), np.zeros(length, "u8")])
+    shared = np.zeros(len(array), "i4")
+    active = np.arange(1, len(array))
+    for done in range(0, length, 8):
+        apart = value[array[active] + done] ^ value[array[active - 1] + done]
+        bits = np.full(len(active), 64, "i4")
+        some = apart != 0
+        left = apart[some]
+        zeros = np.zeros(len(left), "i4")
+        for step in (32, 16, 8):  # leading zeros, in whole bytes
+            small = left < np.uint64(1) << np.uint64(64 - step)
+            zeros[small] += step
+            left = np.where(small, left << np.uint64(step), left)
+        bits[some] = zeros
+        shared[active] = done + bits // 8
+        active = active[~some]
+    return np.minimum(shared, length)
+
+
+def previous_factors(array: np.ndarray, lcp: np.ndarray, enough: int = 1) -> np.ndarray:
+    """For each entry of a suffix array, the longest prefix that a suffix at a smaller place has in common with it.
+
+    That suffix is the previous or the next one in suffix order with a smaller
+    place. Each entry's candidate jumps over what its own candidate has jumped
+    over, and carries the least common prefix on the way. A factor of fewer than
+    ``enough`` bytes is not followed to its end; its value is some number below.
+    """
+    n = len(array)
+    best = np.zeros(n, "i4")
+    for place, least in ((array, lcp.copy()), (array[::-1], np.concatenate([[0], lcp[:0:-1]]).astype("i4"))):
+        to = np.arange(n) - 1
+        least[:1] = 0
+        active = np.flatnonzero((least >= enough) & (place[to] > place))
+        active = active[to[active] >= 0]
+        while len(active):
+            over = to[active]
+            less, jump = np.minimum(least[active], least[over]), to[over]
+            less[jump < 0] = 0
+            least[active], to[active] = less, jump
+            active = active[(less >= enough) & (place[jump] > place[active])]
+        best = np.maximum(best, least if place is array else least[::-1])
+    return best
 
 
 def runs(flags: np.ndarray, begin: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -193,7 +263,7 @@ def _segments(text: bytes, length: int) -> list[tuple[int, int]]:
 
 
 def _anchors(docs: DataFrame, k: int, length: int, with_spans: bool) -> DataFrame:
-    """h, ctx, rid, pos, lead, size: the anchors of all texts (of the strings in ``spans``)."""
+    """h, ctx, ctx2, rid, pos, lead, size: the anchors of all texts (of the strings in ``spans``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(held: list) -> pa.RecordBatch:
@@ -207,10 +277,10 @@ def _anchors(docs: DataFrame, k: int, length: int, with_spans: bool) -> DataFram
                     for lo, hi in spans:
                         if hi >= a and lo < b:
                             wanted[base + max(lo, a) - a : base + min(hi, b - 1) - a + 1] = True
-            at, segment, h, context, lead, size = anchors_of(data, ends, k, length, wanted)
+            at, segment, h, context, context2, lead, size = anchors_of(data, ends, k, length, wanted)
             rid = np.array([x[0] for x in held], "i8")
             base = np.array([x[2] for x in held], "i8") - np.concatenate([[0], ends[:-1]])
-            return pa.RecordBatch.from_arrays([pa.array(h.view("i8")), pa.array(context.view("i8")), pa.array(rid[segment]), pa.array((at + base[segment]).astype("i4")), pa.array(lead.astype("i4")), pa.array(size.astype("i4"))], ["h", "ctx", "rid", "pos", "lead", "size"])
+            return pa.RecordBatch.from_arrays([pa.array(h.view("i8")), pa.array(context.view("i8")), pa.array(context2.view("i8")), pa.array(rid[segment]), pa.array((at + base[segment]).astype("i4")), pa.array(lead.astype("i4")), pa.array(size.astype("i4"))], ["h", "ctx", "ctx2", "rid", "pos", "lead", "size"])
 
         free_memory()
         for batch in batches:
@@ -230,7 +300,7 @@ def _anchors(docs: DataFrame, k: int, length: int, with_spans: bool) -> DataFram
                 yield flush(held)
 
     columns = ["rid", "text", "spans"] if with_spans else ["rid", "text"]
-    return docs.select(*columns).mapInArrow(run, "h long, ctx long, rid long, pos int, lead int, size int")
+    return docs.select(*columns).mapInArrow(run, "h long, ctx long, ctx2 long, rid long, pos int, lead int, size int")
 
 
 def _contexts(docs: DataFrame) -> DataFrame:
@@ -242,56 +312,62 @@ def _contexts(docs: DataFrame) -> DataFrame:
             for rid, text, wanted in zip(*(batch.column(i).to_pylist() for i in range(3))):
                 for x in wanted:
                     first = x["pos"] - x["lead"]
-                    rows.append((x["h"], x["ctx"], x["n"], rid, x["pos"], x["lead"], text[first : first + x["size"]]))
+                    rows.append((x["h"], x["ctx"], x["ctx2"], x["n"], rid, x["pos"], x["lead"], text[first : first + x["size"]]))
             if rows:
-                kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.binary()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["h", "ctx", "n", "rid", "pos", "lead", "bytes"])
+                kinds = [*[pa.int64()] * 5, pa.int32(), pa.int32(), pa.binary()]
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), kinds)], ["h", "ctx", "ctx2", "n", "rid", "pos", "lead", "bytes"])
+
+    return docs.select("rid", "text", "wanted").mapInArrow(run, "h long, ctx long, ctx2 long, n long, rid long, pos int, lead int, bytes binary")
 
-    return docs.select("rid", "text", "wanted").mapInArrow(run, "h long, ctx long, n long, rid long, pos int, lead int, bytes binary")
+
+def factors(held: list[tuple], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Which strings of contexts occur elsewhere, and which elsewhere before; begin and end of the contexts.
+
+    held: (copies, document, place in it, bytes) of each context, by document and
+    place. A place can be in two contexts; the first of them stands for it.
+    """
+    data = np.frombuffer(b"".join(x[3] for x in held), "u1")
+    ends = np.cumsum([len(x[3]) for x in held])
+    begin = np.concatenate([[0], ends[:-1]])
+    stands = np.arange(len(data))
+    now, until, shift = None, 0, 0
+    for (_, rid, start, text), a in zip(held, begin):
+        if rid != now:
+            now, until = rid, start
+        last = start + len(text) - length + 1  # behind the last string
+        if start < until:
+            seen = min(until, last) - start
+            stands[a : a + seen] = stands[start + shift : start + seen + shift]
+        if last > until:
+            # from here on, this context stands; places before are in earlier ones
+            until, shift = last, a - start
+    array = suffix_array(data, ends, length)
+    array = array[stands[array] == array]
+    lcp = common_prefixes(data, array, length)
+    copied = np.zeros(len(data) + 1, "i4")
+    some = np.array([x[0] for x in held]) > 1  # the context has copies, so all its strings have
+    np.add.at(copied, begin[some], 1)
+    np.add.at(copied, np.maximum(begin, ends - length + 1)[some], -1)
+    own = np.zeros(len(data), bool)
+    own[stands[np.cumsum(copied[:-1]) > 0]] = True
+    before, after = np.zeros(len(data), bool), np.zeros(len(data), bool)
+    before[array] = previous_factors(array, lcp, length) >= length
+    after[array] = previous_factors(-array, lcp, length) >= length
+    return (before | after | own)[stands], before[stands], begin, ends
 
 
 def _sorted_suffixes(contexts: DataFrame, length: int) -> DataFrame:
-    """h, ctx, dups, later: starts of duplicate strings relative to the anchor, as runs.
+    """h, ctx, ctx2, dups, later: starts of duplicate strings relative to the anchor, as runs.
 
-    dups holds all strings that occur elsewhere; later those of them whose
-    first occurrence is not in the context's own first place.
+    dups holds all strings that occur elsewhere; later those of them that occur
+    elsewhere before the context's own first place.
     """
 
     def solve(held: list[tuple]) -> pa.RecordBatch:
         # text order is the order of documents, so that earlier positions are earlier copies
-        held.sort(key=lambda x: (x[3], x[4]))
-        data = np.frombuffer(b"".join(x[6] for x in held), "u1")
-        sizes = np.array([len(x[6]) for x in held])
-        ends = np.cumsum(sizes)
-        begin = ends - sizes
-        kind = same_strings(data, ends, length)
-        at = np.flatnonzero(kind >= 0)
-        dup, later = np.zeros(len(data), bool), np.zeros(len(data), bool)
-        if len(at):
-            of = np.searchsorted(ends, at, "right")
-            rid = np.array([x[3] for x in held], "i8")[of]
-            start = (np.array([x[4] - x[5] for x in held], "i8") - begin)[of] + at
-            copies = np.array([x[2] for x in held], "i8")[of] > 1
-            # suffix order, equal prefixes by place in the corpus
-            order = np.lexsort((start, rid, kind[at]))
-            at, rid, start, copies, kind = at[order], rid[order], start[order], copies[order], kind[at][order]
-            head = np.ones(len(at), bool)
-            head[1:] = kind[1:] != kind[:-1]
-            group = np.cumsum(head) - 1
-            # one place can be in two contexts; a string's previous smaller position is the last other place
-            place = head.copy()
-            place[1:] |= (rid[1:] != rid[:-1]) | (start[1:] != start[:-1])
-            places = np.bincount(group, place)
-            some = (places > 1) | (np.bincount(group, copies) > 0)
-            dup[at] = some[group]
-            first = np.flatnonzero(head)[group]
-            later[at] = some[group] & ((rid != rid[first]) | (start != start[first]))
-        lead = np.array([x[5] for x in held])
-        copied = np.array([x[2] for x in held]) > 1  # the context has copies, so all its strings have
-        step = np.zeros(len(data) + 1, "i4")
-        np.add.at(step, begin[copied], 1)
-        np.add.at(step, np.maximum(begin, ends - length + 1)[copied], -1)
-        dup |= np.cumsum(step[:-1]) > 0
+        held.sort(key=lambda x: (x[4], x[5] - x[6]))
+        dup, later, begin, ends = factors([(x[3], x[4], x[5] - x[6], x[7]) for x in held], length)
+        lead = np.array([x[6] for x in held])
         lists, some = [], None
         for flags in (dup, later):
             first, last, of = runs(flags, begin, ends)
@@ -301,116 +377,120 @@ def _sorted_suffixes(contexts: DataFrame, length: int) -> DataFrame:
             values = np.stack([first - shift, last - shift], 1).ravel().astype("i4")
             counts = 2 * np.bincount(of, minlength=len(held))[some]
             lists.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]).astype("i4")), pa.array(values)))
-        named = [pa.array([held[i][k] for i in some], pa.int64()) for k in (0, 1)]
-        return pa.RecordBatch.from_arrays([*named, *lists], ["h", "ctx", "dups", "later"])
+        named = [pa.array([held[i][k] for i in some], pa.int64()) for k in range(3)]
+        return pa.RecordBatch.from_arrays([*named, *lists], ["h", "ctx", "ctx2", "dups", "later"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, now = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(7))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(8))):
                 if row[0] != now:
                     if size >= BUFFER:
                         yield solve(held)
                         held, size = [], 0
                     now = row[0]
                 held.append(row)
-                size += len(row[6])
+                size += len(row[7])
         if held:
             yield solve(held)
 
     by_minimizer = contexts.repartition("h").sortWithinPartitions("h")
-    return by_minimizer.mapInArrow(run, "h long, ctx long, dups array<int>, later array<int>")
+    return by_minimizer.mapInArrow(run, "h long, ctx long, ctx2 long, dups array<int>, later array<int>")
 
 
-def _round(docs: DataFrame, k: int, length: int, keep_first: bool, with_spans: bool, variants: int) -> tuple[DataFrame, DataFrame | None]:
+def _round(docs: DataFrame, k: int, length: int, keep_first: bool, with_spans: bool, variants: int, tables: Tables) -> tuple[DataFrame, DataFrame | None]:
     """Spans of duplicate strings that this k settles, and the strings that need a longer one (rid, spans)."""
-    began = mark()
+    kind = ["h", "ctx", "ctx2"]
+    named = lambda df: df.withColumnsRenamed({c: f"{c}_of" for c in kind})
+    same = lambda df, other: (df["h"] == other["h_of"]) & (df["ctx"] == other["ctx_of"]) & (df["ctx2"] == other["ctx2_of"])
     anchors = lambda: _anchors(docs, k, length, with_spans)  # noqa: E731  cheaper to make again than to keep
-    again = anchors().groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h")
-    again, _ = write_table(again, "minimizers")
-    found, _ = write_table(anchors().join(again, "h", "left_semi"), "anchors")
-    kinds = found.groupBy("h", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "pos")).alias("first"), F.first("lead").alias("lead"), F.first("size").alias("size"))
-    kinds, _ = write_table(kinds.select("h", "ctx", "n", "first.rid", "first.pos", "lead", "size"), "kinds")
-    many = kinds.groupBy(F.col("h").alias("hh")).agg(F.count(F.lit(1)).alias("variants"))
-    many, _ = write_table(many, "variants")
-    kinds = kinds.join(many, kinds["h"] == many["hh"]).drop("hh")
-    kinds, _ = write_table(kinds, "kinds")
+    again = tables.write(anchors().groupBy("h").agg(F.count(F.lit(1)).alias("times")).where("times > 1").select("h"), "minimizers")
+    found = tables.write(anchors().join(again, "h", "left_semi"), "anchors")
+    kinds = found.groupBy(*kind).agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("rid", "pos")).alias("first"), F.first("lead").alias("lead"), F.first("size").alias("size"))
+    kinds = tables.write(kinds.select(*kind, "n", "first.rid", "first.pos", "lead", "size"), "kinds")
+    many = tables.write(kinds.groupBy(F.col("h").alias("hh")).agg(F.count(F.lit(1)).alias("variants")), "variants")
+    counted = tables.write(kinds.join(many, kinds["h"] == many["hh"]).drop("hh"), "kinds")
+    tables.drop(again, kinds, many)
     # equal contexts: all their strings are copies of those in the first place
     whole = F.array((-F.col("lead")).cast("int"), (F.col("size") - F.col("lead") - length).cast("int"))
     none = F.array().cast("array<int>")
-    settled = kinds.where("variants = 1 and n > 1").select("h", "ctx", F.col("rid").alias("first_rid"), F.col("pos").alias("first_pos"), whole.alias("dups"), none.alias("later"))
-    meet = kinds.where(F.col("variants").between(2, variants))
-    wanted = meet.groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct("h", "ctx", "n", "pos", "lead", "size")).alias("wanted"))
+    settled = counted.where("variants = 1 and n > 1").select(*kind, F.col("rid").alias("first_rid"), F.col("pos").alias("first_pos"), whole.alias("dups"), none.alias("later"))
+    meet = counted.where(F.col("variants").between(2, variants))
+    wanted = meet.groupBy(F.col("rid").alias("of")).agg(F.collect_list(F.struct(*kind, "n", "pos", "lead", "size")).alias("wanted"))
     contexts = _contexts(docs.join(wanted, docs["rid"] == wanted["of"]))
-    sorted_ = _sorted_suffixes(contexts, length).withColumnRenamed("h", "h2").withColumnRenamed("ctx", "ctx2")
-    sorted_, _ = write_table(sorted_, "suffixes")
-    compared = meet.join(sorted_, (meet["h"] == sorted_["h2"]) & (meet["ctx"] == sorted_["ctx2"])).select("h", "ctx", F.col("rid").alias("first_rid"), F.col("pos").alias("first_pos"), "dups", "later")
-    results, _ = write_table(settled.unionByName(compared), "results")
-    results = results.withColumnRenamed("h", "h2").withColumnRenamed("ctx", "ctx2")
-    placed = found.join(results, (found["h"] == results["h2"]) & (found["ctx"] == results["ctx2"]))
+    sorted_ = named(tables.write(_sorted_suffixes(contexts, length), "suffixes"))
+    compared = meet.join(sorted_, same(meet, sorted_)).select(*kind, F.col("rid").alias("first_rid"), F.col("pos").alias("first_pos"), "dups", "later")
+    results = named(tables.write(settled.unionByName(compared), "results"))
+    placed = found.join(results, same(found, results))
     mine = F.when((F.col("rid") == F.col("first_rid")) & (F.col("pos") == F.col("first_pos")), F.col("later")).otherwise(F.col("dups")) if keep_first else F.col("dups")
     spans = placed.withColumn("mine", mine).where(F.size("mine") > 0)
     pairs = F.transform(F.sequence(F.lit(0), F.size("mine") - 1, F.lit(2)), lambda i: F.struct((F.col("pos") + F.col("mine")[i]).alias("lo"), (F.col("pos") + F.col("mine")[i + 1]).alias("hi")))
-    spans = spans.groupBy("rid").agg(F.flatten(F.collect_list(pairs)).alias("spans"))
-    spans, at_spans = write_table(spans, "spans")
-    hot = kinds.where(F.col("variants") > variants).select(F.col("h").alias("h2")).distinct()
-    hot, _ = write_table(hot, "hot")
+    spans = tables.write(spans.groupBy("rid").agg(F.flatten(F.collect_list(pairs)).alias("spans")), "spans")
+    hot = tables.write(counted.where(F.col("variants") > variants).select(F.col("h").alias("h_of")).distinct(), "hot")
     if hot.isEmpty():
-        sweep(docs.sparkSession, began, (at_spans,))
         return spans, None
-    strings = found.join(hot, found["h"] == hot["h2"], "left_semi")
+    strings = found.join(hot, found["h"] == hot["h_of"], "left_semi")
     strings = strings.select("rid", F.struct((F.col("pos") - F.col("lead")).alias("lo"), (F.col("pos") - F.col("lead") + F.col("size") - length).alias("hi")).alias("s"))
-    rest, at_rest = write_table(strings.groupBy("rid").agg(F.collect_list("s").alias("spans")), "rest")
-    sweep(docs.sparkSession, began, (at_spans, at_rest))
-    return spans, rest
+    return spans, tables.write(strings.groupBy("rid").agg(F.collect_list("s").alias("spans")), "rest")
 
 
-def duplicate_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, variants: int = VARIANTS) -> DataFrame:
+def duplicate_spans(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, variants: int = VARIANTS, tables: Tables | None = None) -> DataFrame:
     """rid, spans: starts (lo..hi) of the strings to remove. docs: rid (long, unique), text (binary)."""
-    spans, rest = _round(docs, min(FIRST_K, length), length, keep_first, False, variants)
+    tables = tables or Tables(docs.sparkSession)
+    found, rest = _round(docs, min(FIRST_K, length), length, keep_first, False, variants, tables)
+    parts = [found]
     for k in (min(NEXT_K, length), length):
+        tables.sweep(*parts, *([rest] if rest is not None else []))
         if rest is None:
             break
         left = docs.join(rest.withColumnRenamed("rid", "of"), F.col("rid") == F.col("of")).select("rid", "text", "spans")
-        more, rest = _round(left, k, length, keep_first, True, variants if k < length else 1 << 60)
-        spans = spans.unionByName(more)
-    return spans.groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans"))
+        found, rest = _round(left, k, length, keep_first, True, variants if k < length else 1 << 60, tables)
+        parts.append(found)
+    every = functools.reduce(DataFrame.unionByName, parts)
+    return tables.write(every.groupBy("rid").agg(F.flatten(F.collect_list("spans")).alias("spans")), "spans")
 
 
-def numbered(docs: DataFrame, key: str, text: str, columns: tuple[str, ...] = ()) -> DataFrame:
-    """rid (long, unique, in the order of the key), key, text as bytes, more columns in more0, more1 ...
+def numbered(docs: DataFrame, key: str, text: str, tables: Tables, row: bool = False) -> DataFrame:
+    """rid (long, unique, in the order of the key), key, text as bytes; with ``row`` a struct of all columns but the text.
 
-    The key itself where it is a unique long; else the rows are numbered in a
-    table of their own, equal keys in any order, null keys last.
+    rid is the key itself where that is a unique long; else the rows are numbered
+    in a table of their own, equal keys in any order, null keys last.
     """
-    rows = docs.select(F.col(key).alias("key"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text"), *(F.col(f"`{c}`").alias(f"more{i}") for i, c in enumerate(columns)))
+    more = [F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text]).alias("row")] if row else []
+    rows = docs.select(F.col(f"`{key}`").alias("key"), F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"), *more)
     if dict(docs.dtypes)[key] in ("bigint", "int"):
         seen = rows.agg(F.count(F.lit(1)).alias("n"), F.count("key").alias("m")).first()
         unique = seen["n"] == seen["m"] and rows.groupBy("key").count().where("count > 1").isEmpty()
         if unique:
             return rows.withColumn("rid", F.col("key").cast("long"))
-    ordered = rows.orderBy(F.col("key").asc_nulls_last()).withColumn("rid", F.monotonically_increasing_id())
-    return write_table(ordered, "numbered")[0]
+    return tables.write(rows.orderBy(F.col("key").asc_nulls_last()).withColumn("rid", F.monotonically_increasing_id()), "numbered")
 
 
-def dedup(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, text: str = "text", key: str = "doc_id", outputs: bool = False, variants: int = VARIANTS, columns: tuple[str, ...] = ()) -> DataFrame:
+def dedup(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, text: str = "text", key: str = "doc_id", outputs: bool = False, variants: int = VARIANTS, row: bool = False, tables: Tables | None = None) -> DataFrame:
     """key, n_bytes, n_removed, n_spans, kept_sha256 of every row.
 
     Texts are UTF-8 bytes, null ones empty; matches never cross rows. All
     copies of a repeated string go, or with ``keep_first`` all but the first
     (by key, then place). With ``outputs`` also kept (the remaining text, what
     is left of a split character dropped) and spans (first byte, end). Rows
-    with equal keys are rows of their own, and copies of each other.
-    ``columns`` are passed on as they are.
+    with equal keys are rows of their own, and copies of each other. With
+    ``row`` all columns but the text are passed on in a struct of that name, so
+    theirs are free.
     """
     small_batches(docs.sparkSession)
-    rows = numbered(docs, key, text, columns)
-    began = mark()
-    spans, at_spans = write_table(duplicate_spans(rows.select("rid", "text"), length, keep_first, variants), "spans")
-    sweep(docs.sparkSession, began, (at_spans,))
+    tables = tables or Tables(docs.sparkSession)
+    mine = Tables(docs.sparkSession)
+    rows = numbered(docs, key, text, tables, row)
+    spans = duplicate_spans(rows.select("rid", "text"), length, keep_first, variants, mine)
+    mine.sweep(spans)
+    tables.paths |= mine.paths
+    tables.held += mine.held
     joined = rows.join(spans.withColumnRenamed("rid", "of"), F.col("rid") == F.col("of"), "left")
     more = [("kept", pa.string()), ("spans", pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())])))] if outputs else []
     schema = f"{key} {dict(docs.dtypes)[key]}, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + (", kept string, spans array<struct<start:int,end:int>>" if outputs else "")
+    schema = StructType.fromDDL(schema)
+    if row:
+        schema = schema.add(rows.schema["row"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -427,13 +507,11 @@ def dedup(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, text:
                     left.append(data[at:lo])
                     at = hi
                 left = b"".join([*left, data[at:]])
-                row = [len(data), len(data) - len(left), len(merged), hashlib.sha256(left).hexdigest()]
-                rows.append(row + [left.decode("utf-8", "ignore"), [{"start": a, "end": b} for a, b in merged]] if outputs else row)
+                out = [len(data), len(data) - len(left), len(merged), hashlib.sha256(left).hexdigest()]
+                rows.append(out + [left.decode("utf-8", "ignore"), [{"start": a, "end": b} for a, b in merged]] if outputs else out)
             kinds = [pa.int64(), pa.int64(), pa.int64(), pa.string(), *(t for _, t in more)]
             names = ["n_bytes", "n_removed", "n_spans", "kept_sha256", *(n for n, _ in more)]
             made = zip(*rows) if rows else [[] for _ in kinds]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(made, kinds)), *batch.columns[3:]], [key, *names, *columns])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(made, kinds)), *batch.columns[3:]], [key, *names, *["row"] * row])
 
-    types = dict(docs.dtypes)
-    own = "".join(f", `{c}` {types[c]}" for c in columns)
-    return joined.select("key", "text", "spans", *(f"more{i}" for i in range(len(columns)))).mapInArrow(run, schema + own)
+    return joined.select("key", "text", "spans", *["row"] * row).mapInArrow(run, schema)
