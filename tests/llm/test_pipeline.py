@@ -1,8 +1,10 @@
 """The pipeline's stages against brute force on a small corpus."""
 
 import random
+from collections import Counter
 from itertools import combinations
 
+import numpy as np
 import pytest
 import regex
 
@@ -91,14 +93,53 @@ def test_near_copies_with_large_keys_and_odd_rows(spark, corpus, monkeypatch):
     monkeypatch.setattr(nearcopies, "BUCKET", 4)
     rows = [r for r in corpus[0] if r[1]]
     docs = spark.createDataFrame([(*r, "x") for r in rows], DOCS + ", h string")
-    got = {r["doc_id"]: r["component_id"] for r in nearcopies.groups(docs).collect()}
-    assert got == families(rows)
+    want = families(rows)
+    for hot, broadcast in ((3, 1_000_000), (3, 0)):  # hot shingles sent to all, joined
+        monkeypatch.setattr(nearcopies, "HOT", hot)
+        monkeypatch.setattr(nearcopies, "BROADCAST", broadcast)
+        assert {r["doc_id"]: r["component_id"] for r in nearcopies.groups(docs).collect()} == want
     odd = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (None, "A b c d e f"), (None, "other words"), (5, None), (6, " "), (7, "short"), (7, "different")], "doc_id long, text string")
-    left = sorted(map(str, nearcopies.keep_one(odd).collect()))
-    assert left == sorted(["Row(doc_id=1, text='a b c d e f')", "Row(doc_id=None, text='other words')", "Row(doc_id=5, text=None)", "Row(doc_id=7, text='short')", "Row(doc_id=7, text='different')"])
+    expected = sorted(["Row(doc_id=1, text='a b c d e f')", "Row(doc_id=None, text='other words')", "Row(doc_id=5, text=None)", "Row(doc_id=7, text='short')", "Row(doc_id=7, text='different')"])
+    clash = odd.selectExpr("*", "'x' as h", "1 as kept_h", "2 as __h", "3 as key")
+    left = nearcopies.keep_one(clash)
+    assert left.columns == clash.columns and sorted(map(str, left.select("doc_id", "text").collect())) == expected
     assert nearcopies.keep_one(odd.limit(0)).count() == 0
 
 
+def test_bitmaps_never_differ_more_than_sets():
+    rng = np.random.default_rng(3)
+    for _ in range(300):
+        m, n, both = (int(rng.integers(0, x)) for x in (2000, 300, 900))
+        x = rng.integers(-(1 << 63), 1 << 63, m + n + both)
+        a, b = np.unique(x[: m + both]), np.unique(x[m:])
+        assert nearcopies.differing(nearcopies.bitmap(a), nearcopies.bitmap(b)) <= len(np.setxor1d(a, b))
+
+
+def test_recall_by_bands_of_similarity(spark):
+    """All links of scattered changes are found, from the bound on."""
+    rng = random.Random(12)
+    words = [f"w{i}" for i in range(3000)]
+    rows = []
+    for k in range(600):
+        text = rng.choices(words, k=rng.randrange(120, 500))
+        other = list(text)
+        for at in rng.sample(range(len(text)), max(1, len(text) * (k % 4 + 1) // 180)):
+            other[at] = "changed"
+        rows += [(2 * k, " ".join(text)), (2 * k + 1, " ".join(other))]
+    got = {r["doc_id"]: r["component_id"] for r in nearcopies.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    found, bands = Counter(), Counter()
+    for k in range(600):
+        a, b = shingles(rows[2 * k][1]), shingles(rows[2 * k + 1][1])
+        same = len(a & b) / len(a | b)
+        if same >= 0.8:
+            band = int((same - 0.8) * 40)  # steps of 0.025
+            bands[band] += 1
+            found[band] += got[2 * k] == got[2 * k + 1] == 2 * k
+        else:
+            assert got[2 * k + 1] == 2 * k + 1
+    assert bands[0] >= 20 and found == bands
+
+
 def test_near_copies_among_many_texts_of_one_template(spark):
     rng = random.Random(5)
     words = [f"w{i}" for i in range(4000)]
@@ -115,20 +156,3 @@ def test_near_copies_among_many_texts_of_one_template(spark):
     assert len(set(want.values())) == 400
     got = {r["doc_id"]: r["component_id"] for r in nearcopies.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert got == want
-
-
-def test_no_near_copy_is_missed_at_the_bound(spark):
-    rng = random.Random(6)
-    words = [f"w{i}" for i in range(4000)]
-    rows = []
-    for _ in range(100):  # similarity 0.80 to 0.85, changes far apart
-        text = rng.choices(words, k=200)
-        other = list(text)
-        for at in (20, 60, 100, 140):
-            other[at] = "changed"
-        rows += [" ".join(text), " ".join(other)]
-    rows = list(enumerate(rows))
-    want = families(rows)
-    assert len(set(want.values())) == 100
-    got = {r["doc_id"]: r["component_id"] for r in nearcopies.groups(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
-    assert got == want

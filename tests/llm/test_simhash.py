@@ -49,7 +49,7 @@ def test_golay_words_within_two_bits_share_an_index():
 
 def test_shingle_fingerprint_matches_its_definition():
     for text in [None, "", " \t\n", "One", "one TWO", "a b c", "a b c a b c a b c", "É à Ünï\xa0code x\x85y z", "x " * 70000]:
-        assert simhash.majority(simhash.shingle_hashes(text, 3)) == brute_fingerprint(text)
+        assert simhash.majority(simhash.shingle_hashes(simhash.words_of(text), 3)) == brute_fingerprint(text)
 
 
 def corpus():

@@ -120,7 +120,7 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_
     are compared with queries of the same length only. Rows with equal keys are
     candidates each; queries with equal keys are answered as one.
     """
-    small_batches(vectors.sparkSession, 10_000)
+    small_batches(vectors.sparkSession)
     clean = lambda df: df.where(F.col(key).isNotNull() & usable(vector)).select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     x, q = clean(vectors), clean(queries).dropDuplicates(["id"])
     many, asked = x.count(), q.count()

@@ -1,8 +1,7 @@
 """Helpers shared by the training-data operators.
 
-Everything that outlives a task is written under ``spark.checkpoint.dir`` (the
-folder all machines share); a folder of our own is set only where the session
-has none, as in tests.
+Everything that outlives a task is written under ``spark.checkpoint.dir``, the
+folder all machines share.
 """
 
 from __future__ import annotations
@@ -10,6 +9,7 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 import tempfile
 import uuid
 import zipfile
@@ -61,75 +61,82 @@ def _ship(spark: SparkSession) -> None:
         archive = Path(tempfile.mkdtemp(prefix="tripmill-")) / "tripmill.zip"  # the driver's copy; Spark hands it on
         with zipfile.ZipFile(archive, "w") as z:
             for f in sorted(package.rglob("*.py")):
-                z.write(f, f.relative_to(package.parent))
+                z.writestr(zipfile.ZipInfo(str(f.relative_to(package.parent))), f.read_bytes())
         spark.sparkContext.addPyFile(str(archive))
         _SHIPPED.add(spark.sparkContext.applicationId)
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Prepare a session for Python operators: bounded Arrow batches, and the package on the executors."""
+def small_batches(spark: SparkSession) -> None:
+    """Prepare a session for Python operators: bounded Arrow batches, and the package on the executors.
+
+    The bound is read when a plan runs, so it is the same for all operators;
+    those that want more rows at once put batches together themselves.
+    """
     _ship(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share."""
+    """The folder that driver and executors share.
+
+    Where the session names none: a temporary folder if all runs on this
+    machine, as in tests, else one in the warehouse.
+    """
     conf = spark.sparkContext.getConf()
     found = conf.get("spark.checkpoint.dir") or spark.conf.get("tripmill.shared.dir", None)
     if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='tripmill-')}"
+        here = re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master)
+        found = f"file://{tempfile.mkdtemp(prefix='tripmill-')}" if here else f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tripmill"
         spark.conf.set("tripmill.shared.dir", found)
     return found.rstrip("/")
 
 
-#: Tables in the shared folder that write_table made and nothing has deleted.
-_TABLES: list[str] = []
-
+class Tables:
+    """The tables that one run of an operator writes in the shared folder.
 
-def write_table(df: DataFrame, tag: str) -> tuple[DataFrame, str]:
-    """Write df as Parquet in the shared folder and read it back.
-
-    Cuts the lineage: a lost executor costs the tasks that read its files, not
-    the work that made them.
+    What a result still reads is left when the operator returns; whoever has
+    the object can drop it when the result is written.
     """
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    _TABLES.append(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def mark() -> int:
-    """A point in time for sweep()."""
-    return len(_TABLES)
-
-
-def written(since: int) -> list[str]:
-    """The tables written since a mark that are still there."""
-    return _TABLES[since:]
-
-
-def sweep(spark: SparkSession, since: int = 0, keep: tuple[str, ...] = ()) -> None:
-    """Delete the tables written since a mark, but those that a result still reads; let shuffle files go too."""
-    for path in _TABLES[since:]:
-        if path not in keep:
-            drop_table(spark, path)
-    release(spark)
-
-
-def release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of finished steps that nothing refers to.
-
-    It otherwise does so when the driver happens to collect its garbage.
-    """
-    gc.collect()
-    spark._jvm.System.gc()
-
 
-def drop_table(spark: SparkSession, path: str) -> None:
-    """Delete what write_table wrote, when no plan refers to it any more."""
-    jvm = spark._jvm
-    at = jvm.org.apache.hadoop.fs.Path(path)
-    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-    if path in _TABLES:
-        _TABLES.remove(path)
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
+        self.paths: dict[int, str] = {}
+        self.held: list[DataFrame] = []  # so that no id is used twice
+
+    def write(self, df: DataFrame, tag: str) -> DataFrame:
+        """Write df as Parquet and read it back.
+
+        Cuts the lineage: a lost executor costs the tasks that read its files,
+        not the work that made them.
+        """
+        path = f"{shared_dir(self.spark)}/{tag}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        back = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(back)] = path
+        self.held.append(back)
+        return back
+
+    def drop(self, *tables: DataFrame) -> None:
+        """Delete tables that no plan refers to any more."""
+        for t in tables:
+            path = self.paths.pop(id(t), None)
+            if path:
+                at = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+                at.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(at, True)
+
+    def sweep(self, *keep: DataFrame) -> None:
+        """Delete all but what a result still reads; let shuffle files go, too."""
+        names = {id(t) for t in keep}
+        self.drop(*[t for t in self.held if id(t) not in names])
+        self.let_go()
+
+    def let_go(self) -> None:
+        """Let Spark delete the shuffle files of finished steps.
+
+        Its cleaner does so once the driver has collected what referred to
+        them, which it otherwise does when its memory runs low; and it holds on
+        to those of its latest action.
+        """
+        self.spark.range(1).collect()
+        gc.collect()
+        self.spark._jvm.System.gc()

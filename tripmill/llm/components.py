@@ -13,42 +13,40 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import drop_table, write_table
+from tripmill.llm.common import Tables
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+def components(edges: DataFrame, a: str = "a", b: str = "b", tables: Tables | None = None) -> DataFrame:
     """node, component (the smallest node reachable) of all nodes that have an edge.
 
-    edges: pairs of longs in either order; repeated ones and loops do no harm,
-    rows with a null are left out.
+    edges: pairs of one type in either order; repeated ones and loops do no
+    harm, rows with a null are left out.
     """
-    spark = edges.sparkSession
-    both, at_edges = write_table(
+    tables = tables or Tables(edges.sparkSession)
+    both = tables.write(
         edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
         .select(F.explode(F.array(F.struct(F.col(a).alias("u"), F.col(b).alias("v")), F.struct(F.col(b).alias("u"), F.col(a).alias("v")))).alias("e"))
         .select("e.u", "e.v")
         .distinct(),
         "edges",
     )
-    labels, at_labels = write_table(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
+    labels = tables.write(both.groupBy(F.col("u").alias("node")).agg(F.min("v").alias("m")).select("node", F.least("node", "m").alias("label")), "labels")
     while True:
-        near = (
+        near = tables.write(
             both.join(labels, both["v"] == labels["node"])
             .select(F.col("u").alias("node"), "label")
             .unionByName(labels)
             .groupBy("node")
-            .agg(F.min("label").alias("label"))
+            .agg(F.min("label").alias("label")),
+            "near",
         )
-        near, at_near = write_table(near, "near")
         far = near.select(F.col("node").alias("hop"), F.col("label").alias("next"))
         was = labels.select(F.col("node").alias("was_node"), F.col("label").alias("was"))
-        jumped = near.join(far, near["label"] == far["hop"]).select("node", F.least("label", "next").alias("label"))
-        new, at_new = write_table(jumped, "labels")
+        new = tables.write(near.join(far, near["label"] == far["hop"]).select("node", F.least("label", "next").alias("label")), "labels")
         changed = not new.join(was, (new["node"] == was["was_node"]) & (new["label"] != was["was"]), "left_semi").isEmpty()
-        drop_table(spark, at_near)
-        drop_table(spark, at_labels)
-        labels, at_labels = new, at_new
+        tables.drop(near, labels)
+        labels = new
         if not changed:
             break
-    drop_table(spark, at_edges)
+    tables.drop(both)
     return labels.withColumnRenamed("label", "component")

@@ -1,121 +1,160 @@
-"""Near copies by similarity, complete: prefix filtering of shingle sets.
+"""Near copies by similarity: SimHash with Golay keys first, prefix filtering for what it can't see.
 
 Two documents are near copies if their sets of five-word shingles have a Jaccard
-similarity of ``SIMILARITY`` or more. With all shingles in one order, the same
-for every document, two such sets of sizes m and n share a shingle among the
-first m - 0.8 m + 1 of one and n - 0.8 n + 1 of the other. So a document stands
-under each shingle of its prefix, and any near copy of it stands under one of
-them: no pair is left to chance. Candidates are verified on the whole sets.
-
-Any order is right; rare shingles first make keys small. How frequent a shingle
-is, is counted on a bounded sample of documents, so lines that very many
-documents share come last, and texts made from one template meet only under what
-they share besides it.
-
-Equal texts are one class from the start. Documents of a key first meet its lead
-alone, the one with the fewest rarer shingles before the key's (of copies of one
-original, each changed elsewhere, that is the original). Then all pairs of a key
-that are still in different groups are compared: its documents outside the key's
-largest group with all of the key. Pairs of one group need no comparison.
+similarity of ``SIMILARITY`` or more.
+
+1. Equal texts (128 bits of their words) are one class from the start.
+2. The SimHash operator links classes whose fingerprints differ in two bits or
+   fewer. Its links are verified on the shingle sets; what holds is one group.
+   That settles nearly all copies with small changes. At similarity 0.8 some ten
+   of 64 bits differ, so no fingerprint search of bounded cost finds all links.
+3. Prefix filtering finds the others, completely. With all shingles in one order,
+   the same for every document, two sets of sizes m and n with that similarity
+   share a shingle among the first m - 0.8 m + 1 of one and n - 0.8 n + 1 of the
+   other. So a document stands under each shingle of its prefix, and any near
+   copy of it stands under one of them.
+
+Any order is right. Shingles go by their hash, but those that are in the prefixes
+of over ``HOT`` documents go last (counted over all documents), so what very many
+documents share brings nobody together. Keys are counted alone before anything
+wider is shuffled; only keys that different groups share have members.
+
+Documents of a key first meet its lead alone, the one with the fewest shingles
+before the key's. Then all pairs of a key that are still in different groups are
+compared: its documents outside the key's largest group with all of the key.
+Pairs of one group need no comparison.
+
+A pair is first judged by bitmaps. A set's bitmap has the parity of its elements
+in each of its bits, so two bitmaps differ in no more bits than the sets differ
+in elements: what has too many differing bits can't be similar enough. No near
+copy is lost by that, and few others are left for the comparison of whole sets.
 """
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.common import drop_table, free_memory, mark, release, small_batches, sweep, write_table
+from tripmill.llm import simhash
+from tripmill.llm.common import Tables, free_memory, free_names, small_batches
 from tripmill.llm.components import components
-from tripmill.llm.simhash import shingle_hashes
 
 WORDS, SIMILARITY = 5, 0.8
-#: Documents (about, by a hash of the key) on which shingles are counted, and the most shingles whose count is kept.
-SAMPLE_DOCS, FREQUENT = 20_000, 500_000
+#: Documents of a key above which its shingle goes last.
+HOT = 64
+#: Hot shingles that are sent to all executors (8 bytes each); more are joined.
+BROADCAST = 1_000_000
 #: Documents outside a key's largest group above which they meet leads before they are compared with all.
 BUCKET = 64
 #: Times that they do so at most, while leads still merge groups.
 ROUNDS = 4
-#: Pairs that are verified at a time; it bounds the disk that their sets take.
-PAIRS = 1_000_000
+#: Bits of a bitmap: the next power of two from the size of its set, this at least.
+LEAST_BITS = 512
 
 
-def _text_hash(text: str | None) -> int:
-    words = text.encode("utf-8", "surrogatepass").lower().split() if text else []
-    return xxhash.xxh3_64_intdigest(b" ".join(words)) - (1 << 63)
+def _text_hash(parts: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(parts))
 
 
-def _prints(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """id, h (of the words) of each row."""
+def bitmap(shingles: np.ndarray) -> bytes:
+    """The parity of the elements in each bit, little endian."""
+    width = max(LEAST_BITS, 1 << (len(shingles) - 1).bit_length()) if len(shingles) else LEAST_BITS
+    odd = np.bincount(shingles & (width - 1), minlength=width) & 1
+    return np.packbits(odd.astype("u1"), bitorder="little").tobytes()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_memory()
-        for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_text_hash(t) for t in batch.column(1).to_pylist()], pa.int64())], ["id", "h"])
 
-    return docs.select(key, text).mapInArrow(run, f"id {dict(docs.dtypes)[key]}, h long")
+def differing(a: bytes, b: bytes) -> int:
+    """Bits in which two bitmaps differ; the wider one is folded to the other's width."""
+    if len(a) < len(b):
+        a, b = b, a
+    x, n = int.from_bytes(a, "little"), len(a)
+    while n > len(b):
+        n //= 2
+        x = (x >> 8 * n) ^ (x & ((1 << 8 * n) - 1))
+    return (x ^ int.from_bytes(b, "little")).bit_count()
 
 
-def _shingles(text: str | None) -> np.ndarray:
-    """The set of a text's shingle hashes, ascending."""
-    return np.unique(shingle_hashes(text, WORDS).view("i8"))
+def needed(m: int, n: int) -> int:
+    """The least intersection of sets of sizes m and n with SIMILARITY."""
+    return int(np.ceil(SIMILARITY / (1 + SIMILARITY) * (m + n) - 1e-9))
+
 
+def _prints(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """id, h, fp, size, bits of each row: hash of the words, fingerprint, number of shingles, bitmap."""
 
-def _own(batch: pa.RecordBatch) -> tuple[pa.Array, list[np.ndarray]]:
-    """rep and shingles of the rows of rep, h, text whose text is the one of h (keys may repeat)."""
-    texts = batch.column(2).to_pylist()
-    at = [i for i, (t, h) in enumerate(zip(texts, batch.column(1).to_pylist())) if _text_hash(t) == h]
-    return batch.column(0).take(pa.array(at, pa.int64())), [_shingles(texts[i]) for i in at]
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
+        for batch in batches:
+            h, fp, size, bits = [], [], [], []
+            for t in batch.column(1).to_pylist():
+                parts = simhash.words_of(t)
+                hashes = simhash.shingle_hashes(parts, WORDS)
+                found = np.unique(hashes.view("i8"))
+                h.append(_text_hash(parts))
+                fp.append(simhash.majority(hashes))
+                size.append(len(found))
+                bits.append(bitmap(found))
+            columns = [batch.column(0), pa.array(h, pa.binary()), pa.array(np.array(fp, "u8").view("i8")), pa.array(size, pa.int32()), pa.array(bits, pa.binary())]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "h", "fp", "size", "bits"])
 
+    return docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"id {dict(docs.dtypes)[key]}, h binary, fp long, size int, bits binary")
 
-def _frequent(texts: DataFrame, share: float) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that occur in three or more documents of a sample, ascending, and their counts. texts: rep, text."""
+
+def _own(named: DataFrame) -> DataFrame:
+    """rep, text of the rows of rep, h, text whose text is the one of h (keys may repeat)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = [_shingles(t) for t in batch.column(0).to_pylist()]
-            found, n = np.unique(np.concatenate(sets) if sets else np.zeros(0, "i8"), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(found), pa.array(n)], ["s", "n"])
+            at = [i for i, (t, h) in enumerate(zip(batch.column(2).to_pylist(), batch.column(1).to_pylist())) if _text_hash(simhash.words_of(t)) == h]
+            taken = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(2)], ["rep", "text"])
 
-    drawn = texts.where(F.pmod(F.xxhash64("rep", F.lit("shingles")), F.lit(1_000_000)) < share * 1_000_000)
-    counted = drawn.select("text").mapInArrow(run, "s long, n long").groupBy("s").agg(F.sum("n").alias("n")).where("n > 2")
-    got = counted.orderBy(F.desc("n"), "s").limit(FREQUENT).toPandas().sort_values("s")
-    return got["s"].to_numpy("i8"), got["n"].to_numpy("i8")
+    return named.select("rep", "h", "text").mapInArrow(run, f"rep {dict(named.dtypes)['rep']}, text string")
 
 
-def prefix(shingles: np.ndarray, frequent: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The part of a set of which any set with at least SIMILARITY has an element in its own part, rarest first."""
+def _shingles(text: str | None) -> np.ndarray:
+    """The set of a text's shingle hashes, ascending."""
+    return np.unique(simhash.shingle_hashes(simhash.words_of(text), WORDS).view("i8"))
+
+
+def prefix(shingles: np.ndarray, hot: np.ndarray) -> np.ndarray:
+    """The part of a set of which any set with at least SIMILARITY has an element in its own part. hot: ascending."""
     n = len(shingles)
     if not n:
         return shingles
-    rank = np.zeros(n, "i8")
-    if len(frequent):
-        at = np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)
-        rank = np.where(frequent[at] == shingles, counts[at], 0)
-    return shingles[np.argsort(rank, kind="stable")[: n - int(np.ceil(SIMILARITY * n - 1e-9)) + 1]]
+    ordered = shingles
+    if len(hot):
+        last = hot[np.minimum(np.searchsorted(hot, shingles), len(hot) - 1)] == shingles
+        ordered = np.concatenate([shingles[~last], shingles[last]])
+    return ordered[: n - int(np.ceil(SIMILARITY * n - 1e-9)) + 1]
 
 
-def _keys(texts: DataFrame, frequent: tuple[np.ndarray, np.ndarray]) -> DataFrame:
-    """key, rep, size, pos: every text under each shingle of its prefix. texts: rep, h, text."""
-    shared = texts.sparkSession.sparkContext.broadcast(frequent)
+def _emit(texts: DataFrame, pick, hot: np.ndarray | None = None) -> DataFrame:
+    """key, rep, size, pos: every text under each of the shingles that ``pick`` takes from its set.
+
+    texts: rep, text and, where ``hot`` is not given to all, hot: the text's own.
+    """
+    shared = texts.sparkSession.sparkContext.broadcast(hot) if hot is not None else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_memory()
         for batch in batches:
-            reps, sets = _own(batch)
-            first = [prefix(s, *shared.value) for s in sets]
-            n = np.array([len(p) for p in first], "i8")
-            rep = reps.take(pa.array(np.repeat(np.arange(len(n)), n)))
+            sets = [_shingles(t) for t in batch.column(1).to_pylist()]
+            last = [shared.value] * len(sets) if shared else [np.array(sorted(x or []), "i8") for x in batch.column(2).to_pylist()]
+            taken = [pick(s, x) for s, x in zip(sets, last)]
+            n = np.array([len(p) for p in taken], "i8")
+            rep = batch.column(0).take(pa.array(np.repeat(np.arange(len(n)), n)))
             pos = np.concatenate([np.arange(k, dtype="i4") for k in n]) if len(n) else np.zeros(0, "i4")
             size = np.repeat(np.array([len(s) for s in sets], "i4"), n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(first) if first else np.zeros(0, "i8")), rep, pa.array(size), pa.array(pos)], ["key", "rep", "size", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(taken) if taken else np.zeros(0, "i8")), rep, pa.array(size), pa.array(pos)], ["key", "rep", "size", "pos"])
 
-    return texts.mapInArrow(run, f"key long, rep {dict(texts.dtypes)['rep']}, size int, pos int")
+    columns = ["rep", "text"] if shared else ["rep", "text", "hot"]
+    return texts.select(*columns).mapInArrow(run, f"key long, rep {dict(texts.dtypes)['rep']}, size int, pos int")
 
 
 def _possible(m: Column, i: Column, n: Column, j: Column) -> Column:
@@ -123,34 +162,49 @@ def _possible(m: Column, i: Column, n: Column, j: Column) -> Column:
     return (1 + F.least(m - i - 1, n - j - 1)) * (1 + SIMILARITY) >= SIMILARITY * (m + n) - 1e-6
 
 
-def _with_lead(members: DataFrame) -> DataFrame:
-    """members but the first of each key, with that one: lead, lead_size, lead_pos."""
-    first = F.first(F.struct("rep", "size", "pos")).over(Window.partitionBy("key").orderBy("pos", "rep"))
-    return members.withColumn("l", first).where("rep <> l.rep").select("key", "rep", "size", "pos", F.col("l.rep").alias("lead"), F.col("l.size").alias("lead_size"), F.col("l.pos").alias("lead_pos"))
+def _pair(x: str, y: str) -> list[Column]:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
-def _lead_pairs(led: DataFrame) -> DataFrame:
-    led = led.where(_possible(F.col("size"), F.col("pos"), F.col("lead_size"), F.col("lead_pos")))
-    return led.select(F.least("rep", "lead").alias("a"), F.greatest("rep", "lead").alias("b")).distinct()
+def _lead_pairs(members: DataFrame) -> DataFrame:
+    """Pairs of the members of a key with its first one, where that is in another group."""
+    leads = members.groupBy(F.col("key").alias("of")).agg(F.min(F.struct("pos", "rep", "size", "grp")).alias("l"))
+    met = members.join(leads, (members["key"] == leads["of"]) & (members["grp"] != F.col("l.grp")) & _possible(F.col("size"), F.col("pos"), F.col("l.size"), F.col("l.pos")))
+    return met.select(*_pair("rep", "l.rep")).distinct()
 
 
 def _all_pairs(others: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs (a, b) of different groups: one of others, one of all members of the same key."""
+    """Pairs of different groups: one of others, one of all members of the same key."""
     x, y = others.alias("x"), members.alias("y")
     can = _possible(F.col("x.size"), F.col("x.pos"), F.col("y.size"), F.col("y.pos"))
     met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.grp") != F.col("y.grp")) & can)
-    return met.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+    return met.select(*_pair("x.rep", "y.rep")).distinct()
+
+
+def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
+    """The pairs that sizes and bitmaps leave."""
+    a, b = (classes.select(F.col("rep").alias(c), F.col("size").alias(f"n{c}"), F.col("bits").alias(f"bits{c}")) for c in "ab")
+    kind = dict(pairs.dtypes)["a"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)))
+            at = [i for i, (m, n, x, y) in enumerate(rows) if differing(x, y) <= m + n - 2 * needed(m, n)]
+            taken = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1)], ["a", "b"])
+
+    sized = pairs.join(a, "a").join(b, "b").where(F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb") - 1e-9)
+    return sized.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(run, f"a {kind}, b {kind}")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
-    """rep, s: the shingle hashes of texts. texts: rep, h, text."""
+    """rep, s: the shingle hashes of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            reps, sets = _own(batch)
-            yield pa.RecordBatch.from_arrays([reps, pa.array(sets, pa.list_(pa.int64()))], ["rep", "s"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_shingles(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], ["rep", "s"])
 
-    return texts.mapInArrow(run, f"rep {dict(texts.dtypes)['rep']}, s array<long>")
+    return texts.select("rep", "text").mapInArrow(run, f"rep {dict(texts.dtypes)['rep']}, s array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -161,28 +215,23 @@ def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return joined.where(both >= SIMILARITY * (F.size("sa") + F.size("sb") - both) - 1e-9).select("a", "b")
 
 
-def _let_go(spark: SparkSession) -> None:
-    """Release the shuffle files of the step just done; Spark holds on to those of its latest action."""
-    gc.collect()
-    spark.range(1).collect()
-    release(spark)
-
-
-def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tables | None = None) -> DataFrame:
     """key, h, component_id of every row: the smallest key of the row's group.
 
     Texts without words are copies of each other. Rows equal in key and text
     have equal results; a null key is no candidate for component_id (a group of
-    null keys alone has null).
+    null keys alone has null). Texts are compared whole, whatever their length.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    began = mark()
-    prints, at_prints = write_table(_prints(docs, key, text), "prints")
-    classes = prints.groupBy("h").agg(F.min("id").alias("rep"))
-    classes, _ = write_table(classes, "classes")
-    known = classes.where(F.col("rep").isNotNull()).select("rep", "h")
-    rows = docs.select(F.col(key).alias("rep"), F.col(text).alias("text"))
+    tables = tables or Tables(spark)
+    prints = tables.write(_prints(docs, key, text), "prints")
+    one = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "fp", "size", "bits"))).alias("one")
+    classes = tables.write(prints.groupBy("h").agg(one).select("h", F.col("one.id").alias("rep"), "one.fp", "one.size", "one.bits"), "classes")
+    known = classes.where(F.col("rep").isNotNull())
+    rows = docs.select(F.col(f"`{key}`").alias("rep"), F.col(f"`{text}`").alias("text"))
+    texts = tables.write(_own(rows.join(known.select("rep", "h"), "rep")), "texts")
+    tables.let_go()
     named = None
 
     def grouped(df: DataFrame) -> DataFrame:
@@ -193,93 +242,113 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFram
         return df.join(own, df["rep"] == own["__node"], "left").withColumn("grp", F.coalesce("__of", "rep")).drop("__node", "__of")
 
     def merge(pairs: DataFrame) -> bool:
-        """Join the groups of verified pairs; what is in one group already is not looked at again."""
+        """Join the groups of the pairs that are near copies."""
         nonlocal named
-        parts = -(-pairs.count() // PAIRS)
-        if not parts:
+        alike = tables.write(_alike(pairs, known), "alike")
+        if alike.isEmpty():
+            return False
+        ends = alike.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
+        sets = tables.write(_sets(texts.join(ends, "rep", "left_semi")), "sets")
+        found = _verified(alike, sets).withColumnRenamed("a", "rep")
+        found = grouped(grouped(found).select(F.col("grp").alias("a"), F.col("b").alias("rep"))).select("a", F.col("grp").alias("b"))
+        found = tables.write(found.where("a <> b").distinct(), "links")
+        tables.drop(sets, alike)
+        tables.let_go()
+        if found.isEmpty():
             return False
-        ends = pairs.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-        sets, at_sets = write_table(_sets(rows.join(known.join(ends, "rep", "left_semi"), "rep").select("rep", "h", "text")), "sets")
-        _let_go(spark)
-        some = False
-        for i in range(parts):
-            part = pairs.where(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == i) if parts > 1 else pairs
-            found = grouped(grouped(_verified(part, sets).withColumnRenamed("a", "rep")).select(F.col("grp").alias("a"), F.col("b").alias("rep"))).select("a", F.col("grp").alias("b"))
-            found, _ = write_table(found.where("a <> b").distinct(), "links")
-            _let_go(spark)
-            if found.isEmpty():
-                continue
-            some = True
-            joined = components(found)
-            if named is not None:
-                more = joined.join(named, "node", "left_anti")
-                to = joined.select(F.col("node").alias("old"), F.col("component").alias("new"))
-                joined = named.join(to, named["component"] == to["old"], "left").select("node", F.coalesce("new", "component").alias("component")).unionByName(more)
-            named, _ = write_table(joined, "named")
-        drop_table(spark, at_sets)
-        return some
-
-    share = min(1.0, SAMPLE_DOCS / max(1, prints.count()))
-    frequent = _frequent(rows, share)
-    _let_go(spark)
-    led, _ = write_table(_with_lead(_keys(rows.join(known, "rep").select("rep", "h", "text"), frequent)), "led")
-    _let_go(spark)
-    pairs, _ = write_table(_lead_pairs(led), "pairs")
-    merge(pairs)
-    tested = pairs
-    of_key = led.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.first(F.struct("lead", "lead_size", "lead_pos")).alias("l")).where("n > 1")
-    of_key, _ = write_table(of_key.select("key", "l.*"), "keys")
-    members = led.join(of_key.select("key"), "key", "left_semi").select("key", "rep", "size", "pos")
-    members, _ = write_table(members.unionByName(of_key.toDF("key", "rep", "size", "pos")), "members")
+        joined = components(found, tables=tables)
+        if named is not None:
+            more = joined.join(named, "node", "left_anti")
+            to = joined.select(F.col("node").alias("old"), F.col("component").alias("new"))
+            joined = named.join(to, named["component"] == to["old"], "left").select("node", F.coalesce("new", "component").alias("component")).unionByName(more)
+        named = tables.write(joined, "named")
+        tables.drop(found)
+        return True
+
+    # what the fingerprints link
+    by_print = tables.write(known.groupBy("fp").agg(F.min("rep").alias("rep")), "fingerprints")
+    equal = known.join(by_print.select("fp", F.col("rep").alias("first")), "fp").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
+    merge(tables.write(simhash.links(by_print, tables).select(*_pair("a", "b")).unionByName(equal).distinct(), "pairs"))
+
+    # what else shares the first shingles
+    none = np.zeros(0, "i8")
+
+    def keys(hot, own: DataFrame | None = None) -> DataFrame:
+        if own is None:
+            return _emit(texts, prefix, hot)
+        return _emit(texts.join(own, texts["rep"] == own["of"], "left").select("rep", "text", "hot"), prefix)
+
+    counted = lambda df: grouped(df.select("key", "rep")).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo < hi").select("key", "n")
+    shared = tables.write(counted(keys(none)), "counts")
+    tables.let_go()
+    hot, own = tables.write(shared.where(F.col("n") > HOT).select("key"), "hot"), None
+    many = hot.count()
+    if 0 < many <= BROADCAST:
+        last = np.sort(hot.toPandas()["key"].to_numpy("i8"))
+    elif many:
+        every = _emit(texts, lambda s, x: s, none).select("key", "rep")
+        own = tables.write(every.join(hot, "key").groupBy(F.col("rep").alias("of")).agg(F.collect_list("key").alias("hot")), "hot_of")
+        last = None
+    if many:
+        tables.drop(shared)
+        shared = tables.write(counted(keys(last, own)), "counts")
+        tables.let_go()
+    else:
+        last = none
+    members = tables.write(keys(last, own).join(shared.select("key"), "key", "left_semi"), "members")
+    tables.let_go()
+    kind = dict(docs.dtypes)[key]
+    tested = spark.createDataFrame([], f"a {kind}, b {kind}")
     for turn in range(ROUNDS + 1):
-        own = grouped(members)
-        per_group, at_groups = write_table(own.groupBy("key", "grp").agg(F.count(F.lit(1)).alias("n")), "sizes")
+        in_groups = tables.write(grouped(members), "placed")
+        per_group = in_groups.groupBy("key", "grp").agg(F.count(F.lit(1)).alias("n"))
         largest = per_group.groupBy("key").agg(F.max(F.struct("n", "grp")).alias("m"), F.sum("n").alias("all")).where("m.n < all")
-        largest, at_largest = write_table(largest.select("key", F.col("m.grp").alias("base"), (F.col("all") - F.col("m.n")).alias("rest")), "bases")
-        own, at_own = write_table(own.join(largest, "key"), "members")
-        others = own.where("grp <> base")
-        many = others.where(F.col("rest") > BUCKET)
+        largest = tables.write(largest.select("key", F.col("m.grp").alias("base"), (F.col("all") - F.col("m.n")).alias("rest")), "largest")
+        placed = tables.write(in_groups.join(largest, "key"), "placed")
+        tables.drop(in_groups)
+        others = placed.where("grp <> base")
         more = False
         if turn < ROUNDS:
-            pairs, _ = write_table(_lead_pairs(_with_lead(many.select("key", "rep", "size", "pos"))).join(tested, ["a", "b"], "left_anti"), "pairs")
+            chosen = placed if not turn else others.where(F.col("rest") > BUCKET)
+            pairs = tables.write(_lead_pairs(chosen).join(tested, ["a", "b"], "left_anti"), "pairs")
             more = merge(pairs)
             tested = tested.unionByName(pairs)
         if not more:  # all that is still apart
-            pairs, _ = write_table(_all_pairs(others, own).join(tested, ["a", "b"], "left_anti"), "pairs")
-            merge(pairs)
+            merge(tables.write(_all_pairs(others, placed).join(tested, ["a", "b"], "left_anti"), "pairs"))
             break
-        for path in (at_groups, at_largest, at_own):
-            drop_table(spark, path)
+        tables.drop(placed, largest)
     if named is None:
-        named = spark.createDataFrame([], f"node {dict(docs.dtypes)[key]}, component {dict(docs.dtypes)[key]}")
+        named = spark.createDataFrame([], f"node {kind}, component {kind}")
     of = classes.join(named, classes["rep"] == named["node"], "left").select(F.col("h").alias("class"), F.coalesce("component", "rep").alias("component_id"))
-    of, at_of = write_table(of, "classes")
-    sweep(spark, began, (at_prints, at_of))
+    of = tables.write(of, "classes")
+    tables.sweep(prints, of)
     return prints.join(of, prints["h"] == of["class"]).select(F.col("id").alias(key), "h", "component_id")
 
 
-def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tables | None = None) -> DataFrame:
     """docs with one row of each group: that with the smallest key, all columns as they are.
 
     Of rows equal in key and text one stays. A group of null keys alone keeps
-    one row.
+    one row. Any name is free for further columns.
     """
-    began = mark()
-    found, _ = write_table(groups(docs, text, key), "groups")
-    keeps = found.where(F.col(key).eqNullSafe(F.col("component_id"))).groupBy(key, "h").agg(F.count(F.lit(1)).alias("n"))
-    keeps, at_keeps = write_table(keeps, "keeps")
-    unique = keeps.where((F.col("n") > 1) | F.col(key).isNull()).isEmpty() and found.groupBy(key).count().where("count > 1").isEmpty()
-    sweep(docs.sparkSession, began, (at_keeps,))
+    tables = tables or Tables(docs.sparkSession)
+    found = tables.write(groups(docs, text, key, tables).toDF("key", "h", "component_id"), "groups")
+    keeps = found.where(F.col("key").eqNullSafe(F.col("component_id"))).groupBy("key", "h").agg(F.count(F.lit(1)).alias("n"))
+    keeps = tables.write(keeps, "keeps")
+    unique = keeps.where((F.col("n") > 1) | F.col("key").isNull()).isEmpty() and found.groupBy("key").count().where("count > 1").isEmpty()
+    tables.sweep(keeps)
+    own, own_h, kept_key, kept_h = free_names(docs.columns, "key", "h", "kept_key", "kept_h")
+    keeps = keeps.select(F.col("key").alias(kept_key), F.col("h").alias(kept_h))
     if unique:
-        return docs.join(keeps.select(key), key, "left_semi")
+        return docs.join(keeps, docs[key] == keeps[kept_key], "left_semi")
 
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)
-            h = pa.array([_text_hash(t) for t in batch.column(at).to_pylist()], pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, h], [*batch.schema.names, "__h"])
+            h = pa.array([_text_hash(simhash.words_of(t)) for t in batch.column(at).to_pylist()], pa.binary())
+            yield pa.RecordBatch.from_arrays([*batch.columns, h], [*batch.schema.names, own_h])
 
     types = dict(docs.dtypes)
-    hashed = docs.mapInArrow(hashes, ", ".join(f"`{c}` {types[c]}" for c in docs.columns) + ", __h long")
-    keeps = keeps.select(F.col(key).alias("__k"), F.col("h").alias("__hh"))
-    return hashed.join(keeps, F.col(key).eqNullSafe(F.col("__k")) & (F.col("__h") == F.col("__hh")), "left_semi").dropDuplicates([key, "__h"]).drop("__h")
+    hashed = docs.mapInArrow(hashes, ", ".join(f"`{c}` {types[c]}" for c in docs.columns) + f", `{own_h}` binary")
+    both = F.col(f"`{key}`").eqNullSafe(F.col(kept_key)) & (F.col(own_h) == F.col(kept_h))
+    return hashed.join(keeps, both, "left_semi").dropDuplicates([key, own_h]).drop(own_h)

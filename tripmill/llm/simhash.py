@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm import golay
-from tripmill.llm.common import mark, small_batches, sweep, write_table
+from tripmill.llm.common import Tables, free_memory, small_batches
 from tripmill.llm.components import components
 
 RADIUS = 2
@@ -35,13 +35,16 @@ SEGMENTS = ((0, 23), (23, 23), (46, 18))
 KEYS = ((0, 1), (1, 0), (2, 0))
 
 
-def shingle_hashes(text: str | None, words: int) -> np.ndarray:
-    """XXH64 (seed 42) of all shingles of a text, repeats included.
+def words_of(text: str | None) -> list[bytes]:
+    """Words between ASCII white space, A-Z as small letters; none of a null text."""
+    return text.encode("utf-8", "surrogatepass").lower().split() if text else []
 
-    A-Z are lower-cased and words are split at ASCII white space; a text of
-    fewer words is one shingle, a null or blank text has none.
+
+def shingle_hashes(parts: list[bytes], words: int) -> np.ndarray:
+    """XXH64 (seed 42) of all shingles of a text's words, repeats included.
+
+    Fewer words are one shingle, no words are none.
     """
-    parts = text.encode("utf-8", "surrogatepass").lower().split() if text else []
     if not parts:
         return np.zeros(0, "u8")
     joined = b" ".join(parts)
@@ -69,8 +72,9 @@ def fingerprints(docs: DataFrame, words: int = 3, text: str = "text", key: str =
     small_batches(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        free_memory()
         for batch in batches:
-            found = np.array([majority(shingle_hashes(t, words)) for t in batch.column(1).to_pylist()], "u8")
+            found = np.array([majority(shingle_hashes(words_of(t), words)) for t in batch.column(1).to_pylist()], "u8")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view("i8"))], [key, "fp"])
 
     return docs.select(key, text).mapInArrow(run, f"{key} {dict(docs.dtypes)[key]}, fp long")
@@ -81,7 +85,7 @@ def fuzzy_keys(classes: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fp, rep = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(2))
+            fp = batch.column(0).to_numpy(zero_copy_only=False)
             segment = [(fp.view("u8") >> np.uint64(at)).astype("i8") & ((1 << width) - 1) for at, width in SEGMENTS]
             keys, rows = [], []
             for t, (exact, fuzzy) in enumerate(KEYS):
@@ -90,19 +94,19 @@ def fuzzy_keys(classes: DataFrame) -> DataFrame:
                 keys.append((t << 60) | (segment[exact][at[0]] << golay.MESSAGE) | index[at])
                 rows.append(at[0])
             rows = np.concatenate(rows)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype("i8")), pa.array(fp[rows]), pa.array(rep[rows])], ["key", "fp", "rep"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).astype("i8")), pa.array(fp[rows]), batch.column(1).take(pa.array(rows))], ["key", "fp", "rep"])
 
-    return classes.select("fp", "rep").mapInArrow(run, "key long, fp long, rep long")
+    return classes.select("fp", "rep").mapInArrow(run, f"key long, fp long, rep {dict(classes.dtypes)['rep']}")
 
 
-def links(classes: DataFrame, bucket: int = BUCKET) -> DataFrame:
+def links(classes: DataFrame, tables: Tables, bucket: int = BUCKET) -> DataFrame:
     """a, b: representatives whose fingerprints are connected by links of at most RADIUS bits.
 
     Every link of a key with at most ``bucket`` fingerprints is there; the
     others are there as paths through midpoints' smallest members.
     """
-    keys, _ = write_table(fuzzy_keys(classes), "keys")
-    hot, _ = write_table(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket).select("key"), "hot")
+    keys = tables.write(fuzzy_keys(classes), "keys")
+    hot = tables.write(keys.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > bucket).select("key"), "hot")
     some = not hot.isEmpty()
     cool = keys.join(hot, "key", "left_anti") if some else keys
     x, y = cool.alias("x"), cool.alias("y")
@@ -112,13 +116,13 @@ def links(classes: DataFrame, bucket: int = BUCKET) -> DataFrame:
         return found
     members = keys.join(hot, "key", "left_semi").select("fp", "rep").distinct()
     around = F.concat(F.array("fp"), F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.col("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), i))))
-    middles, _ = write_table(members.select("rep", F.explode(around).alias("mid")), "middles")
+    middles = tables.write(members.select("rep", F.explode(around).alias("mid")), "middles")
     hubs = middles.groupBy("mid").agg(F.min("rep").alias("hub"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    hubs, _ = write_table(hubs.select("mid", "hub"), "hubs")
+    hubs = tables.write(hubs.select("mid", "hub"), "hubs")
     return found.unionByName(middles.join(hubs, "mid").where("rep <> hub").select(F.col("rep").alias("a"), F.col("hub").alias("b")))
 
 
-def groups(docs: DataFrame, words: int = 3, text: str = "text", key: str = "doc_id", bucket: int = BUCKET) -> DataFrame:
+def groups(docs: DataFrame, words: int = 3, text: str = "text", key: str = "doc_id", bucket: int = BUCKET, tables: Tables | None = None) -> DataFrame:
     """key, fp, component_id of every row; component_id is the smallest key reachable.
 
     Rows with equal fingerprints are one class from the start, so groups of
@@ -126,11 +130,11 @@ def groups(docs: DataFrame, words: int = 3, text: str = "text", key: str = "doc_
     are linked like any other. Rows with equal keys stay separate rows. A null
     key is no candidate for component_id; a group of null keys alone has null.
     """
-    began = mark()
-    prints, at_prints = write_table(fingerprints(docs, words, text, key), "prints")
-    classes, _ = write_table(prints.groupBy("fp").agg(F.min(key).alias("rep")), "classes")
-    named = components(links(classes.where(F.col("rep").isNotNull()), bucket))
+    tables = tables or Tables(docs.sparkSession)
+    prints = tables.write(fingerprints(docs, words, text, key), "prints")
+    classes = tables.write(prints.groupBy("fp").agg(F.min(key).alias("rep")), "classes")
+    named = components(links(classes.where(F.col("rep").isNotNull()), tables, bucket), tables=tables)
     wide = classes.join(named, classes["rep"] == named["node"], "left").select(F.col("fp").alias("class"), F.coalesce("component", "rep").alias("component_id"))
-    wide, at_wide = write_table(wide, "classes")
-    sweep(docs.sparkSession, began, (at_prints, at_wide))
+    wide = tables.write(wide, "classes")
+    tables.sweep(prints, wide)
     return prints.join(wide, prints["fp"] == wide["class"]).select(key, "fp", "component_id")
