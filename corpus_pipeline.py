@@ -14,62 +14,49 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import langid, nearcopies, packing, pii, suffixdedup
-from tripmill.llm.common import drop_table, mark, release, shared_dir, written
+from tripmill.llm.common import Tables, shared_dir
 from tripmill.llm.queries import pii_key, vocabulary
 
 #: A document is rejected if its likeliest language has less than this part of it.
 LEAST_PART = 0.3
-#: Tables that the latest stage's result reads.
-_LEFT: list[str] = []
+#: The tables of the latest stage of each session.
+_LATEST: dict[SparkSession, Tables] = {}
 
 
-def _stage(f):
-    """A stage begins when the one before is written, so that one's tables can go."""
+def _tables(spark: SparkSession) -> Tables:
+    """A stage's tables. It begins when the one before is written, so that one's can go."""
+    if spark in _LATEST:
+        _LATEST.pop(spark).sweep()
+    _LATEST[spark] = Tables(spark)
+    return _LATEST[spark]
 
-    @functools.wraps(f)
-    def run(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        while _LEFT:
-            drop_table(spark, _LEFT.pop())
-        release(spark)
-        began = mark()
-        out = f(spark, docs, sf_dir)
-        _LEFT.extend(written(began))
-        return out
 
-    return run
-
-
-@_stage
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without letters and those in which no language prevails."""
     found = langid.predict(docs, langid.fit(docs), keep=docs.columns)
     return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_PART)).select(*docs.columns)
 
 
-@_stage
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of each group of copies."""
-    return nearcopies.keep_one(docs).select(*docs.columns)
+    return nearcopies.keep_one(docs, tables=_tables(spark)).select(*docs.columns)
 
 
-@_stage
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Removes later copies of strings of 200 bytes; documents of which nothing is left go."""
-    others = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
-    found = suffixdedup.dedup(docs, keep_first=True, outputs=True, columns=others)
+    found = suffixdedup.dedup(docs, keep_first=True, outputs=True, row=True, tables=_tables(spark))
     cut = F.col("n_removed") > 0
     text = F.when(cut, F.trim("kept")).otherwise(F.col("kept"))
-    out = found.withColumn("text", text).withColumn("n_chars", F.when(cut, F.length("text").cast("long")).otherwise(F.col("n_chars")))
-    return out.where(~cut | (F.length("text") > 0)).select(*docs.columns)
+    made = {"text": text, "n_chars": F.when(cut, F.length(text).cast("long")).otherwise(F.col("row.n_chars"))}
+    return found.where(~cut | (F.length(text) > 0)).select(*[made.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
 
 
-@_stage
 def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replaces personal data by pseudonyms of the same format and length."""
+    _tables(spark)
     return pii.pseudonymize(docs, pii_key(spark)).select(*docs.columns)
 
 
-@_stage
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of 4096 ids."""
     return packing.pack(docs, vocabulary())
