@@ -3,6 +3,7 @@
 import hashlib
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -33,14 +34,15 @@ def odd_texts(seed=1, n=300):
 
 
 def ids_of(text):
-    return np.frombuffer(bpe.ids_of(text, PATH), "<u4").tolist()
+    return np.frombuffer(next(bpe.ids_of([text], PATH)), "<u4").tolist()
 
 
 def test_ids_equal_the_library(library):
     automaton = bpe.memo(PATH, "bytes").automaton
-    for text in odd_texts():
+    texts = odd_texts()
+    for text, got in zip(texts, bpe.ids_of(texts, PATH), strict=True):
         want = library.encode(text, add_special_tokens=False).ids
-        assert ids_of(text) == want, text
+        assert np.frombuffer(got, "<u4").tolist() == want, text
         assert automaton.decode(want) == library.decode(want, skip_special_tokens=False)
 
 
@@ -50,14 +52,73 @@ def test_memo_forgets_but_stays_right(library, monkeypatch):
         assert ids_of(text) == library.encode(text, add_special_tokens=False).ids
 
 
-def test_automaton_rejects_what_bpe_does_not_make(library):
+def test_transition_table_equals_the_library(library):
+    """An arc leads from a label's state exactly if the library splits their text so."""
     automaton = bpe.memo(PATH, "bytes").automaton
-    ids = automaton.ids
-    assert not automaton.arc(ids["t"], ids["h"]) and not automaton.arc(ids["t"], ids["he</w>"])
-    assert automaton.arc(ids["th"], ids["e</w>"]) is False  # joined by a later merge
-    for word in ("hello", "tokenization", "aaaaaaa"):
-        path = automaton.encode(word)
-        assert all(automaton.arc(a, b) for a, b in zip(path, path[1:]))
+    rng = random.Random(6)
+    ids, end = automaton.ids, automaton.end
+    inner = [x for x in ids if not x.endswith(end)]
+    every, by_start = sorted(ids), {}
+    for x in ids:
+        by_start.setdefault(x[0], []).append(x)
+    pairs = [(rng.choice(inner), rng.choice(every)) for _ in range(10_000)]
+    pairs += [(a, rng.choice(by_start[x])) for a in rng.sample(inner, 4000) for x in (a[-1], a[0], "e") if x in by_start]  # many that are joined
+    pairs += [(a * m, a * n + e) for a in "aeox!-=" for m in range(1, 9) for n in range(1, 9) for e in ("", end) if a * m in ids and a * n + e in ids]
+    want = []
+    for a, b in pairs:
+        whole = b.endswith(end) and b != end
+        got = [t.id for t in library.model.tokenize(a + (b.removesuffix(end) if whole else b))]
+        want.append(got == [ids[a], ids[b]] if whole else None)  # the library always ends a word
+    got = automaton.arcs(np.array([ids[a] for a, _ in pairs]), np.array([ids[b] for _, b in pairs])).tolist()
+    checked = [(g, w) for g, w in zip(got, want) if w is not None]
+    assert len(checked) > 3000 and sum(w for _, w in checked) > 500 and sum(not w for _, w in checked) > 500
+    assert all(g == w for g, w in checked)
+
+
+def test_gadgets_equal_merging_by_rank():
+    """The table on all pairs of labels of small vocabularies."""
+    rng = random.Random(7)
+    for _ in range(30):
+        tokens, merges = list("abc"), []
+        for _ in range(12):
+            u, v = rng.choice(tokens), rng.choice(tokens)
+            if u + v not in tokens:
+                merges.append((len(tokens), tokens.index(u), tokens.index(v)))
+                tokens.append(u + v)
+        made = bpe.Automaton.__new__(bpe.Automaton)
+        made.size = len(tokens)
+        made._compile(np.array([(u, v, uv) for uv, u, v in merges], "i8").reshape(-1, 3))
+        size = len(tokens)
+        for word in ("".join(rng.choices("abc", k=rng.randrange(2, 9))) for _ in range(200)):
+            path = bpe_by_merging(word, tokens, merges)
+            if len(path) > 1:
+                assert made.arcs(np.array(path[:-1]), np.array(path[1:])).all()
+        for p in range(size):
+            for t in range(size):
+                if bpe_by_merging(tokens[p], tokens, merges) == [p] and bpe_by_merging(tokens[t], tokens, merges) == [t]:
+                    assert made.arcs(np.array([p]), np.array([t]))[0] == (bpe_by_merging(tokens[p] + tokens[t], tokens, merges) == [p, t])
+
+
+def bpe_by_merging(word, tokens, merges):
+    path = ["abc".index(c) for c in word]
+    for uv, u, v in merges:
+        out = []
+        for t in path:
+            if out and out[-1] == u and t == v:
+                out[-1] = uv
+            else:
+                out.append(t)
+        path = out
+    return path
+
+
+def test_long_words_and_unknown_patterns(library, tmp_path):
+    for text in ("=" * 5000, "ab" * 5000, "x" * 20_000):
+        assert ids_of(text) == library.encode(text, add_special_tokens=False).ids
+    other = tmp_path / "other.json"
+    other.write_text(open(PATH, encoding="utf-8").read().replace("'ll|'d", "'ll"), encoding="utf-8")
+    with pytest.raises(ValueError):
+        bpe.Automaton(str(other))
 
 
 def test_codec_query_columns(spark, library):
@@ -123,6 +184,14 @@ def test_packed_pieces_are_whole(spark, library):
                 assert offset == end
                 end += length
             assert end <= 64
+        assert len({(r["sequence_id"], r["offset"]) for r in got}) == len(got)
         used = sum(r["length"] for r in got)
         assert used / (64 * len(places)) > 0.9
     assert packing.pack(docs.limit(0), PATH).count() == 0
+
+
+def test_repeated_rows_are_packed_by_many_tasks(spark):
+    docs = spark.createDataFrame([(7, "the same words again")] * 2000, "doc_id long, text string").repartition(4)
+    got = packing.pack(docs, PATH, size=64, shard_docs=100).collect()
+    shards = Counter(r["sequence_id"] >> 32 for r in got)
+    assert len(got) == 2000 and len(shards) == 20 and max(shards.values()) < 200

@@ -10,17 +10,24 @@ symbol. The gadget of merge (u, v), applied in rank order,
 * adds an arc uv wherever an arc u could be followed by v, leading to where v
   led.
 
-A state is thus named by the label that enters it, and copies share all arcs
-but the removed ones. The construction keeps, for each token, the label whose
-state it copies (its right part), the arc it extends (its left part) and the
-rank at which that happened; ``arc`` resolves one transition from these tables
-and keeps it in the transition table. The table therefore holds the arcs that
-the corpus uses, not the billions that the product of states and labels has.
-
-Encoding walks a word left to right. Each prefix of a word has one
-tokenization, so for each position the one token is kept that ends there and
-that has an arc from the state at its start. Decoding emits the arcs' labels.
+A state is thus named by the label that enters it. The state of uv starts as a
+copy of v's, and the arc uv is copied from the arcs u; so what a gadget removes
+is inherited by all states and arcs that are copied later. Number the states such
+that each is followed by its copies, latest first, and theirs, and the labels in
+the same way: the heirs of u's state after a certain rank are then a range of
+states, those of the arc v a range of labels, and a gadget removes one rectangle
+from the table. ``_compile`` puts the rectangles together, state by state, as
+sorted ranges of labels that have no arc: the whole table, for some 10^9 pairs
+of state and label, in a few megabytes.
+
+Encoding walks words left to right, many at a time. Each beginning of a word has
+one tokenization, so each place is entered by one label, and the transition table
+says which labels lead on from there. Nothing is taken back. Decoding emits the
+arcs' labels.
 Normalisation and pre-splitting follow the vocabulary file.
+
+Vocabulary files must have the splitting pattern that is fixed below, one merge
+for each token, and merges after those of their parts; others raise an error.
 """
 
 from __future__ import annotations
@@ -30,6 +37,7 @@ import json
 import re
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
@@ -41,15 +49,15 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 #: Distinct words whose codes a worker remembers, twice.
 MEMO = 320_000
-#: Arcs that a worker keeps resolved.
-ARCS = 400_000
+#: Characters of texts whose words are encoded together.
+CHUNK = 500_000
 
 
 class Automaton:
     """The tokenization automaton of a word-end BPE vocabulary file.
 
     >>> a = Automaton(path)
-    >>> a.encode(["hel", "lo"])  # symbols of one word
+    >>> ids, counts = a.encode(["hello", "you"])
     """
 
     def __init__(self, path: str) -> None:
@@ -67,102 +75,125 @@ class Automaton:
             self.label[i] = s
         for s, i in self.special.items():
             self.label[i] = s
-        found: dict[str, set[int]] = {}  # four first symbols -> the sizes of labels that start so, longest first
-        for x in self.ids:
-            x = x.removesuffix(self.end) if self.end and len(x) > len(self.end) else x
-            if len(x) > 3:
-                found.setdefault(x[:4], set()).add(len(x))
-        self.sizes = {x: (*sorted(n, reverse=True), 3, 2, 1) for x, n in found.items()}
         library = Tokenizer.from_file(path)
         self._normalize = library.normalizer.normalize_str if library.normalizer else str
         self._presplit = library.pre_tokenizer.pre_tokenize_str if library.pre_tokenizer else lambda s: [(s, None)]
         if _PATTERN not in json.dumps(spec["pre_tokenizer"]).replace("\\\\", "\\"):
             raise ValueError("the vocabulary's pattern is not the one that texts are split by here")
         self._cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
-        # the gadgets, in rank order
-        self.left, self.right = [-1] * size, [-1] * size
-        self.born = [0] * size
-        self.removed: dict[int, int] = {}
         self.size = size
-        for rank, merge in enumerate(model["merges"], 1):
-            u, v = merge if isinstance(merge, list) else merge.split(" ")
-            self._gadget(self.ids[u], self.ids[v], self.ids[u + v], rank)
-        self.arcs: dict[int, bool] = {}
-
-    def _gadget(self, u: int, v: int, uv: int, rank: int) -> None:
-        self.removed.setdefault(u * self.size + v, rank)
-        if not self.born[uv]:
-            self.left[uv], self.right[uv], self.born[uv] = u, v, rank
-
-    def arc(self, state: int, token: int) -> bool:
-        """Whether the state that label ``state`` enters has an arc ``token``."""
-        key = state * self.size + token
-        known = self.arcs.get(key)
-        if known is None:
-            if len(self.arcs) >= ARCS:
-                self.arcs.clear()
-            known = self.arcs[key] = self._resolve(state, token)
-        return known
-
-    def _resolve(self, p: int, t: int) -> bool:
-        """Undo the gadgets that made p's state and t's arc, latest first.
-
-        The arc exists if no join of the labels on the way had been applied
-        when it was needed. ``before`` is the rank whose gadget, and later
-        ones, do not count.
-        """
-        before = len(self.removed) + 1
-        born, left, right, removed, size = self.born, self.left, self.right, self.removed, self.size
-        while True:
-            if removed.get(p * size + t, before) < before:
-                return False
-            if born[p] > born[t]:  # p's state began as right(p)'s, before that gadget removed an arc
-                before, p = born[p], right[p]
-            elif born[t] > born[p]:  # the arc was added where left(t) was left after the removal
-                before, t = born[t] + 1, left[t]
-            elif born[p]:  # one token twice: right(p)'s state had the arc left(p)
-                before, p, t = born[p], right[p], left[p]
-            else:
-                return True
-
-    def encode(self, word: str) -> list[int]:
-        """Ids of one pre-split word (in the vocabulary's byte alphabet).
-
-        Follows the longest arc first. A position reached by a path has one
-        tokenization before it, so once no path leads on from it, it is dead
-        for all paths and no position is tried twice.
+        merges = [merge if isinstance(merge, list) else merge.split(" ") for merge in model["merges"]]
+        self._spell()
+        self._compile(np.array([(self.ids[u], self.ids[v], self.ids[u + v]) for u, v in merges], "i8").reshape(-1, 3))
+
+    def _compile(self, merges: np.ndarray) -> None:
+        """Apply the gadgets (u, v, uv) in rank order; see the module's text."""
+        size, rank = self.size, np.arange(1, len(merges) + 1)
+        u, v, uv = merges.T
+        born = np.zeros(size, "i8")
+        born[uv] = rank
+        if len(np.unique(uv)) < len(uv) or np.any(born[u] >= rank) or np.any(born[v] >= rank):
+            raise ValueError("the vocabulary has two merges for a token, or a merge before those of its parts")
+        # states are copied from that of the right part, arcs from that of the left part
+        self.state, state_from, state_to = _heirs(size, uv, v, born, u, rank)
+        self.arc_, arc_from, arc_to = _heirs(size, uv, u, born, v, rank - 1)  # in a run of one symbol, the first two are joined first
+        # a rectangle of states and labels for each gadget: one range of labels for each of its states
+        high = state_to - state_from
+        row = np.repeat(state_from - np.cumsum(high) + high, high) + np.arange(high.sum())
+        order = np.lexsort((-np.repeat(arc_to, high), np.repeat(arc_from, high), row))
+        row, first, last = row[order], np.repeat(arc_from, high)[order], np.repeat(arc_to, high)[order]
+        # ranges are nested or apart: what starts before the end of one is in it
+        reach = np.maximum.accumulate(row * (size + 1) + last)
+        outer = np.ones(len(row), bool)
+        outer[1:] = row[1:] * (size + 1) + first[1:] >= reach[:-1]
+        row, first, last = row[outer], first[outer], last[outer]
+        self.first, self.last = row * (size + 1) + first, row * (size + 1) + last
+
+    def arcs(self, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+        """Whether the states that labels ``states`` enter have arcs ``tokens``."""
+        place = self.state[states] * (self.size + 1) + self.arc_[tokens]
+        at = np.searchsorted(self.first, place, "right") - 1
+        return (at < 0) | (place >= self.last[at]) if len(self.first) else np.ones(len(place), bool)
+
+    def _spell(self) -> None:
+        """A trie of the labels: sorted (node, symbol) pairs, where they lead, and the labels that end there."""
+        nodes: dict[str, int] = {"": 0}
+        edges: list[tuple[int, int, int]] = []
+        inside, last = [-1], [-1]
+        for text, token in self.ids.items():
+            ends = bool(self.end) and text.endswith(self.end) and text != self.end
+            text = text[: -len(self.end)] if ends else text
+            for i in range(1, len(text) + 1):
+                if text[:i] not in nodes:
+                    edges.append((nodes[text[: i - 1]], ord(text[i - 1]), len(nodes)))
+                    nodes[text[:i]] = len(nodes)
+                    inside.append(-1)
+                    last.append(-1)
+            for to in [last] if ends else [inside] if self.end else [inside, last]:
+                to[nodes[text]] = token
+        table = np.array(edges, "i8").reshape(-1, 3)
+        key = table[:, 0] << 21 | table[:, 1]
+        order = np.argsort(key)
+        self.edge, self.leads = key[order], table[order, 2]
+        self.inside, self.at_end = np.array(inside), np.array(last)
+        self.length = np.array([len(x) for x in self.label])
+        if self.end:
+            self.length -= np.array([len(self.end) if x.endswith(self.end) and x != self.end else 0 for x in self.label])
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-split words (in the vocabulary's byte alphabet, none empty), and how many each word has.
+
+        All words are walked at once: first the trie tells which labels stand at
+        which places, then one place of all words after the other is entered.
         """
-        n, ids, end, sizes, arcs, wide = len(word), self.ids, self.end, self.sizes, self.arcs, self.size
-        path: list[int] = []
-        trail: list = []
-        dead: set[int] = set()
-        i, row = 0, -1  # row: where the state's arcs are in the transition table
-        tries = iter(sizes.get(word[:4], (3, 2, 1)))
-        while True:
-            for size in tries:
-                j = i + size
-                if j < n:
-                    token = ids.get(word[i:j])
-                elif j == n:
-                    token = ids.get(word[i:] + end)
-                else:
-                    continue
-                if token is not None and (row < 0 or (known if (known := arcs.get(row + token)) is not None else self.arc(row // wide, token))) and j not in dead:
-                    break
-            else:
-                dead.add(i)
-                if not path:
-                    raise ValueError(f"no tokenization of {word!r}")
-                path.pop()
-                i, tries = trail.pop()
-                row = path[-1] * wide if path else -1
-                continue
-            path.append(token)
-            if j == n:
-                return path
-            trail.append((i, tries))
-            i, row = j, token * wide
-            tries = iter(sizes.get(word[i : i + 4], (3, 2, 1)))
+        symbols = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype("i8")
+        size = np.fromiter(map(len, words), "i8", len(words))
+        end = np.cumsum(size)
+        word = np.repeat(np.arange(len(words)), size)
+        stop = end[word]
+        found = []
+        place, node, depth = np.arange(len(symbols)), np.zeros(len(symbols), "i8"), 0
+        while len(place):
+            key = node << 21 | symbols[place + depth]
+            at = np.minimum(np.searchsorted(self.edge, key), len(self.edge) - 1)
+            some = self.edge[at] == key
+            place, node = place[some], self.leads[at[some]]
+            depth += 1
+            whole = place + depth == stop[place]
+            token = np.where(whole, self.at_end[node], self.inside[node])
+            here = token >= 0
+            found.append(np.stack([place[here], np.full(here.sum(), depth), token[here]]))
+            place, node = place[~whole], node[~whole]
+        place, depth, token = np.concatenate(found, 1) if found else np.zeros((3, 0), "i8")
+        # a word has one more place than symbols, so a place's number grows by that of its word
+        step = place - (end - size)[word[place]]
+        order = np.argsort(step, kind="stable")
+        step, place, depth, token = step[order], (place + word[place])[order], depth[order], token[order]
+        entered = np.full(len(symbols) + len(words), -1)
+        for a, b in zip(*(np.searchsorted(step, np.arange(step[-1] + 1 if len(step) else 0), side) for side in ("left", "right"))):
+            p, d, t = place[a:b], depth[a:b], token[a:b]
+            if a:
+                by = entered[p]
+                on = by >= 0
+                p, d, t, by = p[on], d[on], t[on], by[on]
+                on = self.arcs(by, t)
+                p, d, t = p[on], d[on], t[on]
+            entered[p + d] = t
+        # back from each word's end
+        now, of, path = end + np.arange(len(words)), np.arange(len(words)), []
+        first = now - size
+        while len(of):
+            token = entered[now]
+            if token.min() < 0:
+                raise ValueError(f"no tokenization of {words[of[token.argmin()]]!r}")
+            path.append((of, token))
+            now = now - self.length[token]
+            left = now > first[of]
+            now, of = now[left], of[left]
+        of = np.concatenate([x[0] for x in path[::-1]]) if path else np.zeros(0, "i8")
+        ids = np.concatenate([x[1] for x in path[::-1]]) if path else np.zeros(0, "i8")
+        order = np.argsort(of, kind="stable")
+        return ids[order], np.bincount(of, minlength=len(words))
 
     def decode(self, ids: list[int]) -> str:
         """Labels of the arcs, as the library joins them when the file names no decoder."""
@@ -176,11 +207,45 @@ class Automaton:
             if part in self.special:
                 out.append(self.special[part])
             elif part:
-                for word, _ in self._presplit(self._normalize(part)):
-                    out += self.encode(word)
+                words = [word for word, _ in self._presplit(self._normalize(part))]
+                out += self.encode(words)[0].tolist() if words else []
         return out
 
 
+def _heirs(size: int, made: np.ndarray, of: np.ndarray, born: np.ndarray, asked: np.ndarray, after: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers of all labels such that copies follow what they are copied from, latest first; and ranges of heirs.
+
+    Label ``made[i]`` is copied from ``of[i]``, at rank born. The heirs of
+    ``asked[i]`` are itself and what was copied from it after rank ``after[i]``,
+    with all copies of those: the range from its number to the second result.
+    """
+    order = made[np.argsort(-born[made], kind="stable")]  # latest first
+    parent = np.full(size, -1, "i8")
+    parent[made] = of
+    weight = np.ones(size, "i8")  # of a label with all its heirs
+    for x in order.tolist():  # copies come later than what they are copied from
+        weight[parent[x]] += weight[x]
+    number = np.full(size, -1, "i8")
+    roots = np.flatnonzero(parent < 0)
+    number[roots] = np.cumsum(weight[roots]) - weight[roots]
+    # before a copy stand its source and the source's later copies, with their heirs
+    by_source = order[np.argsort(parent[order], kind="stable")]
+    source = parent[by_source]
+    total = np.cumsum(weight[by_source])
+    head = np.searchsorted(source, source)
+    before = total - weight[by_source] - np.where(head > 0, total[head - 1], 0)
+    shift = np.zeros(size, "i8")
+    shift[by_source] = before + 1
+    for x in order[::-1].tolist():
+        number[x] = number[parent[x]] + shift[x]
+    # the copies of ``asked`` after a rank are the first ones of its list
+    key = source * (len(made) + 2) + (len(made) + 1 - born[by_source])
+    upto = np.searchsorted(key, asked * (len(made) + 2) + (len(made) + 1 - after))
+    start = np.searchsorted(source, asked)
+    sums = np.concatenate([[0], total])
+    return number, number[asked], number[asked] + 1 + sums[np.maximum(upto, start)] - sums[start]
+
+
 #: Texts of these characters alone are split here; all others by the library.
 _PLAIN = re.compile("[\t-\r -~\xa1\xab\xbb\xbf\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
 #: The vocabulary file's pattern, for those characters and in lower case.
@@ -217,22 +282,46 @@ class Memo(dict):
         self.automaton, self.make = automaton, make
         self.old: dict = {}
 
+    def learn(self, keys: set[str]) -> None:
+        """Encode what is not known yet, all words together."""
+        new = keys.difference(self, self.old)
+        words = [k for k in new if k[0] != _PIECE]
+        if words:
+            ids, count = self.automaton.encode([k if k.isascii() else k.encode().decode("latin-1").translate(_BYTES) for k in words])
+            ids, ends = ids.tolist(), np.cumsum(count).tolist()
+            for key, a, b in zip(words, [0, *ends], ends):
+                self[key] = self.make(ids[a:b])
+        for key in new.difference(words):
+            self[key] = self.make(self.automaton.piece(key[1:]))
+
     def __missing__(self, key: str):
-        value = self.old.get(key)
-        if value is None:
-            if key[0] == _PIECE:
-                ids = self.automaton.piece(key[1:])
-            else:
-                ids = self.automaton.encode(key if key.isascii() else key.encode().decode("latin-1").translate(_BYTES))
-            value = self.make(ids)
-            if len(key) > 100:
-                return value
-        if len(self) >= MEMO:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
+        self[key] = value = self.old[key]
         return value
 
+    def values_of(self, texts: list[str | None]) -> Iterator[list]:
+        """What the keys of each text stand for."""
+        for at in _chunks(texts):
+            keys = [pieces(t) if t else [] for t in texts[at]]
+            every = set().union(*keys)
+            if len(self) + len(every) > MEMO:
+                self.old = dict(self)
+                self.clear()
+            self.learn(every)
+            for k in keys:
+                yield list(map(self.__getitem__, k))
+
+
+def _chunks(texts: list[str | None]) -> Iterator[slice]:
+    """Slices of about CHUNK characters, of one text at least."""
+    first, size = 0, 0
+    for i, t in enumerate(texts):
+        size += len(t or "")
+        if size >= CHUNK:
+            yield slice(first, i + 1)
+            first, size = i + 1, 0
+    if first < len(texts):
+        yield slice(first, len(texts))
+
 
 _MADE: dict[tuple, Memo] = {}
 CACHES.append(_MADE)
@@ -250,9 +339,9 @@ def memo(path: str, kind: str) -> Memo:
     return _MADE[path, kind]
 
 
-def ids_of(text: str | None, path: str) -> bytes:
-    """Ids of a text as little-endian unsigned 32-bit numbers."""
-    return b"".join(map(memo(path, "bytes").__getitem__, pieces(text))) if text else b""
+def ids_of(texts: list[str | None], path: str) -> Iterator[bytes]:
+    """Ids of each text as little-endian unsigned 32-bit numbers."""
+    return map(b"".join, memo(path, "bytes").values_of(texts))
 
 
 def codec(docs: DataFrame, vocabulary: str, text: str = "text", key: str = "doc_id", outputs: bool = False) -> DataFrame:
@@ -270,8 +359,8 @@ def codec(docs: DataFrame, vocabulary: str, text: str = "text", key: str = "doc_
         known = memo(vocabulary, "texts")
         for batch in batches:
             counts, digests, decoded, more_ids, more_text = [], [], [], [], []
-            for t in batch.column(1).to_pylist():
-                if t and (made := list(map(known.__getitem__, pieces(t)))):
+            for made in known.values_of(batch.column(1).to_pylist()):
+                if made:
                     ids, labels = zip(*made)
                     ids, labels = " ".join(ids), " ".join(labels)
                     counts.append(ids.count(" ") + 1)
