@@ -59,7 +59,7 @@ def private_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs what is left into sequences of 4096 ids."""
-    return packing.pack(docs, vocabulary())
+    return packing.pack(docs, vocabulary(), tables=_tables(spark))
 
 
 STAGES = [("language", language), ("near copies", near_copies), ("repeated passages", repeated_passages), ("private data", private_data), ("packing", packed)]
