@@ -33,22 +33,23 @@ def test_held_out_accuracy_mixtures_and_odd_rows(spark):
     assert model.languages == ["aa", "bb", "cc"]
     got = langid.predict(spark.createDataFrame(held + odd, DOCS), model).collect()
     assert len(got) == len(held) + len(odd)
-    by = {r["doc_id"]: r for r in got}
+    by = {r["row"]["doc_id"]: r for r in got}
+    assert all(r["row"]["score"] == "x" and r["row"]["lang_pred"] == "y" for r in got)
     assert all(by[r[0]]["lang_pred"] == r[2] and by[r[0]]["n_langs"] == 1 for r in held)
     assert all((by[i]["lang_pred"], by[i]["score"]) == ("und", 0.0) for i in (1000, 1001, 1002))
     mixed = by[1003]
     assert mixed["n_langs"] == 2 and abs(mixed["langs"]["aa"] - 0.6) < 0.05 and abs(mixed["langs"]["bb"] - 0.4) < 0.05
-    assert sorted(r["lang_pred"] for r in got if r["doc_id"] == 1004) == ["aa", "cc"]
+    assert sorted(r["lang_pred"] for r in got if r["row"]["doc_id"] == 1004) == ["aa", "cc"]
 
 
 def test_long_text_in_slices_equals_one_slice(monkeypatch):
     text = prose(random.Random(3), "aa", 400)
     table = np.random.default_rng(0).random(((1 << langid.BITS) + 1, 3)).astype("f4")
     table[-1] = 0  # no n-gram
-    whole, _ = langid.word_scores([text.lower()], table)
+    whole, random_letters, _ = langid.word_scores([text.lower()], table)
     monkeypatch.setattr(langid, "SLICE", 100)
     parts = [langid.word_scores(p, table)[0] for _, p in langid.groups([text])]
-    assert len(parts) > 10 and np.allclose(np.concatenate(parts), whole)
+    assert len(parts) > 10 and np.allclose(np.concatenate(parts), whole) and len(random_letters) == len(whole)
 
 
 def test_nothing_to_learn_from(spark):
@@ -59,6 +60,43 @@ def test_nothing_to_learn_from(spark):
     assert langid.predict(empty, model).count() == 0
 
 
+def test_mixtures_equal_another_implementation():
+    """Proportions and the chosen set, word by word from the description."""
+    rng = np.random.default_rng(4)
+    for _ in range(20):
+        many, n = int(rng.integers(2, 5)), int(rng.integers(1, 40))
+        scores = -rng.gamma(1.0, 2.0, (n, many))
+
+        def em(pi, rounds):
+            for _ in range(rounds):
+                parts = [[p * np.exp(s) for p, s in zip(pi, word)] for word in scores]
+                pi = [sum(part[l] / sum(part) for part in parts) / n for l in range(many)]
+            return pi, sum(np.log(sum(p * np.exp(s) for p, s in zip(pi, word))) for word in scores)
+
+        full, _ = em([1 / many] * many, 6)
+        order = sorted(range(many), key=lambda l: -full[l])
+        best = None
+        for k in range(1, many + 1):
+            start = [max(full[l], 1e-6) * (l in order[:k]) for l in range(many)]
+            pi, fit = em([p / sum(start) for p in start], 0 if k == 1 else 2)
+            cost = -2 * fit + 2 * k * np.log(n + 1)
+            if best is None or cost < best[0]:
+                best = (cost, pi, k)
+        pi, kept = langid.mixtures(scores, np.array([0]))
+        # the operator leaves out each word's best score from the fit, a constant of the document
+        assert kept[0] == best[2] and np.allclose(pi[0], best[1], atol=1e-6)
+
+
+def test_odds_tell_languages_from_noise(spark):
+    rng = random.Random(7)
+    model = langid.fit(spark.createDataFrame([(i, prose(rng, lang), lang, "x", "y") for i, lang in enumerate(["aa", "bb", "cc"] * 40)], DOCS))
+    noise = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz    ") for _ in range(300)), "слова другого письма " * 10, "Kxq wzz"]
+    texts = [*(prose(rng, lang, n) for lang in WORDS for n in (1, 5, 50)), *noise, "..."]
+    got = langid.predict(spark.createDataFrame([(i, t, None, "x", "y") for i, t in enumerate(texts)], DOCS), model).collect()
+    odds = {r["row"]["doc_id"]: r["odds"] for r in got}
+    assert all(odds[i] > 0 for i in range(9)) and all(odds[i] < 0 for i in range(9, 12)) and odds[12] is None
+
+
 def test_em_recovers_proportions():
     rng = np.random.default_rng(1)
     true = np.array([0.7, 0.3, 0.0])

@@ -8,6 +8,10 @@ languages is chosen by penalised likelihood.
 The model is a table of languages by hashed n-grams, so its size is bounded
 whatever the corpus; it is counted on a bounded sample of labelled rows.
 Prediction is one narrow pass over whole texts.
+
+How well the learned languages explain a document at all is said by its odds
+against letters drawn at random: texts in other scripts, or of keyboard noise,
+have odds below 0.
 """
 
 from __future__ import annotations
@@ -20,11 +24,16 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tripmill.llm.common import free_memory, small_batches
 
 #: Labelled documents to learn from, of each language (about, by a hash of the key).
 SAMPLE_DOCS = 1500
+#: Languages to learn at most, the most frequent ones; each takes 128 KiB of the model.
+MOST_LANGUAGES = 1000
+#: Letters of the alphabet from which random text is drawn.
+ALPHABET = 30
 #: log2 of the number of n-gram buckets.
 BITS = 15
 ORDERS = 4
@@ -113,13 +122,14 @@ class Model:
 def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id", sample_docs: int = SAMPLE_DOCS) -> Model:
     """Count n-grams of about ``sample_docs`` documents of each language.
 
-    Rows with a null text or lang take no part. The sample is by a hash of the
+    Rows with a null text or lang take no part, nor do labels beyond the
+    MOST_LANGUAGES most frequent ones (ties by name). The sample is by a hash of the
     key and the text, so it is the same in every run. What reaches the driver
     is a count for each language and bucket.
     """
     small_batches(docs.sparkSession)
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull()).select(F.col(key).alias("k"), F.col(text).alias("t"), F.col(lang).alias("l"))
-    known = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).collect()}
+    known = {r["l"]: r["n"] for r in rows.groupBy("l").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "l").limit(MOST_LANGUAGES).collect()}
     if not known:
         return Model([], np.zeros(((1 << BITS) + 1, 0), "f4"))
     languages = sorted(known)
@@ -188,66 +198,68 @@ def mixtures(scores: np.ndarray, starts: np.ndarray, rounds: int = 6) -> tuple[n
     return best, kept
 
 
-def word_scores(parts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log likelihoods of all words, words by languages, and the part each is in."""
+def word_scores(parts: list[str], table: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Log likelihoods of all words, words by languages; those of random letters; and the part each word is in."""
     buckets, starts, doc = ngrams(parts)
     if not len(starts):
-        return np.zeros((0, table.shape[1]), "f4"), doc
+        return np.zeros((0, table.shape[1]), "f4"), np.zeros(0), doc
     total = table[buckets[0]]
     for b in buckets[1:]:
         total += table[b]
-    return np.add.reduceat(total, starts, axis=0), doc
+    letters = sum((b != 1 << BITS) * n for n, b in enumerate(buckets, 1))
+    return np.add.reduceat(total, starts, axis=0), -TEMPER * np.log(ALPHABET) * np.add.reduceat(letters, starts), doc
 
 
-def predict(docs: DataFrame, model: Model, text: str = "text", key: str = "doc_id", keep: list[str] | None = None) -> DataFrame:
-    """lang_pred, score, n_langs and langs (proportions) of every row.
+def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] | None = None) -> DataFrame:
+    """lang_pred, score, n_langs, langs (proportions), odds and ``row`` of every row.
 
-    ``und`` with score 0 where the text is null or has no letter, or nothing
-    was learned. Rows are never joined or merged: equal keys stay separate.
-    Keeps the key, or the columns in ``keep``.
+    ``und`` with score 0 and no odds where the text is null or has no letter, or
+    nothing was learned. odds: mean log odds of a word against random letters.
+    Rows are never joined or merged: equal keys stay separate. row is a struct
+    of the columns in ``keep``, of all by default, so any names are free.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    shared = spark.sparkContext.broadcast(model)  # languages x 2^BITS floats
-    keep = keep if keep is not None else [key]
-    types = dict(docs.dtypes)
-    schema = ", ".join([f"`{c}` {types[c]}" for c in keep] + ["lang_pred string, score double, n_langs int, langs map<string,double>"])
-    source = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("__text"))
+    shared = spark.sparkContext.broadcast(model)  # languages x 2^BITS floats, of at most MOST_LANGUAGES
+    row = F.struct(*[F.col(f"`{c}`") for c in (keep if keep is not None else docs.columns)]).alias("row")
+    source = docs.select(row, F.col(f"`{text}`").alias("text"))
+    schema = StructType.fromDDL("lang_pred string, score double, n_langs int, langs map<string,double>, odds double").add(source.schema["row"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_memory()
         m: Model = shared.value
 
-        def scored(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-            """Scores and rows of words, whole texts together."""
-            held, rows_held, last = [], [], None
+        def scored(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+            """Scores, scores of random letters and rows of words, whole texts together."""
+            held, last = [], None
             for rows, parts in groups(texts):
-                scores, part = word_scores(parts, m.table)
-                of = np.asarray(rows)[part]
+                scores, random, part = word_scores(parts, m.table)
                 if held and rows[0] != last:
-                    yield np.concatenate(held), np.concatenate(rows_held)
-                    held, rows_held = [], []
-                held.append(scores)
-                rows_held.append(of)
+                    yield tuple(map(np.concatenate, zip(*held)))
+                    held = []
+                held.append((scores, random, np.asarray(rows)[part]))
                 last = rows[-1]
             if held:
-                yield np.concatenate(held), np.concatenate(rows_held)
+                yield tuple(map(np.concatenate, zip(*held)))
 
         for batch in batches:
             label: list = ["und"] * batch.num_rows
+            odds: list = [None] * batch.num_rows
             score = np.zeros(batch.num_rows)
             count = np.zeros(batch.num_rows, "i4")
             parts: list = [[] for _ in label]
-            for scores, of in scored(batch.column(len(keep)).to_pylist() if m.languages else []):
+            for scores, random, of in scored(batch.column(1).to_pylist() if m.languages else []):
                 if not len(of):
                     continue
                 rows, starts = np.unique(of, return_index=True)
                 pi, k = mixtures(scores, starts)
                 first = pi.argmax(1)
                 score[rows], count[rows] = np.clip(pi[np.arange(len(rows)), first], 0, 1), k
+                gain = np.add.reduceat(scores.max(1) - random, starts) / np.diff(np.append(starts, len(of)))
                 for j, i in enumerate(rows):
-                    label[i] = m.languages[first[j]]
+                    label[i], odds[i] = m.languages[first[j]], float(gain[j])
                     parts[i] = [(m.languages[l], float(pi[j, l])) for l in np.flatnonzero(pi[j] > 0)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[: len(keep)], pa.array(label, pa.string()), pa.array(score), pa.array(count), pa.array(parts, pa.map_(pa.string(), pa.float64()))], [*keep, "lang_pred", "score", "n_langs", "langs"])
+            columns = [pa.array(label, pa.string()), pa.array(score), pa.array(count), pa.array(parts, pa.map_(pa.string(), pa.float64())), pa.array(odds, pa.float64()), batch.column(0)]
+            yield pa.RecordBatch.from_arrays(columns, ["lang_pred", "score", "n_langs", "langs", "odds", "row"])
 
     return source.mapInArrow(run, schema)

@@ -64,10 +64,10 @@ def op6_warc_dictionary(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Language of every document, learned from three quarters of the labelled ones."""
     docs = table(spark, sf_dir, "documents")
-    held = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2
+    held = F.coalesce(F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(4)) == 2, F.lit(False))
     docs = docs.select("doc_id", "text", "lang", held.alias("held_out"))
     model = langid.fit(docs.where(~F.col("held_out")))
-    return langid.predict(docs, model, keep=["doc_id", "held_out"]).select("doc_id", "held_out", "lang_pred", "score", "n_langs")
+    return langid.predict(docs, model, keep=["doc_id", "held_out"]).select("row.doc_id", "row.held_out", "lang_pred", "score", "n_langs", "odds")
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
