@@ -17,8 +17,8 @@ from tripmill.llm import langid, nearcopies, packing, pii, suffixdedup
 from tripmill.llm.common import Tables, shared_dir
 from tripmill.llm.queries import pii_key, vocabulary
 
-#: A document is rejected if its likeliest language has less than this part of it.
-LEAST_PART = 0.3
+#: A document is rejected if the learned languages explain its words no better than random letters, in log odds.
+LEAST_ODDS = 0.0
 #: The tables of the latest stage of each session.
 _LATEST: dict[SparkSession, Tables] = {}
 
@@ -32,9 +32,10 @@ def _tables(spark: SparkSession) -> Tables:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without letters and those in which no language prevails."""
-    found = langid.predict(docs, langid.fit(docs), keep=docs.columns)
-    return found.where((F.col("lang_pred") != "und") & (F.col("score") >= LEAST_PART)).select(*docs.columns)
+    """Drops documents without letters and those in none of the learned languages."""
+    _tables(spark)
+    found = langid.predict(docs, langid.fit(docs))
+    return found.where((F.col("lang_pred") != "und") & (F.col("odds") >= LEAST_ODDS)).select(*[F.col(f"row.`{c}`") for c in docs.columns])
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
