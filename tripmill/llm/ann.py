@@ -1,18 +1,21 @@
 """Approximate nearest neighbours by collision counting (query-aware hashing).
 
 Each random projection of a block of vectors is one sorted array. A query looks
-at a window around its own projection in each array; the windows of a larger
-radius contain those of a smaller one, so one array serves all radii (virtual
-rehashing). A vector that falls into at least ``l`` of the ``m`` windows is
-verified by its inner product. The radius grows until k verified vectors are
-within it.
+at a window around its own projection in each array. The window of a larger
+radius contains that of a smaller one, so one array serves all radii (virtual
+rehashing): when the radius grows, each window is extended at both ends, and
+only the vectors that enter it then add to their collision counters. A vector
+whose counter reaches the threshold is verified by its inner product. The radius
+grows until k verified vectors are within it.
 
 Inner products become distances by one more component that gives all vectors
 one length, which keeps the order of the inner products for each query.
 
-Every vector is indexed. Vectors and queries are dealt into blocks of bounded
-size; a task holds one block of each, and only the k best of each query and
-block are shuffled on.
+Every vector is indexed, in blocks that are dealt by row. Queries are a stated
+set against all vectors, so each block of queries meets each block of vectors; a
+task holds one of each, and only the k best of each query and block are shuffled
+on. Blocks are as large as a task's memory allows, as a row is copied once for
+each block of the other side.
 """
 
 from __future__ import annotations
@@ -26,14 +29,12 @@ from pyspark.sql import functions as F
 
 from tripmill.llm.common import small_batches
 
-#: Vectors and queries of one block.
-BLOCK, QUERIES = 16_384, 1024  # a block's ranks fit 16 bits
+#: Vectors and queries of one block: at most, and what is not cut further to keep all cores busy.
+BLOCK, LEAST_BLOCK = 65_536, 4096
 #: Projections, half a window's width at radius 1, and how far (in standard
 #: deviations) the threshold lies under the collisions expected at the radius.
 PROJECTIONS, WIDTH, SLACK = 48, 0.44, 1.1
 FIRST_RADIUS, GROWTH = 0.3, 1.3
-#: Queries that are counted together.
-TOGETHER = 32
 
 
 def usable(vector: str) -> Column:
@@ -46,87 +47,109 @@ def usable(vector: str) -> Column:
 def inner(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     """Row-wise inner products in double precision, components added in order."""
     total = np.zeros(len(a))
-    for i in range(a.shape[1]):
-        total += a[:, i] * b[:, i]
+    with np.errstate(over="ignore", invalid="ignore"):
+        for i in range(a.shape[1]):
+            total += a[:, i] * b[:, i]
     return total
 
 
+def unit_rows(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows at length 1 and the logarithms of their lengths, of any finite magnitude."""
+    most = np.abs(x).max(1)
+    x = x / most[:, None]
+    length = np.sqrt(inner(x, x))
+    return x / length[:, None], np.log(most) + np.log(length)
+
+
+class Index:
+    """Sorted projections of a block of vectors."""
+
+    def __init__(self, x: np.ndarray) -> None:
+        n, d = x.shape
+        unit, size = unit_rows(x)
+        size = np.exp(size - size.max())  # of the longest
+        self.a = np.random.default_rng(n * 1000 + d).standard_normal((PROJECTIONS, d + 1))
+        lifted = np.hstack([unit * size[:, None], np.sqrt(np.maximum(0, 1 - size**2))[:, None]])
+        self.rough = lifted[:, :-1].astype("f4")  # picks what is then compared in double precision
+        spots = np.ascontiguousarray((lifted @ self.a.T).T)
+        self.order = np.argsort(spots, axis=1).astype("i4")
+        self.spots = np.take_along_axis(spots, self.order, 1)
+        p = math.erf(WIDTH / math.sqrt(2))
+        self.least = max(1, int(PROJECTIONS * p - SLACK * math.sqrt(PROJECTIONS * p * (1 - p))))
+        # up to windows that hold everything: all distances are at most 2, all projections at most |a|
+        widest = 2 * np.sqrt((self.a * self.a).sum(1).max()) / WIDTH
+        self.radii = FIRST_RADIUS * GROWTH ** np.arange(math.ceil(math.log(widest / FIRST_RADIUS) / math.log(GROWTH)) + 1)
+
+    def windows(self, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """First and last (queries x radii x projections) of the windows in the sorted arrays."""
+        reach = WIDTH * self.radii
+        lo, hi = (np.empty((len(centres), len(reach), PROJECTIONS), "i4") for _ in range(2))
+        for j, s in enumerate(self.spots):
+            lo[:, :, j] = np.searchsorted(s, centres[:, j, None] - reach)
+            hi[:, :, j] = np.searchsorted(s, centres[:, j, None] + reach, "right")
+        return lo, hi
+
+    def candidates(self, u: np.ndarray, lo: np.ndarray, hi: np.ndarray, skip: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Vectors whose counter reached the threshold before k of them were within the radius, and their rough products.
+
+        lo, hi: the windows of a unit query, radii x projections; skip: vectors that are no results.
+        """
+        n = len(self.rough)
+        hits, done = np.zeros(n, "i8"), np.zeros(n, bool)
+        cols, nears, first, last = [], [], lo[0].tolist(), lo[0].tolist()
+        for radius, low, high in zip(self.radii, lo.tolist(), hi.tolist()):
+            entered = [row[a:b] for row, a, b in zip(self.order, low, first) if a < b]
+            entered += [row[a:b] for row, a, b in zip(self.order, last, high) if a < b]
+            first, last = low, high
+            if entered:
+                hits += np.bincount(np.concatenate(entered), minlength=n)
+            col = np.flatnonzero((hits >= self.least) & ~done)
+            done[col] = True
+            col = col[~skip[col]]
+            cols.append(col)
+            nears.append(self.rough[col] @ u)
+            # at unit length the squared distance is 2 - 2 <q, x>
+            if sum(np.count_nonzero(x >= 1 - radius * radius / 2) for x in nears) >= k or done.all():
+                break
+        return np.concatenate(cols), np.concatenate(nears)
+
+
 def search_block(ids: np.ndarray, x: np.ndarray, query_ids: np.ndarray, q: np.ndarray, k: int) -> pd.DataFrame:
-    """The k best of x for each query, a vector of the query's own id left out."""
-    n, d = x.shape
-    norm = np.sqrt(inner(x, x))
-    bound = norm.max()
-    a = np.random.default_rng(n * 1000 + d).standard_normal((PROJECTIONS, d + 1))
-    spots = np.hstack([x / bound, np.sqrt(np.maximum(0, 1 - (norm / bound) ** 2))[:, None]]) @ a.T
-    order = np.argsort(spots, axis=0, kind="stable").T  # one sorted array for each projection
-    rank = np.empty((PROJECTIONS, n), "u2")
-    np.put_along_axis(rank, order, np.arange(n, dtype="u2")[None, :], 1)
-    spots = np.sort(spots, axis=0).T
-    unit = q / np.sqrt(inner(q, q))[:, None]
-    centre = unit @ a[:, :d].T
-    p = math.erf(WIDTH / math.sqrt(2))
-    least = max(1, int(PROJECTIONS * p - SLACK * math.sqrt(PROJECTIONS * p * (1 - p))))
-    # up to windows that hold everything: all distances are at most 2, all projections at most |a|
-    widest = 2 * np.sqrt((a * a).sum(1).max()) / WIDTH
-    sizes = FIRST_RADIUS * GROWTH ** np.arange(math.ceil(math.log(widest / FIRST_RADIUS) / math.log(GROWTH)) + 1)
-    rough = (x / bound).astype("f4")  # picks what is then compared in double precision
-    shift, inside = np.empty_like(rank), np.empty(rank.shape, bool)
+    """The k best of x for each query, vectors of the query's own id left out."""
+    index = Index(x)
+    unit, _ = unit_rows(q)
     out = []
-    for start in range(0, len(q), TOGETHER):
-        part = slice(start, start + TOGETHER)
-        c, u, own = centre[part], unit[part].astype("f4"), query_ids[part]
-        g = len(u)
-        done = np.zeros((g, n), bool)
-        got: list[list[tuple[np.ndarray, np.ndarray]]] = [[] for _ in range(g)]
-        active = np.arange(g)
-        for radius in sizes:
-            if not len(active):
-                break
-            reach = WIDTH * radius
-            # a window in a sorted array is a range of ranks
-            lo = np.stack([np.searchsorted(s, c[active, j] - reach) for j, s in enumerate(spots)], 1)
-            hi = np.stack([np.searchsorted(s, c[active, j] + reach, "right") for j, s in enumerate(spots)], 1)
-            for i, first, last in zip(active, lo, hi):
-                if (last - first == n).all():
-                    hit = np.ones(n, bool)
-                else:
-                    np.subtract(rank, first.astype("u2")[:, None], out=shift)
-                    np.less(shift, (last - first).astype("u2")[:, None], out=inside)
-                    hit = np.add.reduce(inside.view("u1"), axis=0, dtype="u1") >= least
-                col = np.flatnonzero(hit & ~done[i])
-                done[i, col] = True
-                col = col[ids[col] != own[i]]
-                near = rough[col] @ u[i]
-                got[i].append((col, near))
-            # at unit length the squared distance is 2 - 2 <q, x> / bound
-            short = [not done[i].all() and sum(np.count_nonzero(near >= 1 - radius * radius / 2) for _, near in got[i]) < k for i in active]
-            active = active[short]
-        for i in range(g):
-            col, near = np.concatenate([y[0] for y in got[i]]), np.concatenate([y[1] for y in got[i]])
+    for start in range(0, len(q), 256):  # bounds the windows' table
+        lo, hi = index.windows(unit[start : start + 256] @ index.a[:, :-1].T)
+        for i, (a, b) in enumerate(zip(lo, hi), start):
+            col, near = index.candidates(unit[i].astype("f4"), a, b, ids == query_ids[i], k)
             if len(near) > k:  # what rounding could still bring among the k best, all ties included
-                close = near >= np.partition(near, -k)[-k] - 1e-4
-                col = col[close]
-            score = inner(np.broadcast_to(q[start + i], (len(col), d)), x[col])
+                col = col[near >= np.partition(near, -k)[-k] - 1e-4]
+            score = inner(np.broadcast_to(q[i], (len(col), x.shape[1])), x[col])
             best = np.lexsort((ids[col], -score))[:k]
-            out.append(pd.DataFrame({"query_id": own[i], "vec_id": ids[col[best]], "score": score[best]}))
-    return pd.concat(out)
+            out.append((np.full(len(best), query_ids[i]), ids[col[best]], score[best]))
+    return pd.DataFrame(dict(zip(("query_id", "vec_id", "score"), map(np.concatenate, zip(*out)))))
 
 
 def search(vectors: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the k largest inner products found for each query.
 
     Null, zero and non-finite vectors and rows with a null key take no part;
-    a query's own key is never its result; ties go to the smaller key. Vectors
-    are compared with queries of the same length only. Rows with equal keys are
-    candidates each; queries with equal keys are answered as one.
+    components may have any finite magnitude (a product beyond the largest
+    double is infinite, and one that is no number comes last). A query's own key
+    is never its result; ties go to the smaller key. Vectors are compared with
+    queries of the same length only. Rows with equal keys are candidates each,
+    in any number; queries with equal keys are answered as one. Other columns
+    are left out.
     """
-    small_batches(vectors.sparkSession)
+    spark = vectors.sparkSession
+    small_batches(spark)
     clean = lambda df: df.where(F.col(key).isNotNull() & usable(vector)).select(F.col(key).alias("id"), F.col(vector).cast("array<double>").alias("v"))
     x, q = clean(vectors), clean(queries).dropDuplicates(["id"])
-    many, asked = x.count(), q.count()
-    blocks, parts = max(1, math.ceil(many / BLOCK)), max(1, math.ceil(asked / QUERIES))
-    dealt = lambda df, own, n, other, m: df.withColumn(own, F.pmod(F.xxhash64("id", F.lit(own)), F.lit(n)).cast("int")).withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(m - 1))))
-    x, q = dealt(x, "block", blocks, "part", parts), dealt(q, "part", parts, "block", blocks)
+    block = lambda n, cores: max(1, math.ceil(n / min(BLOCK, max(LEAST_BLOCK, math.ceil(n / cores)))))
+    blocks, parts = block(x.count(), spark.sparkContext.defaultParallelism), block(q.count(), 1)
+    x = x.withColumn("block", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(blocks)).cast("int")).withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
+    q = q.withColumn("part", F.pmod(F.xxhash64("id"), F.lit(parts)).cast("int")).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
 
     def cell(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         found = [pd.DataFrame({"query_id": pd.Series(dtype="i8"), "vec_id": pd.Series(dtype="i8"), "score": pd.Series(dtype="f8")})]
@@ -137,5 +160,5 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 20, key: str = "vec_
         return pd.concat(found)
 
     found = x.groupBy("block", "part").cogroup(q.groupBy("block", "part")).applyInPandas(cell, "query_id long, vec_id long, score double")
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    best = Window.partitionBy("query_id").orderBy(F.isnan("score"), F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
