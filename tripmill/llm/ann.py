@@ -33,8 +33,8 @@ from tripmill.llm.common import small_batches
 BLOCK, LEAST_BLOCK = 65_536, 4096
 #: Projections, half a window's width at radius 1, and how far (in standard
 #: deviations) the threshold lies under the collisions expected at the radius.
-PROJECTIONS, WIDTH, SLACK = 48, 0.44, 1.1
-FIRST_RADIUS, GROWTH = 0.3, 1.3
+PROJECTIONS, WIDTH, SLACK = 24, 0.3, 1.3
+FIRST_RADIUS, GROWTH = 0.3, 1.4
 
 
 def usable(vector: str) -> Column:
