@@ -3,6 +3,7 @@
 import hashlib
 import random
 import re
+import time
 
 import numpy as np
 import pytest
@@ -313,6 +314,23 @@ def test_odd_pages(spark):
     assert htmltext.extract(df.limit(0)).count() == 0
 
 
+def test_nothing_of_the_article_is_dropped():
+    text = "This paragraph is long enough to be kept, it has a full stop."
+    for wrap in ("<object><p>%s</p></object>", "<noscript><p>%s</p></noscript>", "<canvas><p>%s</p></canvas>", "<section/><p>%s</p>", "<div/><p>%s</p></div>"):
+        assert htmltext.main_text(f"<article>{wrap % text}</article>") == text, wrap
+    assert htmltext.main_text(f"<article><p>{text} <math><mi>x</mi><mo>=</mo><mn>1</mn></math></p></article>").replace(" ", "").endswith("x=1")
+    assert htmltext.main_text(f"<article><p>One <svg><path d='M0'/><text>label</text></svg> word. {text}</p></article>").endswith(text)
+
+
+def test_very_deep_pages_take_time_and_memory_in_proportion():
+    text = "This paragraph is long enough to be kept, it has a full stop."
+    n = 100_000
+    for page in ("<div>" * n + text, "<div>" * n + f"<p>{text}" + "</div>" * n + "</p></i></section>" * n, "<div>x " * n + text, "<b>" * n + f"<p>{text}", "<ul><li>" * n + text):
+        began = time.perf_counter()
+        assert text in htmltext.main_text("<article>" + page)
+        assert time.perf_counter() - began < 30
+
+
 def test_cut_is_minimal():
     rng = random.Random(9)
     for _ in range(60):

@@ -1,6 +1,7 @@
 """Main text of web pages by minimum cut.
 
-A page is read into blocks of text with their place in the element tree. A
+A page is read into blocks of text with their place in the element tree (a parent
+for each element, so time and memory grow with the page, however deep it is). A
 scorer says for each block how likely it is part of the article; its costs are
 the capacities between the block and the two terminals. Blocks that follow each
 other or share a parent are tied by edges that weaken with their distance in the
@@ -17,7 +18,7 @@ from __future__ import annotations
 import html
 import math
 import re
-from collections import deque
+from collections import Counter, deque
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -38,7 +39,9 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: shown as text, and elements that do not break a block.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp".split())
-DROPPED = set("audio button canvas datalist head iframe math noframes noscript object option select svg template video".split())
+DROPPED = set("button datalist head option select template".split())
+#: Elements of other vocabularies: nothing in them breaks a block, and only there a tag can close itself.
+FOREIGN = set("math svg".split())
 INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr rb rt rp".split())
 #: What may stand in a head; anything else ends it.
 HEAD = set("base link meta noscript script style template title".split())
@@ -59,10 +62,12 @@ ASIDE = set("nav footer aside form dialog menu fieldset".split())
 
 
 class Block:
-    __slots__ = ("away", "links", "path", "tag", "text", "towards")
+    """A block's text, the characters of it in links, its innermost element's tag and number, and its marks."""
 
-    def __init__(self, text: str, links: int, tag: str, path: tuple[int, ...], away: bool, towards: bool) -> None:
-        self.text, self.links, self.tag, self.path, self.away, self.towards = text, links, tag, path, away, towards
+    __slots__ = ("away", "element", "links", "tag", "text", "towards")
+
+    def __init__(self, text: str, links: int, tag: str, element: int, away: bool, towards: bool) -> None:
+        self.text, self.links, self.tag, self.element, self.away, self.towards = text, links, tag, element, away, towards
 
 
 def _marks(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
@@ -80,34 +85,45 @@ def _marks(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
     return away, towards and not away
 
 
-def blocks_of(page: str) -> list[Block]:
-    """The blocks of a page that have text, in page order."""
+class Open:
+    """An element that has not ended: tag, innermost element that breaks blocks (itself or around), marks."""
+
+    __slots__ = ("away", "dropped", "element", "foreign", "linked", "tag", "block_tag", "towards")
+
+    def __init__(self, tag: str, element: int, block_tag: str, away: bool, towards: bool, dropped: bool, linked: bool, foreign: bool) -> None:
+        self.tag, self.element, self.block_tag = tag, element, block_tag
+        self.away, self.towards, self.dropped, self.linked, self.foreign = away, towards, dropped, linked, foreign
+
+
+def blocks_of(page: str) -> tuple[list[Block], list[int], list[int]]:
+    """The blocks of a page that have text, in page order; parent and depth of each element that breaks blocks."""
     out: list[Block] = []
     parts: list[str] = []
     linked: list[str] = []
-    # tag, number, away, towards, number of dropped elements around, inside a link
-    stack: list[tuple[str, int, bool, bool, bool, bool]] = [("", 0, False, False, False, False)]
-    number, at = 0, 0
+    parent, depth = [-1], [0]
+    stack = [Open("", 0, "", False, False, False, False, False)]
+    count: Counter[str] = Counter()  # of open elements
+    at = 0
 
     def flush() -> None:
         text = " ".join("".join(parts).split())
         if text:
-            path = tuple(x[1] for x in stack if x[0] not in INLINE)
-            tag = next((x[0] for x in reversed(stack) if x[0] not in INLINE), "")
-            out.append(Block(text, len(" ".join("".join(linked).split())), tag, path, stack[-1][2], stack[-1][3]))
+            top = stack[-1]
+            out.append(Block(text, len(" ".join("".join(linked).split())), top.block_tag, top.element, top.away, top.towards))
         parts.clear()
         linked.clear()
 
     def say(raw: str) -> None:
-        if raw and not stack[-1][4]:
+        if raw and not stack[-1].dropped:
             text = html.unescape(raw) if "&" in raw else raw
             parts.append(text)
-            if stack[-1][5]:
+            if stack[-1].linked:
                 linked.append(text)
 
     def close(index: int) -> None:
-        if any(x[0] not in INLINE for x in stack[index:]):
+        if stack[-1].element != stack[index - 1].element:  # an element that breaks blocks is among them
             flush()
+        count.subtract(x.tag for x in stack[index:])
         del stack[index:]
 
     size = len(page)
@@ -123,13 +139,13 @@ def blocks_of(page: str) -> list[Block]:
             continue
         tag = tag.lower()
         if end:
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i][0] == tag:
-                    close(i)
-                    break
-            else:
-                if tag not in INLINE:
-                    flush()
+            if count[tag]:
+                i = len(stack) - 1
+                while stack[i].tag != tag:
+                    i -= 1
+                close(i)
+            elif tag not in INLINE:
+                flush()
             continue
         if tag == "br" or tag == "hr":
             say(" ")
@@ -142,24 +158,34 @@ def blocks_of(page: str) -> list[Block]:
             done = re.compile(rf"</{tag}[\s>/]", re.I).search(page, at)
             at = page.find(">", done.start()) + 1 if done and page.find(">", done.start()) >= 0 else size
             continue
-        if tag not in INLINE:
+        foreign = stack[-1].foreign or tag in FOREIGN
+        breaks = tag not in INLINE and not foreign
+        if breaks:
             flush()
-            if stack[-1][0] == "head" and tag not in HEAD:
+            if stack[-1].tag == "head" and tag not in HEAD:
                 close(len(stack) - 1)
             ends = CLOSES.get(tag, set())
+            left = count["p"] + sum(count[x] for x in ends)
             i = len(stack) - 1
-            while i > 0 and (stack[i][0] not in SCOPE or stack[i][0] in ends):
-                if stack[i][0] == "p" or stack[i][0] in ends:
+            while left and i > 0 and (stack[i].tag not in SCOPE or stack[i].tag in ends):
+                if stack[i].tag == "p" or stack[i].tag in ends:
+                    before = count["p"] + sum(count[x] for x in ends)
                     close(i)
+                    left -= before - count["p"] - sum(count[x] for x in ends)
                 i -= 1
-        if attributes.endswith("/") and tag not in ("p", "div", "a", "span"):
-            continue
-        number += 1
         top = stack[-1]
-        away, towards = _marks(tag, attributes, top[3]) if tag not in INLINE or attributes else (False, False)
-        stack.append((tag, number, top[2] or away, (top[3] or towards) and not away, top[4] or tag in DROPPED, top[5] or tag == "a"))
+        if foreign and attributes.endswith("/"):
+            continue
+        away, towards = _marks(tag, attributes, top.towards) if tag not in INLINE or attributes else (False, False)
+        element, block_tag = top.element, top.block_tag
+        if breaks:
+            parent.append(element)
+            depth.append(depth[element] + 1)
+            element, block_tag = len(parent) - 1, tag
+        count[tag] += 1
+        stack.append(Open(tag, element, block_tag, top.away or away, (top.towards or towards) and not away, top.dropped or tag in DROPPED, top.linked or tag == "a", foreign))
     flush()
-    return out
+    return out, parent, depth
 
 
 def score(block: Block) -> float:
@@ -175,23 +201,24 @@ def score(block: Block) -> float:
     return s + 3.0 * block.towards - 7.0 * block.away
 
 
-def ties(blocks: list[Block]) -> list[tuple[int, int, float]]:
-    """Edges between neighbours, and between neighbours among the blocks of one parent."""
+def ties(blocks: list[Block], parent: list[int], depth: list[int]) -> list[tuple[int, int, float]]:
+    """Edges between neighbours, weaker with their distance in the tree, and between neighbours among the blocks of one parent."""
     out, last = [], {}
     for i, b in enumerate(blocks):
-        parent = b.path[:-1]
+        around = parent[b.element]
         if i:
-            a = blocks[i - 1].path
-            common = 0
-            for x, y in zip(a, b.path):
-                if x != y:
-                    break
-                common += 1
-            apart = len(a) + len(b.path) - 2 * common
+            x, y = blocks[i - 1].element, b.element
+            apart = 0
+            while x != y:  # up to where both are; in page order, that passes each element twice at most
+                if depth[x] >= depth[y]:
+                    x = parent[x]
+                else:
+                    y = parent[y]
+                apart += 1
             out.append((i - 1, i, 1.6 / (1 + apart)))
-        if last.get(parent, i) != i:
-            out.append((last[parent], i, 0.4))
-        last[parent] = i
+        if last.get(around, i) != i:
+            out.append((last[around], i, 0.4))
+        last[around] = i
     return out
 
 
@@ -257,8 +284,8 @@ def _max_flow(nodes: list[int], own: list[int], near: list[dict[int, int]]) -> s
 
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by two line feeds."""
-    blocks = blocks_of(page) if page else []
-    kept = min_cut([score(b) for b in blocks], ties(blocks))
+    blocks, parent, depth = blocks_of(page) if page else ([], [], [])
+    kept = min_cut([score(b) for b in blocks], ties(blocks, parent, depth))
     return "\n\n".join(b.text for b, k in zip(blocks, kept) if k)
 
 
