@@ -1,6 +1,7 @@
 """A month from file to release, its retries, and what must be refused."""
 
 import json
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
@@ -44,7 +45,8 @@ def test_month_is_released_and_a_rerun_changes_nothing(spark, place):
     assert reasons == {"DUPLICATE_ROW_ID", "DROPOFF_BEFORE_PICKUP", "UNKNOWN_PICKUP_ZONE", "NEGATIVE_DRIVER_PAY"}
     body = Files(spark).read(first["publication_uri"])
     found = json.loads(body)
-    assert found["row_counts"] == {"bronze": 5, "silver": 1, "quarantine": 4, "gold_fct_trips": 1} and body.endswith(b"}\n")
+    assert {x: y["row_count"] for x, y in found["layers"].items()} == {"bronze": 5, "silver": 1, "quarantine": 4}
+    assert found["gold"]["row_count"] == 1 and body.endswith(b"}\n") and not release.lacking(found)
     assert len(json.loads(Files(spark).read(release.checks_uri(lake, source)))["results"]) == 37
     before = [t.snapshots().count() for t in (lake.bronze, lake.silver, lake.quarantine)]
     again = lake.run(source, zones)
@@ -102,9 +104,10 @@ def test_schema_change_and_time_travel(spark, place):
     assert lake.bronze.read().count() == 6 and lake.bronze.read(old).count() == 5
     assert "cbd_congestion_fee" not in lake.bronze.read(old).columns
     assert sorted(r[0] or 0 for r in lake.fact.read().select("cbd_congestion_fee").collect()) == [0, 0.75]
-    release.evolution_evidence({"snapshot_2024": old, "snapshot_2025": "2", "historical_2024_count": 5, "current_total_count": 6, "cbd_congestion_fee_nullable": True})
-    with pytest.raises(ValueError):
-        release.evolution_evidence({"snapshot_2024": old, "snapshot_2025": old, "historical_2024_count": 5, "current_total_count": 6, "cbd_congestion_fee_nullable": True})
+    assert release.evolution(lake.bronze, old, "cbd_congestion_fee") == {"snapshot_id": old, "rows_before": 5, "rows": 6, "with_value": 1}
+    for before, column in ((lake.bronze.snapshots().orderBy("committed_at").collect()[-1].snapshot_id, "cbd_congestion_fee"), (old, "tips")):
+        with pytest.raises(release.ReleaseError):
+            release.evolution(lake.bronze, before, column)
     with pytest.raises(ContractError):
         lake.evolve()
 
@@ -127,11 +130,13 @@ def test_publication_conflict_and_damage(spark, place):
     published = release.publish(lake, source, reconciled)
     assert published["publication_uri"] == done["publication_uri"]
     with pytest.raises(release.ReleaseError, match="another publication"):
-        release.publish(lake, source, reconciled | {"iceberg_snapshot_ids": {"bronze": "9", "silver": "9", "quarantine": "9"}})
+        release.publish(lake, source, reconciled | {"snapshot_ids": {"bronze": "9", "silver": "9", "quarantine": "9"}})
     with pytest.raises(ValueError):
         release.publish(lake, source, reconciled | {"source_month": 2})
     with pytest.raises(release.ReleaseError, match="digest"):
         release.verify(lake, source, published | {"sha256": "0" * 64})
+    with pytest.raises(ValueError, match="layers.silver.row_count, reconciliation.silver_equals_gold"):
+        release.publish(lake, source, reconciled | {"silver_row_count": -1, "silver_equals_gold": False})
     for bad in (b'{"results": []}', b'{"results": [{"status": "pass"}]}', b'{"metadata": {"invocation_id": "x"}, "results": [{"status": "fail"}]}'):
         with pytest.raises(release.ReleaseError):
             release.check_results(bad)
@@ -170,11 +175,25 @@ def test_requests_columns_and_evidence(spark):
     check_columns([*row_columns(2024), "more"], 2024)
     with pytest.raises(ContractError, match="cbd_congestion_fee"):
         check_columns(row_columns(2024), 2025)
-    same = {"row_ids": ["a", "b"], "quarantine_by_reason": {"x": 1}, "silver_row_count": 2}
-    release.compare_evidence(same, same | {"row_ids": ["b", "a"]})
-    for change in ({"row_ids": ["a"]}, {"quarantine_by_reason": {"x": 2}}, {"silver_row_count": 3}):
-        with pytest.raises(ValueError, match="differs"):
-            release.compare_evidence(same, same | change)
+    ids = lambda *x: spark.createDataFrame([(i, r) for i, r in x], "row_id string, reason string")
+    first = {"silver": ids(("a", None), ("b", None)), "quarantine": ids(("c", "x"))}
+    assert release.rerun_differences(first, {"silver": ids(("b", None), ("a", None)), "quarantine": ids(("c", "x"))}).isEmpty()
+    found = release.rerun_differences(first, {"silver": ids(("a", None)), "quarantine": ids(("c", "y"))}).collect()
+    assert sorted((r.relation, r.side, json.loads(r.row)["row_id"]) for r in found) == [("quarantine", "first", "c"), ("quarantine", "rerun", "c"), ("silver", "first", "b")]
+
+
+def test_files_are_whole_and_one_writer_wins(spark, tmp_path):
+    files, path = Files(spark), f"file://{tmp_path}/a/v1.json"
+    with ThreadPoolExecutor(8) as pool:
+        def write(i):
+            try:
+                files.write_new(path, str(i).encode() * 1000)
+                return i
+            except FileExistsError:
+                return None
+
+        won = [i for i in pool.map(write, range(8)) if i is not None]
+    assert len(won) == 1 and files.read(path) == str(won[0]).encode() * 1000 and [n for n in files.names(f"file://{tmp_path}/a") if not n.endswith(".crc")] == ["v1.json"]
 
 
 def test_command_line(spark, place, capsys):

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import hashlib
 import re
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import SparkSession
@@ -16,7 +16,7 @@ class Files:
     """Whole-file reads and exclusive writes on the driver; for metadata, not data."""
 
     def __init__(self, spark: SparkSession) -> None:
-        self.jvm, self.conf = spark._jvm, spark._jsc.hadoopConfiguration()
+        self.jvm, self.conf, self.gateway = spark._jvm, spark._jsc.hadoopConfiguration(), spark.sparkContext._gateway
 
     def _at(self, path: str):
         at = self.jvm.org.apache.hadoop.fs.Path(path)
@@ -52,20 +52,37 @@ class Files:
             stream.close()
 
     def write_new(self, path: str, data: bytes) -> None:
-        """Create the file with all of its content, or raise FileExistsError."""
+        """Create the file with all of its content, or raise FileExistsError.
+
+        The content goes to a name of its own first, so nobody sees a file that
+        is cut short. Of several writers one wins: by a link on a local disk, by
+        a rename that replaces nothing elsewhere, which is one step on HDFS. A
+        store whose rename is a copy needs a committer or lock of its own.
+        """
         at, fs = self._at(path)
         if fs.exists(at):
             raise FileExistsError(path)
+        draft = self.jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{at.getName()}.{uuid.uuid4().hex}")
+        stream = fs.create(draft, False)
+        try:
+            stream.write(data)
+        finally:
+            stream.close()
         try:
-            stream = fs.create(at, False)
+            if fs.getScheme() == "file":
+                here = [self.jvm.java.nio.file.Paths.get(fs.makeQualified(p).toUri()) for p in (at, draft)]
+                self.jvm.java.nio.file.Files.createLink(*here)
+            else:
+                kinds = self.jvm.org.apache.hadoop.fs.Options.Rename
+                none = self.gateway.new_array(kinds, 1)
+                none[0] = kinds.NONE
+                self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.conf).rename(draft, at, none)
         except Exception as error:  # the JVM's FileAlreadyExistsException
             if "AlreadyExists" in str(error):
                 raise FileExistsError(path) from error
             raise
-        try:
-            stream.write(data)
         finally:
-            stream.close()
+            fs.delete(draft, False)
 
 
 def file_name(year: int, month: int) -> str:
