@@ -101,6 +101,19 @@ DEPENDS = {
 }
 
 
+def check_graph(relations: dict[str, DataFrame], folders: dict[str, str]) -> None:
+    """Refuses models that read other relations than DEPENDS says.
+
+    folders: of the relations that models are built from. What a model reads is
+    taken from the files of its own plan; only names of files pass the driver.
+    """
+    for model, sources in DEPENDS.items():
+        files = relations[model].inputFiles()
+        read = {name for name, folder in folders.items() if any(f"{folder.rstrip('/')}/" in f for f in files)}
+        if read != set(sources):
+            raise ValueError(f"{model} reads {sorted(read)} instead of {sorted(sources)}")
+
+
 def build(silver: DataFrame, zones: DataFrame, fact: DataFrame | None = None) -> dict[str, DataFrame]:
     """All relations by name, with those they are built from."""
     fact = fct_trips(silver) if fact is None else fact

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tripmill.functions.identity import policy
 from tripmill.operators import bronze, checks, gold, silver
-from tripmill.plans import release
+from tripmill.plans import release, steps
 from tripmill.plans.manifest import BRONZE, FAILED, Manifest
 from tripmill.sources.files import Files, SourceFile
 from tripmill.sources.schema import BRONZE_TRIPS, BRONZE_ZONES, EVOLVED, FACT, FEE, QUARANTINE, SILVER_TRIPS, ContractError, check_month
@@ -120,11 +120,16 @@ class Lake:
             relations[name] = self.spark.read.parquet(f"{self.root}/gold/{name}")
         return checks.all_checks(relations)
 
-    def run(self, source: SourceFile, zones_uri: str) -> dict:
-        """All steps in order; each of them can be repeated."""
-        self.ingest(source, zones_uri)
-        self.refine(source)
-        release.archive_checks(self, source, self.build(source))
-        reconciled = release.reconcile(self, source)
-        published = release.publish(self, source, reconciled)
-        return release.verify(self, source, published)
+    def run(self, source: SourceFile, zones_uri: str, retries: int = steps.RETRIES, pause: float = steps.PAUSE, take_over: bool = False) -> dict:
+        """All steps in order, each retried by itself; one run at a time under a root."""
+
+        def do(step, *args):
+            return steps.retried(lambda: step(*args), (ContractError, release.ReleaseError), retries, pause)
+
+        with steps.alone(self.spark, self.root, source.run_id, take_over):
+            do(self.ingest, source, zones_uri)
+            do(self.refine, source)
+            do(lambda: release.archive_checks(self, source, self.build(source)))
+            reconciled = do(release.reconcile, self, source)
+            published = do(release.publish, self, source, reconciled)
+            return do(release.verify, self, source, published)

@@ -34,6 +34,10 @@ class Files:
         at, fs = self._at(path)
         return sorted(s.getPath().getName() for s in fs.listStatus(at)) if fs.exists(at) else []
 
+    def remove(self, path: str) -> None:
+        at, fs = self._at(path)
+        fs.delete(at, False)
+
     def read(self, path: str) -> bytes:
         at, fs = self._at(path)
         stream = fs.open(at)
