@@ -1,14 +1,18 @@
 """Data tests: 9 of uniqueness, 23 of presence, 4 of references, 1 of counts.
 
-Each is a frame of one row (kind, relation, column_name, failures). Presence
-tests of one relation share a scan; a uniqueness test shuffles keys only.
+All are taken from one pass over each relation. A row is turned into the keys that
+its tests ask for: its own in a domain (``dim_zone.zone_id``), the values that refer
+to a domain, a mark for each value it lacks, and itself, to be counted. Keys are
+counted by (domain, key), partly before they are shuffled, so all but unique keys are
+few rows by then; one shuffle serves all tests. A key is then repeated if
+its domain has it twice, and a reference is an orphan if its domain does not have it.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 UNIQUE = {
@@ -37,43 +41,75 @@ REFERENCES = [
     ("fct_trips", "pickup_zone_id", "dim_zone", "zone_id"),
     ("fct_trips", "dropoff_zone_id", "dim_zone", "zone_id"),
 ]
+COUNTS = "fct_trips_reconciles_to_silver"
+#: The relations that the test of counts compares.
+COMPARED = ("silver_trips", "fct_trips")
 
 
-def _row(kind: str, relation: str, column: str) -> list:
-    return [F.lit(kind).alias("kind"), F.lit(relation).alias("relation"), F.lit(column).alias("column_name"), F.col("failures").cast("bigint").alias("failures")]
+def tests() -> list[tuple[str, str, str]]:
+    """kind, relation and column_name of all tests."""
+    found = [("unique", r, c) for r, columns in UNIQUE.items() for c in columns]
+    found += [("not_null", r, c) for r, columns in NOT_NULL.items() for c in columns]
+    found += [("relationships", r, c) for r, c, _, _ in REFERENCES]
+    return [*found, ("singular", "fct_trips", COUNTS)]
 
 
-def unique(df: DataFrame, relation: str, column: str) -> DataFrame:
-    """Keys that occur more than once; nulls are no keys."""
-    repeated = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")).where("n > 1")
-    return repeated.agg(F.count(F.lit(1)).alias("failures")).select(*_row("unique", relation, column))
+#: What a key is to its domain: one of its own, a mark of a missing value or a row, and from here on a reference.
+OWN, MARK, REFERENCE = 0, 1, 2
 
 
-def not_null(df: DataFrame, relation: str, columns: list[str]) -> DataFrame:
-    """Rows without a value, of each column, in one scan."""
-    counted = df.agg(*(F.count_if(F.col(c).isNull()).alias(c) for c in columns))
-    pairs = F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("failures")) for c in columns))).alias("x")
-    return counted.select(pairs).select(F.lit("not_null").alias("kind"), F.lit(relation).alias("relation"), "x.column_name", F.col("x.failures").cast("bigint").alias("failures"))
+def _reference(relation: str, column: str) -> tuple[str, int]:
+    """The domain that a column refers to, and the number of this reference there."""
+    domain = next(f"{p}.{k}" for r, c, p, k in REFERENCES if (r, c) == (relation, column))
+    same = [(r, c) for r, c, p, k in REFERENCES if f"{p}.{k}" == domain]
+    return domain, REFERENCE + same.index((relation, column))
 
 
-def references(df: DataFrame, relation: str, column: str, parent: DataFrame, key: str) -> DataFrame:
-    """Rows whose value the parent does not have; nulls refer to nothing."""
-    keys = parent.select(F.col(key).alias("__key"))
-    orphans = df.where(F.col(column).isNotNull()).select(column).join(keys, F.col(column) == F.col("__key"), "left_anti")
-    return orphans.agg(F.count(F.lit(1)).alias("failures")).select(*_row("relationships", relation, column))
+#: Numbers of parts that a domain has at most.
+PARTS = max(_reference(r, c)[1] for r, c, _, _ in REFERENCES) + 1
+
+
+def _items(relation: str) -> list[tuple[str, int, Column, Column]]:
+    """(domain, part, key, whether the row has it): what a row of a relation has to say."""
+    text = lambda c: F.col(c).cast("string")
+    there = lambda c: F.col(c).isNotNull()
+    items = [(f"{relation}.{c}", OWN, text(c), there(c)) for c in UNIQUE[relation]]
+    items += [(*_reference(r, c), text(c), there(c)) for r, c, _, _ in REFERENCES if r == relation]
+    items += [(f"{relation}.{c}", MARK, F.lit(""), ~there(c)) for c in NOT_NULL[relation]]
+    return items + ([(f"rows.{relation}", MARK, F.lit(""), F.lit(True))] if relation in COMPARED else [])
+
+
+def keys(df: DataFrame, relation: str) -> DataFrame:
+    """domain, part, key: what the rows of a relation have to say, in one pass over it."""
+    items = [F.when(has, F.struct(F.lit(d).alias("domain"), F.lit(p).alias("part"), k.alias("key"))) for d, p, k, has in _items(relation)]
+    return df.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("x")).select("x.*")
+
+
+def all_checks(relations: dict[str, DataFrame]) -> DataFrame:
+    """The 37 tests: kind, relation, column_name, failures (bigint)."""
+    said = reduce(DataFrame.unionByName, [keys(relations[r], r) for r in UNIQUE])
+    by_key = said.groupBy("domain", "key").agg(*(F.count_if(F.col("part") == p).alias(f"n{p}") for p in range(PARTS)))
+    repeated = F.count_if(F.col(f"n{OWN}") > 1).alias(f"n{OWN}")
+    orphans = [F.sum(F.when(F.col(f"n{OWN}") == 0, F.col(f"n{p}")).otherwise(0)).alias(f"n{p}") for p in range(REFERENCE, PARTS)]
+    by_domain = by_key.groupBy("domain").agg(repeated, F.sum(f"n{MARK}").alias(f"n{MARK}"), *orphans)
+    counts = F.struct(*(f"n{p}" for p in range(PARTS)))
+    found = by_domain.agg(F.map_from_entries(F.collect_list(F.struct("domain", counts))).alias("of"))  # a row for each domain
+
+    def count(domain: str, part: int) -> Column:
+        return F.coalesce(F.col("of")[domain][f"n{part}"], F.lit(0))
+
+    def failures(kind: str, relation: str, column: str) -> Column:
+        if kind == "singular":
+            return F.when(count(f"rows.{COMPARED[0]}", MARK) != count(f"rows.{COMPARED[1]}", MARK), 1).otherwise(0)
+        if kind == "relationships":
+            return count(*_reference(relation, column))
+        return count(f"{relation}.{column}", OWN if kind == "unique" else MARK)
+
+    rows = [F.struct(F.lit(k).alias("kind"), F.lit(r).alias("relation"), F.lit(c).alias("column_name"), failures(k, r, c).cast("bigint").alias("failures")) for k, r, c in tests()]
+    return found.select(F.explode(F.array(*rows)).alias("x")).select("x.*")
 
 
 def same_count(silver: DataFrame, fact: DataFrame) -> DataFrame:
     """silver_count, fact_count, if they differ."""
     a, b = silver.agg(F.count(F.lit(1)).alias("silver_count")), fact.agg(F.count(F.lit(1)).alias("fact_count"))
     return a.crossJoin(b).where("silver_count <> fact_count")  # of two single rows
-
-
-def all_checks(relations: dict[str, DataFrame]) -> DataFrame:
-    """The 37 tests: kind, relation, column_name, failures."""
-    parts = [unique(relations[r], r, c) for r, columns in UNIQUE.items() for c in columns]
-    parts += [not_null(relations[r], r, columns) for r, columns in NOT_NULL.items()]
-    parts += [references(relations[r], r, c, relations[p], k) for r, c, p, k in REFERENCES]
-    odd = same_count(relations["silver_trips"], relations["fct_trips"]).agg(F.count(F.lit(1)).alias("failures"))
-    parts.append(odd.select(*_row("singular", "fct_trips", "fct_trips_reconciles_to_silver")))
-    return reduce(DataFrame.unionByName, parts)

@@ -6,6 +6,8 @@ result does not depend on the order in which tasks finish.
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -101,19 +103,24 @@ DEPENDS = {
 }
 
 
-def check_graph(relations: dict[str, DataFrame], folders: dict[str, str]) -> None:
-    """Refuses models that read other relations than DEPENDS says.
+def check_graph(relations: dict[str, DataFrame], folders: dict[str, str], depends: dict[str, tuple[str, ...]] | None = None) -> None:
+    """Refuses models that read other relations than they should (DEPENDS, unless said otherwise).
 
     folders: of the relations that models are built from. What a model reads is
     taken from the files of its own plan; only names of files pass the driver.
     """
-    for model, sources in DEPENDS.items():
+    for model, sources in (DEPENDS if depends is None else depends).items():
         files = relations[model].inputFiles()
-        read = {name for name, folder in folders.items() if any(f"{folder.rstrip('/')}/" in f for f in files)}
-        if read != set(sources):
+        read = {name for name, folder in folders.items() if any(f"{_path(folder)}/" in _path(f) for f in files)}
+        if read - set(sources) or (files and read != set(sources)):
             raise ValueError(f"{model} reads {sorted(read)} instead of {sorted(sources)}")
 
 
+def _path(uri: str) -> str:
+    """A URI without its scheme and authority, which plans write in other ways."""
+    return re.sub("^[a-z][a-z0-9+.-]*:(//[^/]*)?", "", uri.rstrip("/"))
+
+
 def build(silver: DataFrame, zones: DataFrame, fact: DataFrame | None = None) -> dict[str, DataFrame]:
     """All relations by name, with those they are built from."""
     fact = fct_trips(silver) if fact is None else fact

@@ -1,10 +1,14 @@
 """Silver and quarantine: every bronze row is one or the other, with a reason for the latter.
 
-One shuffle, by row_id, numbers the rows of equal identity. The zones are a
-lookup of a few hundred rows; they are broadcast if they are counted to be as
-few as that, so trips are not shuffled by their zones, which are hot. Rows
-of one identity meet in a task; as the identity covers all source columns, a
-group is the copies of one trip.
+Rows of equal identity are found by counting row_ids alone. Only those of
+identities that occur again are numbered, as narrow rows of their place in the bronze
+files (``row_file`` and ``row_index``), and joined back by it; so no trip is shuffled
+for the sake of the few that come twice, and an identity with very many copies is
+numbered in blocks. Rows without a place, of frames that are no table, are numbered
+by one window over whole rows.
+
+The zones are a lookup of a few hundred rows; they are broadcast if they are counted
+to be as few as that, so trips are not shuffled by their zones, which are hot.
 """
 
 from __future__ import annotations
@@ -17,6 +21,10 @@ from tripmill.functions import quality
 
 #: Zones that are broadcast at most; more are joined by a shuffle.
 BROADCAST_ROWS = 10_000
+#: Where a row of a stored table is: its file, and its number there.
+PLACE = ("row_file", "row_index")
+#: Copies of one trip are numbered in blocks of 2 ** BLOCK_BITS rows of a file.
+BLOCK_BITS = 20
 
 
 def with_zones(trips: DataFrame, zones: DataFrame) -> DataFrame:
@@ -36,7 +44,29 @@ def with_reason(joined: DataFrame) -> DataFrame:
 
 def numbered(reasoned: DataFrame, order: tuple[str, ...] = ("_source_file", "_ingested_at")) -> DataFrame:
     """_trip_row_number among the rows of one row_id, valid or not."""
-    return reasoned.withColumn("_trip_row_number", F.row_number().over(Window.partitionBy("row_id").orderBy(*order)))
+    if not {*PLACE} <= {*reasoned.columns}:
+        return reasoned.withColumn("_trip_row_number", F.row_number().over(Window.partitionBy("row_id").orderBy(*order)))
+    again = repeated(reasoned, order).select(*(F.col(c).alias(f"_{c}") for c in PLACE), F.col("_trip_row_number").alias("_again"))
+    joined = reasoned.join(again, [F.col(c) == F.col(f"_{c}") for c in PLACE], "left")
+    return joined.select(*reasoned.columns, F.coalesce("_again", F.lit(1)).alias("_trip_row_number"))
+
+
+def repeated(rows: DataFrame, order: tuple[str, ...] = ("_source_file", "_ingested_at")) -> DataFrame:
+    """row_file, row_index and _trip_row_number of the rows that are not the first of their identity.
+
+    Numbers within blocks of rows that lie together, and blocks by their counts.
+    """
+    narrow = rows.select("row_id", *order, *PLACE)
+    twice = narrow.groupBy("row_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("row_id")
+    block = [*order, "row_file", "_block"]
+    found = narrow.join(twice, "row_id", "left_semi").withColumn("_block", F.shiftright("row_index", BLOCK_BITS))
+    sizes = found.groupBy("row_id", *block).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("row_id").orderBy(*block)) - F.col("n")
+    keys = ["row_id", *block]
+    offsets = sizes.select(*(F.col(k).alias(f"o_{k}") for k in keys), before.alias("_before"))
+    inside = F.row_number().over(Window.partitionBy(*keys).orderBy("row_index"))
+    placed = found.withColumn("_inside", inside).join(offsets, [F.col(k).eqNullSafe(F.col(f"o_{k}")) for k in keys])
+    return placed.select(*PLACE, (F.col("_before") + F.col("_inside")).cast("int").alias("_trip_row_number")).where("_trip_row_number > 1")
 
 
 def with_duplicates(rows: DataFrame) -> DataFrame:
@@ -83,13 +113,17 @@ def silver(classified: DataFrame) -> DataFrame:
 
 
 def quarantine(classified: DataFrame) -> DataFrame:
-    return classified.where("reason_code is not null").drop("_trip_row_number")
+    return classified.where("reason_code is not null").drop("_trip_row_number", *PLACE)
 
 
-def counts(classified: DataFrame) -> DataFrame:
+def count_columns() -> list[Column]:
     """Bronze, silver and quarantine rows, each counted by itself."""
     reason = F.col("reason_code")
-    return classified.agg(F.count(F.lit(1)).alias("bronze_count"), F.count_if(reason.isNull()).alias("silver_count"), F.count_if(reason.isNotNull()).alias("quarantine_count"))
+    return [F.count(F.lit(1)).alias("bronze_count"), F.count_if(reason.isNull()).alias("silver_count"), F.count_if(reason.isNotNull()).alias("quarantine_count")]
+
+
+def counts(classified: DataFrame) -> DataFrame:
+    return classified.agg(*count_columns())
 
 
 def by_reason(rejected: DataFrame) -> DataFrame:

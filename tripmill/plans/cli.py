@@ -45,7 +45,8 @@ def main(argv: list[str] | None = None) -> None:
     else:
         months = backfill_requests(args.year, args.month) if args.step == "backfill" else [(args.year, args.month)]
         months = [(m.year, m.month) if hasattr(m, "year") else m for m in months]
-        said = [lake.run(SourceFile.of(spark, y, m, f"{args.landing}/{file_name(y, m)}"), args.zones, args.retries, args.pause, args.take_over) for y, m in months]
+        sources = SourceFile.all_of(spark, [(y, m, f"{args.landing}/{file_name(y, m)}") for y, m in months])
+        said = [lake.run(source, args.zones, args.retries, args.pause, args.take_over) for source in sources]
     for x in said:
         print(json.dumps(x, sort_keys=True))
 

@@ -1,12 +1,13 @@
-"""What surrounds the steps of a month: retries, one run at a time, statements with a time limit."""
+"""What surrounds the steps of a month: retries, a journal, one run at a time, statements with a time limit."""
 
 from __future__ import annotations
 
 import contextlib
+import hashlib
 import json
 import time
 import uuid
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor, wait
 from datetime import datetime, timezone
 from typing import TypeVar
@@ -14,7 +15,7 @@ from typing import TypeVar
 from pyspark.sql import DataFrame, Row, SparkSession
 
 from tripmill.sources.files import Files
-from tripmill.sources.schema import ContractError
+from tripmill.sources.schema import ConflictError, ContractError
 
 T = TypeVar("T")
 
@@ -35,19 +36,68 @@ class RunningError(RuntimeError):
 
 
 def retried(step: Callable[[], T], final: tuple[type[Exception], ...] = (ContractError,), retries: int = RETRIES, pause: float = PAUSE) -> T:
-    """The step's result. A failure is tried again, but for the kinds that another attempt can't change."""
+    """The step's result. A failure is tried again, but for the kinds that another attempt can't change; a lost race is none of those."""
     for left in range(retries, -1, -1):
         try:
             return step()
-        except final:
-            raise
-        except Exception:
-            if not left:
+        except Exception as error:
+            if not left or (isinstance(error, final) and not isinstance(error, ConflictError)):
                 raise
             time.sleep(pause)
     raise ValueError("retries must not be negative")
 
 
+class Journal:
+    """What the steps of one run gave, so that a run that stopped goes on at the step that failed.
+
+    An entry is a file that is written once, when its step has ended, and holds the
+    step's result and the digest of both; one that does not match its digest counts
+    as none. A run that is complete has no journal any more: the next one begins
+    with the first step, whose guard knows what is published.
+    """
+
+    def __init__(self, spark: SparkSession, root: str, run: str) -> None:
+        self.files, self.folder = Files(spark), f"{root}/_journal/{run}"
+
+    def done(self) -> list[str]:
+        return [n[:-5] for n in self.files.names(self.folder) if n.endswith(".json") and not n.startswith(".")]
+
+    def step(self, name: str, do: Callable[[], T]) -> T:
+        """The step's result, kept or made now. It has to be plain JSON."""
+        path = f"{self.folder}/{name}.json"
+        if self.files.exists(path):
+            kept = sealed(self.files.read(path))
+            if kept is not None:
+                return kept["result"]
+            self.files.remove(path)
+        result = do()
+        with contextlib.suppress(FileExistsError):
+            self.files.write_new(path, seal({"step": name, "result": result, "ended": datetime.now(timezone.utc).isoformat()}))
+        return result
+
+    def clear(self) -> None:
+        self.files.remove_folder(self.folder)
+
+
+def seal(content: Mapping) -> bytes:
+    """A file that proves itself: its content with that content's digest, as canonical JSON."""
+    return canonical_json({**content, "sha256": hashlib.sha256(canonical_json(content)).hexdigest()})
+
+
+def sealed(payload: bytes) -> dict | None:
+    """The content of such a file, none if it is not what was sealed."""
+    try:
+        content = json.loads(payload)
+        digest = content.pop("sha256")
+    except (ValueError, KeyError, AttributeError):
+        return None
+    return content if hashlib.sha256(canonical_json(content)).hexdigest() == digest else None
+
+
+def canonical_json(document: Mapping) -> bytes:
+    return (json.dumps(document, sort_keys=True, separators=(",", ":"), ensure_ascii=True) + "\n").encode()
+
+
 @contextlib.contextmanager
 def alone(spark: SparkSession, root: str, run: str, take_over: bool = False) -> Iterator[None]:
     """Holds the tables under root for one run. What a crashed run left is removed by ``take_over``."""

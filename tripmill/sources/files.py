@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import functools
 import re
 import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tripmill.functions.identity import run_id
 from tripmill.sources.schema import ContractError, check_month
@@ -16,6 +18,7 @@ class Files:
     """Whole-file reads and exclusive writes on the driver; for metadata, not data."""
 
     def __init__(self, spark: SparkSession) -> None:
+        self.spark = spark
         self.jvm, self.conf, self.gateway = spark._jvm, spark._jsc.hadoopConfiguration(), spark.sparkContext._gateway
 
     def _at(self, path: str):
@@ -38,56 +41,104 @@ class Files:
         at, fs = self._at(path)
         fs.delete(at, False)
 
-    def read(self, path: str) -> bytes:
+    def remove_folder(self, path: str) -> None:
         at, fs = self._at(path)
-        stream = fs.open(at)
-        try:
-            return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
-        finally:
-            stream.close()
+        fs.delete(at, True)
 
-    def sha256(self, path: str) -> str:
-        """The digest, made in the JVM so that a large file does not pass through Python."""
+    def read(self, path: str) -> bytes:
         at, fs = self._at(path)
         stream = fs.open(at)
         try:
-            return self.jvm.org.apache.commons.codec.digest.DigestUtils.sha256Hex(stream)
+            return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(stream))
         finally:
             stream.close()
 
     def write_new(self, path: str, data: bytes) -> None:
         """Create the file with all of its content, or raise FileExistsError.
 
-        The content goes to a name of its own first, so nobody sees a file that
-        is cut short. Of several writers one wins: by a link on a local disk, by
-        a rename that replaces nothing elsewhere, which is one step on HDFS. A
-        store whose rename is a copy needs a committer or lock of its own.
+        Nobody sees a file that is cut short, and of several writers one wins. How
+        depends on the store (``COMMITS``): a draft that is linked or renamed where
+        that is one step and replaces nothing, a conditional put where a file
+        appears as it is closed. A store of another kind is refused, unless
+        ``tripmill.commit.<scheme>`` names one of these ways for it.
         """
         at, fs = self._at(path)
+        scheme = fs.getScheme()
+        way = self.spark.conf.get(f"tripmill.commit.{scheme}", COMMITS.get(scheme))
+        if way not in WAYS:
+            raise ContractError(f"no safe way to commit a file is known for {scheme}:; name one in tripmill.commit.{scheme}")
         if fs.exists(at):
             raise FileExistsError(path)
-        draft = self.jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{at.getName()}.{uuid.uuid4().hex}")
-        stream = fs.create(draft, False)
+        try:
+            getattr(self, f"_by_{way}")(at, fs, data)
+        except Exception as error:  # of the JVM; a failed condition of a put is one of these, too
+            if any(x in str(error) for x in ("AlreadyExists", "412", "409")):
+                raise FileExistsError(path) from error
+            raise
+
+    @staticmethod
+    def _fill(stream, data: bytes) -> None:
         try:
             stream.write(data)
         finally:
             stream.close()
+
+    def _draft(self, at, fs, data: bytes):
+        draft = self.jvm.org.apache.hadoop.fs.Path(at.getParent(), f".{at.getName()}.{uuid.uuid4().hex}")
+        self._fill(fs.create(draft, False), data)
+        return draft
+
+    def _by_link(self, at, fs, data: bytes) -> None:
+        draft = self._draft(at, fs, data)
         try:
-            if fs.getScheme() == "file":
-                here = [self.jvm.java.nio.file.Paths.get(fs.makeQualified(p).toUri()) for p in (at, draft)]
-                self.jvm.java.nio.file.Files.createLink(*here)
-            else:
-                kinds = self.jvm.org.apache.hadoop.fs.Options.Rename
-                none = self.gateway.new_array(kinds, 1)
-                none[0] = kinds.NONE
-                self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.conf).rename(draft, at, none)
-        except Exception as error:  # the JVM's FileAlreadyExistsException
-            if "AlreadyExists" in str(error):
-                raise FileExistsError(path) from error
-            raise
+            here = [self.jvm.java.nio.file.Paths.get(fs.makeQualified(p).toUri()) for p in (at, draft)]
+            self.jvm.java.nio.file.Files.createLink(*here)
+        finally:
+            fs.delete(draft, False)
+
+    def _by_rename(self, at, fs, data: bytes) -> None:
+        draft = self._draft(at, fs, data)
+        kinds = self.jvm.org.apache.hadoop.fs.Options.Rename
+        none = self.gateway.new_array(kinds, 1)
+        none[0] = kinds.NONE
+        try:
+            self.jvm.org.apache.hadoop.fs.FileContext.getFileContext(fs.getUri(), self.conf).rename(draft, at, none)
         finally:
             fs.delete(draft, False)
 
+    def _by_put(self, at, fs, data: bytes) -> None:
+        """The store itself refuses to replace a file when this one is closed."""
+        self._fill(fs.create(at, False), data)
+
+    def _by_conditional(self, at, fs, data: bytes) -> None:
+        """The same, asked for by an option that the store has to know."""
+        builder = fs.createFile(at).overwrite(False).recursive().must("fs.option.create.conditional.overwrite", True)
+        self._fill(builder.build(), data)
+
+
+#: How a file is committed in stores of each scheme; see ``Files.write_new``.
+COMMITS = {"file": "link", "hdfs": "rename", "viewfs": "rename", "s3a": "conditional", "gs": "put", "abfs": "put", "abfss": "put"}
+WAYS = ("link", "rename", "put", "conditional")
+
+
+def checksums(spark: SparkSession, uris: list[str]) -> dict[str, tuple[str, int]]:
+    """SHA-256 and size of whole files, made where Spark's tasks run: a task for each, several at once.
+
+    No byte of them passes the driver. A task holds its file in memory, which Spark
+    allows up to 2 GB; a larger file is refused by its reader.
+    """
+    found: dict[str, tuple[str, int]] = {}
+    reader = spark.read.format("binaryFile")
+    for r in _one_task_each(spark, reader, uris).collect():
+        found[r["uri"]] = (r["sha256"], r["length"])
+    return found
+
+
+def _one_task_each(spark: SparkSession, reader, uris: list[str]) -> DataFrame:
+    """uri, sha256 and length of each file; the plan is a union, so files of any size are tasks of their own."""
+    each = [reader.load(u).select(F.lit(u).alias("uri"), F.sha2("content", 256).alias("sha256"), "length") for u in uris]
+    return functools.reduce(DataFrame.unionByName, each)
+
 
 def file_name(year: int, month: int) -> str:
     check_month(year, month)
@@ -120,13 +171,17 @@ class SourceFile:
 
     def verify(self, spark: SparkSession) -> None:
         """Refuse a landed file that is not the one it is said to be."""
-        files = Files(spark)
-        if files.size(self.uri) != self.size:
+        if Files(spark).size(self.uri) != self.size:
             raise ContractError(f"{self.uri} does not have {self.size} bytes")
-        if files.sha256(self.uri) != self.checksum:
+        if checksums(spark, [self.uri])[self.uri][0] != self.checksum:
             raise ContractError(f"{self.uri} does not match its checksum")
 
     @classmethod
     def of(cls, spark: SparkSession, year: int, month: int, uri: str) -> SourceFile:
-        files = Files(spark)
-        return cls(year, month, uri, files.sha256(uri), files.size(uri))
+        return cls.all_of(spark, [(year, month, uri)])[0]
+
+    @classmethod
+    def all_of(cls, spark: SparkSession, months: list[tuple[int, int, str]]) -> list[SourceFile]:
+        """The files of several months, their checksums made in one job."""
+        made = checksums(spark, [uri for _, _, uri in months])
+        return [cls(year, month, uri, *made[uri]) for year, month, uri in months]

@@ -1,4 +1,8 @@
-"""Declared schemas of all layers and of the monthly source files."""
+"""Declared schemas of all layers and of the monthly source files.
+
+Names, types and order of the layers' columns are fixed values: they have to be those
+of the tables that other systems read.
+"""
 
 from __future__ import annotations
 
@@ -16,12 +20,19 @@ class ContractError(ValueError):
     """A source, a request or a state is not what the pipeline accepts."""
 
 
+class ConflictError(ContractError):
+    """Another writer was faster; another attempt can succeed."""
+
+
 @dataclass(frozen=True)
 class TableSpec:
     namespace: str
     name: str
     columns: tuple[tuple[str, str], ...]
     partitions: tuple[str, ...] = ()
+    #: what a merge compares, and ordered columns that follow from it
+    key: str | None = None
+    ranges: tuple[str, ...] = ()
 
     @property
     def identifier(self) -> str:
@@ -86,6 +97,40 @@ FACT = TableSpec(
         ("source_year", "int"), ("source_month", "int"), ("ingestion_run_id", "string"),
     ),
     ("source_year", "source_month"),
+    key="row_id",
+    ranges=("pickup_datetime",),
+)
+_MONTH = (("source_year", "int"), ("source_month", "int"))
+#: What each month adds to the dimensions of days and operators.
+DAYS = TableSpec("gold", "dim_date_months", (("pickup_date", "date"), *_MONTH), ("source_year", "source_month"))
+OPERATORS = TableSpec("gold", "dim_operator_months", (("operator_code", "string"), *_MONTH), ("source_year", "source_month"))
+DIM_DATE = TableSpec(
+    "gold",
+    "dim_date",
+    (
+        ("date_key", "int"), ("calendar_date", "date"), ("calendar_year", "int"), ("calendar_month", "int"),
+        ("day_of_month", "int"), ("day_of_week", "int"), ("day_name", "string"),
+    ),
+)
+DIM_OPERATOR = TableSpec("gold", "dim_operator", (("operator_code", "string"),))
+DIM_ZONE = TableSpec("gold", "dim_zone", (("zone_id", "int"), ("borough", "string"), ("zone_name", "string"), ("service_zone", "string")))
+HOURLY = TableSpec(
+    "gold",
+    "mart_hourly_zone_demand",
+    (
+        ("hourly_zone_key", "string"), *_MONTH, ("pickup_date_key", "int"), ("pickup_hour", "int"), ("pickup_zone_id", "int"),
+        ("trip_count", "bigint"), ("total_trip_miles", "double"), ("average_passenger_fare", "double"), ("total_driver_pay", "double"),
+    ),
+    ("source_year", "source_month"),
+)
+METRICS = TableSpec(
+    "gold",
+    "mart_operator_metrics",
+    (
+        ("operator_month_key", "string"), *_MONTH, ("operator_code", "string"), ("trip_count", "bigint"), ("average_passenger_fare", "double"),
+        ("total_passenger_fare", "double"), ("total_driver_pay", "double"), ("total_tips", "double"), ("average_trip_miles", "double"),
+    ),
+    ("source_year", "source_month"),
 )
 TABLES = (BRONZE_TRIPS, BRONZE_ZONES, SILVER_TRIPS, QUARANTINE, MANIFEST)
 #: The one schema change: tables that get a nullable fee column.
