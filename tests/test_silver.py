@@ -7,7 +7,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from tripmill.functions import quality
-from tripmill.operators import bronze, silver
+from tripmill.operators import bronze, checks, gold, silver
+from tripmill.sources.schema import TableSpec
+from tripmill.sources.store import SnapshotTable
 
 T = dt.datetime(2024, 1, 15, 8, 0, tzinfo=dt.timezone.utc)
 GOOD = {
@@ -102,3 +104,55 @@ def test_missing_policy_is_another_policy(spark):
 def test_one_shuffle_and_broadcast_zones(spark):
     plan = silver.silver(silver.classify(trips(spark, {}), zones(spark)))._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Exchange hashpartitioning(row_id") == 1 and "SortMergeJoin" not in plan
+
+
+def stored(spark, tmp_path, rows):
+    spec = TableSpec("bronze", "t", tuple(rows.dtypes), ("_source_year", "_source_month"))
+    table = SnapshotTable(spark, f"file://{tmp_path}", spec).create()
+    table.replace(rows)
+    return table.read(places=True)
+
+
+@pytest.mark.parametrize("bits", [silver.BLOCK_BITS, 1])
+def test_copies_are_numbered_as_narrow_rows(spark, tmp_path, monkeypatch, bits):
+    """With blocks of two rows, the copies of one trip are numbered across many."""
+    monkeypatch.setattr(silver, "BLOCK_BITS", bits)
+    changes = [{"dispatching_base_num": f"B{i % 7}" if i % 3 else "HOT", "_source_file": f"f{i % 2}"} for i in range(60)]
+    changes += [{"dispatching_base_num": "HOT", "PULocationID": "999", "_source_file": None}] * 3
+    rows = stored(spark, tmp_path, trips(spark, *changes))
+    found = silver.classify(rows, zones(spark))
+    wide = [s for s in found._jdf.queryExecution().optimizedPlan().toString().split("\n") if "Window [" in s]
+    assert wide and not any("passenger_fare" in s or "license" in s for s in wide)
+    by_window = silver.classify(rows.drop(*silver.PLACE), zones(spark))
+    count = lambda df: sorted((r.row_id, r._trip_row_number, r.n) for r in df.groupBy("row_id", "_trip_row_number").agg(F.count(F.lit(1)).alias("n")).collect())
+    assert count(found) == count(by_window) and {n for _, _, n in count(found)} == {1}
+    reasons = lambda df: sorted((str(r[0]), r[1]) for r in df.groupBy("reason_code").count().collect())
+    assert reasons(found) == reasons(by_window)
+    # the order is kept: nulls, f0, f1
+    hot = found.where("dispatching_base_num = 'HOT' and PULocationID = '1'").orderBy("_trip_row_number").select("_source_file").collect()
+    assert [r[0] for r in hot] == sorted(r[0] for r in hot)
+    assert "row_file" not in silver.quarantine(found).columns
+
+
+def test_a_table_without_copies(spark, tmp_path):
+    rows = stored(spark, tmp_path, trips(spark, *({"dispatching_base_num": f"B{i}"} for i in range(5))))
+    assert {r._trip_row_number for r in silver.classify(rows, zones(spark)).collect()} == {1}
+    assert silver.repeated(rows).isEmpty()
+
+
+def test_data_tests_count_what_fails(spark):
+    zone = spark.createDataFrame([(1, "a", "b", "c"), (1, "a", "b", "c"), (None, "a", "b", "c"), (2, "a", "b", "c")], "LocationID int, Borough string, Zone string, service_zone string")
+    good = silver.silver(silver.classify(trips(spark, *({"dispatching_base_num": f"B{i}"} for i in range(6))), zones(spark)))
+    relations = gold.build(good, zone)
+    fact = relations["fct_trips"]
+    twice = fact.limit(1)
+    odd = fact.unionByName(twice).withColumns({"pickup_zone_id": F.when(F.col("row_id") > "8", 77).otherwise(F.col("pickup_zone_id")), "operator_code": F.lit(None).cast("string"), "driver_pay": F.lit(None).cast("double")})
+    found = {(r.kind, r.relation, r.column_name): r.failures for r in checks.all_checks(relations | {"fct_trips": odd}).collect()}
+    assert len(found) == 37
+    high = odd.where("row_id > '8'").count()
+    expected = {
+        ("unique", "bronze_taxi_zones", "LocationID"): 1, ("not_null", "bronze_taxi_zones", "LocationID"): 1, ("unique", "dim_zone", "zone_id"): 1,
+        ("unique", "fct_trips", "row_id"): 1, ("not_null", "fct_trips", "operator_code"): 7, ("not_null", "fct_trips", "driver_pay"): 7,
+        ("relationships", "fct_trips", "pickup_zone_id"): high, ("singular", "fct_trips", checks.COUNTS): 1,
+    }
+    assert {k: n for k, n in found.items() if n} == {k: n for k, n in expected.items() if n}

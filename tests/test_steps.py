@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 
 from tests.test_month import land, place  # noqa: F401
 from tripmill.operators import gold
-from tripmill.plans import bundle, cli, steps
+from tripmill.plans import bundle, cli, release, steps
 from tripmill.sources.files import Files
-from tripmill.sources.schema import ContractError
+from tripmill.sources.schema import ConflictError, ContractError
 
 
 def failing(times, error=OSError):
@@ -105,3 +105,114 @@ def test_models_read_what_the_graph_says(spark, place):  # noqa: F811
     gold.check_graph(relations, folders)
     with pytest.raises(ValueError, match="mart_operator_metrics"):
         gold.check_graph(relations | {"mart_operator_metrics": gold.mart_operator_metrics(gold.fct_trips(lake.silver.read()))}, folders)
+
+
+def test_a_run_goes_on_at_the_step_that_failed(spark, place, monkeypatch):  # noqa: F811
+    lake, folder, zones = place
+    source, done = land(spark, folder), []
+    for name in ("ingest", "refine", "build"):
+        real = getattr(lake, name)
+        monkeypatch.setattr(lake, name, lambda *a, name=name, real=real: (done.append(name), real(*a))[1])
+    calls, step = failing(1)
+    real_verify = release.verify
+    monkeypatch.setattr(release, "verify", lambda *a: (step(), real_verify(*a))[1])
+    with pytest.raises(OSError):
+        lake.run(source, zones, retries=0)
+    journal = steps.Journal(spark, lake.root, source.run_id)
+    assert journal.done() == ["build", "ingest", "publish", "reconcile", "refine"]
+    # an entry that is cut short counts as none
+    path = next((folder / "lake" / "_journal" / source.run_id).glob("publish.json"))
+    path.write_bytes(path.read_bytes()[:-20])
+    for crc in path.parent.glob(".*.crc"):
+        crc.unlink()
+    assert lake.run(source, zones, retries=0)["gold_row_count"] == 1
+    assert done == ["ingest", "refine", "build"] and journal.done() == []
+
+
+def test_a_refused_run_begins_anew(spark, place, monkeypatch):  # noqa: F811
+    lake, folder, zones = place
+    source = land(spark, folder)
+    monkeypatch.setattr(release, "reconcile", lambda *a: (_ for _ in ()).throw(release.ReleaseError("no")))
+    with pytest.raises(release.ReleaseError):
+        lake.run(source, zones, pause=0)
+    assert steps.Journal(spark, lake.root, source.run_id).done() == []
+
+
+def test_a_lost_race_is_tried_again():
+    calls, step = failing(2, ConflictError)
+    assert steps.retried(step, pause=0) == "done" and len(calls) == 3
+
+
+def test_sealed_files_prove_themselves():
+    payload = steps.seal({"a": [1, "é"]})
+    assert steps.sealed(payload) == {"a": [1, "é"]}
+    for bad in (payload[:-5], payload.replace(b"1", b"2"), b"", b"[]", b'{"a": 1}'):
+        assert steps.sealed(bad) is None
+
+
+def test_archived_tests_are_one_file(spark, place, monkeypatch):  # noqa: F811
+    """A writer that stops before its one write leaves nothing behind; a changed file is refused."""
+    lake, folder, zones = place
+    source = land(spark, folder)
+    lake.ingest(source, zones)
+    lake.refine(source)
+    tested = lake.build(source)
+    with monkeypatch.context() as m:
+        m.setattr(Files, "write_new", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            release.archive_checks(lake, source, tested)
+    uri = release.archive_checks(lake, source, tested)
+    assert release.archive_checks(lake, source, tested) == uri == release.required_checks(lake, source)[0]
+    path = folder / uri.removeprefix(f"file://{folder}/")
+    assert [p.name for p in path.parent.iterdir() if not p.name.endswith(".crc")] == [path.name]
+    path.write_bytes(path.read_bytes().replace(b'"failures":0', b'"failures":7', 1))
+    for crc in path.parent.glob(".*.crc"):
+        crc.unlink()
+    with pytest.raises(release.ReleaseError, match="damaged"):
+        release.archive_checks(lake, source, tested)
+
+
+def test_an_interrupted_build_leaves_the_old_gold(spark, place, monkeypatch):  # noqa: F811
+    lake, folder, zones = place
+    lake.run(land(spark, folder), zones)
+    mart, hourly = lake.gold["mart_operator_metrics"], lake.gold["mart_hourly_zone_demand"]
+    old = mart.read().collect()
+    second = land(spark, folder, month=2, changes=({"hvfhs_license_num": "HV0009"}, {"tips": "5"}))
+    lake.ingest(second, zones)
+    lake.refine(second)
+    with monkeypatch.context() as m:
+        m.setattr(mart, "_commit", lambda *a: (_ for _ in ()).throw(OSError("stopped")))
+        with pytest.raises(OSError):
+            lake.build(second)
+        assert mart.read().collect() == old and hourly.latest()["note"] == {"source": lake.fact.latest()["id"]}
+    before = {p["path"] for p in mart._log()[1]["parts"]}
+    lake.build(second)
+    assert before < {p["path"] for p in mart._log()[1]["parts"]}  # the first month's part is as it was
+    want = gold.mart_operator_metrics(lake.fact.read())
+    assert mart.read().exceptAll(want.select(*mart.read().columns)).isEmpty() and mart.read().count() == want.count() == 3
+    assert sorted(r[0] for r in lake.gold["dim_operator"].read().collect()) == ["HV0003", "HV0009"]
+    snapshots = mart.snapshots().count()
+    lake.build(second)
+    assert mart.snapshots().count() in (snapshots, snapshots + 1) and mart.read().count() == 3
+
+
+def test_an_empty_source_leaves_the_month_as_it_was(spark, place):  # noqa: F811
+    lake, folder, zones = place
+    with pytest.raises(ContractError, match="no trips"):
+        lake.ingest(land(spark, folder, changes=()), zones)
+    assert lake.bronze.latest() is None
+
+
+def test_equal_reruns_are_told_by_digests(spark):
+    rows = spark.range(200).selectExpr("sha2(string(id), 256) as row_id", "if(id % 3 = 0, null, id) as v", "2024 as source_year", "int(id % 4 + 1) as source_month")
+    shuffled = rows.orderBy(F.desc("row_id"))
+    assert release.differing({"a": rows, "b": rows}, {"a": shuffled, "b": rows}) == []
+    assert release.rerun_differences({"a": rows}, {"a": shuffled}).collect() == [] and release.other_row_ids(rows, shuffled).collect() == []
+    changed = rows.withColumn("v", F.when(F.col("v") == 1, None).otherwise(F.col("v")))
+    assert release.differing({"a": rows}, {"a": changed}) == [("a", 2024, 2)]
+    found = release.rerun_differences({"a": rows}, {"a": changed})
+    assert found.count() == 2 and {r.side for r in found.collect()} == {"first", "rerun"}
+    # nulls have a place: the same values in other columns are another row
+    a = spark.createDataFrame([(1, None)], "x int, y int")
+    assert release.differing({"a": a}, {"a": a.selectExpr("y as x", "x as y")}) == [("a", None, None)]
+    assert release.other_row_ids(rows.where("v <> 5"), rows).count() == 1 + rows.where("v is null").count()

@@ -42,19 +42,20 @@ def policy(year: int) -> str:
     return ROW_POLICY_2025 if year >= FEE_YEAR else ROW_POLICY_2024
 
 
+#: How the text of a value is read in each class; of all other columns it is the trimmed text itself.
+_READ = {
+    TIMES: lambda value: F.date_format(value.try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+    WHOLE_NUMBERS: lambda value: value.try_cast("decimal(38,0)").cast("string"),
+    AMOUNTS: lambda value: value.try_cast("decimal(38,6)").cast("string"),
+}
+
+
 def canonical(name: str) -> Column:
     """A column's canonical text; null where the value cannot be read in its class."""
-    value = F.col(name)
-    text = F.trim(value.cast("string"))
-    if name in TIMES:
-        read = F.date_format(value.try_cast("timestamp"), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
-    elif name in WHOLE_NUMBERS:
-        read = value.try_cast("decimal(38,0)").cast("string")
-    elif name in AMOUNTS:
-        read = value.try_cast("decimal(38,6)").cast("string")
-    else:
-        read = text
-    return F.when(value.isNull() | (text == ""), F.lit(NULL_TOKEN)).otherwise(read)
+    trimmed = F.trim(F.col(name).cast("string"))
+    absent = F.coalesce(trimmed == "", F.lit(True))
+    read = [make(F.col(name)) for names, make in _READ.items() if name in names] or [trimmed]
+    return F.when(absent, F.lit(NULL_TOKEN)).otherwise(read[0])
 
 
 def by_year(year: Column | int, before: Column | str, since: Column | str) -> Column:

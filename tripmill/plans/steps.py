@@ -89,7 +89,7 @@ def sealed(payload: bytes) -> dict | None:
     try:
         content = json.loads(payload)
         digest = content.pop("sha256")
-    except (ValueError, KeyError, AttributeError):
+    except (ValueError, KeyError, TypeError, AttributeError):
         return None
     return content if hashlib.sha256(canonical_json(content)).hexdigest() == digest else None
 

@@ -2,12 +2,16 @@
 
 The queries call the library's operators on trips made from the order tables
 (``sources.sample``). The SQL builds the same trips, keys and checks by itself;
-column lists, rule names and run ids that are fixed by contract come from one
-place for both sides and are held by the tests' golden values.
+column lists and rule names that are fixed by contract come from one place for both
+sides and are held by the tests' golden values. A query that needs rows more than
+once writes them to a folder of its own first.
 """
 
 from __future__ import annotations
 
+import functools
+import hashlib
+import json
 import uuid
 from collections.abc import Callable
 
@@ -17,9 +21,10 @@ from pyspark.sql import functions as F
 from tripmill.functions import identity, quality
 from tripmill.operators import bronze, checks, gold, silver
 from tripmill.plans import manifest, release
+from tripmill.plans.month import Lake
 from tripmill.sources import sample, trips
-from tripmill.sources.files import SourceFile
-from tripmill.sources.schema import FEE, MANIFEST, TableSpec
+from tripmill.sources.files import Files, SourceFile, file_name
+from tripmill.sources.schema import FEE, MANIFEST, ContractError, TableSpec
 from tripmill.sources.store import SnapshotTable
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -182,10 +187,25 @@ def _silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.silver(_classified(spark, sf_dir))
 
 
+def _stored(df: DataFrame) -> DataFrame:
+    """df, written once, for queries that read it again."""
+    path = f"{_state(df.sparkSession)}/rows"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _placed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bronze from a stored table, whose rows have places."""
+    rows = _bronze(spark, sf_dir)
+    spec = TableSpec("bronze", "trips", tuple(rows.dtypes), ("_source_year", "_source_month"))
+    table = SnapshotTable(spark, _state(spark), spec).create()
+    table.replace(rows)
+    return table.read(places=True)
+
+
 def _relations(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
-    """All relations; silver is computed once and kept while the many checks read it."""
-    made = _silver(spark, sf_dir).persist()
-    return gold.build(made, sample.zones(spark, sf_dir))
+    """All relations; silver is stored for the models that read it."""
+    return gold.build(_stored(_silver(spark, sf_dir)), sample.zones(spark, sf_dir))
 
 
 def _state(spark: SparkSession) -> str:
@@ -214,23 +234,31 @@ def zones_reference(spark, sf_dir):
     return trips.read_zones(spark, path)
 
 
-_SOURCED = """
-SELECT o_orderkey, CAST(2024 AS INTEGER) AS _source_year, CAST(5 AS INTEGER) AS _source_month, 's3://landing/fhvhv_tripdata_2024-05.parquet' AS _source_uri, repeat('a', 64) AS _source_checksum,
-       TRUE AS names_its_file, TRUE AS has_run, TRUE AS has_time
-FROM orders
-"""
+_VALUES = "hvfhs_license_num, dispatching_base_num, originating_base_num, request_datetime, pickup_datetime, dropoff_datetime, PULocationID, DOLocationID, trip_time, driver_pay, shared_request_flag"
+_URI = "'s3://landing/fhvhv_tripdata_' || _source_year || '-' || lpad(CAST(_source_month AS VARCHAR), 2, '0') || '.parquet'"
+_RUN_ID = "'fhvhv-' || {y} || '-' || lpad(CAST({m} AS VARCHAR), 2, '0') || '-' || substr(sha256(concat_ws(chr(31), {uri}, repeat('a', 64), {size}, {y}, {m})), 1, 16)"
+
+
+def _months() -> list[tuple[int, int]]:
+    return [(y, m) for y in (2024, 2025) for m in range(1, 13)]
 
 
-@_query(_SOURCED)
+@_query(_with(_TRIPS, f"SELECT {_VALUES}, _source_year, _source_month, {_URI} AS _source_uri, repeat('a', 64) AS _source_checksum, {_RUN_ID.format(y='_source_year', m='_source_month', uri=_URI, size=1)} AS _ingestion_run_id, substr({_URI}, 14) AS file, TRUE AS is_new FROM trips"))
 def month_with_source(spark, sf_dir):
-    """A month's file with the seven columns of its source; the file here holds all orders."""
-    path = f"{_state(spark)}/fhvhv_tripdata_2024-05.parquet"
-    orders = spark.read.parquet(f"{sf_dir}/orders.parquet").select("o_orderkey", *(F.lit(None).cast("string").alias(c) for c in identity.row_columns(2024)))
-    orders.write.parquet(path)
-    source = SourceFile(2024, 5, "s3://landing/fhvhv_tripdata_2024-05.parquet", "a" * 64, 1)
-    made = bronze.with_source(trips.read_month(spark, path, 2024), source)
-    named = F.col("_source_file").contains("fhvhv_tripdata_2024-05.parquet")
-    return made.select("o_orderkey", "_source_year", "_source_month", "_source_uri", "_source_checksum", named.alias("names_its_file"), F.col("_ingestion_run_id").isNotNull().alias("has_run"), F.col("_ingested_at").isNotNull().alias("has_time"))
+    """Every month's file, read with its trips and the seven columns of its source."""
+    folder = _state(spark)
+    rows = sample.trips(spark, sf_dir)
+    name = F.format_string("fhvhv_tripdata_%d-%02d.parquet", "_source_year", "_source_month")
+    rows.withColumn("file", name).drop("_source_year", "_source_month").write.partitionBy("file").parquet(folder)
+    made = []
+    for year, month in _months():
+        source = SourceFile(year, month, f"s3://landing/{file_name(year, month)}", "a" * 64, 1)
+        source.validate()
+        made.append(bronze.with_source(trips.read_month(spark, f"{folder}/file={file_name(year, month)}", year), source))
+    both = functools.reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), made)
+    named = F.regexp_extract("_source_file", "(fhvhv_tripdata_[0-9-]*[.]parquet)", 1)
+    age = F.unix_timestamp(F.current_timestamp()) - F.unix_timestamp("_ingested_at")
+    return both.select(*_VALUES.split(", "), "_source_year", "_source_month", "_source_uri", "_source_checksum", "_ingestion_run_id", named.alias("file"), age.between(0, 3600).alias("is_new"))
 
 
 @_query(_with(_TRIPS, "SELECT count(*) AS row_count, count(DISTINCT LocationID) AS distinct_ids, CAST(count(*) FILTER (LocationID IS NULL) AS BIGINT) AS null_ids FROM zones"))
@@ -267,14 +295,14 @@ def reason_classify(spark, sf_dir):
 @_query(_with(_CLASSIFIED, "SELECT row_id, CAST(rn AS BIGINT) AS trip_row_number FROM numbered"))
 def dedup_row_number(spark, sf_dir):
     """Trips numbered within their identity."""
-    numbered = silver.numbered(_bronze(spark, sf_dir), ("request_datetime",))
+    numbered = silver.numbered(_placed(spark, sf_dir), ("request_datetime",))
     return numbered.select("row_id", F.col("_trip_row_number").cast("bigint").alias("trip_row_number"))
 
 
 @_query(_with(_CLASSIFIED, "SELECT row_id, CAST(rn AS BIGINT) AS trip_row_number, reason_code FROM classified"))
 def duplicate_override(spark, sf_dir):
     """Q15: valid trips that are not the first of their identity."""
-    return _classified(spark, sf_dir).select("row_id", F.col("_trip_row_number").cast("bigint").alias("trip_row_number"), "reason_code")
+    return silver.classify(_placed(spark, sf_dir), sample.zones(spark, sf_dir), ("request_datetime",)).select("row_id", F.col("_trip_row_number").cast("bigint").alias("trip_row_number"), "reason_code")
 
 
 @_query(_with(_SILVER, "SELECT * FROM silver"))
@@ -353,7 +381,7 @@ _MERGED = "SELECT row_id, source_year, source_month, CASE WHEN source_month = 3
 
 
 def _merge_sides(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = gold.fct_trips(_silver(spark, sf_dir)).where("source_year = 2024 and source_month in (2, 3)").select("row_id", "source_year", "source_month", "tips")
+    rows = _stored(gold.fct_trips(_silver(spark, sf_dir)).where("source_year = 2024 and source_month in (2, 3)").select("row_id", "source_year", "source_month", "tips"))
     changed = rows.where("source_month = 3").withColumn("tips", F.col("tips") + 1)
     return rows.where("source_month = 2 or substr(row_id, 1, 1) < '8'"), changed
 
@@ -364,7 +392,7 @@ def fct_merge_upsert(spark, sf_dir):
     return gold.upsert(*_merge_sides(spark, sf_dir))
 
 
-_TIPS = TableSpec("gold", "tips", (("row_id", "string"), ("tips", "double"), ("source_year", "int"), ("source_month", "int")), ("source_year", "source_month"))
+_TIPS = TableSpec("gold", "tips", (("row_id", "string"), ("tips", "double"), ("source_year", "int"), ("source_month", "int")), ("source_year", "source_month"), key="row_id")
 
 
 @_query(_with(_GOLD, _MERGED))
@@ -410,7 +438,7 @@ def dq_relationships(spark, sf_dir):
 @_query(_with(_MARTS, "SELECT silver_count, fact_count FROM (SELECT (SELECT count(*) FROM silver) AS silver_count, (SELECT count(*) FROM fact WHERE source_month <> 7) AS fact_count) WHERE silver_count <> fact_count"))
 def dq_fct_reconciles(spark, sf_dir):
     """The counts' test, on a fact table that lacks a month."""
-    rows = _silver(spark, sf_dir)
+    rows = _stored(_silver(spark, sf_dir))
     return checks.same_count(rows, gold.fct_trips(rows).where("source_month <> 7"))
 
 
@@ -424,7 +452,7 @@ _COUNTS_SQL = "(SELECT count(*) FROM bronze WHERE _source_year = 2024 AND _sourc
 
 
 def _counted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _classified(spark, sf_dir).persist()
+    rows = _stored(_classified(spark, sf_dir))
     made = silver.silver(rows)
     return release.counts(spark, rows, made, silver.quarantine(rows), gold.fct_trips(made), 2024, 5)
 
@@ -451,16 +479,16 @@ _SILVER_DAYS = TableSpec("silver", "days", (("row_id", "string"), ("pickup_date"
 
 
 def _days(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _silver(spark, sf_dir).select("row_id", "pickup_date", "source_year", "source_month")
+    return _stored(_silver(spark, sf_dir).select("row_id", "pickup_date", "source_year", "source_month"))
 
 
-@_query(_with(_SILVER, "SELECT row_id, pickup_date, source_year, source_month FROM silver WHERE source_year = 2024 AND NOT (source_month = 4) AND NOT (source_month = 3 AND substr(row_id, 1, 1) >= '8')"))
+@_query(_with(_SILVER, "SELECT row_id, pickup_date, source_year, source_month FROM silver WHERE NOT (source_year = 2024 AND source_month = 4) AND NOT (source_year = 2024 AND source_month = 3 AND substr(row_id, 1, 1) >= '8')"))
 def partition_overwrite(spark, sf_dir):
     """K1, K2: one month replaced by fewer rows, another by none; the others stay."""
-    rows = _days(spark, sf_dir).where("source_year = 2024")
+    rows = _days(spark, sf_dir)
     table = SnapshotTable(spark, _state(spark), _SILVER_DAYS).create()
     table.replace(rows)
-    table.replace(rows.where("source_month = 3 and substr(row_id, 1, 1) < '8'"), source_year=2024, source_month=3)
+    table.replace(rows.where("source_year = 2024 and source_month = 3 and substr(row_id, 1, 1) < '8'"), source_year=2024, source_month=3)
     table.replace(rows.limit(0), source_year=2024, source_month=4)
     return table.read()
 
@@ -488,64 +516,167 @@ def latest_snapshot_top1(spark, sf_dir):
     return latest.select("operation", F.col("snapshot_id").cast("long").alias("place"), "row_count")
 
 
-@_query(_with(_SILVER, "SELECT row_id, pickup_date, source_year, source_month, CASE WHEN source_year >= 2025 THEN cbd_congestion_fee END AS cbd_congestion_fee FROM silver WHERE source_month = 1"))
+@_query(_with(_SILVER, "SELECT row_id, pickup_date, source_year, source_month, CASE WHEN source_year >= 2025 THEN cbd_congestion_fee END AS cbd_congestion_fee FROM silver"))
 def schema_evolution_nullfill(spark, sf_dir):
     """K9: rows from before and after a column was added, read as one table."""
-    rows = _silver(spark, sf_dir).where("source_month = 1").select("row_id", "pickup_date", "source_year", "source_month", "cbd_congestion_fee")
+    rows = _stored(_silver(spark, sf_dir).select("row_id", "pickup_date", "source_year", "source_month", "cbd_congestion_fee"))
     table = SnapshotTable(spark, _state(spark), _SILVER_DAYS).create()
-    table.replace(rows.where("source_year = 2024").drop("cbd_congestion_fee"), source_year=2024, source_month=1)
+    months = [{"source_year": y, "source_month": m} for y, m in _months()]
+    table.replace_months(rows.where("source_year = 2024").drop("cbd_congestion_fee"), months[:12])
     table.add_column(*FEE)
-    table.replace(rows.where("source_year = 2025"), source_year=2025, source_month=1)
+    table.replace_months(rows.where("source_year = 2025"), months[12:])
     return table.read()
 
 
 _MOMENTS = ("2024-02-01 00:00:00", "2024-02-02 00:00:00", "2024-02-03 00:00:00")
-_MANIFEST_COLUMNS = "source_year, source_month, ingestion_run_id, run_status, bronze_row_count, silver_row_count, quarantine_row_count, bronze_snapshot_id, silver_snapshot_id, failure_stage, failure_message"
+_MANIFEST_COLUMNS = "source_year, source_month, source_uri, ingestion_run_id, run_status, bronze_row_count, silver_row_count, quarantine_row_count, bronze_snapshot_id, silver_snapshot_id, failure_stage, failure_message"
+#: Months of the trips with their counts and keys.
+_RECORDED = f"""{_TRIPS},
+recorded AS (SELECT _source_year AS source_year, _source_month AS source_month, count(*) AS n FROM trips GROUP BY ALL),
+named AS (SELECT *, 'file:///landing/fhvhv_tripdata_' || source_year || '-' || lpad(CAST(source_month AS VARCHAR), 2, '0') || '.parquet' AS source_uri FROM recorded),
+months AS (SELECT *, {_RUN_ID.format(y='source_year', m='source_month', uri='source_uri', size='n')} AS ingestion_run_id FROM named)"""
 
 
-def _manifest_rows(*rows: str) -> str:
-    return "SELECT * FROM (VALUES " + ", ".join(rows) + f") AS t({_MANIFEST_COLUMNS})"
+def _sources(spark: SparkSession, sf_dir: str) -> dict[tuple[int, int], SourceFile]:
+    """A source for each month of the trips, as large as it has trips."""
+    counted = sample.trips(spark, sf_dir).groupBy("_source_year", "_source_month").count().collect()  # a row for each month
+    return {(y, m): SourceFile(y, m, f"file:///landing/{file_name(y, m)}", "a" * 64, n) for y, m, n in sorted(map(tuple, counted))}
 
 
-_ROW = "(CAST(2024 AS INTEGER), CAST(%d AS INTEGER), '%s', '%s', CAST(%d AS BIGINT), CAST(%d AS BIGINT), CAST(%d AS BIGINT), '%s', %s, %s, %s)"
+def _update(spark: SparkSession, sources: dict, status: str, **more: Callable) -> DataFrame:
+    """What the runs of several months have to say, in one relation."""
+    return functools.reduce(DataFrame.unionByName, [manifest.update_row(spark, s, status, **{k: f(s) for k, f in more.items()}) for s in sources.values()])
 
 
-def _manifest_state(spark: SparkSession) -> tuple[DataFrame, dict]:
-    at = lambda m: SourceFile(2024, m, f"file:///landing/fhvhv_tripdata_2024-{m:02d}.parquet", "a" * 64, 10)
-    sources = {m: at(m) for m in (1, 2)}
-    now = spark.createDataFrame([], MANIFEST.schema)
-    for m, source in sources.items():
-        now = manifest.merged(now, manifest.update_row(spark, source, manifest.BRONZE, 100 * m, str(m)), _MOMENTS[0])
-    return now, sources
+def _begun(spark: SparkSession, sources: dict) -> DataFrame:
+    """The manifest after bronze of all months."""
+    return manifest.merged(spark.createDataFrame([], MANIFEST.schema), _update(spark, sources, manifest.BRONZE, bronze_count=lambda s: s.size, bronze_snapshot=lambda s: str(s.month)), _MOMENTS[0])
 
 
-def _run_id(month: int) -> str:
-    return identity.run_id(f"file:///landing/fhvhv_tripdata_2024-{month:02d}.parquet", "a" * 64, 10, 2024, month)
+def _of(sources: dict, which: Callable[[int], bool]) -> dict:
+    return {k: s for k, s in sources.items() if which(k[1])}
 
 
-@_query(_manifest_rows(_ROW % (1, _run_id(1), "failed", 100, 90, 10, "1", "'5'", "'bronze'", "'it''s lost'"), _ROW % (2, _run_id(2), "bronze_published", 250, 0, 0, "9", "NULL", "NULL", "NULL")))
+@_query(_with(_RECORDED, f"""SELECT source_year, source_month, source_uri, ingestion_run_id, CASE source_month % 3 WHEN 0 THEN 'failed' WHEN 1 THEN 'bronze_published' ELSE 'silver_published' END AS run_status,
+    CASE source_month % 3 WHEN 1 THEN n + 1 ELSE n END AS bronze_row_count, CASE source_month % 3 WHEN 1 THEN 0 ELSE n // 2 END AS silver_row_count, CASE source_month % 3 WHEN 1 THEN 0 ELSE n - n // 2 END AS quarantine_row_count,
+    CASE source_month % 3 WHEN 1 THEN '99' ELSE CAST(source_month AS VARCHAR) END AS bronze_snapshot_id, CASE source_month % 3 WHEN 1 THEN NULL ELSE '5' END AS silver_snapshot_id,
+    CASE source_month % 3 WHEN 0 THEN 'bronze' END AS failure_stage, CASE source_month % 3 WHEN 0 THEN 'it''s lost' END AS failure_message FROM months"""))
 def manifest_merge(spark, sf_dir):
-    """A failure keeps the counts, a new bronze run resets silver's."""
-    now, sources = _manifest_state(spark)
-    for m in sources:
-        now = manifest.silver_done(now, sources[m].run_id, 90, 10, "5", "6", _MOMENTS[1])
-    now = manifest.merged(now, manifest.update_row(spark, sources[1], manifest.FAILED, stage="bronze", message="it's lost"), _MOMENTS[2])
-    now = manifest.merged(now, manifest.update_row(spark, sources[2], manifest.BRONZE, 250, "9"), _MOMENTS[2])
-    return now.select(*_MANIFEST_COLUMNS.split(", "))
+    """Of all months a third fails and keeps its counts, a third has new bronze, which resets silver's."""
+    sources = _sources(spark, sf_dir)
+    half = F.floor(F.col("bronze_row_count") / 2)
+    now = manifest.silver_done(_begun(spark, sources), F.col("ingestion_run_id"), half, F.col("bronze_row_count") - half, "5", "6", _MOMENTS[1])
+    failed = _update(spark, _of(sources, lambda m: m % 3 == 0), manifest.FAILED, stage=lambda s: "bronze", message=lambda s: "it's lost")
+    again = _update(spark, _of(sources, lambda m: m % 3 == 1), manifest.BRONZE, bronze_count=lambda s: s.size + 1, bronze_snapshot=lambda s: "99")
+    return manifest.merged(now, failed.unionByName(again), _MOMENTS[2]).select(*_MANIFEST_COLUMNS.split(", "))
+
+
+@_query(_with(_RECORDED, f"""SELECT source_year, source_month, source_uri, ingestion_run_id, CASE source_month % 3 WHEN 0 THEN 'failed' WHEN 1 THEN 'silver_published' ELSE 'bronze_published' END AS run_status,
+    n AS bronze_row_count, CASE source_month % 3 WHEN 1 THEN n - 1 ELSE 0 END AS silver_row_count, CASE source_month % 3 WHEN 1 THEN CAST(1 AS BIGINT) ELSE 0 END AS quarantine_row_count,
+    CAST(source_month AS VARCHAR) AS bronze_snapshot_id, CASE source_month % 3 WHEN 1 THEN '5' END AS silver_snapshot_id,
+    CASE source_month % 3 WHEN 0 THEN 'silver' END AS failure_stage, CASE source_month % 3 WHEN 0 THEN 'no disk' END AS failure_message FROM months"""))
+def manifest_update_silver(spark, sf_dir):
+    """K5, K6: of all months silver is published for a third and fails for another."""
+    sources = _sources(spark, sf_dir)
+    run = lambda rest: F.when(F.col("source_month") % 3 == rest, F.col("ingestion_run_id"))
+    now = manifest.silver_done(_begun(spark, sources), run(1), F.col("bronze_row_count") - 1, F.lit(1), "5", "6", _MOMENTS[1])
+    return manifest.silver_failed(now, run(0), "no disk", _MOMENTS[1]).select(*_MANIFEST_COLUMNS.split(", "))
+
+
+@_query(_with(_RECORDED, """SELECT source_year, source_month, ingestion_run_id,
+    CASE WHEN source_month = 12 THEN 'go' WHEN source_month % 4 = 0 THEN 'refused' WHEN source_month % 3 = 1 THEN 'published' ELSE 'go' END AS ingest,
+    CASE WHEN source_month = 12 OR source_month % 4 = 0 THEN 'refused' WHEN source_month % 3 = 1 THEN 'published' WHEN source_month % 3 = 2 AND source_month % 2 = 0 THEN 'refused' ELSE 'go' END AS silver
+FROM (SELECT source_year, source_month, CASE WHEN source_month % 4 = 0 THEN 'fhvhv-other' ELSE ingestion_run_id END AS ingestion_run_id FROM months)"""))
+def month_admissions(spark, sf_dir):
+    """What each month may do next: new, published, failed in either step, or from another source."""
+    sources = _sources(spark, sf_dir)
+    now = _begun(spark, _of(sources, lambda m: m != 12))
+    run = lambda which: F.when(which, F.col("ingestion_run_id"))
+    now = manifest.silver_done(now, run(F.col("source_month") % 3 == 1), F.lit(1), F.lit(1), "5", "6", _MOMENTS[1])
+    now = manifest.silver_failed(now, run(F.col("source_month") % 3 == 0), "no disk", _MOMENTS[1])
+    now = manifest.merged(now, _update(spark, _of(sources, lambda m: m % 3 == 2 and m % 2 == 0), manifest.FAILED, stage=lambda s: "bronze", message=lambda s: "lost"), _MOMENTS[2])
+    claims = _update(spark, sources, manifest.BRONZE).select(*manifest.CLAIM)
+    other = F.col("source_month") % 4 == 0
+    claims = claims.withColumns({"source_checksum": F.when(other, "b" * 64).otherwise(F.col("source_checksum")), "ingestion_run_id": F.when(other, "fhvhv-other").otherwise(F.col("ingestion_run_id"))})
+    return manifest.decisions(now, claims).select("source_year", "source_month", "ingestion_run_id", "ingest", "silver")
+
+
+_RELEASED = """
+SELECT _source_year AS source_year, CAST(5 AS INTEGER) AS source_month, count(*) AS bronze_row_count, CAST(count(*) FILTER (reason_code IS NULL) AS BIGINT) AS silver_row_count,
+    CAST(count(*) FILTER (reason_code IS NOT NULL) AS BIGINT) AS quarantine_row_count, CAST(count(*) FILTER (reason_code IS NULL) AS BIGINT) AS gold_row_count, 'silver_published' AS run_status,
+    'year=' || _source_year || '/month=05' AS publication_folder, CAST(37 AS BIGINT) AS passed_tests, TRUE AS run_id_is_of_the_file, TRUE AS a_rerun_is_the_same, 'refused' AS another_source, 'refused' AS another_publication, 'refused' AS other_zones,
+    (SELECT count(*) FROM bronze WHERE _source_year = 2024) AS rows_before, (SELECT count(cbd_congestion_fee) FROM bronze) AS rows_with_fee
+FROM classified GROUP BY _source_year
+"""
 
 
-@_query(_manifest_rows(_ROW % (1, _run_id(1), "silver_published", 100, 90, 10, "1", "'5'", "NULL", "NULL"), _ROW % (2, _run_id(2), "failed", 200, 0, 0, "2", "NULL", "'silver'", "'no disk'")))
-def manifest_update_silver(spark, sf_dir):
-    """K5, K6: one run's silver is published, another's fails."""
-    now, sources = _manifest_state(spark)
-    now = manifest.silver_done(now, sources[1].run_id, 90, 10, "5", "6", _MOMENTS[1])
-    return manifest.silver_failed(now, sources[2].run_id, "no disk", _MOMENTS[1]).select(*_MANIFEST_COLUMNS.split(", "))
+@_query(_with(_CLASSIFIED, _RELEASED))
+def month_release(spark, sf_dir):
+    """A year's trips as one monthly file, from landing to a verified release; then the schema change and the next year's.
+
+    The last columns are what a second run and changed sources, zones and documents
+    come to.
+    """
+    root = _state(spark)
+    landed, lake = Files(spark), Lake(spark, f"{root}/lake")
+
+    def land(folder: str, uri: str) -> str:
+        """The one file of a folder under the name it is known by."""
+        landed.rename(f"{folder}/{next(n for n in landed.names(folder) if n.startswith('part-'))}", uri)
+        return uri
+
+    sample.zones(spark, sf_dir).repartition(1).write.option("header", True).csv(f"{root}/zones")
+    zones = land(f"{root}/zones", f"{root}/zones.csv")
+    rows, said = sample.trips(spark, sf_dir), []
+    refused = lambda do: _refusal(do, (ContractError, release.ReleaseError))
+    for year in (2024, 2025):
+        folder = f"{root}/landing/{year}"
+        of_year = rows.where(F.col("_source_year") == year).drop("_source_year", "_source_month", *([FEE[0]] if year < identity.FEE_YEAR else []))
+        of_year.repartition(1).write.parquet(folder)
+        uri = land(folder, f"{root}/landing/{file_name(year, 5)}")
+        if year == identity.FEE_YEAR:
+            before = lake.bronze.latest()["id"]
+            lake.evolve()
+        source = SourceFile.of(spark, year, 5, uri)
+        first, again = lake.run(source, zones), lake.run(source, zones)
+        row, month = lake.manifest.row(year, 5), {"source_year": year, "source_month": 5}
+        kept = json.loads(landed.read(release.checks_uri(lake, source)))
+        published = json.loads(landed.read(first["publication_uri"]))
+        key = hashlib.sha256("\x1f".join(map(str, (uri, source.checksum, source.size, year, 5))).encode()).hexdigest()[:16]
+        changed = SourceFile(year, 5, uri, "b" * 64, source.size)
+        other = release.reconcile(lake, source) | {"snapshot_ids": dict.fromkeys(release.LAYERS, "0")}
+        said.append(
+            month
+            | {f"{x}_row_count": published["layers"][x]["row_count"] for x in release.LAYERS}
+            | {
+                "gold_row_count": published["gold"]["row_count"],
+                "run_status": row.run_status,
+                "publication_folder": "/".join(first["publication_uri"].split("/")[-3:-1]),
+                "passed_tests": sum(r["status"] == "pass" for r in kept["results"]),
+                "run_id_is_of_the_file": row.ingestion_run_id == f"fhvhv-{year}-05-{key}",
+                "a_rerun_is_the_same": again == first,
+                "another_source": refused(lambda s=changed: lake.manifest.guard(s)),
+                "another_publication": refused(lambda s=source, r=other: release.publish(lake, s, r)),
+                "other_zones": refused(lambda: lake.ensure_zones(f"{root}/landing/{file_name(2024, 5)}")),
+            }
+        )
+    shown = release.evolution(lake.bronze, before, FEE[0])
+    kinds = "source_year int, source_month int, bronze_row_count long, silver_row_count long, quarantine_row_count long, gold_row_count long, run_status string, publication_folder string, passed_tests long, run_id_is_of_the_file boolean, a_rerun_is_the_same boolean, another_source string, another_publication string, other_zones string, rows_before long, rows_with_fee long"
+    return spark.createDataFrame([tuple({**x, "rows_before": shown["rows_before"], "rows_with_fee": shown["with_value"]}[c.split()[0]] for c in kinds.split(", ")) for x in said], kinds)
+
+
+def _refusal(do: Callable, kinds: tuple) -> str:
+    try:
+        do()
+    except kinds:
+        return "refused"
+    return "accepted"
 
 
 @_query(_with(_SILVER, "SELECT row_id, 'first' AS side FROM silver WHERE substr(row_id, 1, 1) < '2' UNION ALL SELECT row_id, 'rerun' AS side FROM silver WHERE substr(row_id, 1, 1) >= 'e'"))
 def rerun_row_ids_except(spark, sf_dir):
     """Identities that only one of two runs has."""
-    rows = _silver(spark, sf_dir)
+    rows = _stored(_silver(spark, sf_dir).select("row_id", "source_year", "source_month"))
     return release.other_row_ids(rows.where("substr(row_id, 1, 1) < 'e'"), rows.where("substr(row_id, 1, 1) >= '2'"))
 
 
