@@ -69,20 +69,28 @@ def _reference(relation: str, column: str) -> tuple[str, int]:
 PARTS = max(_reference(r, c)[1] for r, c, _, _ in REFERENCES) + 1
 
 
-def _items(relation: str) -> list[tuple[str, int, Column, Column]]:
-    """(domain, part, key, whether the row has it): what a row of a relation has to say."""
-    text = lambda c: F.col(c).cast("string")
-    there = lambda c: F.col(c).isNotNull()
-    items = [(f"{relation}.{c}", OWN, text(c), there(c)) for c in UNIQUE[relation]]
-    items += [(*_reference(r, c), text(c), there(c)) for r, c, _, _ in REFERENCES if r == relation]
-    items += [(f"{relation}.{c}", MARK, F.lit(""), ~there(c)) for c in NOT_NULL[relation]]
-    return items + ([(f"rows.{relation}", MARK, F.lit(""), F.lit(True))] if relation in COMPARED else [])
+def _names(relation: str) -> list[tuple[str, int, str | None]]:
+    """(domain, part, column): what a row of a relation has to say; for no column, that it is there."""
+    names = [(f"{relation}.{c}", OWN, c) for c in UNIQUE[relation]]
+    names += [(*_reference(r, c), c) for r, c, _, _ in REFERENCES if r == relation]
+    names += [(f"{relation}.{c}", MARK, c) for c in NOT_NULL[relation]]
+    return names + ([(f"rows.{relation}", MARK, None)] if relation in COMPARED else [])
+
+
+#: Domains are numbered, as a number is the smaller part of a key.
+DOMAINS = sorted({d for r in UNIQUE for d, *_ in _names(r)})
 
 
 def keys(df: DataFrame, relation: str) -> DataFrame:
     """domain, part, key: what the rows of a relation have to say, in one pass over it."""
-    items = [F.when(has, F.struct(F.lit(d).alias("domain"), F.lit(p).alias("part"), k.alias("key"))) for d, p, k, has in _items(relation)]
-    return df.select(F.explode(F.filter(F.array(*items), lambda x: x.isNotNull())).alias("x")).select("x.*")
+
+    def item(domain: str, part: int, column: str | None) -> Column:
+        key = F.lit("") if part == MARK else F.col(column).cast("string")
+        made = F.struct(F.lit(DOMAINS.index(domain)).alias("domain"), F.lit(part).alias("part"), key.alias("key"))
+        return made if column is None else F.when(F.col(column).isNull() if part == MARK else F.col(column).isNotNull(), made)
+
+    items = [item(*x) for x in _names(relation)]
+    return df.select(F.explode(F.array(*items)).alias("x")).where("x is not null").select("x.*")
 
 
 def all_checks(relations: dict[str, DataFrame]) -> DataFrame:
@@ -96,7 +104,7 @@ def all_checks(relations: dict[str, DataFrame]) -> DataFrame:
     found = by_domain.agg(F.map_from_entries(F.collect_list(F.struct("domain", counts))).alias("of"))  # a row for each domain
 
     def count(domain: str, part: int) -> Column:
-        return F.coalesce(F.col("of")[domain][f"n{part}"], F.lit(0))
+        return F.coalesce(F.col("of")[DOMAINS.index(domain)][f"n{part}"], F.lit(0))
 
     def failures(kind: str, relation: str, column: str) -> Column:
         if kind == "singular":

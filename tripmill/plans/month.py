@@ -130,7 +130,8 @@ class Lake:
     def build(self, source: SourceFile) -> DataFrame:
         """Merge the month into the fact table, bring gold up to date and run the data tests; returns their results."""
         month = release.of_month(source, "source_")
-        self.fact.merge(gold.fct_trips(self.silver.read(**month), source.year, source.month), "row_id")
+        rows = self._model("fct_trips", self.silver.read(**month), lambda df: gold.fct_trips(df, source.year, source.month), self.silver)
+        self.fact.merge(rows, "row_id")
         self.refresh()
         return checks.all_checks(self.relations())
 

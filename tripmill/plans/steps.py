@@ -22,7 +22,7 @@ T = TypeVar("T")
 #: Further attempts of a step, and the seconds before each of them.
 RETRIES, PAUSE = 2, 300.0
 #: Seconds that a statement may take; the session's setting goes first.
-LIMIT, LIMIT_SETTING = 600.0, "tripmill.statement.seconds"
+LIMIT, LIMIT_SETTING = 60.0, "tripmill.statement.seconds"
 #: Seconds within which a cancelled statement has to end.
 GRACE = 30.0
 
