@@ -113,6 +113,26 @@ def test_near_copies_with_large_keys_and_odd_rows(spark, corpus, monkeypatch):
     assert nearcopies.keep_one(odd.limit(0)).count() == 0
 
 
+def test_repeated_keys_of_unrelated_texts(spark):
+    rng = random.Random(12)
+    draw = lambda n: [f"w{rng.randrange(10**6)}" for _ in range(n)]
+    a, b, c = draw(200), draw(200), draw(200)
+    near = [*a[:100], "changed", *a[101:]]
+    rows = [(3, near), (5, a), (5, b), (7, c), (7, [*c[:50], "other", *c[51:]]), (None, a), (None, draw(9))]
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in rows], "doc_id long, text string")
+    left = sorted((r.doc_id or 0, r.text) for r in nearcopies.keep_one(docs).collect())
+    # b is no copy of what its key's other row is a copy of; of 7 one text stays
+    assert [k for k, _ in left] == [0, 3, 5, 7] and left[2][1] == " ".join(b) and left[3][1].startswith(c[0])
+
+
+def test_two_runs_in_one_session(spark, tmp_path):
+    docs = spark.createDataFrame([(i, f"text {i} " * 30, "en", "s", 10) for i in range(20)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    packed, copies = corpus_pipeline.packed(spark, docs, str(tmp_path)), corpus_pipeline.near_copies(spark, docs, str(tmp_path))
+    corpus_pipeline.private_data(spark, docs, str(tmp_path)).count()
+    assert packed.count() == 20 and copies.count() <= 20
+
+
 def test_bitmaps_never_differ_more_than_sets():
     rng = np.random.default_rng(3)
     for _ in range(300):

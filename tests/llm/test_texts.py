@@ -191,6 +191,28 @@ def test_permutations_are_one_to_one(spark):
     days = spark.range(0, 5000).selectExpr("cast(date_add(date'1970-01-01', cast(id as int)) as string) as text")
     made = pii.pseudonymize(days, KEY).select("text")
     assert made.distinct().count() == 5000 and made.where("try_to_timestamp(text, 'yyyy-MM-dd') is null").isEmpty()
+    every = spark.range(0, 73_049).selectExpr("cast(date_add(date'1900-01-01', cast(id as int)) as string) as text")
+    assert pii.pseudonymize(every, KEY).exceptAll(every).isEmpty() and every.agg({"text": "max"}).first()[0] == "2099-12-31"
+
+
+def test_nothing_is_replaced_in_part(spark):
+    texts = ["mail jürgen@firma.de now", "Ångström.Ö@Fjörd.SE", "иван.petrov@mail.ru", "x@почта.рф", "jan@mail.comж"]
+    got = replaced(spark, texts)
+    assert got[2:] == texts[2:]  # left whole
+    for text, new in zip(texts[:2], got):
+        own, made = (re.search(r"\S+@\S+", t)[0] for t in (text, new))
+        assert len(own) == len(made) and all(a != b for a, b in zip(own[:3], made)) or own != made
+        accents = lambda t: [bool(re.match("[À-ÿ]", c)) for c in t]
+        assert accents(own) == accents(made) and [c.isupper() for c in own] == [c.isupper() for c in made]
+        assert re.findall("[À-ÿ]", own) != re.findall("[À-ÿ]", made) and own.rsplit(".", 1)[1] == made.rsplit(".", 1)[1]
+
+
+def test_secrets_by_longer_names_and_bearers(spark):
+    texts = ["aws_secret_access_key = wJalrXUtnFEMIK7MDENGbPxRfiCYEXAMPLEKEY", "Authorization: Bearer abcDEF123456789_xyz.qrs", "my-db-password: hunter2abc", "the bearer certificates-and-other-papers", "no_secrets here"]
+    got = replaced(spark, texts)
+    assert got[3:] == texts[3:]
+    for text, new, stays in zip(texts, got, ("aws_secret_access_key = ", "Authorization: Bearer ", "my-db-password: ")):
+        assert new.startswith(stays) and shape(new) == shape(text) and new[len(stays) :][:6] != text[len(stays) :][:6]
 
 
 def test_counts_columns_and_native_plan(spark):

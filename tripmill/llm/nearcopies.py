@@ -106,15 +106,15 @@ def _prints(docs: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def _own(named: DataFrame) -> DataFrame:
-    """rep, text of the rows of rep, h, text whose text is the one of h (keys may repeat)."""
+    """cid, text of the rows of cid, h, text whose text is the one of h: keys may repeat, so rows can meet classes of other texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = [i for i, (t, h) in enumerate(zip(batch.column(2).to_pylist(), batch.column(1).to_pylist())) if _text_hash(simhash.words_of(t)) == h]
             taken = batch.take(pa.array(at, pa.int64()))
-            yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(2)], ["rep", "text"])
+            yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(2)], ["cid", "text"])
 
-    return named.select("rep", "h", "text").mapInArrow(run, f"rep {dict(named.dtypes)['rep']}, text string")
+    return named.select("cid", "h", "text").mapInArrow(run, "cid long, text string")
 
 
 def _shingles(text: str | None) -> np.ndarray:
@@ -135,9 +135,9 @@ def prefix(shingles: np.ndarray, hot: np.ndarray) -> np.ndarray:
 
 
 def _emit(texts: DataFrame, pick, hot: np.ndarray | None = None) -> DataFrame:
-    """key, rep, size, pos: every text under each of the shingles that ``pick`` takes from its set.
+    """key, cid, size, pos: every text under each of the shingles that ``pick`` takes from its set.
 
-    texts: rep, text and, where ``hot`` is not given to all, hot: the text's own.
+    texts: cid, text and, where ``hot`` is not given to all, hot: the text's own.
     """
     shared = texts.sparkSession.sparkContext.broadcast(hot) if hot is not None else None
 
@@ -148,13 +148,13 @@ def _emit(texts: DataFrame, pick, hot: np.ndarray | None = None) -> DataFrame:
             last = [shared.value] * len(sets) if shared else [np.array(sorted(x or []), "i8") for x in batch.column(2).to_pylist()]
             taken = [pick(s, x) for s, x in zip(sets, last)]
             n = np.array([len(p) for p in taken], "i8")
-            rep = batch.column(0).take(pa.array(np.repeat(np.arange(len(n)), n)))
+            cid = batch.column(0).take(pa.array(np.repeat(np.arange(len(n)), n)))
             pos = np.concatenate([np.arange(k, dtype="i4") for k in n]) if len(n) else np.zeros(0, "i4")
             size = np.repeat(np.array([len(s) for s in sets], "i4"), n)
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(taken) if taken else np.zeros(0, "i8")), rep, pa.array(size), pa.array(pos)], ["key", "rep", "size", "pos"])
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(taken) if taken else np.zeros(0, "i8")), cid, pa.array(size), pa.array(pos)], ["key", "cid", "size", "pos"])
 
-    columns = ["rep", "text"] if shared else ["rep", "text", "hot"]
-    return texts.select(*columns).mapInArrow(run, f"key long, rep {dict(texts.dtypes)['rep']}, size int, pos int")
+    columns = ["cid", "text"] if shared else ["cid", "text", "hot"]
+    return texts.select(*columns).mapInArrow(run, "key long, cid long, size int, pos int")
 
 
 def _possible(m: Column, i: Column, n: Column, j: Column) -> Column:
@@ -168,9 +168,9 @@ def _pair(x: str, y: str) -> list[Column]:
 
 def _lead_pairs(members: DataFrame) -> DataFrame:
     """Pairs of the members of a key with its first one, where that is in another group."""
-    leads = members.groupBy(F.col("key").alias("of")).agg(F.min(F.struct("pos", "rep", "size", "grp")).alias("l"))
+    leads = members.groupBy(F.col("key").alias("of")).agg(F.min(F.struct("pos", "cid", "size", "grp")).alias("l"))
     met = members.join(leads, (members["key"] == leads["of"]) & (members["grp"] != F.col("l.grp")) & _possible(F.col("size"), F.col("pos"), F.col("l.size"), F.col("l.pos")))
-    return met.select(*_pair("rep", "l.rep")).distinct()
+    return met.select(*_pair("cid", "l.cid")).distinct()
 
 
 def _all_pairs(others: DataFrame, members: DataFrame) -> DataFrame:
@@ -178,14 +178,13 @@ def _all_pairs(others: DataFrame, members: DataFrame) -> DataFrame:
     x, y = others.alias("x"), members.alias("y")
     can = _possible(F.col("x.size"), F.col("x.pos"), F.col("y.size"), F.col("y.pos"))
     met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.grp") != F.col("y.grp")) & can)
-    return met.select(*_pair("x.rep", "y.rep")).distinct()
+    return met.select(*_pair("x.cid", "y.cid")).distinct()
 
 
 def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs that sizes and bitmaps leave."""
-    a, b = (classes.select(F.col("rep").alias(c), F.col("size").alias(f"n{c}"), F.col("bits").alias(f"bits{c}")) for c in "ab")
-    kind = dict(pairs.dtypes)["a"]
-
+    a, b = (classes.select(F.col("cid").alias(c), F.col("size").alias(f"n{c}"), F.col("bits").alias(f"bits{c}")) for c in "ab")
+    
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)))
@@ -194,52 +193,55 @@ def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([taken.column(0), taken.column(1)], ["a", "b"])
 
     sized = pairs.join(a, "a").join(b, "b").where(F.least("na", "nb") >= SIMILARITY * F.greatest("na", "nb") - 1e-9)
-    return sized.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(run, f"a {kind}, b {kind}")
+    return sized.select("a", "b", "na", "nb", "bitsa", "bitsb").mapInArrow(run, "a long, b long")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
-    """rep, s: the shingle hashes of texts."""
+    """cid, s: the shingle hashes of texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_shingles(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], ["rep", "s"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_shingles(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], ["cid", "s"])
 
-    return texts.select("rep", "text").mapInArrow(run, f"rep {dict(texts.dtypes)['rep']}, s array<long>")
+    return texts.select("cid", "text").mapInArrow(run, "cid long, s array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """Pairs whose shingle sets have at least SIMILARITY."""
-    a, b = (sets.select(F.col("rep").alias(c), F.col("s").alias(f"s{c}")) for c in "ab")
+    a, b = (sets.select(F.col("cid").alias(c), F.col("s").alias(f"s{c}")) for c in "ab")
     both = F.size(F.array_intersect("sa", "sb"))
     joined = pairs.join(a, "a").join(b, "b")
     return joined.where(both >= SIMILARITY * (F.size("sa") + F.size("sb") - both) - 1e-9).select("a", "b")
 
 
 def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tables | None = None) -> DataFrame:
-    """key, h, component_id of every row: the smallest key of the row's group.
+    """key, h, group, component_id of every row: a number of the row's group, and the group's smallest key.
 
-    Texts without words are copies of each other. Rows equal in key and text
-    have equal results; a null key is no candidate for component_id (a group of
-    null keys alone has null). Texts are compared whole, whatever their length.
+    Classes of equal texts have numbers of their own, so rows of one key and
+    other texts are apart unless their texts are near copies. Texts without words
+    are copies of each other. A null key is no candidate for component_id; a text
+    that has null keys alone is compared with no other and has null. Texts are
+    compared whole, whatever their length.
     """
     spark = docs.sparkSession
     small_batches(spark)
     tables = tables or Tables(spark)
     prints = tables.write(_prints(docs, key, text), "prints")
     one = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "fp", "size", "bits"))).alias("one")
-    classes = tables.write(prints.groupBy("h").agg(one).select("h", F.col("one.id").alias("rep"), "one.fp", "one.size", "one.bits"), "classes")
+    classes = prints.groupBy("h").agg(one).select("h", F.col("one.id").alias("rep"), "one.fp", "one.size", "one.bits")
+    classes = tables.write(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     known = classes.where(F.col("rep").isNotNull())
     rows = docs.select(F.col(f"`{key}`").alias("rep"), F.col(f"`{text}`").alias("text"))
-    texts = tables.write(_own(rows.join(known.select("rep", "h"), "rep")), "texts")
+    texts = tables.write(_own(rows.join(known.select("rep", "h", "cid"), "rep")), "texts")
     tables.let_go()
     named = None
 
     def grouped(df: DataFrame) -> DataFrame:
-        """df with the group that each rep is in so far."""
+        """df with the group that each class is in so far."""
         if named is None:
-            return df.withColumn("grp", F.col("rep"))
+            return df.withColumn("grp", F.col("cid"))
         own = named.select(F.col("node").alias("__node"), F.col("component").alias("__of"))
-        return df.join(own, df["rep"] == own["__node"], "left").withColumn("grp", F.coalesce("__of", "rep")).drop("__node", "__of")
+        return df.join(own, df["cid"] == own["__node"], "left").withColumn("grp", F.coalesce("__of", "cid")).drop("__node", "__of")
 
     def merge(pairs: DataFrame) -> bool:
         """Join the groups of the pairs that are near copies."""
@@ -247,10 +249,10 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tab
         alike = tables.write(_alike(pairs, known), "alike")
         if alike.isEmpty():
             return False
-        ends = alike.select(F.explode(F.array("a", "b")).alias("rep")).distinct()
-        sets = tables.write(_sets(texts.join(ends, "rep", "left_semi")), "sets")
-        found = _verified(alike, sets).withColumnRenamed("a", "rep")
-        found = grouped(grouped(found).select(F.col("grp").alias("a"), F.col("b").alias("rep"))).select("a", F.col("grp").alias("b"))
+        ends = alike.select(F.explode(F.array("a", "b")).alias("cid")).distinct()
+        sets = tables.write(_sets(texts.join(ends, "cid", "left_semi")), "sets")
+        found = _verified(alike, sets).withColumnRenamed("a", "cid")
+        found = grouped(grouped(found).select(F.col("grp").alias("a"), F.col("b").alias("cid"))).select("a", F.col("grp").alias("b"))
         found = tables.write(found.where("a <> b").distinct(), "links")
         tables.drop(sets, alike)
         tables.let_go()
@@ -266,8 +268,8 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tab
         return True
 
     # what the fingerprints link
-    by_print = tables.write(known.groupBy("fp").agg(F.min("rep").alias("rep")), "fingerprints")
-    equal = known.join(by_print.select("fp", F.col("rep").alias("first")), "fp").where("rep <> first").select(F.col("first").alias("a"), F.col("rep").alias("b"))
+    by_print = tables.write(known.groupBy("fp").agg(F.min("cid").alias("rep")), "fingerprints")
+    equal = known.join(by_print.select("fp", F.col("rep").alias("first")), "fp").where("cid <> first").select(F.col("first").alias("a"), F.col("cid").alias("b"))
     merge(tables.write(simhash.links(by_print, tables).select(*_pair("a", "b")).unionByName(equal).distinct(), "pairs"))
 
     # what else shares the first shingles
@@ -276,9 +278,9 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tab
     def keys(hot, own: DataFrame | None = None) -> DataFrame:
         if own is None:
             return _emit(texts, prefix, hot)
-        return _emit(texts.join(own, texts["rep"] == own["of"], "left").select("rep", "text", "hot"), prefix)
+        return _emit(texts.join(own, texts["cid"] == own["of"], "left").select("cid", "text", "hot"), prefix)
 
-    counted = lambda df: grouped(df.select("key", "rep")).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo < hi").select("key", "n")
+    counted = lambda df: grouped(df.select("key", "cid")).groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("grp").alias("lo"), F.max("grp").alias("hi")).where("lo < hi").select("key", "n")
     shared = tables.write(counted(keys(none)), "counts")
     tables.let_go()
     hot, own = tables.write(shared.where(F.col("n") > HOT).select("key"), "hot"), None
@@ -286,8 +288,8 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tab
     if 0 < many <= BROADCAST:
         last = np.sort(hot.toPandas()["key"].to_numpy("i8"))
     elif many:
-        every = _emit(texts, lambda s, x: s, none).select("key", "rep")
-        own = tables.write(every.join(hot, "key").groupBy(F.col("rep").alias("of")).agg(F.collect_list("key").alias("hot")), "hot_of")
+        every = _emit(texts, lambda s, x: s, none).select("key", "cid")
+        own = tables.write(every.join(hot, "key").groupBy(F.col("cid").alias("of")).agg(F.collect_list("key").alias("hot")), "hot_of")
         last = None
     if many:
         tables.drop(shared)
@@ -297,8 +299,7 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tab
         last = none
     members = tables.write(keys(last, own).join(shared.select("key"), "key", "left_semi"), "members")
     tables.let_go()
-    kind = dict(docs.dtypes)[key]
-    tested = spark.createDataFrame([], f"a {kind}, b {kind}")
+    tested = spark.createDataFrame([], "a long, b long")
     for turn in range(ROUNDS + 1):
         in_groups = tables.write(grouped(members), "placed")
         per_group = in_groups.groupBy("key", "grp").agg(F.count(F.lit(1)).alias("n"))
@@ -318,24 +319,27 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tab
             break
         tables.drop(placed, largest)
     if named is None:
-        named = spark.createDataFrame([], f"node {kind}, component {kind}")
-    of = classes.join(named, classes["rep"] == named["node"], "left").select(F.col("h").alias("class"), F.coalesce("component", "rep").alias("component_id"))
+        named = spark.createDataFrame([], "node long, component long")
+    placed = classes.join(named, classes["cid"] == named["node"], "left").select("h", "rep", F.coalesce("component", "cid").alias("group"))
+    smallest = placed.groupBy(F.col("group").alias("of")).agg(F.min("rep").alias("component_id"))
+    of = placed.join(smallest, placed["group"] == smallest["of"]).select(F.col("h").alias("class"), "group", "component_id")
     of = tables.write(of, "classes")
     tables.sweep(prints, of)
-    return prints.join(of, prints["h"] == of["class"]).select(F.col("id").alias(key), "h", "component_id")
+    return prints.join(of, prints["h"] == of["class"]).select(F.col("id").alias(key), "h", "group", "component_id")
 
 
 def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tables | None = None) -> DataFrame:
     """docs with one row of each group: that with the smallest key, all columns as they are.
 
-    Of rows equal in key and text one stays. A group of null keys alone keeps
-    one row. Any name is free for further columns.
+    Of rows of one key in a group one text stays, and of rows equal in key and
+    text one row; rows of one key in other groups are no copies and stay. A text
+    that has null keys alone keeps one row. Any name is free for further columns.
     """
     tables = tables or Tables(docs.sparkSession)
-    found = tables.write(groups(docs, text, key, tables).toDF("key", "h", "component_id"), "groups")
-    keeps = found.where(F.col("key").eqNullSafe(F.col("component_id"))).groupBy("key", "h").agg(F.count(F.lit(1)).alias("n"))
-    keeps = tables.write(keeps, "keeps")
-    unique = keeps.where((F.col("n") > 1) | F.col("key").isNull()).isEmpty() and found.groupBy("key").count().where("count > 1").isEmpty()
+    found = tables.write(groups(docs, text, key, tables).toDF("key", "h", "group", "component_id"), "groups")
+    first = found.where(F.col("key").eqNullSafe(F.col("component_id"))).groupBy("group").agg(F.min(F.struct("key", "h")).alias("first"))
+    keeps = tables.write(first.select("first.key", "first.h"), "keeps")
+    unique = keeps.where(F.col("key").isNull()).isEmpty() and found.groupBy("key").count().where("count > 1").isEmpty()
     tables.sweep(keeps)
     own, own_h, kept_key, kept_h = free_names(docs.columns, "key", "h", "kept_key", "kept_h")
     keeps = keeps.select(F.col("key").alias(kept_key), F.col("h").alias(kept_h))
