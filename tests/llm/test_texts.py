@@ -365,3 +365,35 @@ def test_cut_is_minimal():
 
         best = min(cost([bool(m >> i & 1) for i in range(n)]) for m in range(1 << n))
         assert abs(cost(htmltext.min_cut(gain, edges)) - best) < 1e-4
+
+
+STORY = "".join(f"<p>Paragraph {i} of the story says something that is long enough to count as text.</p>" for i in range(4))
+
+
+@pytest.mark.parametrize("name", "post has-sidebar|article-with-comments|layout-no-sidebar|social-history|search-result-article|popular-article|no-comments|x".split("|"))
+@pytest.mark.parametrize("wrap", ["<div class='%s'>%s</div>", "<main><div class='%s'>%s</div></main>", "<article><div id='%s'>%s</div></article>", "<h1>A title of it</h1><div class='%s'>%s</div>"])
+def test_names_of_what_holds_the_page_are_not_believed(name, wrap):
+    page = "<body><nav><a href=1>Home page</a></nav>" + wrap % (name, STORY + "<div class=comments><p>A reader says this about it all, at some length.</p></div>") + "<footer>2024 Site</footer>"
+    text = htmltext.main_text(page)
+    assert text.count("Paragraph") == 4 and "reader" not in text and "Site" not in text and "Home" not in text
+
+
+def test_readers_write_more_than_the_article():
+    comments = "".join(f"<p>Comment {i} of a reader who has very many things to say about the story.</p>" for i in range(30))
+    text = htmltext.main_text(f"<body><div class=post>{STORY}</div><section id=comments>{comments}</section>")
+    assert text.count("Paragraph") == 4 and "Comment" not in text
+
+
+def test_words_of_buttons_and_fields_in_the_article():
+    page = "<article><p>Press <button>Start now</button> to begin the long procedure of the machine.</p><p>More text is here to be read by people.</p><div><button>Share</button></div></article>"
+    assert htmltext.main_text(page) == "Press Start now to begin the long procedure of the machine.\n\nMore text is here to be read by people."
+    assert htmltext.main_text(f"<main><fieldset>{STORY}</fieldset></main>").count("Paragraph") == 4
+
+
+@pytest.mark.parametrize("part", ["<a ", "<p title='", "<p ' \" ", "<!-- ", "<![ ", "<p a=\"x> ", "< ", "</", "<p><b"])
+def test_tags_that_do_not_end_take_linear_time(part):
+    began = time.perf_counter()
+    for page in (part * (2_000_000 // len(part)), part * 100_000 + ">"):
+        htmltext.main_text(page)
+    assert time.perf_counter() - began < 20
+    assert htmltext.main_text("<p>One two three four five six seven.</p> a < b <!-- hidden") == "One two three four five six seven.\n\na < b"

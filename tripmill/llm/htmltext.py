@@ -39,10 +39,12 @@ _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 #: shown as text, and elements that do not break a block.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 RAW = set("script style textarea title xmp".split())
-DROPPED = set("button datalist head option select template".split())
+DROPPED = set("datalist head option select template".split())
+#: Elements whose text counts as links: they lead away from what is read.
+LINKS = set("a button".split())
 #: Elements of other vocabularies: nothing in them breaks a block, and only there a tag can close itself.
 FOREIGN = set("math svg".split())
-INLINE = set("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr rb rt rp".split())
+INLINE = set("a abbr acronym b bdi bdo big button cite code data del dfn em font i ins kbd label mark q ruby s samp small span strike strong sub sup time tt u var wbr rb rt rp".split())
 #: What may stand in a head; anything else ends it.
 HEAD = set("base link meta noscript script style template title".split())
 #: Start tags that end an open element of these kinds.
@@ -58,40 +60,54 @@ AWAY = set(
 )
 TOWARDS = set("article content post entry story main prose".split())
 #: Elements that hold what is not the article.
-ASIDE = set("nav footer aside form dialog menu fieldset".split())
+ASIDE = set("nav footer aside form dialog menu".split())
+#: Names of what readers write.
+READERS = set("comment comments disqus reply replies respond discussion".split())
+#: A name can be wrong: it is not believed of an element with more than this share of a page's text, if all that is kept is less than that share of the element's.
+MOST, LITTLE = 0.5, 0.2
+
+
+class Named:
+    """An element that a name marks as not the article: the one around it of that kind, whether readers write there, and its text."""
+
+    __slots__ = ("around", "believed", "chars", "readers")
+
+    def __init__(self, around: Named | None, readers: bool) -> None:
+        self.around, self.readers, self.chars, self.believed = around, readers, 0, True
 
 
 class Block:
-    """A block's text, the characters of it in links, its innermost element's tag and number, and its marks."""
+    """A block's text, the characters of it in links, its innermost element's tag and number, its marks and the innermost name."""
 
-    __slots__ = ("away", "element", "links", "tag", "text", "towards")
+    __slots__ = ("away", "element", "links", "named", "tag", "text", "towards")
 
-    def __init__(self, text: str, links: int, tag: str, element: int, away: bool, towards: bool) -> None:
-        self.text, self.links, self.tag, self.element, self.away, self.towards = text, links, tag, element, away, towards
+    def __init__(self, text: str, links: int, tag: str, element: int, away: bool, towards: bool, named: Named | None = None) -> None:
+        self.text, self.links, self.tag, self.element, self.away, self.towards, self.named = text, links, tag, element, away, towards, named
 
 
-def _marks(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether an element leads away from the article, or towards it."""
-    away, towards = tag in ASIDE or (tag == "header" and not inside), tag in ("article", "main")
+def _marks(tag: str, attributes: str, inside: bool) -> tuple[bool, set[str], bool]:
+    """Whether an element leads away from the article, the names that say so, and whether it leads towards it."""
+    away, named, towards = tag in ASIDE or (tag == "header" and not inside), {"fieldset"} if tag == "fieldset" else set(), tag in ("article", "main")
     if attributes and not attributes.isspace():
         for name, *values in _ATTRIBUTE.findall(attributes):
             name, value = name.lower(), next((v for v in values if v), "")
             if name in ("class", "id", "role"):
                 words = {w.lower() for w in _PART.findall(value)}
-                away |= tag not in ("html", "body", "main", "article") and bool(words & AWAY or ("header" in words and not inside))
+                if tag not in ("html", "body", "main", "article"):
+                    named |= words & (AWAY if inside else AWAY | {"header"})
                 towards |= bool(words & TOWARDS)
             elif name == "hidden" or (name == "aria-hidden" and value == "true") or (name == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value)):
                 away = True
-    return away, towards and not away
+    return away, named, towards
 
 
 class Open:
     """An element that has not ended: tag, innermost element that breaks blocks (itself or around), marks."""
 
-    __slots__ = ("away", "dropped", "element", "foreign", "linked", "tag", "block_tag", "towards")
+    __slots__ = ("away", "dropped", "element", "foreign", "linked", "named", "tag", "block_tag", "towards")
 
-    def __init__(self, tag: str, element: int, block_tag: str, away: bool, towards: bool, dropped: bool, linked: bool, foreign: bool) -> None:
-        self.tag, self.element, self.block_tag = tag, element, block_tag
+    def __init__(self, tag: str, element: int, block_tag: str, away: bool, towards: bool, dropped: bool, linked: bool, foreign: bool, named: Named | None = None) -> None:
+        self.tag, self.element, self.block_tag, self.named = tag, element, block_tag, named
         self.away, self.towards, self.dropped, self.linked, self.foreign = away, towards, dropped, linked, foreign
 
 
@@ -109,7 +125,7 @@ def blocks_of(page: str) -> tuple[list[Block], list[int], list[int]]:
         text = " ".join("".join(parts).split())
         if text:
             top = stack[-1]
-            out.append(Block(text, len(" ".join("".join(linked).split())), top.block_tag, top.element, top.away, top.towards))
+            out.append(Block(text, len(" ".join("".join(linked).split())), top.block_tag, top.element, top.away, top.towards, top.named))
         parts.clear()
         linked.clear()
 
@@ -126,11 +142,13 @@ def blocks_of(page: str) -> tuple[list[Block], list[int], list[int]]:
         count.subtract(x.tag for x in stack[index:])
         del stack[index:]
 
-    size = len(page)
+    size, last = len(page), page.rfind(">") + 1
     while at < size:
-        m = _TOKEN.search(page, at)
+        # what no ">" follows is no tag, so it is not sought there; a comment ends with the page
+        m = _TOKEN.search(page, at, last) if at < last else None
         if not m:
-            say(page[at:])
+            cut = page.find("<!--", max(at, last))
+            say(page[at : cut if cut >= 0 else size])
             break
         say(page[at : m.start()])
         at = m.end()
@@ -176,14 +194,15 @@ def blocks_of(page: str) -> tuple[list[Block], list[int], list[int]]:
         top = stack[-1]
         if foreign and attributes.endswith("/"):
             continue
-        away, towards = _marks(tag, attributes, top.towards) if tag not in INLINE or attributes else (False, False)
+        away, names, towards = _marks(tag, attributes, top.towards) if tag not in INLINE or attributes else (False, None, False)
+        named = Named(top.named, bool(names & READERS)) if names else top.named
         element, block_tag = top.element, top.block_tag
         if breaks:
             parent.append(element)
             depth.append(depth[element] + 1)
             element, block_tag = len(parent) - 1, tag
         count[tag] += 1
-        stack.append(Open(tag, element, block_tag, top.away or away, (top.towards or towards) and not away, top.dropped or tag in DROPPED, top.linked or tag == "a", foreign))
+        stack.append(Open(tag, element, block_tag, top.away or away, (top.towards or towards) and not (away or names), top.dropped or tag in DROPPED, top.linked or tag in LINKS, foreign, named))
     flush()
     return out, parent, depth
 
@@ -198,7 +217,10 @@ def score(block: Block) -> float:
         s += 0.6
     if block.text[0] == "©":
         s -= 2
-    return s + 3.0 * block.towards - 7.0 * block.away
+    named = block.named
+    while named and not named.believed:
+        named = named.around
+    return s + 3.0 * block.towards - 7.0 * (block.away or named is not None)
 
 
 def ties(blocks: list[Block], parent: list[int], depth: list[int]) -> list[tuple[int, int, float]]:
@@ -282,10 +304,46 @@ def _max_flow(nodes: list[int], own: list[int], near: list[dict[int, int]]) -> s
             left[b][a] = left[b].get(a, 0) + flow
 
 
+def _believe_less(blocks: list[Block], kept: list[bool]) -> bool:
+    """Names of elements that hold most of a page are not believed if next to nothing is kept; whether there are any."""
+    names: list[Named] = []
+    known: set[int] = set()
+    for b in blocks:
+        n = b.named
+        while n and id(n) not in known:
+            known.add(id(n))
+            names.append(n)
+            n = n.around
+        if b.named:
+            b.named.chars += len(b.text) - b.links
+    # inner ones come before those around them, once sorted by how many are around
+    depth: dict[int, int] = {}
+    for n in names:
+        path = []
+        while n and id(n) not in depth:
+            path.append(n)
+            n = n.around
+        at = depth[id(n)] if n else 0
+        for x in reversed(path):
+            depth[id(x)] = at = at + 1
+    for n in sorted(names, key=lambda n: -depth[id(n)]):
+        if n.around:
+            n.around.chars += n.chars
+    total = sum(len(b.text) for b in blocks)
+    have = sum(len(b.text) for b, k in zip(blocks, kept) if k)
+    doubted = [n for n in names if n.chars > MOST * total and (have < LITTLE * n.chars if not n.readers else not have)]
+    for n in doubted:
+        n.believed = False
+    return bool(doubted)
+
+
 def main_text(page: str | None) -> str:
     """The article's blocks, joined by two line feeds."""
     blocks, parent, depth = blocks_of(page) if page else ([], [], [])
-    kept = min_cut([score(b) for b in blocks], ties(blocks, parent, depth))
+    edges = ties(blocks, parent, depth)
+    kept = min_cut([score(b) for b in blocks], edges)
+    if any(b.named for b in blocks) and _believe_less(blocks, kept):
+        kept = min_cut([score(b) for b in blocks], edges)
     return "\n\n".join(b.text for b, k in zip(blocks, kept) if k)
 
 
