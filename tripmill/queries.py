@@ -1,9 +1,8 @@
 """Every operator of the trip pipeline as a query over the test tables, with its SQL.
 
 The queries call the library's operators on trips made from the order tables
-(``sources.sample``). The SQL builds the same trips, keys and checks by itself;
-column lists and rule names that are fixed by contract come from one place for both
-sides and are held by the tests' golden values. A query that needs rows more than
+(``sources.sample``). The SQL builds the same trips, keys and checks by itself, from
+lists of its own, so that a wrong list in the library shows. A query that needs rows more than
 once writes them to a folder of its own first.
 """
 
@@ -18,7 +17,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tripmill.functions import identity, quality
+from tripmill.functions import identity
 from tripmill.operators import bronze, checks, gold, silver
 from tripmill.plans import manifest, release
 from tripmill.plans.month import Lake
@@ -76,31 +75,54 @@ zones AS (SELECT n_nationkey AS LocationID, r_name AS Borough, n_name AS Zone, '
 """
 
 
+# Fixed values of the contract, stated here once more for the SQL side alone.
+_ROW = (
+    "hvfhs_license_num dispatching_base_num originating_base_num request_datetime on_scene_datetime pickup_datetime dropoff_datetime PULocationID DOLocationID trip_miles trip_time "
+    "base_passenger_fare tolls bcf sales_tax congestion_surcharge airport_fee tips driver_pay shared_request_flag shared_match_flag access_a_ride_flag wav_request_flag wav_match_flag"
+).split()
+_BUSINESS = "hvfhs_license_num dispatching_base_num request_datetime pickup_datetime dropoff_datetime PULocationID DOLocationID".split()
+_FEE = "cbd_congestion_fee"
+_POLICY = {2024: "nyc-hvfhv-row-v1-2024", 2025: "nyc-hvfhv-row-v1-2025"}
+_WHOLE = "PULocationID DOLocationID trip_time".split()
+_DECIMAL = f"trip_miles base_passenger_fare tolls bcf sales_tax congestion_surcharge airport_fee tips driver_pay {_FEE}".split()
+_NEGATIVE_REASONS = {c: f"NEGATIVE_{r}" for c, r in [("trip_miles", "TRIP_MILES"), ("trip_time", "TRIP_TIME"), ("base_passenger_fare", "PASSENGER_FARE"), ("tolls", "TOLLS"), ("sales_tax", "SALES_TAX"), ("tips", "TIPS"), ("driver_pay", "DRIVER_PAY")]}
+_UNIQUE_KEYS = (
+    "bronze_taxi_zones.LocationID silver_trips.row_id dim_operator.operator_code dim_zone.zone_id dim_date.date_key dim_date.calendar_date "
+    "fct_trips.row_id mart_hourly_zone_demand.hourly_zone_key mart_operator_metrics.operator_month_key"
+).split()
+_PRESENT = _UNIQUE_KEYS + (
+    "silver_trips.business_trip_key silver_trips.identity_policy_version silver_trips.pickup_datetime silver_trips.dropoff_datetime "
+    "fct_trips.business_trip_key fct_trips.identity_policy_version fct_trips.operator_code fct_trips.pickup_date_key fct_trips.pickup_zone_id fct_trips.dropoff_zone_id "
+    "fct_trips.passenger_fare fct_trips.driver_pay mart_hourly_zone_demand.trip_count mart_operator_metrics.trip_count"
+).split()
+_REFER = {"operator_code": "dim_operator.operator_code", "pickup_date_key": "dim_date.date_key", "pickup_zone_id": "dim_zone.zone_id", "dropoff_zone_id": "dim_zone.zone_id"}
+
+
 def _text(name: str) -> str:
-    if name in identity.TIMES:
+    if name.endswith("_datetime"):
         read = f"strftime({name}, '%Y-%m-%dT%H:%M:%S.%f')"
-    elif name in identity.WHOLE_NUMBERS:
+    elif name in _WHOLE:
         read = f"CAST(TRY_CAST({name} AS DECIMAL(38,0)) AS VARCHAR)"
-    elif name in identity.AMOUNTS:
+    elif name in _DECIMAL:
         read = f"CAST(TRY_CAST({name} AS DECIMAL(38,6)) AS VARCHAR)"
     else:
         read = f"trim({name})"
-    return f"CASE WHEN {name} IS NULL OR trim(CAST({name} AS VARCHAR)) = '' THEN '{identity.NULL_TOKEN}' ELSE {read} END"
+    return f"CASE WHEN {name} IS NULL OR trim(CAST({name} AS VARCHAR)) = '' THEN '<NULL>' ELSE {read} END"
 
 
-def _hash(prefix: str, names: tuple[str, ...]) -> str:
+def _hash(prefix: str, names: list[str]) -> str:
     return f"sha256(concat_ws(chr(31), '{prefix}', {', '.join(map(_text, names))}))"
 
 
 _BRONZE = f"""{_TRIPS},
 bronze AS (SELECT *,
-    CASE WHEN _source_year >= 2025 THEN {_hash(identity.ROW_POLICY_2025, identity.row_columns(2025))} ELSE {_hash(identity.ROW_POLICY_2024, identity.row_columns(2024))} END AS row_id,
-    {_hash(identity.BUSINESS_POLICY, identity.BUSINESS_COLUMNS)} AS business_trip_key,
-    CASE WHEN _source_year >= 2025 THEN '{identity.ROW_POLICY_2025}' ELSE '{identity.ROW_POLICY_2024}' END AS identity_policy_version
+    CASE WHEN _source_year >= 2025 THEN {_hash(_POLICY[2025], [*_ROW, _FEE])} ELSE {_hash(_POLICY[2024], _ROW)} END AS row_id,
+    {_hash('nyc-hvfhv-business-v1', _BUSINESS)} AS business_trip_key,
+    CASE WHEN _source_year >= 2025 THEN '{_POLICY[2025]}' ELSE '{_POLICY[2024]}' END AS identity_policy_version
   FROM trips)"""
 
-_ODD = " OR ".join(f"{c} IS NULL OR isnan(CAST({c} AS DOUBLE)) OR isinf(CAST({c} AS DOUBLE))" for c in quality.NEGATIVE)
-_NEGATIVE = " ".join(f"WHEN {c} < 0 THEN '{r}'" for c, r in quality.NEGATIVE.items())
+_ODD = " OR ".join(f"{c} IS NULL OR isnan(CAST({c} AS DOUBLE)) OR isinf(CAST({c} AS DOUBLE))" for c in _NEGATIVE_REASONS)
+_NEGATIVE = " ".join(f"WHEN {c} < 0 THEN '{r}'" for c, r in _NEGATIVE_REASONS.items())
 _CLASSIFIED = f"""{_BRONZE},
 joined AS (SELECT b.*, p.LocationID AS pickup_zone_id, d.LocationID AS dropoff_zone_id FROM bronze b LEFT JOIN zones p ON b.PULocationID = p.LocationID LEFT JOIN zones d ON b.DOLocationID = d.LocationID),
 reasoned AS (SELECT *, CASE
@@ -161,9 +183,9 @@ def _check_sql(kind: str, relation: str, column: str, failures: str) -> str:
     return f"SELECT '{kind}' AS kind, '{relation}' AS relation, '{column}' AS column_name, CAST(({failures}) AS BIGINT) AS failures"
 
 
-_UNIQUE_SQL = [_check_sql("unique", r, c, f"SELECT count(*) FROM (SELECT {c} FROM {_relation(r)} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)") for r, cs in checks.UNIQUE.items() for c in cs]
-_NOT_NULL_SQL = [_check_sql("not_null", r, c, f"SELECT count(*) FROM {_relation(r)} WHERE {c} IS NULL") for r, cs in checks.NOT_NULL.items() for c in cs]
-_REFERENCE_SQL = [_check_sql("relationships", r, c, f"SELECT count(*) FROM {_relation(r)} x WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {_relation(p)} y WHERE y.{k} = x.{c})") for r, c, p, k in checks.REFERENCES]
+_UNIQUE_SQL = [_check_sql("unique", r, c, f"SELECT count(*) FROM (SELECT {c} FROM {_relation(r)} WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)") for r, c in (x.split(".") for x in _UNIQUE_KEYS)]
+_NOT_NULL_SQL = [_check_sql("not_null", r, c, f"SELECT count(*) FROM {_relation(r)} WHERE {c} IS NULL") for r, c in (x.split(".") for x in _PRESENT)]
+_REFERENCE_SQL = [_check_sql("relationships", r, c, f"SELECT count(*) FROM {_relation(r)} x WHERE {c} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {_relation(p)} y WHERE y.{k} = x.{c})") for r, c, p, k in (("fct_trips", c, *x.split(".")) for c, x in _REFER.items())]
 _SINGULAR_SQL = [_check_sql("singular", "fct_trips", "fct_trips_reconciles_to_silver", "SELECT count(*) FROM (SELECT (SELECT count(*) FROM silver) AS a, (SELECT count(*) FROM fact) AS b) WHERE a <> b")]
 _UNION = " UNION ALL "
 
@@ -332,7 +354,7 @@ def classified_counts(spark, sf_dir):
     return silver.counts(_classified(spark, sf_dir))
 
 
-@_query(_with(_BRONZE, f"SELECT EXISTS (SELECT 1 FROM bronze WHERE _source_year = 2025 AND identity_policy_version IS DISTINCT FROM '{identity.ROW_POLICY_2025}') AS mismatch_2025, EXISTS (SELECT 1 FROM bronze WHERE identity_policy_version IS DISTINCT FROM '{identity.ROW_POLICY_2025}') AS mismatch_any"))
+@_query(_with(_BRONZE, f"SELECT EXISTS (SELECT 1 FROM bronze WHERE _source_year = 2025 AND identity_policy_version IS DISTINCT FROM '{_POLICY[2025]}') AS mismatch_2025, EXISTS (SELECT 1 FROM bronze WHERE identity_policy_version IS DISTINCT FROM '{_POLICY[2025]}') AS mismatch_any"))
 def policy_mismatch_exists(spark, sf_dir):
     """F2, A4: whether any row has another policy, in one month's year and in all."""
     rows = _bronze(spark, sf_dir)
