@@ -76,8 +76,8 @@ class Files:
             raise FileExistsError(path)
         try:
             getattr(self, f"_by_{way}")(at, fs, data)
-        except Exception as error:  # of the JVM; a failed condition of a put is one of these, too
-            if any(x in str(error) for x in ("AlreadyExists", "412", "409")):
+        except Exception as error:  # of the JVM, in whose stores a lost race has many names
+            if "AlreadyExists" in str(error) or fs.exists(at):
                 raise FileExistsError(path) from error
             raise
 
