@@ -20,9 +20,10 @@ documents share brings nobody together. Keys are counted alone before anything
 wider is shuffled; only keys that different groups share have members.
 
 Documents of a key first meet its lead alone, the one with the fewest shingles
-before the key's. Then all pairs of a key that are still in different groups are
-compared: its documents outside the key's largest group with all of the key.
-Pairs of one group need no comparison.
+before the key's. Then all pairs of a key that are still in different groups meet:
+its documents outside the key's largest group with all of the key. Pairs of one
+group need no comparison. A pair becomes a row only if its folded bitmaps (below)
+leave it open that the two are near copies.
 
 A pair is first judged by bitmaps. A set's bitmap has the parity of its elements
 in each of its bits, so two bitmaps differ in no more bits than the sets differ
@@ -79,13 +80,18 @@ def differing(a: bytes, b: bytes) -> int:
     return (x ^ int.from_bytes(b, "little")).bit_count()
 
 
+def folded(bits: bytes) -> list[int]:
+    """A bitmap folded to LEAST_BITS, as signed 64-bit words."""
+    return np.bitwise_xor.reduce(np.frombuffer(bits, "<i8").reshape(-1, LEAST_BITS // 64), axis=0).tolist()
+
+
 def needed(m: int, n: int) -> int:
     """The least intersection of sets of sizes m and n with SIMILARITY."""
     return int(np.ceil(SIMILARITY / (1 + SIMILARITY) * (m + n) - 1e-9))
 
 
 def _prints(docs: DataFrame, key: str, text: str) -> DataFrame:
-    """id, h, fp, size, bits of each row: hash of the words, fingerprint, number of shingles, bitmap."""
+    """id, h, fp, size, bits, w of each row: hash of the words, fingerprint, number of shingles, bitmap, and that folded."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         free_memory()
@@ -99,10 +105,10 @@ def _prints(docs: DataFrame, key: str, text: str) -> DataFrame:
                 fp.append(simhash.majority(hashes))
                 size.append(len(found))
                 bits.append(bitmap(found))
-            columns = [batch.column(0), pa.array(h, pa.binary()), pa.array(np.array(fp, "u8").view("i8")), pa.array(size, pa.int32()), pa.array(bits, pa.binary())]
-            yield pa.RecordBatch.from_arrays(columns, ["id", "h", "fp", "size", "bits"])
+            columns = [batch.column(0), pa.array(h, pa.binary()), pa.array(np.array(fp, "u8").view("i8")), pa.array(size, pa.int32()), pa.array(bits, pa.binary()), pa.array(map(folded, bits), pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(columns, ["id", "h", "fp", "size", "bits", "w"])
 
-    return docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"id {dict(docs.dtypes)[key]}, h binary, fp long, size int, bits binary")
+    return docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")).mapInArrow(run, f"id {dict(docs.dtypes)[key]}, h binary, fp long, size int, bits binary, w array<long>")
 
 
 def _own(named: DataFrame) -> DataFrame:
@@ -173,10 +179,20 @@ def _lead_pairs(members: DataFrame) -> DataFrame:
     return met.select(*_pair("cid", "l.cid")).distinct()
 
 
+def _close(m: Column, w: Column, n: Column, v: Column) -> Column:
+    """Whether folded bitmaps leave it open that sets of sizes m and n have SIMILARITY."""
+    bits = sum((F.bit_count(w[i].bitwiseXOR(v[i])) for i in range(1, LEAST_BITS // 64)), F.bit_count(w[0].bitwiseXOR(v[0])))
+    return bits <= m + n - 2 * F.ceil(SIMILARITY / (1 + SIMILARITY) * (m + n) - 1e-9)
+
+
 def _all_pairs(others: DataFrame, members: DataFrame) -> DataFrame:
-    """Pairs of different groups: one of others, one of all members of the same key."""
+    """Pairs of different groups: one of others, one of all members of the same key.
+
+    Both have their folded bitmap with them (w), so pairs that can't be similar
+    enough end where they meet and are no rows.
+    """
     x, y = others.alias("x"), members.alias("y")
-    can = _possible(F.col("x.size"), F.col("x.pos"), F.col("y.size"), F.col("y.pos"))
+    can = _possible(F.col("x.size"), F.col("x.pos"), F.col("y.size"), F.col("y.pos")) & _close(F.col("x.size"), F.col("x.w"), F.col("y.size"), F.col("y.w"))
     met = x.join(y, (F.col("x.key") == F.col("y.key")) & (F.col("x.grp") != F.col("y.grp")) & can)
     return met.select(*_pair("x.cid", "y.cid")).distinct()
 
@@ -227,8 +243,8 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tab
     small_batches(spark)
     tables = tables or Tables(spark)
     prints = tables.write(_prints(docs, key, text), "prints")
-    one = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "fp", "size", "bits"))).alias("one")
-    classes = prints.groupBy("h").agg(one).select("h", F.col("one.id").alias("rep"), "one.fp", "one.size", "one.bits")
+    one = F.min(F.when(F.col("id").isNotNull(), F.struct("id", "fp", "size", "bits", "w"))).alias("one")
+    classes = prints.groupBy("h").agg(one).select("h", F.col("one.id").alias("rep"), "one.fp", "one.size", "one.bits", "one.w")
     classes = tables.write(classes.withColumn("cid", F.monotonically_increasing_id()), "classes")
     known = classes.where(F.col("rep").isNotNull())
     rows = docs.select(F.col(f"`{key}`").alias("rep"), F.col(f"`{text}`").alias("text"))
@@ -315,7 +331,8 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tab
             more = merge(pairs)
             tested = tested.unionByName(pairs)
         if not more:  # all that is still apart
-            merge(tables.write(_all_pairs(others, placed).join(tested, ["a", "b"], "left_anti"), "pairs"))
+            whole = tables.write(placed.join(known.select("cid", "w"), "cid"), "whole")
+            merge(tables.write(_all_pairs(whole.where("grp <> base"), whole).join(tested, ["a", "b"], "left_anti"), "pairs"))
             break
         tables.drop(placed, largest)
     if named is None:
