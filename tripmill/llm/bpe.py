@@ -35,11 +35,13 @@ from __future__ import annotations
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 
 from tripmill.llm.common import CACHES, small_batches
 
@@ -51,6 +53,10 @@ _SPACE = re.compile("[\t-\r \x85\xa0  -     　]+")
 MEMO = 320_000
 #: Characters of texts whose words are encoded together.
 CHUNK = 500_000
+#: Nodes of the trie that have a table of all symbols, a kilobyte each; the first in order of depth.
+WIDE = 20_000
+#: log2 of the transitions whose answers are remembered, 8 bytes each.
+ANSWERS = 20
 
 
 class Automaton:
@@ -61,10 +67,9 @@ class Automaton:
     """
 
     def __init__(self, path: str) -> None:
-        from tokenizers import Tokenizer
-
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+            text = f.read()
+        spec = json.loads(text)
         model = spec["model"]
         self.ids: dict[str, int] = model["vocab"]
         self.end: str = model.get("end_of_word_suffix") or ""
@@ -75,17 +80,32 @@ class Automaton:
             self.label[i] = s
         for s, i in self.special.items():
             self.label[i] = s
-        library = Tokenizer.from_file(path)
-        self._normalize = library.normalizer.normalize_str if library.normalizer else str
-        self._presplit = library.pre_tokenizer.pre_tokenize_str if library.pre_tokenizer else lambda s: [(s, None)]
+        # all that the library does here: normalisation and pre-splitting of texts that are not plain
+        self._around = json.dumps(spec | {"model": model | {"vocab": {}, "merges": []}, "added_tokens": []})
         if _PATTERN not in json.dumps(spec["pre_tokenizer"]).replace("\\\\", "\\"):
             raise ValueError("the vocabulary's pattern is not the one that texts are split by here")
         self._cut = re.compile("(" + "|".join(re.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         self.size = size
         merges = [merge if isinstance(merge, list) else merge.split(" ") for merge in model["merges"]]
         self._spell()
+        self._widen()
         self._compile(np.array([(self.ids[u], self.ids[v], self.ids[u + v]) for u, v in merges], "i8").reshape(-1, 3))
 
+    def __getstate__(self) -> dict:
+        """What is broadcast: neither what the library holds nor what is quickly made anew."""
+        return {k: v for k, v in self.__dict__.items() if k not in ("library", "wide", "answers")}
+
+    def __setstate__(self, state: dict) -> None:
+        self.__dict__.update(state)
+        self._widen()
+        self.answers = np.full(1 << ANSWERS, -1, "i8")
+
+    @cached_property
+    def library(self):
+        from tokenizers import Tokenizer
+
+        return Tokenizer.from_str(self._around)
+
     def _compile(self, merges: np.ndarray) -> None:
         """Apply the gadgets (u, v, uv) in rank order; see the module's text."""
         size, rank = self.size, np.arange(1, len(merges) + 1)
@@ -108,15 +128,28 @@ class Automaton:
         outer[1:] = row[1:] * (size + 1) + first[1:] >= reach[:-1]
         row, first, last = row[outer], first[outer], last[outer]
         self.first, self.last = row * (size + 1) + first, row * (size + 1) + last
+        self.answers = np.full(1 << ANSWERS, -1, "i8")
 
     def arcs(self, states: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         """Whether the states that labels ``states`` enter have arcs ``tokens``."""
         place = self.state[states] * (self.size + 1) + self.arc_[tokens]
-        at = np.searchsorted(self.first, place, "right") - 1
-        return (at < 0) | (place >= self.last[at]) if len(self.first) else np.ones(len(place), bool)
+        # pairs recur in many words: answers stand in a table by a hash, a newer one in the place of an older
+        slot = (place.astype("u8") * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - ANSWERS)
+        known = self.answers[slot]
+        new = np.flatnonzero(known >> 1 != place)
+        if len(new):
+            asked = place[new]
+            at = np.searchsorted(self.first, asked, "right") - 1
+            known[new] = asked << 1 | ((at < 0) | (asked >= self.last[at]) if len(self.first) else True)
+            self.answers[slot[new]] = known[new]
+        return (known & 1).astype(bool)
 
     def _spell(self) -> None:
-        """A trie of the labels: sorted (node, symbol) pairs, where they lead, and the labels that end there."""
+        """A trie of the labels: sorted (node, symbol) pairs, where they lead, and the labels that end there.
+
+        Nodes are numbered by depth, so those that places are at after as many
+        steps are a range. Symbols are numbered from 1; 0 is one that no label has.
+        """
         nodes: dict[str, int] = {"": 0}
         edges: list[tuple[int, int, int]] = []
         inside, last = [-1], [-1]
@@ -131,45 +164,82 @@ class Automaton:
                     last.append(-1)
             for to in [last] if ends else [inside] if self.end else [inside, last]:
                 to[nodes[text]] = token
+        deep = np.fromiter(map(len, nodes), "i4", len(nodes))  # nodes stand in the order of their numbers
+        self.level = np.concatenate([[0], np.cumsum(np.bincount(deep))])
+        number = np.empty(len(nodes), "i4")
+        number[np.argsort(deep, kind="stable")] = np.arange(len(nodes), dtype="i4")
         table = np.array(edges, "i8").reshape(-1, 3)
-        key = table[:, 0] << 21 | table[:, 1]
+        alphabet = np.unique(table[:, 1])
+        self.symbol = np.zeros(int(alphabet.max(initial=0)) + 2, "i4")  # the last one stands for all beyond
+        self.symbol[alphabet] = np.arange(1, len(alphabet) + 1)
+        shown = np.array([ord(_BYTES.get(x, chr(x))) for x in range(256)])
+        self.byte = self.symbol[np.minimum(shown, len(self.symbol) - 1)]
+        self.symbols = len(alphabet) + 1
+        key = number[table[:, 0]].astype("i8") * self.symbols + self.symbol[table[:, 1]]
         order = np.argsort(key)
-        self.edge, self.leads = key[order], table[order, 2]
-        self.inside, self.at_end = np.array(inside), np.array(last)
+        self.edge, self.leads = key[order], number[table[order, 2]]
+        self.inside, self.at_end = (np.array(x, "i4")[np.argsort(number)] for x in (inside, last))
         self.length = np.array([len(x) for x in self.label])
         if self.end:
             self.length -= np.array([len(self.end) if x.endswith(self.end) and x != self.end else 0 for x in self.label])
 
-    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Ids of pre-split words (in the vocabulary's byte alphabet, none empty), and how many each word has.
+    def _widen(self) -> None:
+        """Where the first WIDE nodes lead by each symbol, -1 for nowhere."""
+        nodes = min(WIDE, len(self.inside))
+        self.wide = np.full(nodes * self.symbols, -1, "i4")
+        upto = np.searchsorted(self.edge, nodes * self.symbols)
+        self.wide[self.edge[:upto]] = self.leads[:upto]
+
+    def _step(self, node: np.ndarray, symbol: np.ndarray, depth: int) -> np.ndarray:
+        """Where nodes of one depth lead, -1 for nowhere."""
+        key = node.astype("i8") * self.symbols + symbol
+        first, last = self.level[depth : depth + 2] if depth + 1 < len(self.level) else (0, 0)
+        if last * self.symbols <= len(self.wide):
+            return self.wide[key]
+        a, b = np.searchsorted(self.edge, [first * self.symbols, last * self.symbols])
+        edge = self.edge[a:b]
+        if not len(edge):
+            return np.full(len(key), -1, "i4")
+        at = np.minimum(np.searchsorted(edge, key), len(edge) - 1)
+        return np.where(edge[at] == key, self.leads[a:b][at], -1)
 
-        All words are walked at once: first the trie tells which labels stand at
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pre-split words (in the vocabulary's byte alphabet, none empty), and how many each word has."""
+        symbols = np.frombuffer("".join(words).encode("utf-32-le"), "<u4")
+        symbols = self.symbol[np.minimum(symbols, len(self.symbol) - 1)]
+        return self._walk(symbols, np.fromiter(map(len, words), "i4", len(words)))
+
+    def encode_plain(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The same of words as they stand in texts: their UTF-8 bytes are the symbols."""
+        size = np.fromiter((len(w) if w.isascii() else len(w.encode()) for w in words), "i4", len(words))
+        return self._walk(self.byte[np.frombuffer("".join(words).encode(), "u1")], size)
+
+    def _walk(self, symbols: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """All words are walked at once: first the trie tells which labels stand at
         which places, then one place of all words after the other is entered.
         """
-        symbols = np.frombuffer("".join(words).encode("utf-32-le"), "<u4").astype("i8")
-        size = np.fromiter(map(len, words), "i8", len(words))
-        end = np.cumsum(size)
-        word = np.repeat(np.arange(len(words)), size)
-        stop = end[word]
+        end = np.cumsum(size, dtype="i4")
+        word = np.repeat(np.arange(len(size), dtype="i4"), size)
         found = []
-        place, node, depth = np.arange(len(symbols)), np.zeros(len(symbols), "i8"), 0
+        place, depth = np.arange(len(symbols), dtype="i4"), 0
+        node, left = np.zeros(len(symbols), "i4"), end[word] - place
         while len(place):
-            key = node << 21 | symbols[place + depth]
-            at = np.minimum(np.searchsorted(self.edge, key), len(self.edge) - 1)
-            some = self.edge[at] == key
-            place, node = place[some], self.leads[at[some]]
+            node = self._step(node, symbols[place + depth], depth)
+            some = np.flatnonzero(node >= 0)
+            place, node, left = place[some], node[some], left[some]
             depth += 1
-            whole = place + depth == stop[place]
+            whole = left == depth
             token = np.where(whole, self.at_end[node], self.inside[node])
-            here = token >= 0
-            found.append(np.stack([place[here], np.full(here.sum(), depth), token[here]]))
-            place, node = place[~whole], node[~whole]
-        place, depth, token = np.concatenate(found, 1) if found else np.zeros((3, 0), "i8")
+            here = np.flatnonzero(token >= 0)
+            found.append(np.stack([place[here], np.full(len(here), depth, "i4"), token[here]]))
+            on = np.flatnonzero(~whole)
+            place, node, left = place[on], node[on], left[on]
+        place, depth, token = np.concatenate(found, 1) if found else np.zeros((3, 0), "i4")
         # a word has one more place than symbols, so a place's number grows by that of its word
         step = place - (end - size)[word[place]]
-        order = np.argsort(step, kind="stable")
+        order = np.argsort(step.astype("u2") if step.max(initial=0) < 1 << 16 else step, kind="stable")  # short ones by digits
         step, place, depth, token = step[order], (place + word[place])[order], depth[order], token[order]
-        entered = np.full(len(symbols) + len(words), -1)
+        entered = np.full(len(symbols) + len(size), -1, "i4")
         for a, b in zip(*(np.searchsorted(step, np.arange(step[-1] + 1 if len(step) else 0), side) for side in ("left", "right"))):
             p, d, t = place[a:b], depth[a:b], token[a:b]
             if a:
@@ -180,20 +250,22 @@ class Automaton:
                 p, d, t = p[on], d[on], t[on]
             entered[p + d] = t
         # back from each word's end
-        now, of, path = end + np.arange(len(words)), np.arange(len(words)), []
+        now, of, path = end + np.arange(len(size)), np.arange(len(size)), []
         first = now - size
         while len(of):
             token = entered[now]
             if token.min() < 0:
-                raise ValueError(f"no tokenization of {words[of[token.argmin()]]!r}")
+                raise ValueError(f"no tokenization of the word at place {of[token.argmin()]}")
             path.append((of, token))
             now = now - self.length[token]
             left = now > first[of]
             now, of = now[left], of[left]
-        of = np.concatenate([x[0] for x in path[::-1]]) if path else np.zeros(0, "i8")
-        ids = np.concatenate([x[1] for x in path[::-1]]) if path else np.zeros(0, "i8")
-        order = np.argsort(of, kind="stable")
-        return ids[order], np.bincount(of, minlength=len(words))
+        count = np.bincount(np.concatenate([x for x, _ in path]), minlength=len(size)) if path else np.zeros(len(size), "i8")
+        ends = np.cumsum(count)
+        ids = np.empty(ends[-1] if len(ends) else 0, "i8")
+        for back, (of, token) in enumerate(path, 1):
+            ids[ends[of] - back] = token
+        return ids, count
 
     def decode(self, ids: list[int]) -> str:
         """Labels of the arcs, as the library joins them when the file names no decoder."""
@@ -207,7 +279,9 @@ class Automaton:
             if part in self.special:
                 out.append(self.special[part])
             elif part:
-                words = [word for word, _ in self._presplit(self._normalize(part))]
+                normal, split = self.library.normalizer, self.library.pre_tokenizer
+                part = normal.normalize_str(part) if normal else part
+                words = [word for word, _ in split.pre_tokenize_str(part)] if split else [part]
                 out += self.encode(words)[0].tolist() if words else []
         return out
 
@@ -272,27 +346,30 @@ def pieces(text: str) -> list[str]:
 class Memo(dict):
     """key of ``pieces`` -> what ``make`` gives for its ids.
 
-    Two generations of at most MEMO entries: what is asked for again moves to
-    the new one, the rest is forgotten, so memory is bounded and frequent words
-    stay.
+    ``make`` takes the ids of many keys, one after the other, and where those of
+    each begin and end. Two generations of at most MEMO entries: what is asked for
+    again moves to the new one, the rest is forgotten, so memory is bounded and
+    frequent words stay.
     """
 
-    def __init__(self, automaton: Automaton, make) -> None:
+    def __init__(self, automaton: Automaton, make: Callable[[np.ndarray, list[int], list[int]], list]) -> None:
         super().__init__()
         self.automaton, self.make = automaton, make
         self.old: dict = {}
 
     def learn(self, keys: set[str]) -> None:
         """Encode what is not known yet, all words together."""
-        new = keys.difference(self, self.old)
+        old = self.old
+        new = [k for k in keys if k not in self and k not in old]  # a set's difference would run over all that is known
         words = [k for k in new if k[0] != _PIECE]
-        if words:
-            ids, count = self.automaton.encode([k if k.isascii() else k.encode().decode("latin-1").translate(_BYTES) for k in words])
-            ids, ends = ids.tolist(), np.cumsum(count).tolist()
-            for key, a, b in zip(words, [0, *ends], ends):
-                self[key] = self.make(ids[a:b])
-        for key in new.difference(words):
-            self[key] = self.make(self.automaton.piece(key[1:]))
+        parts = [k for k in new if k[0] == _PIECE] if len(words) < len(new) else []
+        ids, count = self.automaton.encode_plain(words)
+        more = [self.automaton.piece(k[1:]) for k in parts]
+        if more:
+            ids = np.concatenate([ids, *[np.array(x, "i8") for x in more]])
+            count = np.concatenate([count, [len(x) for x in more]])
+        ends = np.cumsum(count).tolist()
+        self.update(zip(words + parts, self.make(ids, [0, *ends], ends)))
 
     def __missing__(self, key: str):
         self[key] = value = self.old[key]
@@ -327,21 +404,37 @@ _MADE: dict[tuple, Memo] = {}
 CACHES.append(_MADE)
 
 
-def memo(path: str, kind: str) -> Memo:
-    """One memo for each vocabulary and kind in a Python worker."""
+def _as_bytes(ids: np.ndarray, starts: list[int], ends: list[int]) -> list[bytes]:
+    raw = ids.astype("<u4").tobytes()
+    return [raw[4 * a : 4 * b] for a, b in zip(starts, ends)]
+
+
+def _as_texts(automaton: Automaton) -> Callable[[np.ndarray, list[int], list[int]], list]:
+    names = list(map(str, range(automaton.size)))
+
+    def make(ids: np.ndarray, starts: list[int], ends: list[int]) -> list[tuple[str, str]]:
+        every = ids.tolist()
+        return [(" ".join([names[i] for i in every[a:b]]), automaton.decode(every[a:b])) for a, b in zip(starts, ends)]
+
+    return make
+
+
+def shared(spark: SparkSession, path: str) -> Broadcast:
+    """The compiled automaton, for all workers: some 20 MB, given by the vocabulary and not by the data."""
+    return spark.sparkContext.broadcast(Automaton(path))
+
+
+def memo(path: str, kind: str, automaton: Broadcast | None = None) -> Memo:
+    """One memo for each vocabulary and kind in a Python worker; the automaton is compiled here if none was broadcast."""
     if (path, kind) not in _MADE:
-        a = Automaton(path)
-        make = {
-            "bytes": lambda ids, of=[i.to_bytes(4, "little") for i in range(a.size)]: b"".join([of[i] for i in ids]),
-            "texts": lambda ids: (" ".join(map(str, ids)), a.decode(ids)),
-        }[kind]
-        _MADE[path, kind] = Memo(a, make)
+        a = automaton.value if automaton else Automaton(path)
+        _MADE[path, kind] = Memo(a, _as_bytes if kind == "bytes" else _as_texts(a))
     return _MADE[path, kind]
 
 
-def ids_of(texts: list[str | None], path: str) -> Iterator[bytes]:
+def ids_of(texts: list[str | None], path: str, automaton: Broadcast | None = None) -> Iterator[bytes]:
     """Ids of each text as little-endian unsigned 32-bit numbers."""
-    return map(b"".join, memo(path, "bytes").values_of(texts))
+    return map(b"".join, memo(path, "bytes", automaton).values_of(texts))
 
 
 def codec(docs: DataFrame, vocabulary: str, text: str = "text", key: str = "doc_id", outputs: bool = False) -> DataFrame:
@@ -352,11 +445,12 @@ def codec(docs: DataFrame, vocabulary: str, text: str = "text", key: str = "doc_
     separate rows; other columns are left out. One narrow pass, no shuffle.
     """
     small_batches(docs.sparkSession)
+    automaton = shared(docs.sparkSession, vocabulary)
     schema = f"{key} {dict(docs.dtypes)[key]}, n_tokens long, ids_sha256 string, decoded_sha256 string" + (", ids array<int>, decoded string" if outputs else "")
     kind = pa.schema([pa.field("n_tokens", pa.int64()), pa.field("ids_sha256", pa.string()), pa.field("decoded_sha256", pa.string())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = memo(vocabulary, "texts")
+        known = memo(vocabulary, "texts", automaton)
         for batch in batches:
             counts, digests, decoded, more_ids, more_text = [], [], [], [], []
             for made in known.values_of(batch.column(1).to_pylist()):

@@ -20,7 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripmill.llm.bpe import ids_of
+from tripmill.llm.bpe import ids_of, shared
 from tripmill.llm.common import Tables, small_batches
 
 #: Mean number of documents whose pieces are packed together.
@@ -93,6 +93,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 4096, end_id: int = 2, te
     """
     small_batches(docs.sparkSession)
     tables = tables or Tables(docs.sparkSession)
+    automaton = shared(docs.sparkSession, vocabulary)
     kind = dict(docs.dtypes)[key]
     shards = max(1, round(docs.count() / shard_docs))  # a count from the file footers
     fields = [("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("doc_tokens", pa.int64()), ("shard", pa.int64()), ("full_id", pa.int64())]
@@ -102,7 +103,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 4096, end_id: int = 2, te
         full = -1 - (TaskContext.get().partitionId() << 40)
         for batch in batches:
             rows, source = [], []
-            for at, (ids, shard) in enumerate(zip(ids_of(batch.column(1).to_pylist(), vocabulary), batch.column(2).to_pylist())):
+            for at, (ids, shard) in enumerate(zip(ids_of(batch.column(1).to_pylist(), vocabulary, automaton), batch.column(2).to_pylist())):
                 ids += last
                 n = len(ids) // 4
                 for start in range(0, n, size):
