@@ -108,6 +108,31 @@ def test_em_recovers_proportions():
     assert kept[0] == 2 and np.abs(pi[0] - true).max() < 0.06
 
 
+def test_long_texts_in_parts_have_the_same_mixture(spark, monkeypatch):
+    rng = random.Random(12)
+    model = langid.fit(spark.createDataFrame([(i, prose(rng, lang), lang, "x", "y") for i, lang in enumerate(["aa", "bb", "cc"] * 40)], DOCS))
+    texts = [" ".join(prose(rng, lang) for lang in of) for of in (["aa"] * 9, ["aa", "bb"] * 5, ["cc"] * 3 + ["bb"])] + ["1 2 3 4 " * 40, "xqz " * 90, "cc"]
+    parts = [langid.word_scores([x], model.table)[0] for x in langid.slices(texts[1], 50)]
+    for got, want in zip(langid.mixture_of(lambda: iter(parts)), langid.mixtures(np.vstack(parts), np.array([0])), strict=True):
+        assert np.allclose(got, want, atol=1e-4)
+    docs = spark.createDataFrame([(i, t, None, "x", "y") for i, t in enumerate(texts)], DOCS)
+    whole = {r["row"]["doc_id"]: r for r in langid.predict(docs, model).collect()}
+    assert [whole[i]["n_langs"] for i in range(4)] == [1, 2, 2, 0]
+    monkeypatch.setattr(langid, "HELD", 3 * 200)
+    for i, r in ((r["row"]["doc_id"], r) for r in langid.predict(docs, model).collect()):
+        w = whole[i]
+        assert (r["lang_pred"], r["n_langs"], list(r["langs"])) == (w["lang_pred"], w["n_langs"], list(w["langs"]))
+        assert r["score"] == pytest.approx(w["score"], abs=1e-3) and r["odds"] == (w["odds"] and pytest.approx(w["odds"], abs=1e-3))
+
+
+def test_repeated_keys_are_sampled_by_text(spark):
+    rng = random.Random(13)
+    rows = [(7, prose(rng, "aa"), "aa", "x", "y") for _ in range(300)]
+    seen = langid.fit(spark.createDataFrame(rows, DOCS), sample_docs=60)
+    every = langid.fit(spark.createDataFrame(rows, DOCS))
+    assert 0 < np.count_nonzero(seen.table != seen.table.min()) and not np.array_equal(seen.table, every.table)
+
+
 def test_language_set_does_not_depend_on_other_documents():
     rng = np.random.default_rng(9)
     n = int(rng.integers(6, 60))

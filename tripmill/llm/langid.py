@@ -16,7 +16,7 @@ have odds below 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from functools import cache
 
@@ -28,7 +28,7 @@ from pyspark.sql.types import StructType
 
 from tripmill.llm.common import free_memory, small_batches
 
-#: Labelled documents to learn from, of each language (about, by a hash of the key).
+#: Labelled documents to learn from, of each language (about, by a hash of key and text).
 SAMPLE_DOCS = 1500
 #: Languages to learn at most, the most frequent ones; each takes 128 KiB of the model.
 MOST_LANGUAGES = 1000
@@ -39,8 +39,9 @@ BITS = 15
 ORDERS = 4
 #: A word's log likelihood counts by this factor: its n-grams overlap.
 TEMPER = 0.5
-#: Characters that are scored at a time.
+#: Characters that are scored at a time, and scores (characters by languages) that are held at a time.
 SLICE = 400_000
+HELD = 1 << 25
 
 
 @cache
@@ -83,26 +84,27 @@ def ngrams(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return out, starts, doc
 
 
-def slices(text: str) -> list[str]:
-    """A lower-case text in parts of about SLICE characters, cut at white space where there is any."""
+def slices(text: str, many: int) -> list[str]:
+    """A lower-case text in parts of up to ``many`` characters, cut at white space where there is any."""
     text = text.lower()
     out, at = [], 0
-    while len(text) - at > SLICE:
-        cut = max(text.rfind(" ", at, at + SLICE), text.rfind("\n", at, at + SLICE))
-        cut = cut if cut > at else at + SLICE
+    while len(text) - at > many:
+        cut = max(text.rfind(" ", at, at + many), text.rfind("\n", at, at + many))
+        cut = cut if cut > at else at + many
         out.append(text[at:cut])
         at = cut
     return [*out, text[at:]]
 
 
-def groups(texts: list[str | None]) -> Iterator[tuple[list[int], list[str]]]:
-    """Texts in groups of about SLICE characters, with the row each part is of."""
+def groups(texts: list[str | None], many: int | None = None) -> Iterator[tuple[list[int], list[str]]]:
+    """Texts in groups of up to ``many`` characters (SLICE of them by default), with the row each part is of."""
+    many = many or SLICE
     rows: list[int] = []
     parts: list[str] = []
     size = 0
     for i, t in enumerate(texts):
-        for part in slices(t) if t else []:
-            if size + len(part) > SLICE and rows:
+        for part in slices(t, many) if t else []:
+            if size + len(part) > many and rows:
                 yield rows, parts
                 rows, parts, size = [], [], 0
             rows.append(i)
@@ -134,7 +136,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
         return Model([], np.zeros(((1 << BITS) + 1, 0), "f4"))
     languages = sorted(known)
     share = F.create_map(*[x for l in languages for x in (F.lit(l), F.lit(min(1.0, sample_docs / known[l])))])
-    drawn = rows.where(F.pmod(F.xxhash64("k", F.lit("sample")), F.lit(1_000_000)) < share[F.col("l")] * 1_000_000)
+    drawn = rows.where(F.pmod(F.xxhash64("k", "t", F.lit("sample")), F.lit(1_000_000)) < share[F.col("l")] * 1_000_000)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -160,16 +162,12 @@ def mixtures(scores: np.ndarray, starts: np.ndarray, rounds: int = 6) -> tuple[n
     """Proportions of the languages in each document, and how many were kept.
 
     scores: log likelihoods, words by languages; starts: each document's first
-    word (no document is empty). The set is the first k languages by proportion
-    for the k with the least -2 log L + 2 k log n. As log L is at most 0, no
-    document gains by a k of which the second term alone is no less; the search
-    ends when that holds for all, and a document's result is its own.
+    word (no document is empty).
     """
     words, many = scores.shape
     size = np.diff(np.append(starts, words))
     doc = np.repeat(np.arange(len(starts)), size)
-    top = scores.max(1, keepdims=True)
-    like = np.exp(scores - top)
+    like = np.exp(scores - scores.max(1, keepdims=True))
 
     def em(pi: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
         for _ in range(rounds):
@@ -178,7 +176,40 @@ def mixtures(scores: np.ndarray, starts: np.ndarray, rounds: int = 6) -> tuple[n
             pi = np.add.reduceat(part, starts, axis=0) / size[:, None]
         return pi, np.add.reduceat(np.log((like * pi[doc]).sum(1) + 1e-30), starts)
 
-    full, _ = em(np.full((len(starts), many), 1 / many), rounds)
+    return _likeliest(em, size, many, rounds)
+
+
+def mixture_of(parts: Callable[[], Iterator[np.ndarray]], rounds: int = 6) -> tuple[np.ndarray, np.ndarray]:
+    """The same of one document whose scores come in parts, of which one is held at a time.
+
+    parts: gives the scores anew each time it is called.
+    """
+    shapes = [x.shape for x in parts()]
+    size, many = np.array([sum(n for n, _ in shapes)]), shapes[0][1]
+
+    def em(pi: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+        for at in range(rounds + 1):
+            sums, fit_ = np.zeros((1, many)), np.zeros(1)
+            for scores in parts():
+                like = np.exp(scores - scores.max(1, keepdims=True)) * pi
+                total = like.sum(1, keepdims=True) + 1e-30
+                sums += (like / total).sum(0)
+                fit_ += np.log(total).sum()
+            if at < rounds:
+                pi = sums / size
+        return pi, fit_
+
+    return _likeliest(em, size, many, rounds)
+
+
+def _likeliest(em: Callable[[np.ndarray, int], tuple[np.ndarray, np.ndarray]], size: np.ndarray, many: int, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """The set of each document: the first k languages by proportion for the k with the least -2 log L + 2 k log n.
+
+    As log L is at most 0, no document gains by a k of which the second term alone
+    is no less; the search ends when that holds for all, and a document's result
+    is its own.
+    """
+    full, _ = em(np.full((len(size), many), 1 / many), rounds)
     order = np.argsort(-full, axis=1, kind="stable")
     best, least, kept = None, None, None
     for k in range(1, many + 1):
@@ -191,7 +222,7 @@ def mixtures(scores: np.ndarray, starts: np.ndarray, rounds: int = 6) -> tuple[n
         pi, fit_ = em(pi / pi.sum(1, keepdims=True), 0 if k == 1 else 2)
         cost = -2 * fit_ + 2 * k * np.log(size + 1)
         if best is None:
-            best, least, kept = pi, cost, np.ones(len(starts), int)
+            best, least, kept = pi, cost, np.ones(len(size), int)
             continue
         gains = can & (cost < least)
         best[gains], least[gains], kept[gains] = pi[gains], cost[gains], k
@@ -215,6 +246,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
 
     ``und`` with score 0 and no odds where the text is null or has no letter, or
     nothing was learned. odds: mean log odds of a word against random letters.
+    Texts of more than HELD characters by languages are scored in parts, anew in each
+    round, so a task's memory does not grow with a text's words.
     Rows are never joined or merged: equal keys stay separate. row is a struct
     of the columns in ``keep``, of all by default, so any names are free.
     """
@@ -229,10 +262,13 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
         free_memory()
         m: Model = shared.value
 
+        held_chars = max(1, HELD // max(1, len(m.languages)))
+        slice_chars = min(SLICE, held_chars)
+
         def scored(texts: list[str | None]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
             """Scores, scores of random letters and rows of words, whole texts together."""
             held, last = [], None
-            for rows, parts in groups(texts):
+            for rows, parts in groups(texts, slice_chars):
                 scores, random, part = word_scores(parts, m.table)
                 if held and rows[0] != last:
                     yield tuple(map(np.concatenate, zip(*held)))
@@ -248,7 +284,23 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
             score = np.zeros(batch.num_rows)
             count = np.zeros(batch.num_rows, "i4")
             parts: list = [[] for _ in label]
-            for scores, random, of in scored(batch.column(1).to_pylist() if m.languages else []):
+            texts = batch.column(1).to_pylist() if m.languages else []
+            long = [i for i, t in enumerate(texts) if t and len(t) > held_chars]
+            for i in long:
+                cut, texts[i] = slices(texts[i], slice_chars), None
+
+                def word_parts() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                    return (x[:2] for x in (word_scores([c], m.table) for c in cut) if len(x[0]))
+
+                gain, words = 0.0, 0
+                for scores, random in word_parts():
+                    gain, words = gain + float((scores.max(1) - random).sum()), words + len(scores)
+                if words:
+                    pi, k = mixture_of(lambda: (x for x, _ in word_parts()))
+                    label[i], odds[i] = m.languages[pi[0].argmax()], gain / words
+                    score[i], count[i] = np.clip(pi[0].max(), 0, 1), k[0]
+                    parts[i] = [(m.languages[l], float(pi[0, l])) for l in np.flatnonzero(pi[0] > 0)]
+            for scores, random, of in scored(texts):
                 if not len(of):
                     continue
                 rows, starts = np.unique(of, return_index=True)
