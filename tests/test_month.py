@@ -5,8 +5,10 @@ from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 import pytest
+from pyspark import SparkConf
 from pyspark.sql import functions as F
 
+from tripmill import queries
 from tripmill.functions.identity import row_columns
 from tripmill.plans import cli, manifest, release
 from tripmill.plans.month import Lake, MonthRequest, backfill_requests
@@ -204,3 +206,11 @@ def test_command_line(spark, place, capsys):
     said = [json.loads(x) for x in capsys.readouterr().out.splitlines() if x.startswith("{")]
     assert said[0]["gold_row_count"] == 1 and said[1] == {"row_count": 5, "snapshot_id": "1"}
     assert manifest.SILVER == lake.manifest.row(2024, 1).run_status
+
+
+def test_state_of_queries_is_a_uri_however_the_folder_is_set(spark, tmp_path, monkeypatch):
+    for folder in (tmp_path, f"{tmp_path}/", f"file://{tmp_path}"):
+        monkeypatch.setattr(spark.sparkContext, "getConf", lambda f=folder: SparkConf(False).set("spark.checkpoint.dir", str(f)))
+        uri = f"{queries._state(spark)}/landing/{file_name(2024, 5)}"
+        assert uri.startswith("file:/") and str(tmp_path) in uri
+        SourceFile(2024, 5, uri, "a" * 64, 1).validate()
