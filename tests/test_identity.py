@@ -57,3 +57,12 @@ def test_run_id_follows_every_part_of_the_source():
     assert one.startswith("fhvhv-2024-01-") and len(one) == len("fhvhv-2024-01-") + 16
     for i, other in enumerate(("s3://y", "b" * 64, 6, 2025, 2)):
         assert identity.run_id(*(other if j == i else p for j, p in enumerate(parts))) != one
+
+
+def test_types_given_change_no_hash(spark):
+    rows = spark.sql("select stack(5, 1.5D, timestamp'2024-01-15 08:00:00', 1, null, null, null, double('NaN'), timestamp'1999-12-31 23:59:59.5', -2, double('inf'), null, 0, -0.0D, timestamp'2024-01-15 08:00:00', null) as (x, t, n)")
+    of = {identity.TIMES: "t", identity.WHOLE_NUMBERS: "n", identity.AMOUNTS: "x"}
+    made = rows.select("*", *(F.col(c).alias(name) for names, c in of.items() for name in names), *(F.lit(t).alias(c) for c, t in zip([c for c in identity.ROW_COLUMNS if c not in sum(of, ())], ["", " ", "a", None, "b ", "c", "d", "e"])))
+    kinds = dict(made.dtypes)
+    same = made.select(*((f(2025) if f is identity.row_id else f()).eqNullSafe(f(2025, kinds) if f is identity.row_id else f(kinds)).alias(f.__name__) for f in (identity.row_id, identity.business_key)))
+    assert {tuple(r) for r in same.collect()} == {(True, True)}
