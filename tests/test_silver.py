@@ -6,6 +6,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from tripmill import queries
 from tripmill.functions import quality
 from tripmill.operators import bronze, checks, gold, silver
 from tripmill.sources.schema import TableSpec
@@ -156,3 +157,18 @@ def test_data_tests_count_what_fails(spark):
         ("relationships", "fct_trips", "pickup_zone_id"): high, ("singular", "fct_trips", checks.COUNTS): 1,
     }
     assert {k: n for k, n in found.items() if n} == {k: n for k, n in expected.items() if n}
+
+
+def test_trips_are_numbered_before_they_are_widened(spark):
+    plan = queries._classified(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    below = plan[plan.index("Window [") :]
+    assert "unhex" in below and not any(x in below for x in ("business_trip_key", "identity_policy_version", "reason_code", "SortMerge"))
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+
+
+def test_keys_of_hashes_are_bytes_and_keep_texts_apart(spark):
+    rows = spark.createDataFrame([(x,) for x in ("00ab", "00AB", "0ab", "ab", "xy", "00ab", None)], "row_id string")
+    rows = rows.select("row_id", *(F.lit("1").alias(c) for c in checks.NOT_NULL["silver_trips"][1:]))
+    own = checks.keys(rows, "silver_trips").where(F.col("domain") == checks.DOMAINS.index("silver_trips.row_id")).where(F.col("part") == checks.OWN)
+    found = {(r.key and bytes(r.key), r.text): r.n for r in own.groupBy("key", "text").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert found == {(b"\x00\xab", None): 2, (None, "00AB"): 1, (None, "0ab"): 1, (b"\xab", None): 1, (None, "xy"): 1}
