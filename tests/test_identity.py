@@ -66,3 +66,16 @@ def test_types_given_change_no_hash(spark):
     kinds = dict(made.dtypes)
     same = made.select(*((f(2025) if f is identity.row_id else f()).eqNullSafe(f(2025, kinds) if f is identity.row_id else f(kinds)).alias(f.__name__) for f in (identity.row_id, identity.business_key)))
     assert {tuple(r) for r in same.collect()} == {(True, True)}
+
+
+def test_texts_of_doubles_are_those_of_decimals(spark):
+    edges = [0.0, -0.0, 1.0, -1.0, 0.5, -0.05, 0.1 + 0.2, 5e-7, -5e-7, 4.99e-7, 2.5e-6, 1e-300, 99999999.9999995, -1e8, 1e8, 1e22, -3e31, 1e33, 8641.968999999999, 1 / 3, float("nan"), float("inf"), None]
+    rows = spark.createDataFrame([(v,) for v in edges], "x double").unionByName(spark.range(20000).select(((F.rand(7) - 0.5) * F.pow(F.lit(10), F.rand(8) * 11 - 2)).alias("x")))
+    rows = rows.unionByName(spark.range(20000).select((F.col("id") * 7919 % 1_000_003 / 100).alias("x"))).withColumnRenamed("x", "tips")
+    other = rows.where(~identity.canonical("tips", "double").eqNullSafe(identity.canonical("tips")))
+    assert other.collect() == []
+    # most texts need no decimal
+    assert rows.where(identity.is_millionths(F.col("tips"))).count() > 20000
+    whole = spark.createDataFrame([(0,), (-5,), (2**62,), (None,)], "trip_time long")
+    assert whole.where(~identity.canonical("trip_time", "bigint").eqNullSafe(identity.canonical("trip_time"))).isEmpty()
+    assert "decimal" not in whole.select(identity.canonical("trip_time", "bigint"))._jdf.queryExecution().optimizedPlan().toString()

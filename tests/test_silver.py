@@ -2,6 +2,7 @@
 
 import datetime as dt
 import math
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -172,3 +173,42 @@ def test_keys_of_hashes_are_bytes_and_keep_texts_apart(spark):
     own = checks.keys(rows, "silver_trips").where(F.col("domain") == checks.DOMAINS.index("silver_trips.row_id")).where(F.col("part") == checks.OWN)
     found = {(r.key and bytes(r.key), r.text): r.n for r in own.groupBy("key", "text").agg(F.count(F.lit(1)).alias("n")).collect()}
     assert found == {(b"\x00\xab", None): 2, (None, "00AB"): 1, (None, "0ab"): 1, (b"\xab", None): 1, (None, "xy"): 1}
+
+
+WANTED = {
+    "mart_hourly_zone_demand": lambda s: gold.mart_hourly_zone_demand(gold.fct_trips(s)),
+    "schema_evolution_nullfill": lambda s: s.select("row_id", "pickup_date", "source_year", "source_month", "cbd_congestion_fee"),
+    "rerun_row_ids_except": lambda s: s.select("row_id", "source_year", "source_month"),
+    "fct_merge_upsert": lambda s: gold.fct_trips(s).select("row_id", "source_year", "source_month", "tips"),
+}
+
+
+@pytest.mark.parametrize("name", WANTED)
+def test_what_only_the_rules_read_is_not_shuffled(spark, name):
+    made = WANTED[name](queries._silver(spark, "/root/testdata/sf0.001"))
+    plan = spark._jvm.PythonSQLUtils.explainString(made._jdf.queryExecution(), "formatted")
+    numbered = re.search(r"\) Window\nInput \[\d+\]: \[(.*)\]", plan).group(1)
+    names = {x.split("#")[0].strip() for x in numbered.split(",")}
+    assert "row_id" in names and not {"dropoff_datetime", "DOLocationID", "tolls", "sales_tax", "trip_time"} & names
+
+
+def test_judged_rows_are_the_classified(spark):
+    changes = [{}, {}, {"tips": -1.0}, {"tips": -1.0}, {"PULocationID": "999"}, {"trip_miles": math.nan}, {"dispatching_base_num": "B1"}]
+    rows, zone = trips(spark, *changes), zones(spark)
+    said = lambda df: sorted((r.row_id, str(r.reason_code), r._trip_row_number) for r in df.collect())
+    assert said(silver.judged(rows, zone)) == said(silver.classify(rows, zone))
+
+
+def test_sums_are_those_of_decimals(spark):
+    values = [0.0, -0.0, 0.1, -0.1, 1.005, 12345.67 * 0.7, -98765.43, 5e-7, -5e-7, 4.9999999e-7, 1e8, -1e8, 99999999.999999, 123456789012.123456, -999999999999.0, 2.0**39 + 0.5, None]
+    rows = spark.createDataFrame([(i % 3, v) for i, v in enumerate(values * 7)] + [(9, None)], "g int, x double")
+    summed = rows.groupBy("g").agg(gold._sum("x").alias("a"), F.sum(F.col("x").cast("decimal(18,6)")).cast("double").alias("b"))
+    assert all(r.a == r.b for r in summed.collect()) and summed.where("a is null").count() == 1
+    plan = rows.groupBy("g").agg(gold._sum("x"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(cast(x" not in plan and "decimal(28,6)" not in plan
+
+
+def test_date_keys_are_the_digits_of_days(spark):
+    days = spark.sql("select explode(array(date'0001-01-01', date'1999-12-31', date'2024-02-29', date'9999-12-31', null, date'-0044-03-15')) as d")
+    same = days.select(gold._date_key(F.col("d")).eqNullSafe(F.date_format("d", "yyyyMMdd").cast("int")).alias("x"))
+    assert {r.x for r in same.collect()} == {True}
