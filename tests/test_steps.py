@@ -216,3 +216,15 @@ def test_equal_reruns_are_told_by_digests(spark):
     a = spark.createDataFrame([(1, None)], "x int, y int")
     assert release.differing({"a": a}, {"a": a.selectExpr("y as x", "x as y")}) == [("a", None, None)]
     assert release.other_row_ids(rows.where("v <> 5"), rows).count() == 1 + rows.where("v is null").count()
+
+
+def test_sides_of_a_rerun_are_shuffled_once(spark, monkeypatch):
+    monkeypatch.setattr(release, "REPEATED", 2)
+    texts = lambda *x: spark.createDataFrame([(t, 2024, 1) for t in x], "row_id string, source_year int, source_month int")
+    one, two = texts("00ab", "00ab", "00ab", "00ab", "00AB", "xy", "same", None, None, ""), texts("00ab", "ab", "same", "same", "same", None, "0ab")
+    found = release.other_row_ids(one, two)
+    assert sorted((r.side, str(r.row_id)) for r in found.collect()) == sorted(
+        [("first", x) for x in ("00ab", "00ab", "00ab", "00AB", "xy", "None", "")] + [("rerun", x) for x in ("ab", "same", "same", "0ab")]
+    )
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate [") == 1 and "unhex" in plan
