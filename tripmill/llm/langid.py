@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripmill.llm.common import free_memory, small_batches
+from tripmill.llm.common import small_batches, tidy
 
 #: Labelled documents to learn from, of each language (about, by a hash of key and text).
 SAMPLE_DOCS = 1500
@@ -138,6 +138,7 @@ def fit(docs: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc
     share = F.create_map(*[x for l in languages for x in (F.lit(l), F.lit(min(1.0, sample_docs / known[l])))])
     drawn = rows.where(F.pmod(F.xxhash64("k", "t", F.lit("sample")), F.lit(1_000_000)) < share[F.col("l")] * 1_000_000)
 
+    @tidy
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
@@ -258,8 +259,8 @@ def predict(docs: DataFrame, model: Model, text: str = "text", keep: list[str] |
     source = docs.select(row, F.col(f"`{text}`").alias("text"))
     schema = StructType.fromDDL("lang_pred string, score double, n_langs int, langs map<string,double>, odds double").add(source.schema["row"])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_memory()
         m: Model = shared.value
 
         held_chars = max(1, HELD // max(1, len(m.languages)))

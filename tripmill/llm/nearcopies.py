@@ -38,11 +38,11 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripmill.llm import simhash
-from tripmill.llm.common import Tables, free_memory, free_names, small_batches
+from tripmill.llm.common import Tables, free_names, small_batches, tidy
 from tripmill.llm.components import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -93,8 +93,8 @@ def needed(m: int, n: int) -> int:
 def _prints(docs: DataFrame, key: str, text: str) -> DataFrame:
     """id, h, fp, size, bits, w of each row: hash of the words, fingerprint, number of shingles, bitmap, and that folded."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_memory()
         for batch in batches:
             h, fp, size, bits = [], [], [], []
             for t in batch.column(1).to_pylist():
@@ -114,6 +114,7 @@ def _prints(docs: DataFrame, key: str, text: str) -> DataFrame:
 def _own(named: DataFrame) -> DataFrame:
     """cid, text of the rows of cid, h, text whose text is the one of h: keys may repeat, so rows can meet classes of other texts."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = [i for i, (t, h) in enumerate(zip(batch.column(2).to_pylist(), batch.column(1).to_pylist())) if _text_hash(simhash.words_of(t)) == h]
@@ -147,8 +148,8 @@ def _emit(texts: DataFrame, pick, hot: np.ndarray | None = None) -> DataFrame:
     """
     shared = texts.sparkSession.sparkContext.broadcast(hot) if hot is not None else None
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_memory()
         for batch in batches:
             sets = [_shingles(t) for t in batch.column(1).to_pylist()]
             last = [shared.value] * len(sets) if shared else [np.array(sorted(x or []), "i8") for x in batch.column(2).to_pylist()]
@@ -172,6 +173,11 @@ def _pair(x: str, y: str) -> list[Column]:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+def _no_pairs(spark: SparkSession, a: str, b: str) -> DataFrame:
+    """Two columns without rows; an empty list in Python would be read by Python workers of its own, which stay in the executors."""
+    return spark.range(0).select(F.col("id").alias(a), F.col("id").alias(b))
+
+
 def _lead_pairs(members: DataFrame) -> DataFrame:
     """Pairs of the members of a key with its first one, where that is in another group."""
     leads = members.groupBy(F.col("key").alias("of")).agg(F.min(F.struct("pos", "cid", "size", "grp")).alias("l"))
@@ -201,6 +207,7 @@ def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs that sizes and bitmaps leave."""
     a, b = (classes.select(F.col("cid").alias(c), F.col("size").alias(f"n{c}"), F.col("bits").alias(f"bits{c}")) for c in "ab")
     
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = zip(*(batch.column(i).to_pylist() for i in range(2, 6)))
@@ -215,6 +222,7 @@ def _alike(pairs: DataFrame, classes: DataFrame) -> DataFrame:
 def _sets(texts: DataFrame) -> DataFrame:
     """cid, s: the shingle hashes of texts."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([_shingles(t) for t in batch.column(1).to_pylist()], pa.list_(pa.int64()))], ["cid", "s"])
@@ -315,7 +323,7 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tab
         last = none
     members = tables.write(keys(last, own).join(shared.select("key"), "key", "left_semi"), "members")
     tables.let_go()
-    tested = spark.createDataFrame([], "a long, b long")
+    tested = _no_pairs(spark, "a", "b")
     for turn in range(ROUNDS + 1):
         in_groups = tables.write(grouped(members), "placed")
         per_group = in_groups.groupBy("key", "grp").agg(F.count(F.lit(1)).alias("n"))
@@ -336,7 +344,7 @@ def groups(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: Tab
             break
         tables.drop(placed, largest)
     if named is None:
-        named = spark.createDataFrame([], "node long, component long")
+        named = _no_pairs(spark, "node", "component")
     placed = classes.join(named, classes["cid"] == named["node"], "left").select("h", "rep", F.coalesce("component", "cid").alias("group"))
     smallest = placed.groupBy(F.col("group").alias("of")).agg(F.min("rep").alias("component_id"))
     of = placed.join(smallest, placed["group"] == smallest["of"]).select(F.col("h").alias("class"), "group", "component_id")
@@ -363,6 +371,7 @@ def keep_one(docs: DataFrame, text: str = "text", key: str = "doc_id", tables: T
     if unique:
         return docs.join(keeps, docs[key] == keeps[kept_key], "left_semi")
 
+    @tidy
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             at = batch.schema.get_field_index(text)

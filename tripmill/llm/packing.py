@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm.bpe import ids_of, shared
-from tripmill.llm.common import Tables, small_batches
+from tripmill.llm.common import Tables, give_back, small_batches
 
 #: Mean number of documents whose pieces are packed together.
 SHARD_DOCS = 16_384
@@ -114,6 +114,7 @@ def pack(docs: DataFrame, vocabulary: str, size: int = 4096, end_id: int = 2, te
                     source.append(at)
             columns = [pa.array(c, f[1]) for c, f in zip(zip(*rows), fields)] if rows else [pa.array([], f[1]) for f in fields]
             yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(source, pa.int64())), *columns], [key, *(f[0] for f in fields)])
+        give_back()
 
     def place(x: pd.DataFrame) -> pd.DataFrame:
         x = x.sort_values(["length", "ids_crc32", key, "start"], ascending=[False, True, True, True], ignore_index=True)

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripmill.llm import golay
-from tripmill.llm.common import Tables, free_memory, small_batches
+from tripmill.llm.common import Tables, small_batches, tidy
 from tripmill.llm.components import components
 
 RADIUS = 2
@@ -71,8 +71,8 @@ def fingerprints(docs: DataFrame, words: int = 3, text: str = "text", key: str =
     """key, fp (the fingerprint as a long) of every row."""
     small_batches(docs.sparkSession)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        free_memory()
         for batch in batches:
             found = np.array([majority(shingle_hashes(words_of(t), words)) for t in batch.column(1).to_pylist()], "u8")
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found.view("i8"))], [key, "fp"])
@@ -83,6 +83,7 @@ def fingerprints(docs: DataFrame, words: int = 3, text: str = "text", key: str =
 def fuzzy_keys(classes: DataFrame) -> DataFrame:
     """key, fp, rep: every fingerprint under each of its keys (3 to 18)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy(zero_copy_only=False)

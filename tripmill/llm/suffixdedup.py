@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tripmill.llm.common import Tables, free_memory, small_batches
+from tripmill.llm.common import Tables, small_batches, tidy
 
 #: Bytes of the strings that count, k-grams of the first and of later rounds.
 LENGTH = 200
@@ -50,7 +50,7 @@ FIRST_K, NEXT_K = 32, 180
 #: Different contexts of one minimizer that meet in a task.
 VARIANTS = 2000
 #: Bytes whose suffixes are sorted together (a minimizer's contexts may exceed it by their own size).
-BUFFER = 1 << 20
+BUFFER = 1 << 18
 #: Bytes of text that are anchored at a time; longer texts are cut with overlap.
 SEGMENT = 1 << 18
 
@@ -265,6 +265,7 @@ def _segments(text: bytes, length: int) -> list[tuple[int, int]]:
 def _anchors(docs: DataFrame, k: int, length: int, with_spans: bool) -> DataFrame:
     """h, ctx, ctx2, rid, pos, lead, size: the anchors of all texts (of the strings in ``spans``)."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(held: list) -> pa.RecordBatch:
             data = np.frombuffer(b"".join(t[a:b] for _, t, a, b, _ in held), "u1")
@@ -282,7 +283,6 @@ def _anchors(docs: DataFrame, k: int, length: int, with_spans: bool) -> DataFram
             base = np.array([x[2] for x in held], "i8") - np.concatenate([[0], ends[:-1]])
             return pa.RecordBatch.from_arrays([pa.array(h.view("i8")), pa.array(context.view("i8")), pa.array(context2.view("i8")), pa.array(rid[segment]), pa.array((at + base[segment]).astype("i4")), pa.array(lead.astype("i4")), pa.array(size.astype("i4"))], ["h", "ctx", "ctx2", "rid", "pos", "lead", "size"])
 
-        free_memory()
         for batch in batches:
             held, size = [], 0
             spans = batch.column(2).to_pylist() if with_spans else [None] * batch.num_rows
@@ -306,6 +306,7 @@ def _anchors(docs: DataFrame, k: int, length: int, with_spans: bool) -> DataFram
 def _contexts(docs: DataFrame) -> DataFrame:
     """The bytes of the contexts that ``wanted`` names."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
@@ -380,6 +381,7 @@ def _sorted_suffixes(contexts: DataFrame, length: int) -> DataFrame:
         named = [pa.array([held[i][k] for i in some], pa.int64()) for k in range(3)]
         return pa.RecordBatch.from_arrays([*named, *lists], ["h", "ctx", "ctx2", "dups", "later"])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, now = [], 0, None
         for batch in batches:
@@ -492,6 +494,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, keep_first: bool = False, text:
     if row:
         schema = schema.add(rows.schema["row"])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
