@@ -135,6 +135,29 @@ def test_members_close_to_different_smallest_ones_stay_in_one_part():
     assert [len(set(x)) for x in found.reshape(5, 300)] == [1] * 5 and len(set(found)) == 5
 
 
+def test_links_between_members_with_smaller_neighbours_of_their_own_join_components(spark):
+    # in a row, each is linked to the next only: 1 - 5 - 7 - 2
+    x = np.array([[math.cos(t), math.sin(t), 0.0] for t in np.arange(4) * 0.19])
+    cid, size = np.array([1, 5, 7, 2]), np.array([1, 2, 1, 1])
+    links, least = crosspolytope.linked(cid, size, x, np.zeros(4, "i8"), 0.98)
+    assert links.tolist() == [2, 2, 3, 1] and least.tolist() == [1] * 4
+    assert crosspolytope.linked(cid, size, x, np.array([0, 1, 0, 1]), 0.98)[1].tolist() == [1] * 4
+    assert crosspolytope.linked(cid, size, x, np.array([0, 0, 1, 1]), 0.98)[1].tolist() == [1, 5, 5, 2]
+    # chains of vectors in one label, their ids in random order
+    rng = np.random.default_rng(12)
+    ids = rng.permutation(400)
+    chains = np.zeros((400, 32))
+    for i, row in enumerate(chains):
+        row[i // 40 * 2 : i // 40 * 2 + 2] = math.cos(i % 40 * 0.15), math.sin(i % 40 * 0.15)
+    vectors = chains[np.argsort(ids)]
+    links, component = brute_links(vectors, [1] * 400, 0.98)
+    df = spark.createDataFrame(rows_of(vectors, [1] * 400), SCHEMA.replace("array<float>", "array<double>")).repartition(3)
+    for block in (1024, 16):
+        got = {r["vec_id"]: r for r in crosspolytope.near_duplicates(df, block=block).collect()}
+        assert [got[i]["n_links"] for i in range(400)] == links.tolist()
+        assert [got[i]["component_id"] for i in range(400)] == component.tolist()
+
+
 def test_deeper_codes_find_the_same_links(spark, monkeypatch):
     rng = np.random.default_rng(7)
     x = np.repeat(rng.standard_normal((60, 64)), 4, axis=0) + rng.standard_normal((240, 64)) * 0.1
