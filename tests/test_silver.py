@@ -192,6 +192,15 @@ def test_what_only_the_rules_read_is_not_shuffled(spark, name):
     assert "row_id" in names and not {"dropoff_datetime", "DOLocationID", "tolls", "sales_tax", "trip_time"} & names
 
 
+def test_duplicates_of_trips_shuffle_and_store_no_more_than_is_returned(spark, monkeypatch):
+    monkeypatch.setattr(queries, "_state", lambda spark: pytest.fail("rows are stored"))
+    made = queries.duplicate_override(spark, "/root/testdata/sf0.001")
+    plan = spark._jvm.PythonSQLUtils.explainString(made._jdf.queryExecution(), "formatted")
+    assert len(re.findall(r"\) Window\n", plan)) == 1 and plan.count("hashpartitioning(row_id") == 1
+    shuffled = re.search(r"\) Exchange\nInput \[\d+\]: \[([^\]]*)\]\nArguments: hashpartitioning\(row_id", plan).group(1)
+    assert {x.split("#")[0].strip() for x in shuffled.split(",")} == {"row_id", "request_datetime", "reason_code"}
+
+
 def test_judged_rows_are_the_classified(spark):
     changes = [{}, {}, {"tips": -1.0}, {"tips": -1.0}, {"PULocationID": "999"}, {"trip_miles": math.nan}, {"dispatching_base_num": "B1"}]
     rows, zone = trips(spark, *changes), zones(spark)
