@@ -160,6 +160,31 @@ def test_data_tests_count_what_fails(spark):
     assert {k: n for k, n in found.items() if n} == {k: n for k, n in expected.items() if n}
 
 
+@pytest.mark.parametrize("kinds", [(k,) for k in ("unique", "not_null", "relationships", "singular")] + [("unique", "singular")])
+def test_data_tests_of_some_kinds_are_those_of_all_and_read_no_more(spark, tmp_path, kinds):
+    zone = spark.createDataFrame([(1, "a", "b", "c"), (1, "a", "b", "c"), (None, "a", "b", "c")], "LocationID int, Borough string, Zone string, service_zone string")
+    good = silver.silver(silver.classify(trips(spark, *({"dispatching_base_num": f"B{i}"} for i in range(6))), zones(spark)))
+    odd = good.unionByName(good.limit(1)).withColumns({"pickup_zone_id": F.when(F.col("row_id") > "8", 77).otherwise(F.col("pickup_zone_id")), "operator_code": F.lit(None).cast("string"), "driver_pay": F.lit(None).cast("double")})
+    odd.withColumn("cbd_congestion_fee", F.lit(None).cast("double")).write.parquet(f"file://{tmp_path}/silver")
+    stored_silver = spark.read.parquet(f"file://{tmp_path}/silver")
+    relations = gold.build(stored_silver, zone, gold.fct_trips(stored_silver.where("row_id < 'e'")))
+    found = checks.all_checks(relations, kinds)
+    said = lambda df: sorted((r.kind, r.relation, r.column_name, r.failures) for r in df.collect())
+    assert said(found) == [x for x in said(checks.all_checks(relations)) if x[0] in kinds]
+    whole = checks.all_checks(gold.build(stored_silver, zone), kinds)
+    plan = spark._jvm.PythonSQLUtils.explainString(whole._jdf.queryExecution(), "formatted")
+    read = {c.split(":")[0] for s in re.findall(r"ReadSchema: struct<(.*)>", plan) for c in s.split(",") if c}
+    assert read == {c for k in kinds for c in queries._TESTED[k]}
+
+
+def test_dq_unique_stores_what_its_tests_read(spark, monkeypatch):
+    made = []
+    keep = queries._stored
+    monkeypatch.setattr(queries, "_stored", lambda df: made.append(keep(df)) or made[-1])
+    assert queries.dq_unique(spark, "/root/testdata/sf0.001").count() == 9
+    assert {*made[0].columns} == {*queries._TESTED["unique"]}
+
+
 def test_trips_are_numbered_before_they_are_widened(spark):
     plan = queries._classified(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     below = plan[plan.index("Window [") :]
