@@ -1,6 +1,8 @@
 """A month from file to release, its retries, and what must be refused."""
 
 import json
+import re
+import time
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
@@ -10,7 +12,8 @@ from pyspark.sql import functions as F
 
 from tripmill import queries
 from tripmill.functions.identity import row_columns
-from tripmill.plans import cli, manifest, release
+from tripmill.operators import silver
+from tripmill.plans import cli, manifest, release, steps
 from tripmill.plans.month import Lake, MonthRequest, backfill_requests
 from tripmill.sources.files import Files, SourceFile, file_name
 from tripmill.sources.schema import BRONZE_TRIPS, ContractError, TableSpec, check_columns
@@ -214,3 +217,58 @@ def test_state_of_queries_is_a_uri_however_the_folder_is_set(spark, tmp_path, mo
         uri = f"{queries._state(spark)}/landing/{file_name(2024, 5)}"
         assert uri.startswith("file:/") and str(tmp_path) in uri
         SourceFile(2024, 5, uri, "a" * 64, 1).validate()
+
+
+def test_trips_are_shuffled_whole_for_neither_silver_nor_a_rerun_nor_the_schema_change(spark, place, monkeypatch):
+    lake, folder, zones_uri = place
+    source = land(spark, folder)
+    lake.ingest(source, zones_uri)
+    plans, write = {}, SnapshotTable._write
+
+    def watched(self, df, schema):
+        plans.setdefault(self.spec.name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return write(self, df, schema)
+
+    monkeypatch.setattr(SnapshotTable, "_write", watched)
+    lake.refine(source)
+    for name in ("silver_trips", "quarantine_trips"):  # no trip is shuffled, and none is kept beside the tables
+        (plan,) = plans[name]
+        assert "BroadcastHashJoin" in plan and "hashpartitioning(row_file" not in plan
+        assert all("driver_pay" not in line for line in plan.split("\n") if "InMemoryTableScan" in line or "InMemoryRelation" in line or "Exchange" in line)
+    lake.build(source)
+    first = sorted(map(str, lake.fact.read().collect()))
+    lake.build(source)
+    assert "LeftAnti" not in plans["fct_trips"][-1]
+    assert sorted(map(str, lake.fact.read().collect())) == first
+    # the other way of joining copies gives the same
+    once = sorted(map(str, lake.silver.read().collect()))
+    monkeypatch.setattr(silver, "BROADCAST_COPIES", -1)
+    monkeypatch.setattr(type(lake.manifest), "admit_silver", lambda *_: True)
+    lake.refine(source)
+    assert sorted(map(str, lake.silver.read().collect())) == once
+    before = lake.bronze.latest()["id"]
+    lake.evolve()
+    later = lake.bronze.read().withColumns({"cbd_congestion_fee": F.lit(1.5), "_source_year": F.lit(2025)})
+    lake.bronze.replace(later, _source_year=2025, _source_month=source.month)
+    monkeypatch.setattr(type(later), "exceptAll", lambda *_: pytest.fail("whole rows are compared"))
+    assert release.evolution(lake.bronze, before, "cbd_congestion_fee")["with_value"] == later.count()
+    monkeypatch.undo()
+    lake.bronze.replace(lake.bronze.read(_source_year=2024, _source_month=source.month).limit(1), _source_year=2024, _source_month=source.month)
+    with pytest.raises(release.ReleaseError, match="are lost"):
+        release.evolution(lake.bronze, before, "cbd_congestion_fee")
+
+
+def test_shuffle_files_of_a_step_are_deleted(spark):
+    blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    ids = lambda: {int(n) for n in re.findall(r"shuffle_(\d+)_\d+_\d+[.]data", blocks.getAllFiles().toString())}
+    old = ids()
+    for _ in range(3):
+        spark.range(1000).repartition(3, "id").count()
+    made = ids() - old
+    assert len(made) >= 6
+    steps.free_shuffles(spark)
+    gone = made - {max(made) - 1, max(made)}  # the last job's may still be held by the scheduler
+    end = time.monotonic() + 30
+    while gone & ids() and time.monotonic() < end:
+        time.sleep(0.2)
+    assert not gone & ids()

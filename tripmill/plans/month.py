@@ -95,14 +95,17 @@ class Lake:
         """Silver and quarantine; returns their snapshots, or none if they are published already."""
         if not self.manifest.admit_silver(source):
             return None
-        kept = None
+        again = None
         try:
             rows = self.bronze.read(places=True, **release.of_month(source, "_source_")).where(F.col("_ingestion_run_id") == source.run_id)
             if not silver.other_policy(rows, policy(source.year)).isEmpty():
                 raise ContractError("bronze rows have another identity policy")
-            kept = silver.classify(rows, self.zones.read()).persist(StorageLevel.MEMORY_AND_DISK)
+            # few narrow rows are kept; what both tables need of a trip follows from its own row and those
+            again = silver.repeated(rows).persist(StorageLevel.MEMORY_AND_DISK)
+            few = again.count() <= silver.BROADCAST_COPIES
+            classified = silver.classify_numbered(silver.renumbered(rows, F.broadcast(again) if few else again), self.zones.read())
             seen = Observation()
-            watched = kept.observe(seen, *silver.count_columns())  # counted as silver is written
+            watched = classified.observe(seen, *silver.count_columns())  # counted as silver is written
             counts: dict[str, int] = {}
 
             def check_silver(n: int) -> None:
@@ -116,14 +119,14 @@ class Lake:
 
             snapshots = (
                 self.silver.replace(silver.silver(watched), check=check_silver, **release.of_month(source, "source_")),
-                self.quarantine.replace(silver.quarantine(kept), check=check_quarantine, **release.of_month(source, "_source_")),
+                self.quarantine.replace(silver.quarantine(classified), check=check_quarantine, **release.of_month(source, "_source_")),
             )
         except Exception as error:
             self.manifest.record_silver_failure(source, error)
             raise
         finally:
-            if kept is not None:
-                kept.unpersist()
+            if again is not None:
+                again.unpersist()
         self.manifest.record_silver(source, counts["silver_count"], counts["quarantine_count"], *snapshots)
         return snapshots
 
@@ -179,7 +182,9 @@ class Lake:
             journal = steps.Journal(self.spark, self.root, source.run_id)
 
             def do(name, step, *args):
-                return journal.step(name, lambda: steps.retried(lambda: step(*args), refusals, retries, pause))
+                result = journal.step(name, lambda: steps.retried(lambda: step(*args), refusals, retries, pause))
+                steps.free_shuffles(self.spark)
+                return result
 
             try:
                 do("ingest", self.ingest, source, zones_uri)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import contextlib
+import gc
 import hashlib
 import json
 import time
@@ -140,3 +141,9 @@ def rows_of(statement: DataFrame, seconds: float | None = None) -> list[Row]:
         return found.result()
     finally:
         pool.shutdown(wait=False)
+
+
+def free_shuffles(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of frames that nothing refers to any more, which it finds out when the driver collects garbage."""
+    gc.collect()  # references from Python
+    spark._jvm.java.lang.System.gc()
